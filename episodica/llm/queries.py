@@ -18,6 +18,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import decontaminate
+
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import secret_scan
 
@@ -30,6 +36,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .orc_ids import checked, read_token_files, write_token_files
     from .shared import shared_dir
@@ -43,5 +55,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: Windows of 10 words by unnesting; a shorter item is one window of its own length.
+OP4_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS g
+  FROM iw, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS t(p) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+occ AS (
+  SELECT doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') AS g
+  FROM dw, sizes, unnest(generate_series(1, len(w) - n + 1)) AS t(p) WHERE len(w) >= n),
+found AS (SELECT o.doc_id, o.p, o.n, x.item_id FROM occ o JOIN win x ON o.n = x.n AND o.g = x.g),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM found, unnest(generate_series(p, p + n - 1)) AS t(q) GROUP BY doc_id),
+names AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(i.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN names i ON i.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_winnowing": OP4_SQL}
