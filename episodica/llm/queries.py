@@ -57,6 +57,13 @@ def op9_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked(read_token_files(spark, path))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, identify
+
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
