@@ -42,6 +42,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text (its remaining lines), n_lines and n_removed."""
+    from .lines import line_dedup
+
+    out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnsRenamed({"__lines": "n_lines", "__removed": "n_removed"})
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
