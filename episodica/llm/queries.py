@@ -18,6 +18,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
 
+def op2_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import byte_bpe
 
