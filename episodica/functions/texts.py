@@ -79,7 +79,7 @@ def parse_list(text: Column) -> Column:
     """The first bracketed list of a text, code fences aside: stripped, not empty items; null if none is left."""
     bare = F.regexp_replace(text, r"```[a-z]*", "")
     items = F.from_json(F.regexp_extract(bare, r"(?s)(\[.*?\])", 1), "array<string>", {"allowSingleQuotes": "true"})
-    items = F.filter(F.transform(items, F.trim), lambda x: x != "")
+    items = F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.size(items) > 0, items)
 
 

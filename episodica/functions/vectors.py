@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -204,18 +204,28 @@ def separated(a: Column, b: Column, axes: Sequence[Column]) -> Column:
     return out
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x worked out once: nested formulas would repeat it without end."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def quaternion_of(axis_angle: Column) -> Column:
     """Real part first; a series below 1e-6."""
-    angle = norm(axis_angle)
-    factor = F.when(angle < 1e-6, F.lit(0.5) - angle * angle / 48).otherwise(F.sin(angle / 2) / angle)
-    return F.concat(F.array(F.cos(angle / 2)), F.transform(axis_angle, lambda x: x * factor))
+    def scaled(v: Column, angle: Column) -> Column:
+        factor = F.when(angle < 1e-6, F.lit(0.5) - angle * angle / 48).otherwise(F.sin(angle / 2) / angle)
+        return F.concat(F.array(F.cos(angle / 2)), let(factor, lambda k: F.transform(v, lambda x: x * k)))
+
+    return let(axis_angle, lambda v: let(norm(v), lambda angle: scaled(v, angle)))
 
 
 def matrix_of(q: Column) -> Column:
     """Nine elements, by rows, of the rotation of a quaternion (real part first)."""
-    w, x, y, z = (F.element_at(q, i) for i in (1, 2, 3, 4))
-    s = 2.0 / dot(q, q)
-    return F.array(1 - s * (y * y + z * z), s * (x * y - z * w), s * (x * z + y * w), s * (x * y + z * w), 1 - s * (x * x + z * z), s * (y * z - x * w), s * (x * z - y * w), s * (y * z + x * w), 1 - s * (x * x + y * y))
+
+    def rows(q: Column, s: Column) -> Column:
+        w, x, y, z = (F.element_at(q, i) for i in (1, 2, 3, 4))
+        return F.array(1 - s * (y * y + z * z), s * (x * y - z * w), s * (x * z + y * w), s * (x * y + z * w), 1 - s * (x * x + z * z), s * (y * z - x * w), s * (x * z - y * w), s * (y * z + x * w), 1 - s * (x * x + y * y))
+
+    return let(q, lambda q: let(2.0 / dot(q, q), lambda s: rows(q, s)))
 
 
 def six_of(axis_angle: Column) -> Column:
@@ -225,13 +235,14 @@ def six_of(axis_angle: Column) -> Column:
 
 def matrix_of_six(six: Column) -> Column:
     """The rotation whose first two rows span the given ones (Gram-Schmidt)."""
-    a, b = F.slice(six, 1, 3), F.slice(six, 4, 3)
-    x = F.transform(a, lambda v: v / norm(a))
-    y = F.zip_with(b, x, lambda v, u: v - dot(x, b) * u)
-    y = F.transform(y, lambda v: v / norm(y))
+    unit = lambda v: let(norm(v), lambda n: F.transform(v, lambda e: e / n))
+    across = lambda b, x: let(dot(x, b), lambda d: unit(F.zip_with(b, x, lambda v, u: v - d * u)))
     g = lambda v, i: F.element_at(v, i)
-    z = F.array(g(x, 2) * g(y, 3) - g(x, 3) * g(y, 2), g(x, 3) * g(y, 1) - g(x, 1) * g(y, 3), g(x, 1) * g(y, 2) - g(x, 2) * g(y, 1))
-    return F.concat(x, y, z)
+
+    def rows(x: Column, y: Column) -> Column:
+        return F.concat(x, y, F.array(g(x, 2) * g(y, 3) - g(x, 3) * g(y, 2), g(x, 3) * g(y, 1) - g(x, 1) * g(y, 3), g(x, 1) * g(y, 2) - g(x, 2) * g(y, 1)))
+
+    return let(six, lambda s: let(unit(F.slice(s, 1, 3)), lambda x: let(across(F.slice(s, 4, 3), x), lambda y: rows(x, y))))
 
 
 def yaw_of(q: Column) -> Column:
