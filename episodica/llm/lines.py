@@ -5,7 +5,8 @@ put in, left out or replaced). Distinct lines are found by hash. Two lines one
 edit apart share the first or the last half of the shorter one; lines that share no
 half with another leave there. The rest emit their deletion variants: a line is cut
 into blocks of 64 characters, and each block, with all before and after it hashed as
-a whole, loses each of its characters in turn. Equal variants are joined:
+a whole, loses each of its characters in turn; blocks whose surroundings no other line
+has are left out. Equal variants are joined:
 
 * a replaced character: both lack the same place of equally long lines. All lines
   that share such a variant are one edit apart, so each meets the earliest alone.
@@ -67,6 +68,9 @@ def _variants(lines: DataFrame) -> DataFrame:
         F.expr(f"substring(line, b * {BLOCK} + 1, size)").alias("part"),
         F.xxhash64("base", "b", F.expr(f"left(line, b * {BLOCK})"), F.expr(f"substring(line, b * {BLOCK} + size + 1)")).alias("rest"),
     )
+    blocks = written(blocks, "line-blocks")
+    shared = blocks.groupBy("rest").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("rest")
+    blocks = written(blocks.join(shared, "rest", "left_semi"), "shared-blocks")
     gaps = blocks.withColumn("i", F.explode(F.expr("sequence(0, CAST(size AS INT) - 1)")))
     lacking = F.expr("concat(left(part, i), substring(part, i + 2))")
     out = lambda df, kind, *key: df.select("h1", "h2", "place", F.lit(kind).alias("kind"), F.xxhash64(F.lit(kind == "same"), "rest", *key).alias("key"))
