@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .pieces import PieceCache
-from .text import chunks
+from .shared import short_batches
+from .text import chunks, held
 
 _NO_LIMIT = 1 << 62
 
@@ -73,7 +74,7 @@ class PrefixEncoder:
         key = a << 32 | b
         seen = self._seen.get(key)
         if seen is None:
-            if len(self._seen) > 500_000:
+            if len(self._seen) > 300_000:
                 self._seen.clear()
             seen = self._seen[key] = self._walk(a, b)
         return seen
@@ -168,18 +169,16 @@ class Prefixes:
         return out[::-1]
 
 
-_ENCODERS: dict[str, tuple[PieceCache, list[bytes], list[bytes]]] = {}
-
-
 def _worker(version: str, ranks: dict[bytes, int]) -> tuple[PieceCache, list[bytes], list[bytes]]:
     """A worker's cache, the bytes of each id, and each id in decimal."""
-    if version not in _ENCODERS:
+    mine = held("byte-bpe")
+    if version not in mine:
         size = max(ranks.values()) + 1
         raw = [b""] * size
         for token, rank in ranks.items():
             raw[rank] = token
-        _ENCODERS[version] = PieceCache(PrefixEncoder(ranks).encode_all), raw, [str(i).encode() for i in range(size)]
-    return _ENCODERS[version]
+        mine[version] = PieceCache(PrefixEncoder(ranks).encode_all), raw, [str(i).encode() for i in range(size)]
+    return mine[version]
 
 
 def byte_bpe(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_ids: bool = False) -> DataFrame:
@@ -195,6 +194,7 @@ def byte_bpe(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     version = hashlib.sha256(repr(sorted(ranks.items(), key=lambda x: x[1])).encode()).hexdigest()
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     kept = list(dict.fromkeys([id_col, *keep]))
+    short_batches(df.sparkSession)
     source = df.select(*kept, df[text_col].alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .ledger import addressed, bring_up_to_date
 from .pieces import PieceCache
 from .shared import shared_dir
-from .text import Chunk, chunks
+from .text import Chunk, chunks, held
 
 
 class LibraryCounter:
@@ -55,13 +55,11 @@ class LibraryCounter:
         return out
 
 
-_COUNTERS: dict[str, LibraryCounter] = {}
-
-
 def library_counter(version: str, spec: str) -> LibraryCounter:
-    if version not in _COUNTERS:
-        _COUNTERS[version] = LibraryCounter(spec)
-    return _COUNTERS[version]
+    mine = held("library")
+    if version not in mine:
+        mine[version] = LibraryCounter(spec)
+    return mine[version]
 
 
 def read_spec(path: str) -> tuple[str, str]:

@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import WORD, Chunk, chunks, find, lower_values, mix, owner, runs, span_hashes, spread
+from .shared import short_batches
+from .text import WORD, Chunk, chunks, find, held, lower_values, mix, owner, runs, span_hashes, spread
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = lower_values()
@@ -158,11 +159,13 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     bench = spark.sparkContext.broadcast(Benchmark([tuple(r) for r in items.collect()], window, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("winnowing")
         for batch in batches:
             for c in chunks(batch.column("__text")):
                 n, hit, n_items, digests = bench.value.judge(c)
                 yield pa.RecordBatch.from_arrays([batch.column(x).slice(c.first, c.rows) for x in kept] + [pa.array(n), pa.array(hit), pa.array(n_items), pa.array(digests, pa.string()), pa.array(hit > 0)], [*kept, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
+    short_batches(spark)
     source = df.select(*kept, df[text_col].alias("__text"))
     types = dict(source.dtypes)
     return source.mapInArrow(run, ", ".join(f"`{x}` {types[x]}" for x in kept) + ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import Chunk, any_of, chunks, owner
+from .shared import short_batches
+from .text import Chunk, any_of, chunks, held, owner
 
 ORDERS = (1, 2, 3)
 BLOCK_BYTES, BLOCK_ROWS = 1 << 18, 128
@@ -106,17 +107,15 @@ class KernelClassifier:
         return classifier
 
     def _table(self) -> list[np.ndarray]:
-        if not hasattr(self, "_tables"):
-            self._tables = []
+        mine = held("langid")
+        if mine.get("codes") is not self.codes:
+            mine["codes"], mine["tables"] = self.codes, []
             for n in ORDERS:
                 table = np.full(1 << 8 * n, -1, np.int32)
                 at = np.flatnonzero(self.codes >> 24 == n)
                 table[self.codes[at] & 0xFFFFFF] = at
-                self._tables.append(table)
-        return self._tables
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_tables"}
+                mine["tables"].append(table)
+        return mine["tables"]
 
     def _present(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Texts by known runs, and each text's number of distinct runs, known or not."""
@@ -176,7 +175,7 @@ def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for whole in chunks(batch.column("__text"), BLOCK_BYTES):
+            for whole in chunks(batch.column(text), BLOCK_BYTES):
                 for c, _ in _blocks(whole):
                     letters = np.zeros(c.rows, bool)
                     letters[owner(c.bounds, np.flatnonzero(_ASCII_LETTER[c.data]))] = True
@@ -193,7 +192,9 @@ def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id"
                     lead = np.where(letters, lead, 0.0)
                     yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(c.first, c.rows) for k in kept), pa.array(langs, pa.string()), pa.array(lead)], [*kept, "lang_pred", "score"])
 
-    source = df.select(*kept, df[text_col].alias("__text"))
+    short_batches(df.sparkSession)
+    source = df.select(*kept) if text_col in kept else df.select(*kept, df[text_col].alias("__text"))
+    text = text_col if text_col in kept else "__text"
     types = dict(source.dtypes)
     out = source.mapInArrow(run, ", ".join(f"`{k}` {types[k]}" for k in kept) + ", lang_pred string, score double")
     return out.select(id_col, F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("held_out"), "lang_pred", "score", *(k for k in kept if k != id_col))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import exists, written
+from .shared import exists, short_batches, written
 
 
 def addressed(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -31,6 +31,7 @@ def bring_up_to_date(df: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     shuffled, by content, so copies meet nowhere; digests are aggregated before their shuffle.
     """
     spark = df.sparkSession
+    short_batches(spark)
     schema = f"__digest binary, {fields}, version string"
     wanted = rows.groupBy("__digest").agg(F.min("__id").alias("__first"))
     if exists(spark, path):

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .counts import library_counter, read_spec
+from .shared import short_batches
 from .text import chunks
 
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20), "compression": "zstd"}
@@ -32,6 +33,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, path: str, end_id: int
     an id follow one another by their texts' hashes. Other columns are not read.
     """
     version, spec = read_spec(tokenizer_path)
+    short_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(spec)  # has the size of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of fewer rows than the default, as rows are whole texts; a setting of the user's stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """By the file system of the path, whatever it is."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -24,6 +24,16 @@ _pow = np.ones(1, np.uint64)
 _inv = np.ones(1, np.uint64)
 
 
+_HELD: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What a Python worker keeps from task to task for one operator; what it kept for others is let go."""
+    for other in [k for k in _HELD if k != owner]:
+        del _HELD[other]
+    return _HELD.setdefault(owner, {})
+
+
 @dataclass
 class Chunk:
     """Rows ``first:last`` of a batch: text i is ``data[bounds[i]:bounds[i+1]]``."""
