@@ -176,3 +176,24 @@ def synthetic(spark: SparkSession, n: int, schema: T.StructType, seed: int = 0,
             c = F.lit(None)
         made.append(c.cast(f.dataType).alias(f.name))
     return spark.range(n).select(*made)
+
+
+def gzip_texts(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
+    """path and text of gzip files, each read as a whole."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def first_files(spark: SparkSession, root: str, glob: str, tier: str) -> DataFrame:
+    """task, tier and path: the first file of each task folder; paths that hold ``tier`` are of the second kind."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path")
+    return found.select(F.element_at(F.split("path", "/"), -2).alias("task"), F.when(F.col("path").contains(tier), "generated").otherwise("human").alias("tier"), "path").groupBy("task", "tier").agg(F.min("path").alias("path"))
+
+
+def merge_splits(spark: SparkSession, paths: list[str], schema: str | T.StructType) -> tuple[DataFrame, list[str]]:
+    """The union of the splits that are there, and those that are not."""
+    there, missing = [], []
+    for p in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        (there if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at) else missing).append(p)
+    return (spark.read.schema(schema).parquet(*there) if there else spark.createDataFrame([], schema)), missing
