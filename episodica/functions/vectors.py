@@ -261,3 +261,49 @@ def fit_within(width: Column, height: Column, to_width: int, to_height: int) ->
     ratio = F.greatest(width / to_width, height / to_height)
     w, h = (width / ratio).cast("long"), (height / ratio).cast("long")
     return w, h, F.floor((to_width - w) / 2).cast("long"), F.floor((to_height - h) / 2).cast("long")
+
+
+def quaternion_of_matrix(m: Column) -> Column:
+    """Real part first, not negative, of a rotation matrix of nine elements."""
+    r = [F.element_at(m, i) for i in range(1, 10)]
+    half = lambda x: F.sqrt(F.greatest(F.lit(0.0), x)) / 2
+    w, x, y, z = half(1 + r[0] + r[4] + r[8]), half(1 + r[0] - r[4] - r[8]), half(1 - r[0] + r[4] - r[8]), half(1 - r[0] - r[4] + r[8])
+    # signs by the greatest component, which cannot be 0
+    by_w = F.array(w, (r[7] - r[5]) / (4 * w), (r[2] - r[6]) / (4 * w), (r[3] - r[1]) / (4 * w))
+    by_x = F.array((r[7] - r[5]) / (4 * x), x, (r[1] + r[3]) / (4 * x), (r[2] + r[6]) / (4 * x))
+    by_y = F.array((r[2] - r[6]) / (4 * y), (r[1] + r[3]) / (4 * y), y, (r[5] + r[7]) / (4 * y))
+    by_z = F.array((r[3] - r[1]) / (4 * z), (r[2] + r[6]) / (4 * z), (r[5] + r[7]) / (4 * z), z)
+    most = F.greatest(w, x, y, z)
+    picked = F.when(w == most, by_w).when(x == most, by_x).when(y == most, by_y).otherwise(by_z)
+    return let(picked, lambda q: F.when(F.element_at(q, 1) < 0, F.transform(q, lambda e: -e)).otherwise(q))
+
+
+def axis_angle_of(q: Column) -> Column:
+    """Of a quaternion, real part first; a series below 1e-6."""
+
+    def scaled(q: Column, n: Column) -> Column:
+        angle = 2 * F.atan2(n, F.element_at(q, 1))
+        factor = F.when(F.abs(angle) < 1e-6, F.lit(2.0)).otherwise(angle / n)
+        return let(factor, lambda k: F.transform(F.slice(q, 2, 3), lambda e: e * k))
+
+    return let(q, lambda q: let(norm(F.slice(q, 2, 3)), lambda n: scaled(q, n)))
+
+
+def matrix_of_euler(a: Column) -> Column:
+    """Rotation by three angles about x, then y, then z."""
+    (cx, sx), (cy, sy), (cz, sz) = ((F.cos(F.element_at(a, i)), F.sin(F.element_at(a, i))) for i in (1, 2, 3))
+    return F.array(cz * cy, cz * sy * sx - sz * cx, cz * sy * cx + sz * sx, sz * cy, sz * sy * sx + cz * cx, sz * sy * cx - cz * sx, -sy, cy * sx, cy * cx)
+
+
+def euler_of_matrix(m: Column) -> Column:
+    """The angles about x, y and z; the middle one lies within a right angle."""
+    g = lambda i: F.element_at(m, i)
+    return F.array(F.atan2(g(8), g(9)), F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -g(7)))), F.atan2(g(4), g(1)))
+
+
+def relative(a_pos: Column, a_mat: Column, b_pos: Column, b_mat: Column) -> tuple[Column, Column]:
+    """Position and rotation of b as seen from a."""
+    row = lambda m, i: F.array(*(F.element_at(m, 3 * j + i + 1) for j in range(3)))  # noqa: E731  of the transposed matrix
+    d = minus(b_pos, a_pos)
+    pos = F.array(*(dot(row(a_mat, i), d) for i in range(3)))
+    return pos, F.array(*(dot(row(a_mat, i), row(b_mat, j)) for i in range(3) for j in range(3)))

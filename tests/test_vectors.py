@@ -61,3 +61,17 @@ def test_population_figures(spark):
 def test_unknown_pooling(spark):
     with pytest.raises(ValueError):
         S.pooled(spark.range(1), "id", quantiles="median")
+
+
+def test_rotations_there_and_back(spark):
+    rows = [(0.1, -0.2, 0.3), (2.0, 1.0, -1.5), (0.0, 0.0, 0.0), (3.0, 0.2, 0.1), (0.0, math.pi - 1e-3, 0.0)]
+    df = spark.createDataFrame([(list(r),) for r in rows], "a array<double>").withColumn("m", V.matrix_of(V.quaternion_of(F.col("a"))))
+    df = df.withColumn("back", V.axis_angle_of(V.quaternion_of_matrix(F.col("m")))).withColumn("e", V.matrix_of_euler(V.euler_of_matrix(F.col("m"))))
+    for r in df.collect():
+        assert r["back"] == pytest.approx(r["a"], abs=1e-5) and r["e"] == pytest.approx(r["m"], abs=1e-9)
+
+
+def test_relative_frame(one):
+    turn = V.matrix_of_euler(vec(0, 0, math.pi / 2))
+    pos, rot = V.relative(vec(1, 0, 0), turn, vec(1, 2, 0), turn)
+    assert one(pos)[0] == pytest.approx([2, 0, 0], abs=1e-12) and one(rot)[0] == pytest.approx([1, 0, 0, 0, 1, 0, 0, 0, 1], abs=1e-12)
