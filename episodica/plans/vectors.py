@@ -134,7 +134,7 @@ def histogram_quantile(spark: SparkSession, d: str) -> DataFrame:
 
 
 _MASK = [True, True, False, True]
-_DELTA = f"WITH {VEC}, c AS (SELECT vec_id, v AS state, [v, lead(v) OVER (PARTITION BY ep ORDER BY frame)] AS rows, lead(v) OVER (PARTITION BY ep ORDER BY frame) IS NOT NULL AS has FROM vec), r AS (SELECT vec_id, state, unnest(rows) AS row, unnest([0, 1]) AS step FROM c WHERE has), x AS (SELECT vec_id, step, state, row, unnest(range(0, 6)) AS i FROM r) SELECT vec_id, step, i, round(row[i + 1] - CASE WHEN i IN (0, 1, 3) THEN state[i + 1] ELSE 0 END, 6) AS delta, round(row[i + 1], 6) AS back FROM x"
+_DELTA = f"WITH {VEC}, c AS (SELECT vec_id, v AS state, [v, lead(v) OVER (PARTITION BY ep ORDER BY frame)] AS rows, lead(v) OVER (PARTITION BY ep ORDER BY frame) IS NOT NULL AS has FROM vec), r AS (SELECT vec_id, state, unnest(rows) AS row, unnest([0, 1]) AS step FROM c WHERE has), x AS (SELECT vec_id, step, state, row, unnest(range(0, 6)) AS i FROM r) SELECT vec_id, step::BIGINT AS step, i, round(row[i + 1] - CASE WHEN i IN (0, 1, 3) THEN state[i + 1] ELSE 0 END, 6) AS delta, round(row[i + 1], 6) AS back FROM x"
 
 
 @query("delta_actions", _DELTA)
