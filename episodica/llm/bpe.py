@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from .pieces import PieceCache
 from .shared import short_batches
-from .text import chunks, held
+from .text import chunks, held, worker
 
 _NO_LIMIT = 1 << 62
 
@@ -74,7 +74,7 @@ class PrefixEncoder:
         key = a << 32 | b
         seen = self._seen.get(key)
         if seen is None:
-            if len(self._seen) > 300_000:
+            if len(self._seen) > 150_000:
                 self._seen.clear()
             seen = self._seen[key] = self._walk(a, b)
         return seen
@@ -199,7 +199,7 @@ def byte_bpe(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, raw, decimal = _worker(version, shared.value)
-        for batch in batches:
+        for batch in worker("byte-bpe", batches, keep=True):
             for c in chunks(batch.column("__text")):
                 ids, bounds = cache.ids(c)
                 listed = ids.tolist()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .ledger import addressed, bring_up_to_date
 from .pieces import PieceCache
 from .shared import shared_dir
-from .text import Chunk, chunks, held
+from .text import Chunk, chunks, held, worker
 
 
 class LibraryCounter:
@@ -84,7 +84,7 @@ def token_counts(df: DataFrame, tokenizer_path: str, limit: int = 512, cache_pat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = library_counter(version, shared.value)
-        for batch in batches:
+        for batch in worker("library", batches, keep=True):
             for c in chunks(batch.column("__text")):
                 yield pa.RecordBatch.from_arrays([batch.column("__digest").slice(c.first, c.rows), pa.array(counter.counts(c))], ["__digest", "n_tokens"])
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import short_batches
-from .text import WORD, Chunk, chunks, find, held, lower_values, mix, owner, runs, span_hashes, spread
+from .text import WORD, Chunk, chunks, find, lower_values, mix, owner, runs, span_hashes, spread, worker
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = lower_values()
@@ -159,8 +159,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     bench = spark.sparkContext.broadcast(Benchmark([tuple(r) for r in items.collect()], window, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held("winnowing")
-        for batch in batches:
+        for batch in worker("winnowing", batches):
             for c in chunks(batch.column("__text")):
                 n, hit, n_items, digests = bench.value.judge(c)
                 yield pa.RecordBatch.from_arrays([batch.column(x).slice(c.first, c.rows) for x in kept] + [pa.array(n), pa.array(hit), pa.array(n_items), pa.array(digests, pa.string()), pa.array(hit > 0)], [*kept, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
@@ -175,7 +174,7 @@ def _spans(df: DataFrame, key: str, kept: str, window: int, k: int, lengths: tup
     """Rows (key, print, start, n, hash): every window around every fingerprint; for ``lengths`` every run of words, without a print."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in worker("winnowing", batches):
             for c in chunks(batch.column("__text")):
                 w = Words.of(c)
                 grams, whole = w.grams(k)

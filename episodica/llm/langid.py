@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import short_batches
-from .text import Chunk, any_of, chunks, held, owner
+from .text import Chunk, any_of, chunks, held, owner, worker
 
 ORDERS = (1, 2, 3)
 BLOCK_BYTES, BLOCK_ROWS = 1 << 18, 128
@@ -174,7 +174,7 @@ def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in worker("langid", batches):
             for whole in chunks(batch.column(text), BLOCK_BYTES):
                 for c, _ in _blocks(whole):
                     letters = np.zeros(c.rows, bool)

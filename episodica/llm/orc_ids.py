@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .counts import library_counter, read_spec
 from .shared import short_batches
-from .text import chunks
+from .text import chunks, worker
 
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20), "compression": "zstd"}
 
@@ -38,7 +38,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, path: str, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, part, first = library_counter(version, shared.value), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in worker("library", batches, keep=True):
             for c in chunks(batch.column("__text")):
                 ids = counter.ids(c)
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
@@ -78,7 +78,7 @@ def checked(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (of the ids as little-endian unsigned 32-bit integers), from the ids themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in worker("id-files", batches):
             ids = batch.column("ids")
             bounds = np.asarray(ids.offsets).tolist()
             flat = np.asarray(ids.values).astype("<u4")

@@ -20,7 +20,7 @@ from .text import LEADS, Chunk, owner, span_hashes, spread
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
 #: Pieces that a worker remembers before it starts afresh.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 SLOT_BITS = 20
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import short_batches, written
-from .text import chunks, held
+from .text import chunks, worker
 
 #: Entries of one table bucket up to which its candidates are fetched pair by pair.
 BUCKET = 64
@@ -45,8 +45,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """__id and __print of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held("simhash")
-        for batch in batches:
+        for batch in worker("simhash", batches):
             for c in chunks(batch.column("__text")):
                 prints = [fingerprint(c.text(i), shingle) for i in range(c.rows)]
                 yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), pa.array(prints, pa.int64())], ["__id", "__print"])

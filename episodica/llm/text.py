@@ -7,6 +7,7 @@ the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -34,6 +35,38 @@ def held(owner: str) -> dict:
     return _HELD.setdefault(owner, {})
 
 
+def worker(owner: str, batches: Iterator[pa.RecordBatch], keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches of a task of one operator; memory freed is given back to the system after each.
+
+    What the operator holds goes with the task, unless it is to ``keep`` for the next.
+    """
+    held(owner)
+    for batch in batches:
+        yield batch
+        del batch
+        _give_back()
+    if not keep:
+        _HELD.clear()
+    _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc() -> ctypes.CDLL | None:
+    try:
+        libc = ctypes.CDLL(None)
+        return libc if hasattr(libc, "malloc_trim") else None  # glibc has it
+    except OSError:
+        return None
+
+
+_LIBC = _libc()
+
+
 @dataclass
 class Chunk:
     """Rows ``first:last`` of a batch: text i is ``data[bounds[i]:bounds[i+1]]``."""
