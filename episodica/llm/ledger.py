@@ -42,5 +42,6 @@ def bring_up_to_date(df: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     wanted = wanted.select(F.col("__digest").alias("__want"), "__first").hint("shuffle_hash")
     misses = texts.join(wanted, (texts["__digest"] == wanted["__want"]) & texts["__id"].eqNullSafe(wanted["__first"])).select("__digest", "__text")
     misses.mapInArrow(compute, f"__digest binary, {fields}").withColumn("version", F.lit(version)).write.mode("append").parquet(path)
-    # rows that repeat an id and a text were computed twice, with one result
-    return spark.read.schema(schema).parquet(path).where(F.col("version") == version).drop("version").dropDuplicates(["__digest"])
+    # rows that repeat an id and a text were computed twice, with one result; written, so that a
+    # join with many copies of one content has plain shuffles on both sides, which Spark can split
+    return written(spark.read.schema(schema).parquet(path).where(F.col("version") == version).drop("version").dropDuplicates(["__digest"]), "ledger-rows")
