@@ -108,4 +108,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = linked.groupBy("root").agg(F.min("__least").alias("__all"))
     named = linked.join(least, "root").select("__print", "__all")
     named = nodes.join(named, "__print", "left").select("__print", F.coalesce("__all", "__least").alias("component_id"))
+    named = written(named, "components")  # a plain shuffle on either side: Spark can split a fingerprint that many rows have
     return rows.join(named, "__print").select(F.col("__id").alias(id_col), F.lpad(F.lower(F.hex("__print")), 16, "0").alias("fingerprint"), "component_id")
