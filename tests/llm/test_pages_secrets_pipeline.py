@@ -142,3 +142,14 @@ def test_pipeline(spark, sf_dir):
     empty = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark, sf_dir):
+    """Rows that repeat an id or lack one are judged by their texts."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    rng = random.Random(3)
+    a, b, c, d, e, f = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(6))
+    rows = [(1, a), (7, a), (7, b), (7, c), (None, c), (None, d), (None, e), (None, e), (9, f), (9, f), (8, f), (None, None), (5, None)]
+    got = pipeline.dedup_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    want = [(1, a), (7, b), (7, c), (None, d), (None, e), (8, f), (5, None)]
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
