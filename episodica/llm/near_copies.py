@@ -1,0 +1,124 @@
+"""Near copies by the exact Jaccard similarity of their sets of word shingles."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .components import components
+from .shared import short_batches, written
+from .text import chunks, find, worker
+
+#: Least similarity of a link, as a fraction.
+SIMILARITY = (4, 5)
+
+#: One text in so many is looked at for common hashes; those in over COMMON_TEXTS of them come last in the order of hashes, COMMON_HASHES at most. The order decides what pairs cost, not which are found.
+COMMON_SHARE, COMMON_TEXTS, COMMON_HASHES = 16, 4, 1_000_000
+
+#: Parity bits of a set: two sets differ in at least as many hashes as bits.
+PARITY = 512
+
+
+def shingles(text: bytes, shingle: int = 5) -> tuple[int, np.ndarray]:
+    """The hash of all words, and the distinct hashes of their runs of ``shingle``, in order; fewer words are one run."""
+    import xxhash
+
+    words = text.lower().split()  # of bytes: A-Z alone, and the six ASCII white spaces
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    whole = np.array([digest(joined, 7)], np.uint64).view(np.int64)[0]
+    if not words:
+        return int(whole), np.zeros(0, np.int64)
+    size = min(shingle, len(words))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    spans = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)
+    return int(whole), np.unique(np.array([digest(joined[a:b], 42) for a, b in spans], np.uint64).view(np.int64))
+
+
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    return np.packbits((np.bincount(hashes & (PARITY - 1), minlength=PARITY) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _hashed(df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: tuple[int, int] | None = None, common: np.ndarray | None = None) -> DataFrame:
+    """__id, node, n, parity and hashes of every row: all, or the first that two sets of ``similarity`` cannot both miss.
+
+    Of n hashes in one order (the common ones last), a set of that similarity shares at least
+    ``ceil(similarity * n)``, so it shares one of the first ``n - ceil(similarity * n) + 1``.
+    """
+    last = df.sparkSession.sparkContext.broadcast(np.zeros(0, np.int64) if common is None else np.sort(common))
+
+    def first(s: np.ndarray) -> np.ndarray:
+        if similarity is None:
+            return s
+        late = find(last.value, s) >= 0 if len(last.value) else np.zeros(len(s), bool)
+        return np.concatenate([s[~late], s[late]])[: len(s) + 1 + -similarity[0] * len(s) // similarity[1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in worker("near-copies", batches):
+            for c in chunks(batch.column("__text")):
+                found = [shingles(c.text(i), shingle) for i in range(c.rows)]
+                columns = [pa.array([w for w, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()), pa.array([_parity(s) for _, s in found], pa.list_(pa.int64())), pa.array([first(s) for _, s in found], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), *columns], ["__id", "node", "n", "parity", "hashes"])
+
+    short_batches(df.sparkSession)
+    source = df.select(df[id_col].alias("__id"), df[text_col].alias("__text"))
+    return source.mapInArrow(run, f"__id {dict(source.dtypes)['__id']}, node long, n long, parity array<long>, hashes array<long>")
+
+
+def _common(df: DataFrame, text_col: str, shingle: int) -> np.ndarray:
+    some = df.select(df[text_col].alias("__text")).where(F.pmod(F.xxhash64("__text"), F.lit(COMMON_SHARE)) == 0).distinct()
+    counts = _hashed(some.withColumn("__id", F.lit(0)), "__id", "__text", shingle).select(F.explode("hashes").alias("hash")).groupBy("hash").count()
+    found = counts.where(F.col("count") > COMMON_TEXTS).orderBy(F.desc("count"), "hash").limit(COMMON_HASHES).select("hash")
+    return found.toPandas()["hash"].to_numpy(np.int64)
+
+
+def _verified(pairs: DataFrame, df: DataFrame, rows: DataFrame, id_col: str, text_col: str, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach ``similarity``; sets are made only of nodes that size and parity leave."""
+    over, under = similarity
+    brief = rows.select("node", "n", "parity").dropDuplicates(["node"])
+    short = lambda x: brief.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}"))
+    apart = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    may = (under * F.least("n_a", "n_b") >= over * F.greatest("n_a", "n_b")) & ((over + under) * apart <= (under - over) * (F.col("n_a") + F.col("n_b")))
+    pairs = written(pairs.join(short("a"), "a").join(short("b"), "b").where(may).select("a", "b"), "possible-pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    one = written(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("__id").alias("__one")), "wanted").select("__one")
+    texts = df.select(df[id_col].alias("__id"), df[text_col].alias("__text")).join(one, F.col("__id").eqNullSafe(F.col("__one")), "left_semi")
+    sets = written(_hashed(texts, "__id", "__text", shingle).join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", "n", "hashes"), "sets")
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"set_{x}"))
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return written(pairs.join(side("a"), "a").join(side("b"), "b").where((over + under) * both >= over * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "near-pairs")
+
+
+def near_copies(df: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """``id_col`` and component_id, the least id of the rows linked to it, of every row.
+
+    Texts are linked if the Jaccard similarity of their shingle sets is ``similarity`` or
+    more; all such pairs are found (prefix filter) and none other is linked. Rows of the
+    same words are one node; texts without words are one. Ids tell rows of different texts apart. Nodes
+    that share a hash meet the least of them first; pairs are made only of those that the links
+    found so leave in different components, so a large group makes no pairs of its own.
+    """
+    rows = written(_hashed(df, id_col, text_col, shingle, similarity, _common(df, text_col, shingle)), "hashed-rows")
+    entries = rows.dropDuplicates(["node"]).select("node", "n", F.explode("hashes").alias("hash"))
+    w = Window.partitionBy("hash")
+    met = written(entries.withColumn("hub", F.min("node").over(w)).withColumn("m", F.count("*").over(w)).where("m > 1").select("hash", "node", "n", "hub"), "met")
+    verify = lambda pairs: _verified(pairs, df, rows, id_col, text_col, shingle, similarity)
+    stars = written(met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    near = verify(stars)
+    roots = components(near)
+    placed = met.join(roots, "node", "left").select("hash", "node", "n", F.coalesce("root", "node").alias("root"))
+    mixed = written(placed.withColumn("x", F.min("root").over(w)).withColumn("y", F.max("root").over(w)).where("x <> y").select("hash", "node", "n", "root"), "mixed")
+    a, b = (mixed.select("hash", *(F.col(k).alias(f"{k}_{x}") for k in ("node", "n", "root"))) for x in "ab")
+    over, under = similarity
+    sizes = under * F.least("n_a", "n_b") >= over * F.greatest("n_a", "n_b")
+    pairs = a.join(b, "hash").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    more = verify(written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs"))
+    roots = components(near.unionByName(more))
+    least = rows.groupBy("node").agg(F.min("__id").alias("__least")).join(roots, "node", "left").select("node", "__least", F.coalesce("root", "node").alias("root"))
+    least = written(least, "nodes")
+    named = written(least.join(least.groupBy("root").agg(F.min("__least").alias("component_id")), "root").select("node", "component_id"), "components")
+    return rows.select("__id", "node").join(named, "node").select(F.col("__id").alias(id_col), "component_id")

@@ -190,3 +190,53 @@ def test_decontaminate_sql(spark, sf_dir):
     want = sorted(con.sql(OP4_SQL).fetchall())
     got = decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("share, least", [(16, 4), (1, 1)])
+def test_near_copies(spark, sf_dir, monkeypatch, share, least):
+    """All pairs of similarity 0.8 and no others, against every pair of sets; the pipeline's stage takes them."""
+    import corpus_pipeline
+    from episodica.llm import near_copies as module
+    from episodica.llm.near_copies import near_copies
+
+    monkeypatch.setattr(module, "COMMON_SHARE", share)
+    monkeypatch.setattr(module, "COMMON_TEXTS", least)
+    rng = random.Random(5)
+    texts = [None, "", " ", "one two", "One  two", "one two three"]
+    for size in (6, 30, 80, 200):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        texts += [" ".join(base), " ".join(base).upper()]
+        for _ in range(20):
+            own = list(base)
+            for _ in range(rng.randint(1, max(2, size // 25))):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(own[rng.randint(0, 2) :]))
+    for t in list(texts[6:]):  # chains of small steps
+        texts.append((t + " and some more words")[rng.randint(0, 9) :])
+    texts += [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+
+    def plain(t):
+        words = (t or "").encode().lower().split()
+        n = min(5, len(words))
+        return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
+
+    sets = [plain(t) for t in texts]
+    up = list(range(len(sets)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or (a and b and 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)):
+                x, y = sorted((top(i), top(j)))
+                up[y] = x
+    want = {i: top(i) for i in range(len(texts))}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.dedup_documents(spark, df, sf_dir).collect()}
+    assert kept == set(want.values())
+    assert {r["doc_id"]: r["component_id"] for r in near_copies(df, "doc_id").collect()} == want
+    assert near_copies(df.limit(0), "doc_id").count() == 0
