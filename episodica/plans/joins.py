@@ -10,7 +10,7 @@ from ..operators import matching as M
 from ..operators import selection as C
 from ..operators import statistics as S
 from ..sources.tables import table, trajectories
-from .catalogue import TRAJ, query
+from .catalogue import SQL, TRAJ, query
 
 
 @query("left_merge_coalesce", f"WITH {TRAJ} SELECT t.event_id, coalesce(g.x, t.label) AS label, g.box FROM traj t LEFT JOIN (SELECT ep, frame, 'seen' AS x, k AS box FROM traj WHERE k % 3 = 0) g ON g.ep = t.ep AND g.frame = t.frame")
@@ -118,6 +118,17 @@ def nearest_object(spark: SparkSession, d: str) -> DataFrame:
     return q.select("s_suppkey", F.when(F.size(held) > 0, F.get(held, F.lit(0))["p_partkey"]).otherwise(near).alias("p_partkey"))
 
 
+@query("nearest_object_all", "WITH o AS (SELECT p_partkey, p_size AS x, p_size % 7 AS y FROM part), q AS (SELECT s_suppkey, (s_suppkey * 7 % 50) AS x, s_suppkey % 7 AS y FROM supplier), c AS (SELECT q.s_suppkey, o.p_partkey, abs(q.x - o.x) <= 8 AND abs(q.y - o.y) <= 8 AS inside, abs(q.x - o.x) + abs(q.y - o.y) AS far FROM q, o) SELECT s_suppkey, coalesce(min(p_partkey) FILTER (inside), arg_min(p_partkey, (far, p_partkey))) AS p_partkey FROM c GROUP BY s_suppkey")
+def nearest_object_all(spark: SparkSession, d: str) -> DataFrame:
+    """As nearest_object, over all parts: places of points meet places of objects, each with its least key, so pairs are bounded by the pixels."""
+    o = table(spark, d, "part").groupBy(F.col("p_size").alias("ox"), (F.col("p_size") % 7).alias("oy")).agg(F.min("p_partkey").alias("p"))
+    q = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 7 % 50).alias("x"), (F.col("s_suppkey") % 7).alias("y"))
+    dx, dy = F.abs(F.col("x") - F.col("ox")), F.abs(F.col("y") - F.col("oy"))
+    met = q.select("x", "y").distinct().crossJoin(o)
+    met = met.groupBy("x", "y").agg(F.coalesce(F.min(F.when((dx <= 8) & (dy <= 8), F.col("p"))), F.min(F.struct((dx + dy).alias("far"), "p"))["p"]).alias("p_partkey"))
+    return q.join(met, ["x", "y"]).select("s_suppkey", "p_partkey")
+
+
 @query("suffix_match", "WITH r AS (SELECT n_nationkey, lower(n_name) AS e FROM nation), l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN lower(n_name) ELSE 'from ' || lower(n_name) END AS t FROM supplier JOIN nation ON s_nationkey = n_nationkey) SELECT s_suppkey, n_nationkey, exact FROM (SELECT l.s_suppkey, r.n_nationkey, l.t = r.e AS exact, row_number() OVER (PARTITION BY l.s_suppkey ORDER BY l.t <> r.e, r.n_nationkey) AS n FROM l JOIN r ON ends_with(l.t, r.e)) WHERE n = 1")
 def suffix_match(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "nation").select("n_nationkey", F.lower("n_name").alias("e"))
@@ -144,8 +155,18 @@ def idf_jaccard_match(spark: SparkSession, d: str) -> DataFrame:
 
 @query("jaccard_coverage", "WITH plan AS (SELECT ['open the view', 'click here', 'purchase it now', 'sign up', 'error page'] AS p), s AS (SELECT user_id AS key, event_id, CASE event_type WHEN 'view' THEN 'open view the' WHEN 'click' THEN 'click here' WHEN 'purchase' THEN 'purchase it' WHEN 'signup' THEN 'other words entirely' ELSE 'page' END AS step FROM events WHERE event_id % 40 = 0), m AS (SELECT key, event_id, CASE step WHEN 'open view the' THEN 0 WHEN 'click here' THEN 1 WHEN 'purchase it' THEN 2 END AS idx FROM s) SELECT key, max(idx)::BIGINT AS covered, 5::BIGINT AS size, coalesce(max(idx), -1) < 3 AS truncated FROM m GROUP BY key")
 def jaccard_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return _coverage(table(spark, d, "events").where("event_id % 40 = 0"))
+
+
+@query("jaccard_coverage_all", SQL["jaccard_coverage"].replace(" WHERE event_id % 40 = 0", ""))
+def jaccard_coverage_all(spark: SparkSession, d: str) -> DataFrame:
+    """Over the steps of all events."""
+    return _coverage(table(spark, d, "events"))
+
+
+def _coverage(events: DataFrame) -> DataFrame:
     said = F.create_map(*(F.lit(x) for x in ("view", "open view the", "click", "click here", "purchase", "purchase it", "signup", "other words entirely")))
-    steps = table(spark, d, "events").where("event_id % 40 = 0").select(F.col("user_id").alias("key"), F.coalesce(F.try_element_at(said, F.col("event_type")), F.lit("page")).alias("step"))
+    steps = events.select(F.col("user_id").alias("key"), F.coalesce(F.try_element_at(said, F.col("event_type")), F.lit("page")).alias("step"))
     plans = steps.select("key").distinct().withColumn("plan", F.array(*map(F.lit, ("open the view", "click here", "purchase it now", "sign up", "error page"))))
     return M.coverage(steps, plans)
 

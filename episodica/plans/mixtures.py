@@ -135,6 +135,20 @@ def global_index_lookup(spark: SparkSession, d: str) -> DataFrame:
     return met.join(lengths, "ep").select("i", "ep", (F.col("x") - F.col("offset")).alias("frame"))
 
 
+@query("global_index_lookup_all", f"WITH {TRAJ}, n AS (SELECT ep, count(*) AS n FROM traj GROUP BY ep), o AS (SELECT ep, n, (sum(n) OVER (ORDER BY ep) - n)::BIGINT AS o FROM n), t AS (SELECT sum(n)::BIGINT AS t FROM n), i AS (SELECT unnest(range(0, 2 * t)) AS i FROM t) SELECT i, ep, (i % t) - o AS frame FROM i, t JOIN o ON i % t >= o AND i % t < o + n")
+def global_index_lookup_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every global index and, past the end, every one again: indices and the episodes that hold them meet in bins."""
+    from ..operators.sequences import offsets
+
+    width = 1024
+    lengths = offsets(trajectories(spark, d).groupBy("ep").agg(F.count("*").alias("length")), "ep")
+    total = lengths.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    points = spark.range(0, 2 * total).select(F.col("id").alias("i"), (F.col("id") % max(total, 1)).alias("x")).withColumn("bin", F.floor(F.col("x") / width))
+    end = F.col("offset") + F.col("length")
+    held = lengths.withColumn("bin", F.explode(F.sequence(F.floor(F.col("offset") / width), F.floor((end - 1) / width))))
+    return points.join(held, "bin").where((F.col("x") >= F.col("offset")) & (F.col("x") < end)).select("i", "ep", (F.col("x") - F.col("offset")).alias("frame"))
+
+
 @query("demo_fraction", "SELECT n_nationkey, trunc([100, 500, 30, 50, 5000][n_regionkey + 1] * 0.33::DOUBLE)::BIGINT AS demos FROM nation")
 def demo_fraction(spark: SparkSession, d: str) -> DataFrame:
     # fixed values: demonstrations of each source
