@@ -47,6 +47,16 @@ def multi_way_alignment(spark: SparkSession, d: str) -> DataFrame:
     return kept.join(roles, ["ep", "frame"], "left").select("ep", "frame", "label", F.coalesce("role", F.lit("unknown")).alias("role"))
 
 
+@query("multi_way_alignment_all", f"WITH {TRAJ} SELECT t.ep, t.frame, t.label, coalesce(c.role, 'unknown') AS role FROM traj t JOIN (SELECT ep, count(*) AS m FROM traj GROUP BY ep) z ON z.ep = t.ep JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) y ON y.conv_id = t.ep LEFT JOIN conversations c ON c.conv_id = t.ep AND c.turn = t.frame WHERE t.frame < least(z.m, y.n)")
+def multi_way_alignment_all(spark: SparkSession, d: str) -> DataFrame:
+    """As multi_way_alignment, up to the least length of the aligned sequences themselves; one that is absent has length 0."""
+    t = trajectories(spark, d)
+    roles = table(spark, d, "conversations").select(F.col("conv_id").alias("ep"), F.col("turn").alias("frame"), "role")
+    sizes = t.groupBy("ep").agg(F.count("*").alias("m")).join(roles.groupBy("ep").agg(F.count("*").alias("n")), "ep")
+    kept = t.join(sizes, "ep").where(F.col("frame") < F.least("m", "n"))
+    return kept.join(roles, ["ep", "frame"], "left").select("ep", "frame", "label", F.coalesce("role", F.lit("unknown")).alias("role"))
+
+
 @query("registry_lookup", "SELECT p_partkey, p_brand, CASE WHEN p_brand IN ('Brand#11', 'Brand#12') THEN 'atomic' WHEN p_brand LIKE 'Brand#2%' THEN 'composite' END AS kind, CASE WHEN p_brand IN ('Brand#11', 'Brand#12') THEN 100 WHEN p_brand LIKE 'Brand#2%' THEN 500 END::BIGINT AS demos FROM part")
 def registry_lookup(spark: SparkSession, d: str) -> DataFrame:
     """A keyed lookup over two registries, the first before the second; null where neither has the key."""

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import texts as T
 from ..functions import vectors as V
 from ..sources.tables import table, trajectories, vectors
-from .catalogue import TRAJ, VEC, query
+from .catalogue import SQL, TRAJ, VEC, query
 
 #: Texts in the forms that models write, as a table to parse.
 SAID = [
@@ -120,6 +120,16 @@ def multiphase_plans(spark: SparkSession, d: str) -> DataFrame:
     return p.select("ep", F.posexplode(phase).alias("frame", "phase"), (F.col("n") >= 2).alias("multiphase")).select("ep", F.col("frame").cast("long").alias("frame"), F.col("phase").cast("long").alias("phase"), "multiphase")
 
 
+@query("multiphase_plans_all", SQL["multiphase_plans"].replace(" WHERE frame < 12", ""))
+def multiphase_plans_all(spark: SparkSession, d: str) -> DataFrame:
+    """As multiphase_plans, over all frames: phases are a running sum."""
+    w = Window.partitionBy("ep")
+    start = F.lower("label").rlike("^v").cast("long")
+    t = trajectories(spark, d).select("ep", "frame", F.coalesce(start, F.lit(0)).alias("start"))
+    phase = F.sum(F.when(F.col("frame") == 0, 1).otherwise(F.col("start"))).over(w.orderBy("frame")) - 1
+    return t.select("ep", "frame", phase.cast("long").alias("phase"), (F.sum("start").over(w) >= 2).alias("multiphase"))
+
+
 @query("prompt_templates", "SELECT user_id AS ep, 'Task: ' || arg_min(event_type, event_id) || '. Steps: ' || count(*) || '.' AS prompt FROM events GROUP BY user_id")
 def prompt_templates(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").groupBy(F.col("user_id").alias("ep")).agg(F.min_by("event_type", "event_id").alias("t"), F.count("*").alias("n"))

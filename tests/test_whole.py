@@ -9,4 +9,5 @@ def test_all_rows(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     assert count("jaccard_coverage") == events.select("user_id").distinct().count()
     assert count("global_index_lookup") == 2 * events.count()
+    assert count("multiphase_plans") == events.count()
     assert count("nearest_object") == table(spark, sf_dir, "supplier").count()
