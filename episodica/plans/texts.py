@@ -102,6 +102,13 @@ def normalize_tokens(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where("lang = 'en'").select("doc_id", T.plain(t).alias("plain"), F.array_join(F.sort_array(T.tokens(t)), " ").alias("tokens"), T.clean_prompt(t).alias("prompt"))
 
 
+@query("normalize_tokens_all", SQL["normalize_tokens"].replace(" WHERE lang = 'en'", ""))
+def normalize_tokens_all(spark: SparkSession, d: str) -> DataFrame:
+    """As normalize_tokens, over all languages."""
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", T.plain(t).alias("plain"), F.array_join(F.sort_array(T.tokens(t)), " ").alias("tokens"), T.clean_prompt(t).alias("prompt"))
+
+
 @query("flag_same_category", "WITH w AS (SELECT item_id, list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda x: length(x) > 3) AS w FROM benchmark) SELECT item_id, len(w) <> len(list_distinct(w)) AS repeated, len(w)::BIGINT AS words FROM w")
 def flag_same_category(spark: SparkSession, d: str) -> DataFrame:
     """Instructions that name one thing twice."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..operators import statistics as S
 from ..sources.tables import states, table, trajectories, vectors
-from .catalogue import DIMS, TRAJ, VEC, query
+from .catalogue import DIMS, SQL, TRAJ, VEC, query
 
 #: Sub-ranges of a state vector that stand for its modalities.
 MODALITIES = {"position": (0, 3), "rotation": (3, 6), "gripper": (6, 8)}
@@ -91,6 +91,31 @@ def clip_scale(spark: SparkSession, d: str) -> DataFrame:
     return S.by_dimension(v, "v", "ep", "vec_id").join(stats, ["ep", "dim"]).select("vec_id", F.col("dim").alias("i"), F.round(V.clipped(F.col("value"), F.col("q01"), F.col("q99")), 6).alias("x"))
 
 
+@query("zscore_normalize_all", SQL["zscore_normalize"].replace(" WHERE dim < 8", ""))
+def zscore_normalize_all(spark: SparkSession, d: str) -> DataFrame:
+    """As zscore_normalize, over all dimensions; so the three after it."""
+    return _exploded(_with_stats(spark, d).select("vec_id", V.zscore(F.col("v"), F.col("mean"), F.col("std")).alias("p")), "p", "vec_id")
+
+
+@query("quantile_normalize_all", SQL["quantile_normalize"].replace(" WHERE dim < 8", ""))
+def quantile_normalize_all(spark: SparkSession, d: str) -> DataFrame:
+    return _exploded(_with_stats(spark, d).select("vec_id", V.to_quantiles(F.col("v"), F.col("q01"), F.col("q99")).alias("p")), "p", "vec_id")
+
+
+@query("unnormalize_roundtrip_all", SQL["unnormalize_roundtrip"].replace(" WHERE dim < 8", ""))
+def unnormalize_roundtrip_all(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col
+    out = _with_stats(spark, d).select("vec_id", V.unzscore(V.zscore(c("v"), c("mean"), c("std")), c("mean"), c("std")).alias("z"), V.from_quantiles(V.to_quantiles(c("v"), c("q01"), c("q99")), c("q01"), c("q99")).alias("q"))
+    return out.select("vec_id", F.posexplode(F.arrays_zip("z", "q")).alias("i", "p")).select("vec_id", c("i").cast("long").alias("i"), F.round("p.z", 6).alias("z"), F.round("p.q", 6).alias("q"))
+
+
+@query("clip_scale_all", SQL["clip_scale"].replace(" WHERE dim < 8", ""))
+def clip_scale_all(spark: SparkSession, d: str) -> DataFrame:
+    v = vectors(spark, d)
+    stats = S.summary(v, "v", "ep").select("ep", "dim", "q01", "q99")
+    return S.by_dimension(v, "v", "ep", "vec_id").join(stats, ["ep", "dim"]).select("vec_id", F.col("dim").alias("i"), F.round(V.clipped(F.col("value"), F.col("q01"), F.col("q99")), 6).alias("x"))
+
+
 _GROUPS = DIMS + ", g AS (SELECT ep, dim, avg(x) AS m, stddev_pop(x) AS s, min(x) AS lo, max(x) AS hi, count(*) AS n, quantile_cont(x, 0.01) AS q1, quantile_cont(x, 0.99) AS q9 FROM dims GROUP BY ep, dim), w AS (SELECT *, {w} / sum({w}) OVER (PARTITION BY dim) AS w FROM g)"
 
 
@@ -154,6 +179,12 @@ def digitize(spark: SparkSession, d: str) -> DataFrame:
     return vectors(spark, d).select("vec_id", F.posexplode(F.transform(V.part(F.col("v"), 0, 8), lambda x: V.digitize(x * 4))).alias("i", "bin")).withColumn("i", F.col("i").cast("long"))
 
 
+@query("digitize_all", SQL["digitize"].replace(" WHERE dim < 8", ""))
+def digitize_all(spark: SparkSession, d: str) -> DataFrame:
+    """As digitize, over all dimensions."""
+    return vectors(spark, d).select("vec_id", F.posexplode(F.transform("v", lambda x: V.digitize(x * 4))).alias("i", "bin")).withColumn("i", F.col("i").cast("long"))
+
+
 @query("vector_reductions", f"WITH {DIMS} SELECT vec_id, round(sum(x), 6) AS total, round(max(x), 6) AS most, round(avg(x), 6) AS mean, round(sqrt(sum(x * x)), 6) AS norm FROM dims GROUP BY vec_id")
 def vector_reductions(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("v")
