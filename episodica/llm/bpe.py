@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .pieces import PieceCache
-from .shared import short_batches
+from .shared import Carried, short_batches
 from .text import chunks, held, worker
 
 _NO_LIMIT = 1 << 62
@@ -187,20 +187,22 @@ def byte_bpe(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     Returns ``id_col``, the columns in ``keep``, n_tokens, ids_sha256 (of the decimal ids
     joined by commas), decoded_sha256 (of the decoded bytes) and, if asked for, ids.
     Null and empty texts have no tokens; a null id, repeated rows and ties are kept as they
-    are, one row out for each row in; other columns are not read. The rank table is
-    broadcast: it has the size of the vocabulary, whatever the data.
+    are, one row out for each row in; other columns are not read, and one in ``keep`` whose name
+    a result has gets an underscore. An empty table gives an empty result; a text of any length
+    is encoded whole, a long one alone. The rank table is broadcast: it has the size of the
+    vocabulary, whatever the data.
     """
     ranks = read_ranks(ranks_path)
     version = hashlib.sha256(repr(sorted(ranks.items(), key=lambda x: x[1])).encode()).hexdigest()
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    kept = list(dict.fromkeys([id_col, *keep]))
+    results = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+    carried = Carried(df, id_col, text_col, keep, results)
     short_batches(df.sparkSession)
-    source = df.select(*kept, df[text_col].alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, raw, decimal = _worker(version, shared.value)
         for batch in worker("byte-bpe", batches, keep=True):
-            for c in chunks(batch.column("__text")):
+            for c in chunks(batch.column(carried.text)):
                 ids, bounds = cache.ids(c)
                 listed = ids.tolist()
                 digests, decoded = [], []
@@ -208,14 +210,11 @@ def byte_bpe(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
                     own = listed[a:b]
                     digests.append(hashlib.sha256(b",".join([decimal[i] for i in own])).hexdigest())
                     decoded.append(hashlib.sha256(b"".join([raw[i] for i in own])).hexdigest())
-                out = [batch.column(k).slice(c.first, c.rows) for k in kept]
+                out = carried.parts(batch, c.first, c.rows)
                 out += [pa.array(np.diff(bounds)), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
-                names = [*kept, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
                     out.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(out, names)
+                yield pa.RecordBatch.from_arrays(out, [*carried.heads, *results])
 
-    types = dict(source.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in kept) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return source.mapInArrow(run, schema)
+    schema = carried.schema + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return carried.named(carried.source.mapInArrow(run, schema))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -17,11 +18,31 @@ from .shared import shared_dir
 from .text import Chunk, chunks, held, worker
 
 
+def _byte_characters() -> dict[str, str]:
+    """The character that stands for each byte in byte-level files: printable Latin-1 for itself, the others from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): chr(b) for b in own} | {chr(b): chr(256 + i) for i, b in enumerate(rest)}
+
+
+_CHARACTERS = str.maketrans(_byte_characters())
+
+
+def _plain(spec: str) -> bool:
+    """Whether a file splits by the byte-level pattern alone, so that its texts may be encoded piece by piece."""
+    file = json.loads(spec)
+    split = file.get("pre_tokenizer") or {}
+    by_pattern = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    cut = any(file.get(k) for k in ("normalizer", "truncation", "padding"))
+    return by_pattern and not cut and file["model"].get("type") == "BPE" and not file["model"].get("dropout")
+
+
 class LibraryCounter:
-    """Token ids of a byte-level BPE file of the tokenizers library, without added special tokens.
+    """Token ids of a file of the tokenizers library, without added special tokens.
 
-    Texts are split as the library splits them and each distinct piece is given to the
-    library once; a text that holds one of the file's special strings goes to it whole.
+    Where the file splits by the byte-level pattern, each distinct piece is given to the
+    library's model once; a text that holds one of the file's special strings, and any text
+    of another file, goes to the library whole.
     """
 
     def __init__(self, spec: str):
@@ -29,30 +50,42 @@ class LibraryCounter:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.plain = _plain(spec)
+        self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = PieceCache(self._pieces)
 
     def _pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)]
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(p.decode("latin-1").translate(_CHARACTERS))] for p in pieces]
+
+    def _library(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
 
     def _whole(self, chunk: Chunk) -> dict[int, list[int]]:
         raw = chunk.data.tobytes()
         if not any(s in raw for s in self.special):
             return {}
-        return {i: self.tokenizer.encode(t.decode("utf-8"), add_special_tokens=False).ids for i in range(chunk.rows) if any(s in (t := chunk.text(i)) for s in self.special)}
+        return {i: self._library(t) for i in range(chunk.rows) if any(s in (t := chunk.text(i)) for s in self.special)}
 
     def counts(self, chunk: Chunk) -> np.ndarray:
+        if not self.plain:
+            return np.array([len(self._library(chunk.text(i))) for i in range(chunk.rows)], np.int64)
         out = self.cache.counts(chunk)
         for i, ids in self._whole(chunk).items():
             out[i] = len(ids)
         return out
 
-    def ids(self, chunk: Chunk) -> list[np.ndarray]:
-        flat, bounds = self.cache.ids(chunk)
-        out = np.split(flat, bounds[1:-1])
-        for i, ids in self._whole(chunk).items():
-            out[i] = np.array(ids, np.int32)
-        return out
+    def ids(self, chunk: Chunk, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a chunk, each row's followed by ``end_id``, and the bounds of each row in them."""
+        flat, bounds = self.cache.ids(chunk) if self.plain else (np.zeros(0, np.int32), np.zeros(chunk.rows + 1, np.int64))
+        whole = self._whole(chunk) if self.plain else {i: self._library(chunk.text(i)) for i in range(chunk.rows)}
+        if whole:
+            parts = [np.array(whole[i], np.int32) if i in whole else flat[bounds[i] : bounds[i + 1]] for i in range(chunk.rows)]
+            flat, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum(list(map(len, parts)))])
+        return np.insert(flat, bounds[1:], np.int32(end_id)), bounds + np.arange(len(bounds))
 
 
 def library_counter(version: str, spec: str) -> LibraryCounter:
@@ -74,8 +107,9 @@ def token_counts(df: DataFrame, tokenizer_path: str, limit: int = 512, cache_pat
 
     The content's normal form is its UTF-8 bytes, null as empty: anything looser would
     change counts. ``cache_path`` names a lasting cache; None starts an empty one.
-    Null and empty texts count 0. A null id, repeated rows and copies are kept, one row
-    out for each row in; other columns are not read. A tokenizer file is broadcast: it
+    Null and empty texts count 0. A null id, repeated rows, ties and copies are kept, one row
+    out for each row in; other columns are not read. An empty table gives an empty result; a
+    text of any length is counted whole, a long one alone. A tokenizer file is broadcast: it
     has the size of the vocabulary, whatever the data.
     """
     spark = df.sparkSession

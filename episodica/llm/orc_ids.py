@@ -30,7 +30,9 @@ def write_token_files(df: DataFrame, tokenizer_path: str, path: str, end_id: int
 
     Texts, not ids, are shuffled: into ranges of document ids, sorted within each. Null
     and empty texts have the end id alone. Null document ids come first; rows that share
-    an id follow one another by their texts' hashes. Other columns are not read.
+    an id follow one another by their texts' hashes, and ranges are cut between them too, so
+    an id that many rows share is spread. Ids keep their type, an integer or not. Other columns
+    are not read; an empty table gives no rows; a text of any length is one row.
     """
     version, spec = read_spec(tokenizer_path)
     short_batches(df.sparkSession)
@@ -40,27 +42,22 @@ def write_token_files(df: DataFrame, tokenizer_path: str, path: str, end_id: int
         counter, part, first = library_counter(version, shared.value), TaskContext.get().partitionId(), 0
         for batch in worker("library", batches, keep=True):
             for c in chunks(batch.column("__text")):
-                ids = counter.ids(c)
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
-                flat = np.full(bounds[-1], end_id, np.int32)
-                keep = np.ones(bounds[-1], bool)
-                keep[bounds[1:] - 1] = False
-                flat[keep] = np.concatenate(ids)
+                flat, bounds = counter.ids(c, end_id)
+                sizes = np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(c.first, c.rows), pa.array(np.full(c.rows, part, np.int32)), pa.array(first + bounds[:-1]), pa.array(sizes), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))],
                     ["doc_id", "part", "first", "n_tokens", "ids"],
                 )
                 first += int(bounds[-1])
 
-    source = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("__text"))
-    source = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("__text"))
-    source.mapInArrow(run, "doc_id long, part int, first long, n_tokens long, ids array<int>").write.options(**ORC_OPTIONS).orc(path)
+    source = df.select(df[id_col].alias("doc_id"), df[text_col].alias("__text")).withColumn("__order", F.xxhash64("__text"))
+    source = source.repartitionByRange("doc_id", "__order").sortWithinPartitions("doc_id", "__order").drop("__order")
+    source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, part int, first long, n_tokens long, ids array<int>").write.options(**ORC_OPTIONS).orc(path)
 
 
 def read_token_files(spark: SparkSession, path: str, doc_ids: Iterable[int] | None = None) -> DataFrame:
     """Rows of the files with ``start``, the ids of all documents before; for some documents only, stripes and row groups are skipped."""
-    files = spark.read.schema("doc_id long, part int, first long, n_tokens long, ids array<int>").orc(path)
+    files = spark.read.orc(path)
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # a row for each written file: as many as shuffle partitions, whatever the data
     offsets = dict(parts.collect())
@@ -85,4 +82,4 @@ def checked(files: DataFrame) -> DataFrame:
             sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(run, f"doc_id {dict(files.dtypes)['doc_id']}, start long, n_tokens long, ids_crc32 long")

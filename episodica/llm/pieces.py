@@ -1,6 +1,6 @@
 """Byte-level BPE over chunks of text: vectorised splitting and a word cache.
 
-Splitting follows the public pattern
+Splitting follows the tokenizer's public pattern, a fixed value
 
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
@@ -11,11 +11,12 @@ Merges never cross pieces, so this equals encoding each text on its own.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable
 
 import numpy as np
 
-from .text import LEADS, Chunk, owner, span_hashes, spread
+from .text import LEADS, Chunk, owner, same_spans, span_hashes, spread, words_at
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
@@ -76,7 +77,10 @@ def split(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PieceCache:
-    """Ids of pieces, filled by ``encode(list of bytes) -> list of id lists`` for those not seen."""
+    """Ids of pieces, filled by ``encode(list of bytes) -> list of id lists`` for those not seen.
+
+    Pieces are found by hash and their bytes compared with those kept, so two pieces of one hash never share ids.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
         self.encode = encode
@@ -84,28 +88,39 @@ class PieceCache:
 
     def clear(self) -> None:
         self.known: dict[int, int] = {}
+        self.entries = 0
         self.flat = np.zeros(1 << 16, np.int32)
         self.start = np.zeros(1 << 14, np.int64)
         self.count = np.zeros(1 << 14, np.int64)
         self.used = 0
+        self.raw = np.zeros(1 << 17, np.uint8)
+        self.raw_start = np.zeros(1 << 14, np.int64)
+        self.raw_size = np.zeros(1 << 14, np.int64)
+        self.raw_used = 0
         # a direct-mapped table in front of ``known``: the last piece seen in each slot
         self.slot_hash = np.zeros(1 << SLOT_BITS, np.uint64)
         self.slot_number = np.full(1 << SLOT_BITS, -1, np.int32)
 
-    def _add(self, hashes: list[int], pieces: list[bytes]) -> None:
+    def _add(self, pieces: list[bytes]) -> range:
+        """Encode and keep pieces; their numbers."""
         ids = self.encode(pieces)
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, k = len(self.known), len(ids)
+        n, k = self.entries, len(ids)
         while len(self.start) < n + k:
-            self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
-        total = int(counts.sum())
-        while len(self.flat) < self.used + total:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.int32, total)
-        self.start[n : n + k] = self.used + np.cumsum(counts) - counts
-        self.count[n : n + k] = counts
-        self.used += total
-        self.known.update(zip(hashes, range(n, n + k), strict=True))
+            self.start, self.count, self.raw_start, self.raw_size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count, self.raw_start, self.raw_size))
+        self.used, self.flat = self._put(np.fromiter(itertools.chain.from_iterable(ids), np.int32), self.flat, self.used, np.fromiter(map(len, ids), np.int64, k), self.start, self.count, n)
+        self.raw_used, self.raw = self._put(np.frombuffer(b"".join(pieces), np.uint8), self.raw, self.raw_used, np.fromiter(map(len, pieces), np.int64, k), self.raw_start, self.raw_size, n)
+        self.entries = n + k
+        return range(n, n + k)
+
+    @staticmethod
+    def _put(values: np.ndarray, flat: np.ndarray, used: int, sizes: np.ndarray, starts: np.ndarray, counts: np.ndarray, first: int) -> tuple[int, np.ndarray]:
+        end = used + len(values)
+        while len(flat) < end + 8:
+            flat = np.concatenate([flat, np.zeros_like(flat)])
+        flat[used:end] = values
+        starts[first : first + len(sizes)] = used + np.cumsum(sizes) - sizes
+        counts[first : first + len(sizes)] = sizes
+        return end, flat
 
     def _numbers(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The cache's number of each piece, and its row."""
@@ -114,8 +129,9 @@ class PieceCache:
             return starts, rows
         ends = np.append(starts[1:], len(chunk.data))
         hashes = span_hashes(chunk.data, starts, ends)
-        if len(self.known) > CACHE_PIECES:
+        if self.entries > CACHE_PIECES:
             self.clear()
+        raw = chunk.data.tobytes()
         slots = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         numbers = self.slot_number[slots].astype(np.int64)
         rest = np.flatnonzero((self.slot_hash[slots] != hashes) | (numbers < 0))
@@ -124,13 +140,21 @@ class PieceCache:
             keys, at = wanted.tolist(), rest[at]
             missing = [i for i, k in enumerate(keys) if k not in self.known]
             if missing:
-                raw = chunk.data.tobytes()
-                self._add([keys[i] for i in missing], [raw[starts[j] : ends[j]] for j in at[missing].tolist()])
+                new = self._add([raw[starts[j] : ends[j]] for j in at[missing].tolist()])
+                self.known.update(zip((keys[i] for i in missing), new, strict=True))
             known = self.known
             found = np.fromiter((known[k] for k in keys), np.int64, len(keys))
             numbers[rest] = found[back]
             self.slot_hash[slots[at]] = wanted
             self.slot_number[slots[at]] = found
+        sizes = ends - starts
+        kept = np.ndarray(len(self.raw) - 7, "<u8", self.raw, strides=(1,))
+        same = self.raw_size[numbers] == sizes
+        at = np.flatnonzero(same)
+        same[at] = same_spans(words_at(chunk.data), starts[at], kept, self.raw_start[numbers[at]], sizes[at])
+        if not same.all():  # another piece has this hash
+            other = np.flatnonzero(~same)
+            numbers[other] = self._add([raw[starts[j] : ends[j]] for j in other.tolist()])
         return numbers, rows
 
     def counts(self, chunk: Chunk) -> np.ndarray:

@@ -18,11 +18,11 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15 | 1)
-_INV = _U(pow(int(_BASE), -1, 1 << 64))
-_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_pow = np.ones(1, np.uint64)
-_inv = np.ones(1, np.uint64)
+_ODD = _U(0x9E3779B97F4A7C15)
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+#: Spans of more bytes are hashed, and compared, one by one.
+LONG_SPAN = 256
 
 
 _HELD: dict[str, dict] = {}
@@ -118,26 +118,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _pow, _inv
-    if len(_pow) < n:
-        n = max(n, 2 * len(_pow))
-        _pow = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BASE)]), dtype=np.uint64)
-        _inv = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _INV)]), dtype=np.uint64)
-    return _pow, _inv
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one integer; past the end they are zero."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of ``data[start:end]`` (of ``fold``'s bytes for them): eight bytes at a time, mixed into what came before.
+
+    Equal bytes give equal hashes in any chunk. Spans of one length up to eight bytes never share one.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    if fold is not None:
+        data = fold[data]
+    words, sizes = words_at(data), ends - starts
+    out = mix((words[starts] & _MASKS[np.minimum(sizes, 8)]) * _ODD + sizes.astype(np.uint64))
+    at, done = np.flatnonzero(sizes > 8), 8
+    while len(at):
+        if done >= LONG_SPAN:
+            for i, a, b in zip(at.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
+                out[i] = _long_hash(data[a:b])
+            break
+        out[at] = mix((out[at] ^ (words[starts[at] + done] & _MASKS[np.minimum(sizes[at] - done, 8)])) * _ODD + _U(done))
+        done += 8
+        at = at[sizes[at] > done]
+    return out
+
+
+def _long_hash(span: np.ndarray) -> int:
+    import xxhash
 
+    return xxhash.xxh3_64_intdigest(span.tobytes(), 11)
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUES) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]``; equal bytes give equal hashes in any chunk."""
-    power, inverse = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * power[: len(data)], dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+def same_spans(words: np.ndarray, starts: np.ndarray, other: np.ndarray, other_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether spans of the same sizes in two buffers, given by their ``words_at``, hold the same bytes."""
+    out = (words[starts] ^ other[other_starts]) & _MASKS[np.minimum(sizes, 8)] == 0
+    at, done = np.flatnonzero(out & (sizes > 8)), 8
+    while len(at):
+        if done >= LONG_SPAN:
+            for i in at.tolist():
+                whole = np.arange(done, sizes[i] - 7, 8)
+                out[i] = bool((words[starts[i] + whole] == other[other_starts[i] + whole]).all() and words[starts[i] + sizes[i] - 8] == other[other_starts[i] + sizes[i] - 8])
+            break
+        equal = (words[starts[at] + done] ^ other[other_starts[at] + done]) & _MASKS[np.minimum(sizes[at] - done, 8)] == 0
+        out[at[~equal]] = False
+        done += 8
+        at = at[equal & (sizes[at] > done)]
+    return out
 
 
-def lower_values() -> np.ndarray:
-    """Hash values under which A-Z equal a-z."""
-    out = _VALUES.copy()
+def lower_bytes() -> np.ndarray:
+    """Bytes by bytes, A-Z as a-z."""
+    out = np.arange(256, dtype=np.uint8)
     out[65:91] = out[97:123]
     return out
 

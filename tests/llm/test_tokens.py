@@ -65,13 +65,60 @@ def test_whole_texts_as_the_library(encoder, library, limit):
 def test_counts_as_the_library():
     counter, tokenizer, all_texts, at = LibraryCounter(read_spec(SPEC)[1]), Tokenizer.from_file(SPEC), texts(2000), 0
     for c in chunks(pa.array(all_texts), 50_000):
-        n, ids = counter.counts(c), counter.ids(c)
+        n, (flat, bounds) = counter.counts(c), counter.ids(c, 0)
         for i in range(c.rows):
             want = tokenizer.encode(all_texts[at], add_special_tokens=False).ids
-            assert ids[i].tolist() == want and n[i] == len(want)
+            assert flat[bounds[i] : bounds[i + 1]].tolist() == [*want, 0] and n[i] == len(want)
             at += 1
 
 
+def thue_morse(n):
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return [word, word.translate(str.maketrans("ab", "ba"))]
+
+
+def test_words_that_collide_in_polynomial_hashes(spark, library):
+    """Words on which sums of powers modulo 2**64 agree: each text has its own ids, counts, lines and windows."""
+    from episodica.llm.decontam import decontaminate
+    from episodica.llm.quality import _base
+
+    one, two = thue_morse(11)
+    df = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in byte_bpe(df, RANKS).collect()}
+    assert all(got[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest() for i, t in ((1, one), (2, two), (3, one)))
+    counter, tokenizer = LibraryCounter(read_spec(SPEC)[1]), Tokenizer.from_file(SPEC)
+    flat, bounds = counter.ids(next(chunks(pa.array([one, two]))), 0)
+    assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[*tokenizer.encode(t).ids, 0] for t in (one, two)]
+    assert _base(next(chunks(pa.array([f"{one}\n{two}", f"{one}\n{one}"]))))[3].tolist() == [0, 1]
+    bench = spark.createDataFrame([(1, one)], "item_id long, text string")
+    for words in (4_000_000, 0):
+        assert {r["doc_id"]: r["contaminated"] for r in decontaminate(df, bench, broadcast_words=words).collect()} == {1: True, 2: False, 3: True}
+
+
+def test_pieces_that_share_a_hash(monkeypatch, encoder, library):
+    """If all pieces had one hash, bytes would still tell them apart."""
+    from episodica.llm import pieces
+    from episodica.llm.pieces import PieceCache
+
+    monkeypatch.setattr(pieces, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    cache, texts_ = PieceCache(encoder.encode_all), ["alpha beta alpha", "gamma", "beta alpha longerthaneightbytes longerthaneightbytez"]
+    ids, bounds = cache.ids(next(chunks(pa.array(texts_))))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [library.encode_ordinary(t) for t in texts_]
+
+
+def test_files_that_split_otherwise_go_whole(tmp_path):
+    """A file with a prefix blank is not split here; its texts go to the library."""
+    import json
+
+    spec = json.loads(read_spec(SPEC)[1])
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    other, tokenizer = LibraryCounter(json.dumps(spec)), Tokenizer.from_str(json.dumps(spec))
+    c = next(chunks(pa.array(["hello there", "", "x y"])))
+    assert not other.plain and other.counts(c).tolist() == [len(tokenizer.encode(t).ids) for t in ("hello there", "", "x y")]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.binary(max_size=40))
 def test_pieces(encoder, library, piece):
@@ -117,7 +164,7 @@ def test_count_cache(spark, docs, tmp_path):
         got = token_counts(docs, SPEC, cache_path=path)
         assert sorted((str(r[0]), r[1], r[2]) for r in got.collect()) == want
         n = spark.read.parquet(path).count()
-        assert n == len({t or "" for _, t in ROWS}) + 1  # the row that repeats an id and a text; nothing is added again
+        assert n == len({t or "" for _, t in ROWS})  # each content once; nothing is added again
     assert {r["over_limit"] for r in got.where("doc_id = 4").collect()} == {True}
     token_counts(spark.createDataFrame([(9, "new")], "doc_id long, text string"), SPEC, cache_path=path).collect()
     assert spark.read.parquet(path).count() == n + 1
