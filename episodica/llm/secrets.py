@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ledger import addressed, bring_up_to_date
-from .shared import shared_dir
+from .shared import kept_names, shared_dir
 from .text import Chunk, any_of, chunks, owner, runs, worker
 
 #: The base kinds, in their order; a match must also pass the test beside it.
@@ -84,12 +84,16 @@ def secret_scan(df: DataFrame, ledger_path: str | None = None, id_col: str = "do
 
     ``ledger_path`` names a lasting ledger; None starts an empty one. A later call scans
     only blobs, or rule versions, that it lacks. Null and empty texts have no findings.
-    A null id, repeated rows and copies are kept, one row out for each row in; columns
-    not asked for are not read. ``findings`` unfolds the spans.
+    A null id, repeated rows, ties and copies are kept, one row out for each row in; columns
+    not asked for are not read, and one in ``keep`` whose name a result has gets an underscore.
+    An empty table gives an empty result; a text of any length is scanned whole, a long one
+    alone. ``findings`` unfolds the spans.
     """
     rows = addressed(df, id_col, text_col, keep)
     found = bring_up_to_date(df, rows, id_col, text_col, RULES_VERSION, ledger_path or shared_dir(df.sparkSession, "secret-ledger"), _run, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
-    return rows.join(found, "__digest", "left").select(F.col("__id").alias(id_col), *keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    results = ("n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    names = kept_names(id_col, keep, results)
+    return rows.join(found, "__digest", "left").select(F.col("__id").alias(id_col), *(F.col(f"__kept.c{i}").alias(names[k]) for i, k in enumerate(names)), *results)
 
 
 def findings(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
