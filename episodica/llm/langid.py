@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import short_batches
+from .shared import Carried, short_batches
 from .text import Chunk, any_of, chunks, held, owner, worker
 
 ORDERS = (1, 2, 3)
+RESULTS = ("held_out", "lang_pred", "score")
 BLOCK_BYTES, BLOCK_ROWS = 1 << 18, 128
 _ASCII_LETTER = any_of((0x41, 0x5A), (0x61, 0x7A))
 
@@ -84,7 +85,7 @@ class KernelClassifier:
         for i, x in enumerate(labels):
             turn.append((seen.setdefault(x, 0), x, i))
             seen[x] += 1
-        marks = [i for *_, i in sorted(turn)[:landmarks]]
+        marks = [i for *_, i in sorted(turn)[: max(landmarks, 2 * len(langs))]]  # each language has two at least
         codes, sets = _presence([texts[i] for i in marks])
         basis = np.zeros((len(marks), len(codes)), np.float32)
         for row, own in zip(basis, sets, strict=True):
@@ -149,13 +150,21 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 200, landmarks: int = 128, ridge: float = 1e-3) -> KernelClassifier:
-    """Learn from at most ``per_language`` labelled, not held-out texts of each language: those least by a hash of the id."""
+    """Learn from at most ``per_language`` labelled, not held-out texts of each language: those least by a hash of the id.
+
+    Rows with a null text or language are not learned from; ties of the hash go by id, then by
+    the text's hash; rows that repeat an id, a language and a text count once among those
+    chosen. An empty table gives a classifier that knows no language.
+    """
     labelled = df.where(df[lang_col].isNotNull() & df[text_col].isNotNull() & ~held_out(df[id_col]))
-    rows = labelled.select(df[id_col].alias("__id"), df[lang_col].alias("__lang"), F.xxhash64(df[id_col]).alias("__order"))
-    rank = F.row_number().over(Window.partitionBy("__lang").orderBy("__order", "__id"))
-    chosen = rows.withColumn("__rank", rank).where(F.col("__rank") <= per_language).select("__id", "__lang", "__order")
+    rows = labelled.select(df[id_col].alias("__id"), df[lang_col].alias("__lang"), F.xxhash64(df[id_col]).alias("__order"), F.xxhash64(df[text_col]).alias("__hash"))
+    rank = F.row_number().over(Window.partitionBy("__lang").orderBy("__order", "__id", "__hash"))
+    chosen = rows.withColumn("__rank", rank).where(F.col("__rank") <= per_language).select("__id", "__lang", "__order", "__hash").distinct()
     # per_language rows a language: the size of the sample, whatever the data
-    sample = labelled.select(df[id_col].alias("__id"), df[text_col].alias("__text"), df[lang_col].alias("__own")).join(F.broadcast(chosen), "__id").where(F.col("__own") == F.col("__lang"))
+    texts = labelled.select(df[id_col].alias("__i"), df[lang_col].alias("__l"), F.xxhash64(df[text_col]).alias("__h"), df[text_col].alias("__text"))
+    same = F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__l") == F.col("__lang")) & (F.col("__h") == F.col("__hash"))
+    # rows that repeat an id, a language and a text come once
+    sample = texts.join(F.broadcast(chosen), same).groupBy("__order", "__id", "__lang", "__hash").agg(F.min("__text").alias("__text"))
     taken = sorted((r["__order"], str(r["__id"]), r["__text"], r["__lang"]) for r in sample.select("__order", "__id", "__text", "__lang").collect())
     return KernelClassifier.fit([t for *_, t, _ in taken], [x for *_, x in taken], landmarks, ridge)
 
@@ -167,15 +176,17 @@ def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id"
     text, and one without a letter of any script, is `und` with score 0, as is all if
     nothing was labelled. A null id is not held out; repeated rows, ties (the first
     language by name) and null ids are kept, one row out for each row in, with the
-    columns in ``keep``. The model's size is that of the landmarks' runs.
+    columns in ``keep`` (a name that a result has gets an underscore). The model's size is that
+    of the landmarks' runs. An empty table gives an empty result; texts of any length are
+    scored whole, a long one alone.
     """
     shared = df.sparkSession.sparkContext.broadcast(classifier)
-    kept = list(dict.fromkeys([id_col, *keep]))
+    carried = Carried(df, id_col, text_col, keep, RESULTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in worker("langid", batches):
-            for whole in chunks(batch.column(text), BLOCK_BYTES):
+            for whole in chunks(batch.column(carried.text), BLOCK_BYTES):
                 for c, _ in _blocks(whole):
                     letters = np.zeros(c.rows, bool)
                     letters[owner(c.bounds, np.flatnonzero(_ASCII_LETTER[c.data]))] = True
@@ -190,11 +201,9 @@ def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id"
                         lead = np.clip((top[:, -1] - (top[:, -2] if len(model.langs) > 1 else -1)) / 2, 0, 1)
                         langs[letters] = np.array(model.langs, object)[best[letters]]
                     lead = np.where(letters, lead, 0.0)
-                    yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(c.first, c.rows) for k in kept), pa.array(langs, pa.string()), pa.array(lead)], [*kept, "lang_pred", "score"])
+                    yield pa.RecordBatch.from_arrays([*carried.parts(batch, c.first, c.rows), pa.array(langs, pa.string()), pa.array(lead)], [*carried.heads, "lang_pred", "score"])
 
     short_batches(df.sparkSession)
-    source = df.select(*kept) if text_col in kept else df.select(*kept, df[text_col].alias("__text"))
-    text = text_col if text_col in kept else "__text"
-    types = dict(source.dtypes)
-    out = source.mapInArrow(run, ", ".join(f"`{k}` {types[k]}" for k in kept) + ", lang_pred string, score double")
-    return out.select(id_col, F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("held_out"), "lang_pred", "score", *(k for k in kept if k != id_col))
+    out = carried.source.mapInArrow(run, carried.schema + ", lang_pred string, score double")
+    head = F.col(carried.short[id_col])
+    return carried.named(out.withColumn("held_out", F.coalesce(held_out(head), F.lit(False))))
