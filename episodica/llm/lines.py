@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import kept_names, quoted, written
 
 BLOCK = 64
 
@@ -102,27 +102,42 @@ def _near(df: DataFrame, candidates: DataFrame, id_col: str, text_col: str, min_
     return pairs.where(F.levenshtein("line", "before", 1) == 1).select("h1", "h2").distinct()
 
 
-def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
-    """All columns of ``df`` with the text's remaining lines, and __lines and __removed, their numbers before and gone.
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1, bound: int = 1, lines_col: str = "__lines", removed_col: str = "__removed") -> DataFrame:
+    """All columns of ``df`` with the text's remaining lines, and its lines' numbers before and gone.
 
-    Lines, parted by line feeds, of under ``min_chars`` characters (without outer blanks)
-    stay. Earlier means: by id (null first), then the text's hash, then the line's number.
-    Rows that repeat an id and a text are treated alike, as one. A null text stays null.
+    A line goes if an earlier one equals it or, with a ``bound`` of 1, lies within one edit; with
+    0 equal lines alone go. Higher bounds are not offered: a line of n characters has about
+    n**bound variants, and lines that share one need not be near. Lines, parted by line feeds,
+    of under ``min_chars`` characters (without outer blanks) stay: blank ones, unless asked
+    otherwise. Earlier means: by id (null first), then the text's hash, then the line's number.
+    Rows that repeat an id and a text are treated alike, as one, so there are no ties. A null
+    text stays null, an empty one empty; an empty table gives an empty result; lines and texts
+    may be of any length. A column named as a result gets an underscore.
     Texts are shuffled once, to meet the list of their lines that go; hashes otherwise.
     """
-    lines = _lines(df, id_col, text_col, min_chars)
+    if bound not in (0, 1):
+        raise ValueError("the edit bound is 0 or 1")
+    names = kept_names("", df.columns, (lines_col, removed_col))
+    short = {c: f"__c{i}" for i, c in enumerate(df.columns)}
+    own = df.select(*(quoted(c).alias(x) for c, x in short.items()))
+    the_id, the_text = short[id_col], short[text_col]
+    lines = _lines(own, the_id, the_text, min_chars)
     distinct = written(_distinct(lines), "distinct-lines")
-    near = written(_near(df, _candidates(distinct), id_col, text_col, min_chars), "near-lines")
+    if bound:
+        near = written(_near(own, _candidates(distinct), the_id, the_text, min_chars), "near-lines")
+    else:
+        near = distinct.select("h1", "h2").limit(0)
     # lines without a copy and without a neighbour need no further look
     judged = distinct.where("copies > 1").select("h1", "h2", "place").join(_small(near.withColumn("near", F.lit(True))), ["h1", "h2"], "left")
     alone = distinct.where("copies = 1").select("h1", "h2", "place").join(_small(near), ["h1", "h2"], "left_semi").withColumn("near", F.lit(True))
     verdict = judged.unionByName(alone).select("h1", "h2", F.col("place").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
     gone = lines.select("id", "th", "no", "h1", "h2").join(verdict, ["h1", "h2"]).where(F.col("near") | (F.struct("id", "th", "no") != F.col("first"))).select("id", "th", "no")
-    listed = gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("no")).alias("__gone")).select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__gone").hint("shuffle_hash")
-    out = df.withColumn("__own", F.xxhash64(df[text_col])).join(listed, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__th")), "left")
-    parts = F.split(F.col(text_col), "\n", -1)
+    listed = written(gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("no")).alias("__gone")).select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__gone"), "lines-gone")
+    out = own.withColumn("__own", F.xxhash64(the_text)).join(listed, F.col(the_id).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__th")), "left")
+    parts = F.split(F.col(the_text), "\n", -1)
     # numbers that stay, in order: both lists are sets of numbers of one text
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
-    out = out.withColumns({"__lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"), "__removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"), "__text": F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)})
-    return out.select(*(F.col("__text").alias(text_col) if c == text_col else F.col(c) for c in df.columns), F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.col("__lines")).cast("long").alias("__lines"), F.greatest("__removed", F.lit(0)).cast("long").alias("__removed"))
+    left = F.when(F.col("__gone").isNull(), F.col(the_text)).otherwise(kept)
+    count = F.when(F.col(the_text).isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long")
+    return out.select(*((left if c == text_col else F.col(x)).alias(names[c]) for c, x in short.items()), count.alias(lines_col), F.greatest(F.size("__gone"), F.lit(0)).cast("long").alias(removed_col))

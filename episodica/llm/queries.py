@@ -52,8 +52,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text (its remaining lines), n_lines and n_removed."""
     from .lines import line_dedup
 
-    out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.withColumnsRenamed({"__lines": "n_lines", "__removed": "n_removed"})
+    return line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), lines_col="n_lines", removed_col="n_removed")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
