@@ -9,19 +9,23 @@ from .shared import written
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b long): root is the least node reachable.
+    """(node, root) for every node of ``edges`` (a, b of one type): root is the least node reachable.
 
     Each round links neighbours to the least node around them; a minimum per node is all
     that is gathered, so hubs are aggregated before the shuffle. The number of rounds grows
     with the logarithm of the longest chain. Every round is a written table.
     """
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    if now.isEmpty():
+        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that the join has plain shuffles on both sides, which Spark can split at a hub
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "edges")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         now = written(small, "edges")
         new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
