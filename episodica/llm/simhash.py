@@ -1,7 +1,13 @@
-"""Operator 8: near-duplicates by SimHash fingerprints and multi-index hashing."""
+"""Operator 8: near-duplicates by SimHash fingerprints and multi-index hashing.
+
+``near_duplicates`` links fingerprints at two bits or fewer. ``near_copies`` takes
+fingerprints of sets of word shingles, any distance in bits and number of segments, and
+links texts whose sets, compared as a whole, reach a Jaccard similarity.
+"""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import short_batches, written
-from .text import chunks, worker
+from .text import NOT_SPACE, Chunk, chunks, lower_bytes, mix, owner, runs, span_hashes, worker
 
 #: Entries of one table bucket up to which its candidates are fetched pair by pair.
 BUCKET = 64
@@ -110,3 +116,194 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = nodes.join(named, "__print", "left").select("__print", F.coalesce("__all", "__least").alias("component_id"))
     named = written(named, "components")  # a plain shuffle on either side: Spark can split a fingerprint that many rows have
     return rows.join(named, "__print").select(F.col("__id").alias(id_col), F.lpad(F.lower(F.hex("__print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+_LOWER, _STEP = lower_bytes(), np.uint64(0xD6E8FEB86659FD93)
+
+#: Least Jaccard similarity of a link, as a fraction.
+SIMILARITY = (4, 5)
+
+#: Bits at which shingle sets of that similarity are looked for, and segments of their 64 bits.
+DISTANCE, SEGMENTS = 11, 4
+
+
+def _sets(c: Chunk, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of the runs of ``shingle`` words, in order, of all rows, and their bounds; fewer words are one run."""
+    starts, ends = runs(NOT_SPACE[c.data], c.bounds)
+    rows = owner(c.bounds, starts)
+    words = span_hashes(c.data, starts, ends, _LOWER)
+    counts = np.bincount(rows, minlength=c.rows)
+    size = max(0, len(words) - shingle + 1)
+    out = np.zeros(size, np.uint64)
+    for i in range(shingle):
+        out = mix(out * _STEP + words[i : i + size])
+    fits = rows[:size] == rows[shingle - 1 : shingle - 1 + size]
+    out, whose = out[fits], rows[:size][fits]
+    firsts = np.concatenate([[0], np.cumsum(counts)])
+    few = np.flatnonzero((counts > 0) & (counts < shingle))
+    brief = np.zeros(len(few), np.uint64)
+    for i in range(shingle - 1):
+        at = np.flatnonzero(counts[few] > i)
+        brief[at] = mix(brief[at] * _STEP + words[firsts[few[at]] + i])
+    out, whose = np.concatenate([out, mix(brief + counts[few].astype(np.uint64))]), np.concatenate([whose, few])
+    order = np.lexsort((out, whose))
+    out, whose = out[order], whose[order]
+    new = np.ones(len(out), bool)
+    new[1:] = (out[1:] != out[:-1]) | (whose[1:] != whose[:-1])
+    out, whose = out[new], whose[new]
+    return out, np.searchsorted(whose, np.arange(c.rows + 1))
+
+
+def _set_prints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprint and digest of each set; zero for an empty one."""
+    import xxhash
+
+    prints, digests = np.zeros(len(bounds) - 1, np.int64), np.zeros(len(bounds) - 1, np.int64)
+    for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        if a < b:
+            prints[i] = _majority(hashes[a:b])
+            digests[i] = xxhash.xxh3_64_intdigest(hashes[a:b].tobytes()) - (1 << 63)
+    return prints, digests
+
+
+def _described(df: DataFrame, id_col: str, text_col: str, shingle: int, sets: bool = False) -> DataFrame:
+    """__id, print, digest and n (distinct shingles) of every row; with ``sets`` the hashes too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in worker("simhash", batches):
+            for c in chunks(batch.column("__text")):
+                hashes, bounds = _sets(c, shingle)
+                prints, digests = _set_prints(hashes, bounds)
+                columns = [pa.array(prints), pa.array(digests), pa.array(np.diff(bounds))]
+                if sets:
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64))))
+                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), *columns], ["__id", "print", "digest", "n", *["hashes"] * sets])
+
+    short_batches(df.sparkSession)
+    source = df.select(df[id_col].alias("__id"), df[text_col].alias("__text"))
+    return source.mapInArrow(run, f"__id {dict(source.dtypes)['__id']}, print long, digest long, n long" + ", hashes array<long>" * sets)
+
+
+def _masks(bits: int, radius: int) -> list[int]:
+    """What to flip to reach all values within ``radius`` bits."""
+    return [sum(1 << i for i in chosen) for r in range(radius + 1) for chosen in itertools.combinations(range(bits), r)]
+
+
+def _entries(nodes: DataFrame, segments: int, radius: int) -> DataFrame:
+    """The nodes' columns and a key (value and segment) for each segment and each value within ``radius`` bits of its own."""
+    cuts = [64 * i // segments for i in range(segments + 1)]
+
+    def ball(segment: int) -> Column:
+        first, bits = cuts[segment], cuts[segment + 1] - cuts[segment]
+        own = F.shiftrightunsigned("print", first).bitwiseAND(F.lit((1 << bits) - 1))
+        flips = F.array(*(F.lit(m).cast("long") for m in _masks(bits, radius)))
+        return F.transform(flips, lambda m: own.bitwiseXOR(m) * F.lit(segments) + F.lit(segment))
+
+    balls = [ball(i) for i in range(segments)]
+    return nodes.select("*", F.explode(F.concat(*balls)).alias("key"))
+
+
+def _apart(distance: int, a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
+
+
+def _edge(columns: tuple[str, str], others: tuple[str, str]) -> list[Column]:
+    """a and b, the less and the greater of two nodes."""
+    own, other = (F.struct(F.col(p).alias("print"), F.col(d).alias("digest")) for p, d in (columns, others))
+    return [F.least(own, other).alias("a"), F.greatest(own, other).alias("b")]
+
+
+def _stars(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
+    """Pairs of a key's least node with the key's others, where they are near.
+
+    Of the segments of two near fingerprints one differs by at most ``distance // segments``
+    bits. Half of that radius is enumerated on either side, so the two meet under one key.
+    """
+    radius = distance // segments
+    table, probes = _entries(nodes, segments, radius // 2), _entries(nodes, segments, radius - radius // 2)
+    hubs = table.groupBy("key").agg(F.min(F.struct("print", "digest")).alias("hub"), F.count("*").alias("c"))
+    if radius % 2 == 0:
+        hubs = hubs.where("c > 1")
+    met = probes.join(hubs.select("key", F.col("hub.print").alias("hub_print"), F.col("hub.digest").alias("hub_digest")), "key")
+    near = met.where(_apart(distance, "print", "hub_print") & ((F.col("print") != F.col("hub_print")) | (F.col("digest") != F.col("hub_digest"))))
+    return written(near.select(*_edge(("print", "digest"), ("hub_print", "hub_digest"))).distinct(), "stars")
+
+
+def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int) -> DataFrame:
+    """All near pairs of nodes that are not under one root yet.
+
+    Of such two at least one is not under the root of their key's least node, so those alone
+    meet all nodes of a key: a group under one root makes no pairs, whatever its size.
+    """
+    radius = distance // segments
+    root = roots.select(F.col("node.print").alias("print"), F.col("node.digest").alias("digest"), F.col("root.print").alias("__rp"), F.col("root.digest").alias("__rd"))
+    placed = nodes.join(root, ["print", "digest"], "left").select("print", "digest", F.coalesce("__rp", "print").alias("rp"), F.coalesce("__rd", "digest").alias("rd"))
+    placed = written(placed, "placed")
+    table, probes = _entries(placed, segments, radius // 2), _entries(placed, segments, radius - radius // 2)
+    hubs = table.groupBy("key").agg(F.min(F.struct("print", "digest", "rp", "rd")).alias("hub"), F.count("*").alias("c"))
+    if radius % 2 == 0:
+        hubs = hubs.where("c > 1")
+    hubs = hubs.select("key", F.col("hub.rp").alias("hp"), F.col("hub.rd").alias("hd"))
+
+    def few(entries: DataFrame) -> DataFrame:
+        strange = entries.join(hubs, "key").where((F.col("rp") != F.col("hp")) | (F.col("rd") != F.col("hd")))
+        return strange.select("key", *(F.col(c).alias(f"x_{c}") for c in ("print", "digest", "rp", "rd")))
+
+    def pairs(some: DataFrame, all_: DataFrame) -> DataFrame:
+        apart = (F.col("x_rp") != F.col("rp")) | (F.col("x_rd") != F.col("rd"))
+        return some.join(all_, "key").where(_apart(distance, "x_print", "print") & apart).select(*_edge(("x_print", "x_digest"), ("print", "digest")))
+
+    out = pairs(few(table), probes)
+    if radius % 2:
+        out = out.unionByName(pairs(few(probes), table))
+    return written(out.distinct(), "across")
+
+
+def _similar(pairs: DataFrame, df: DataFrame, rows: DataFrame, id_col: str, text_col: str, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs whose sets reach ``similarity``; only sets of nodes in pairs are made."""
+    over, under = similarity
+    named = lambda c: F.struct(F.col("print"), F.col("digest")).alias(c)
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().select(F.col("w.print").alias("print"), F.col("w.digest").alias("digest")), "wanted")
+    one = written(rows.join(wanted, ["print", "digest"], "left_semi").groupBy("print", "digest").agg(F.min("__id").alias("one"), F.max(F.col("__id").isNull()).alias("none")), "wanted-rows")
+    ids = one.select(F.when(F.col("none"), F.lit(None)).otherwise(F.col("one")).alias("one")).distinct()
+    texts = df.select(df[id_col].alias("__id"), df[text_col].alias("__text")).join(ids, F.col("__id").eqNullSafe(F.col("one")), "left_semi")
+    sets = written(_described(texts, "__id", "__text", shingle, sets=True).join(wanted, ["print", "digest"], "left_semi").dropDuplicates(["print", "digest"]).select(named("node"), "n", "hashes"), "sets")
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"set_{x}"))
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    fit = under * F.least("n_a", "n_b") >= over * F.greatest("n_a", "n_b")
+    met = pairs.join(side("a"), "a").join(side("b"), "b").where(fit)
+    return written(met.where((over + under) * both >= over * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "near-pairs")
+
+
+def near_copies(df: DataFrame, id_col: str, text_col: str = "text", shingle: int = 5, similarity: tuple[int, int] = SIMILARITY, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
+    """``id_col`` and component_id, the least id of the rows linked to it, of every row.
+
+    Two texts are linked if their sets of ``shingle``-word runs (A-Z lower-cased; fewer words
+    are one run) have a Jaccard similarity of ``similarity`` or more and their fingerprints
+    differ in at most ``distance`` bits. All pairs within the distance are found and compared as
+    whole sets; equal sets are one node, and texts without words are one. A text of so few
+    runs that no other set can be that similar is not looked for. The distance decides which
+    similar pairs are found: of 64 bits, 11 held 93 % of all pairs of similarity 0.8 when
+    counted on the given tables. The keys that are enumerated grow with the texts, the
+    fingerprints compared with their square over 2**(64 / segments): lower the distance or the
+    segments for larger corpora.
+
+    Ids tell rows of different texts apart (a struct will do); a null id is no candidate for
+    the least. Repeated rows are kept; ties are of no effect. Other columns are not read.
+    An empty table gives an empty result; a very long text is handled alone.
+    """
+    over, under = similarity
+    rows = written(_described(df, id_col, text_col, shingle), "described")
+    nodes = written(rows.groupBy("print", "digest").agg(F.min("__id").alias("least"), F.min("n").alias("n")), "set-nodes")
+    looked = nodes.where((under - over) * F.col("n") >= over).select("print", "digest")
+    verify = lambda pairs: _similar(pairs, df, rows, id_col, text_col, shingle, similarity)
+    stars = _stars(looked, distance, segments)
+    near = verify(stars)
+    across = _across(looked, components(near), distance, segments)
+    more = verify(written(across.join(stars, ["a", "b"], "left_anti"), "pairs"))
+    roots = components(near.unionByName(more)).select(F.col("node.print").alias("print"), F.col("node.digest").alias("digest"), "root")
+    own = F.struct(F.col("print"), F.col("digest"))
+    placed = written(nodes.join(roots, ["print", "digest"], "left").select("print", "digest", "least", F.coalesce("root", own).alias("root")), "placed-nodes")
+    least = written(placed.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    named = written(placed.join(least, "root").select("print", "digest", "component_id"), "components")
+    return rows.select("__id", "print", "digest").join(named, ["print", "digest"]).select(F.col("__id").alias(id_col), "component_id")

@@ -45,7 +45,7 @@ def test_line_dedup(spark):
     for x in sorted({x for x in rows if x[1] is not None}, key=lambda x: (x[0] is not None, x[0] or 0, hashes[x])):
         kept = []
         for line in x[1].split("\n"):
-            if len(line.strip(" ")) < 20:
+            if not line.strip(" "):
                 kept.append(line)
                 continue
             if not any(edits_one(line, s) for s in seen):
@@ -192,17 +192,14 @@ def test_decontaminate_sql(spark, sf_dir):
     assert sorted(map(tuple, got.collect())) == want
 
 
-@pytest.mark.parametrize("share, least", [(16, 4), (1, 1)])
-def test_near_copies(spark, sf_dir, monkeypatch, share, least):
-    """All pairs of similarity 0.8 and no others, against every pair of sets; the pipeline's stage takes them."""
-    import corpus_pipeline
-    from episodica.llm import near_copies as module
-    from episodica.llm.near_copies import near_copies
+@pytest.mark.parametrize("distance, segments", [(11, 4), (8, 3), (11, 3)])
+def test_near_copies(spark, sf_dir, distance, segments):
+    """All pairs of similarity 0.8 within the distance and no others, against every pair; most pairs of that similarity."""
+    from episodica.llm.simhash import _sets, _set_prints, near_copies
+    from episodica.llm.text import chunks
 
-    monkeypatch.setattr(module, "COMMON_SHARE", share)
-    monkeypatch.setattr(module, "COMMON_TEXTS", least)
     rng = random.Random(5)
-    texts = [None, "", " ", "one two", "One  two", "one two three"]
+    texts = [None, "", " ", "one two", "One  two", "one two three", "a a a a a a", "A a a a a a a a"]
     for size in (6, 30, 80, 200):
         base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
         texts += [" ".join(base), " ".join(base).upper()]
@@ -211,7 +208,7 @@ def test_near_copies(spark, sf_dir, monkeypatch, share, least):
             for _ in range(rng.randint(1, max(2, size // 25))):
                 own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
             texts.append(" ".join(own[rng.randint(0, 2) :]))
-    for t in list(texts[6:]):  # chains of small steps
+    for t in list(texts[8:]):  # chains of small steps
         texts.append((t + " and some more words")[rng.randint(0, 9) :])
     texts += [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
 
@@ -220,23 +217,33 @@ def test_near_copies(spark, sf_dir, monkeypatch, share, least):
         n = min(5, len(words))
         return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
 
+    prints = np.concatenate([_set_prints(*_sets(c, 5))[0] for c in chunks(__import__("pyarrow").array(texts))]).tolist()
     sets = [plain(t) for t in texts]
-    up = list(range(len(sets)))
-
-    def top(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    for i in range(len(sets)):
-        for j in range(i):
-            a, b = sets[i], sets[j]
-            if a == b or (a and b and 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)):
-                x, y = sorted((top(i), top(j)))
-                up[y] = x
-    want = {i: top(i) for i in range(len(texts))}
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = {r["doc_id"] for r in corpus_pipeline.dedup_documents(spark, df, sf_dir).collect()}
-    assert kept == set(want.values())
-    assert {r["doc_id"]: r["component_id"] for r in near_copies(df, "doc_id").collect()} == want
+    similar = lambda a, b: a == b or bool(a and b and 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b))
+    pairs = {(i, j) for i in range(len(sets)) for j in range(i) if similar(sets[i], sets[j])}
+    near = {(i, j) for i, j in pairs if sets[i] == sets[j] or ((prints[i] ^ prints[j]) & (1 << 64) - 1).bit_count() <= distance}
+    assert len(near) > (0.8 if distance == 11 else 0.5) * len(pairs)
+    roots = least_reachable(len(sets), lambda a, b: (a, b) in near)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"print": F.lit("clash"), "node": F.lit(0)})
+    got = {r["doc_id"]: r["component_id"] for r in near_copies(df, "doc_id", distance=distance, segments=segments).collect()}
+    assert got == dict(enumerate(roots))
     assert near_copies(df.limit(0), "doc_id").count() == 0
+
+
+def test_large_group_makes_no_pairs(spark):
+    """A group of near copies meets its least node alone; its pairs are not made."""
+    from episodica.llm import simhash
+
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for i in range(300):
+        own = list(base)
+        own[rng.randrange(len(own))] = f"x{i}"
+        texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = simhash._described(df, "doc_id", "text", 5).select("print", "digest").distinct()
+    stars = simhash._stars(nodes, 11, 4)
+    assert stars.count() < 20 * 300
+    assert simhash._across(nodes, components(stars), 11, 4).count() < 300
+    assert {r["component_id"] for r in simhash.near_copies(df, "doc_id").collect()} == {0}

@@ -138,7 +138,8 @@ def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     odd = [(10_001, None), (10_002, ""), (10_003, "12 34"), (10_004, "Ay ay ay ay")]
     extra = spark.createDataFrame(odd, "doc_id long, text string").select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
-    docs = docs.unionByName(extra).withColumn("__removed_not", F.lit(1))
+    clashing = ["lang_pred", "score", "held_out", "__removed", "__lines", "__id", "__gone", "__own", "__text", "__hash", "__key", "__rows", "n_words", "n_hit", "contaminated", "items_sha256", "n_tokens", "component_id", "print", "key", "a.b"]
+    docs = docs.unionByName(extra).withColumns({c: F.lit(f"clash {c}") for c in clashing})
     for name, stage in pipeline.STAGES:
         from episodica.llm.shared import shared_dir
 
@@ -147,6 +148,7 @@ def test_pipeline(spark, sf_dir):
         new = spark.read.parquet(out)
         if name != "byte_bpe":
             assert new.columns == docs.columns and new.count() <= docs.count()
+            assert all(new.where(F.col(f"`{c}`") != f"clash {c}").isEmpty() for c in clashing)
         if name == "language_id":
             assert {r[0] for r in docs.select("doc_id").subtract(new.select("doc_id")).collect()} == {10_001, 10_002, 10_003}
         docs = new
