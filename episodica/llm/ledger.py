@@ -41,16 +41,18 @@ def bring_up_to_date(df: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     spark = df.sparkSession
     short_batches(spark)
     ledger = lambda: spark.read.schema(f"__digest binary, {fields}, version string").parquet(path).where(F.col("version") == version).drop("version")
-    wanted = rows.groupBy("__digest").agg(F.min("__id").alias("__first"))
+    firsts = rows.groupBy("__digest", "__id").agg(F.count("*").alias("n")).groupBy("__digest").agg(F.min(F.struct("__id", "n")).alias("first"))
+    wanted = firsts.select("__digest", F.col("first.__id").alias("__first"), F.col("first.n").alias("__rows"))
     if exists(spark, path):
         wanted = wanted.join(ledger().select("__digest"), "__digest", "left_anti")
-    wanted = written(wanted.select(F.col("__digest").alias("__want"), "__first"), "misses")
-    few = wanted.count() <= broadcast_misses
+    wanted = written(wanted.withColumnRenamed("__digest", "__want"), "misses")
     text = F.coalesce(df[text_col], F.lit(""))
     texts = df.select(df[id_col].alias("__id"), text.alias("__text"), F.unhex(F.sha2(text, 256)).alias("__digest"))
     same = (F.col("__digest") == F.col("__want")) & F.col("__id").eqNullSafe(F.col("__first"))
-    if few:
-        misses = texts.join(F.broadcast(wanted), same).dropDuplicates(["__digest"])
+    if wanted.count() <= broadcast_misses:
+        misses = texts.join(F.broadcast(wanted.where("__rows = 1")), same)
+        if not (again := wanted.where("__rows > 1")).isEmpty():  # rows that repeat an id and a content
+            misses = misses.unionByName(texts.join(F.broadcast(again), same).dropDuplicates(["__digest"]))
     else:
         misses = texts.dropDuplicates(["__digest", "__id"]).join(wanted, same)
     misses.select("__digest", "__text").mapInArrow(compute, f"__digest binary, {fields}").withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(path)

@@ -263,6 +263,8 @@ def _similar(pairs: DataFrame, df: DataFrame, rows: DataFrame, id_col: str, text
     """The pairs whose sets reach ``similarity``; only sets of nodes in pairs are made."""
     over, under = similarity
     named = lambda c: F.struct(F.col("print"), F.col("digest")).alias(c)
+    if pairs.isEmpty():
+        return pairs
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().select(F.col("w.print").alias("print"), F.col("w.digest").alias("digest")), "wanted")
     one = written(rows.join(wanted, ["print", "digest"], "left_semi").groupBy("print", "digest").agg(F.min("__id").alias("one"), F.max(F.col("__id").isNull()).alias("none")), "wanted-rows")
     ids = one.select(F.when(F.col("none"), F.lit(None)).otherwise(F.col("one")).alias("one")).distinct()
@@ -298,10 +300,12 @@ def near_copies(df: DataFrame, id_col: str, text_col: str = "text", shingle: int
     looked = nodes.where((under - over) * F.col("n") >= over).select("print", "digest")
     verify = lambda pairs: _similar(pairs, df, rows, id_col, text_col, shingle, similarity)
     stars = _stars(looked, distance, segments)
-    near = verify(stars)
-    across = _across(looked, components(near), distance, segments)
+    roots = components(verify(stars))
+    across = _across(looked, roots, distance, segments)
     more = verify(written(across.join(stars, ["a", "b"], "left_anti"), "pairs"))
-    roots = components(near.unionByName(more)).select(F.col("node.print").alias("print"), F.col("node.digest").alias("digest"), "root")
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    roots = roots.select(F.col("node.print").alias("print"), F.col("node.digest").alias("digest"), "root")
     own = F.struct(F.col("print"), F.col("digest"))
     placed = written(nodes.join(roots, ["print", "digest"], "left").select("print", "digest", "least", F.coalesce("root", own).alias("root")), "placed-nodes")
     least = written(placed.groupBy("root").agg(F.min("least").alias("component_id")), "least")

@@ -171,6 +171,28 @@ def test_count_cache(spark, docs, tmp_path):
     assert token_counts(docs.limit(0), SPEC).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_only_distinct_misses_are_computed(spark, tmp_path, broadcast):
+    """Rows that repeat an id or lack one count once; a second call computes, and returns, no more than it lacks."""
+    from episodica.llm.ledger import addressed, bring_up_to_date
+
+    path, seen = str(tmp_path / "ledger"), spark.sparkContext.accumulator(0)
+
+    def compute(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("__digest"), pa.array([len(t) for t in batch.column("__text").to_pylist()])], ["__digest", "size"])
+
+    def call(rows, version):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return bring_up_to_date(df, addressed(df, "doc_id", "text"), "doc_id", "text", version, path, compute, "size long", broadcast).collect()
+
+    rows = [(5, "same text")] * 50 + [(None, "same text")] * 20 + [(None, "none")] * 30 + [(i, f"text {i % 7}") for i in range(40)] + [(1, None), (2, "")]
+    assert len(call(rows, "v1")) == 10 and seen.value == 10
+    assert len(call(rows[:50] + [(9, "new")], "v1")) == 2 and seen.value == 11
+    assert len(call(rows[:50], "v2")) == 1 and seen.value == 12
+
+
 def test_orc_files(spark, docs, tmp_path):
     path, tokenizer = str(tmp_path / "ids"), Tokenizer.from_file(SPEC)
     write_token_files(docs, SPEC, path)
