@@ -1,9 +1,11 @@
 """Operator 1: quality rules and n-gram perplexity under a modified Kneser-Ney model.
 
-The model of each language counts all runs of four symbols in its texts. Symbols
-are bytes folded to 64 classes, so a language has at most 64**4 runs whatever
-the corpus holds: that bounds what is broadcast. Probabilities and back-off
-weights are stored in arrays sorted by 64-bit hashes.
+Spark counts the words and the pairs of neighbouring words of each language, every
+distinct text once. Pairs and words that came once alone are not stored: their mass goes
+to the shorter context, so a text is not made likely by itself. What is stored grows with
+the corpus: log probabilities of pairs, back-off weights of contexts and log probabilities
+of words, in arrays sorted by 64-bit hashes. Up to a counted bound the arrays are
+broadcast; beyond it the texts' pairs are joined with the same table.
 """
 
 from __future__ import annotations
@@ -12,138 +14,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import short_batches, written
-from .text import LEADS, NOT_SPACE, Chunk, any_of, chunks, find, held, mix, owner, runs, span_hashes, sums, worker
+from .text import LEADS, NOT_SPACE, Chunk, any_of, chunks, find, lower_bytes, mix, owner, runs, span_hashes, sums, worker
 
-ORDER, BITS = 4, 6
 _SYMBOLS = any_of(*((ord(c), ord(c)) for c in "#*$%&|<>"))
+_LOWER, _STEP = lower_bytes(), np.uint64(0xD6E8FEB86659FD93)
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-#: Entries of the models that are broadcast at once (12 bytes each); a single language may exceed it, up to 64**4 runs.
-BROADCAST_ENTRIES = 20_000_000
+#: Entries of the model (12 bytes each) up to which it is broadcast.
+BROADCAST_ENTRIES = 8_000_000
 
-#: Languages up to which their bands (24 bytes each) are broadcast.
-BROADCAST_LANGUAGES = 10_000
+#: Rows of per-language figures, and of texts that have copies, up to which they are broadcast.
+BROADCAST_LANGUAGES, BROADCAST_COPIES = 10_000, 1_000_000
 
+#: Pairs that a task gathers before it passes them on.
+GATHERED = 1_000_000
 
-def _fold() -> np.ndarray:
-    """Bytes to 64 classes: letters without case, white space, digits, kinds of punctuation, parts of longer code points."""
-    out = np.full(256, 38, np.uint32)
-    out[97:123] = out[65:91] = np.arange(1, 27)
-    for n, chars in enumerate((" \t\r\v\f", "0123456789", ".", ",", "'\"`", "-_", "!?", ":;", "()[]{}", "#*$%&|<>", "\n"), 27):
-        for c in chars:
-            out[ord(c)] = n
-    out[0x80:0xC0] = 40 + (np.arange(64) >> 2)
-    out[0xC0:] = 60
-    out[0xC2], out[0xC3], out[0xC4:0xD0], out[0xD0:0xE0] = 56, 57, 58, 59
-    out[0xE0:0xF0] = 61
-    return out
+#: Log probabilities are whole numbers of this part of a bit, so that sums are the same in any order.
+PART = 1 << 20
 
-
-_FOLD = _fold()
-
-
-def codes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """The code of the four symbols that end at each byte, and whether they lie in one text."""
-    n = len(c.data)
-    s = _FOLD[c.data]
-    out = np.zeros(n, np.uint32)
-    if n >= ORDER:
-        for i in range(ORDER):
-            out[ORDER - 1 :] |= s[i : n - ORDER + 1 + i] << np.uint32(BITS * (ORDER - 1 - i))
-    fits = np.ones(n, bool)
-    for i in range(ORDER - 1):
-        at = c.bounds[:-1] + i
-        fits[at[at < np.minimum(c.bounds[1:], n)]] = False
-    return out, fits
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2 and 3 or more, from the numbers of counts one to four."""
-    n = np.bincount(np.minimum(counts, 5), minlength=6).astype(float)
-    usual = np.array([0, 0.5, 1.0, 1.5])
-    if not n[1] or not n[2]:
-        return usual
-    y = n[1] / (n[1] + 2 * n[2])
-    out = [0.0] + [min(k, max(0.0, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else usual[k] for k in (1, 2, 3)]
-    return np.array(out)
-
-
-def _key(order: int, code: np.ndarray) -> np.ndarray:
-    return mix((np.uint64(order + 1) << np.uint64(32)) | code.astype(np.uint64))
-
-
-class Model:
-    """Modified Kneser-Ney probabilities of one language in sorted hash arrays."""
-
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
-        levels = {ORDER: (grams.astype(np.int64), counts.astype(np.int64))}
-        for order in range(ORDER - 1, 0, -1):  # lower orders count the distinct symbols before
-            levels[order] = np.unique(levels[order + 1][0] & ((1 << BITS * order) - 1), return_counts=True)
-        keys, values, back_keys, back_values = [], [], [], []
-        lower = np.full(1 << BITS, 1.0 / (1 << BITS))
-        lower_codes = np.arange(1 << BITS)
-        for order in range(1, ORDER + 1):
-            code, n = levels[order]
-            context, at = np.unique(code >> BITS, return_inverse=True)
-            total = np.bincount(at, n)
-            d = _discounts(n)
-            cut = d[np.minimum(n, 3)]
-            weight = np.bincount(at, cut) / total
-            below = lower[np.searchsorted(lower_codes, code & ((1 << BITS * (order - 1)) - 1))] if order > 1 else np.full(len(code), 1.0 / (1 << BITS))
-            p = (n - cut) / total[at] + weight[at] * below
-            keys.append(_key(order, code))
-            values.append(p)
-            back_keys.append(_key(order, context))
-            back_values.append(weight)
-            lower, lower_codes = p, code
-        self.keys, self.values = self._sorted(keys, values)
-        self.back_keys, self.back_values = self._sorted(back_keys, back_values)
-
-    @staticmethod
-    def _sorted(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        k, v = np.concatenate(keys), np.concatenate(values)
-        at = np.argsort(k)
-        return k[at], v[at].astype(np.float32)
-
-    def probabilities(self, code: np.ndarray) -> np.ndarray:
-        """Of the last symbol of each code after the others; unseen runs back off."""
-        out, weight = np.zeros(len(code)), np.ones(len(code))
-        open_ = np.ones(len(code), bool)
-        for order in range(ORDER, 0, -1):
-            own = code.astype(np.int64) & ((1 << BITS * order) - 1)
-            at = find(self.keys, _key(order, own))
-            got = open_ & (at >= 0)
-            out[got] = weight[got] * self.values[at[got]]
-            open_ &= ~got
-            back = find(self.back_keys, _key(order, own >> BITS))
-            weight *= np.where(back >= 0, self.back_values[back] if len(self.back_values) else 1.0, 1.0)
-        out[open_] = weight[open_] / (1 << BITS)
-        return out
-
-
-def gram_counts(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """lang, gram and n over all rows; workers add up what they have read before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in worker("quality", batches):
-            names = batch.column("__lang").dictionary_encode()
-            langs, index = names.dictionary, np.asarray(names.indices)
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            for c in chunks(batch.column("__text"), 4 << 20):
-                code, fits = codes(c)
-                lang = np.repeat(index[c.first : c.last].astype(np.int64), np.diff(c.bounds))
-                held.append(np.unique((lang << 24 | code)[fits], return_counts=True))
-            if not held:
-                continue
-            keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            n = np.bincount(back, np.concatenate([v for _, v in held]), len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([langs.take(pa.array(keys >> 24)), pa.array((keys & 0xFFFFFF).astype(np.int32)), pa.array(n)], ["lang", "gram", "n"])
-
-    source = df.select(F.coalesce(df[lang_col], F.lit("")).alias("__lang"), df[text_col].alias("__text"))
-    return source.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+#: Discounts where counts of counts are too few to give them.
+USUAL = (0.5, 1.0, 1.5)
 
 
 def _base(c: Chunk) -> list[np.ndarray]:
@@ -182,89 +76,223 @@ def _base(c: Chunk) -> list[np.ndarray]:
     return [n_words, chars, symbols, dup_lines, repeated]
 
 
-def _surprise(c: Chunk, langs: list[str], models: dict[str, Model]) -> np.ndarray:
-    """Mean negative log2 probability of a symbol, by row; nan for texts under four bytes."""
-    code, fits = codes(c)
-    scratch = held("quality")
-    if "lut" not in scratch:
-        scratch["lut"], scratch["seen"] = np.zeros(1 << BITS * ORDER, np.int32), np.zeros(1 << BITS * ORDER, bool)
-    lut, seen = scratch["lut"], scratch["seen"]
-    bits = np.zeros(len(code), np.int64)  # in parts of 2**-20: whole numbers add up to the same in any chunk
-    index = {k: i for i, k in enumerate(dict.fromkeys(langs))}
-    row_lang = np.array([index[k] for k in langs])
-    which = np.repeat(row_lang, np.diff(c.bounds))
-    for lang, i in index.items():
-        at = np.flatnonzero((which == i) & fits) if len(index) > 1 else np.flatnonzero(fits)
-        if not len(at):
-            continue
-        own = code[at]
-        seen[own] = True
-        distinct = np.flatnonzero(seen)
-        seen[distinct] = False
-        lut[distinct] = np.rint(-np.log2(models[lang].probabilities(distinct)) * 2**20)
-        bits[at] = lut[own]
-    n = sums(fits, c.bounds[:-1], c.bounds[1:])
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return sums(bits, c.bounds[:-1], c.bounds[1:]) / 2**20 / n
-
-
-def _scored(df: DataFrame, models: dict[str, Model], id_col: str, lang_col: str, text_col: str) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(models)
+def _salt(lang: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(lang.encode(), 5)
+
+
+def pairs(c: Chunk, langs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each word (A-Z lower-cased) and of the one before it, salted with the row's language, and the row.
+
+    The first word of a text follows a mark.
+    """
+    starts, ends = runs(NOT_SPACE[c.data], c.bounds)
+    rows = owner(c.bounds, starts)
+    salts = {x: _salt(x) for x in set(langs)}
+    salt = np.array([salts[x] for x in langs], np.uint64)
+    words = mix(span_hashes(c.data, starts, ends, _LOWER) + salt[rows])
+    before = mix(salt)[rows]
+    same = np.flatnonzero(rows[1:] == rows[:-1]) + 1
+    before[same] = words[same - 1]
+    return before, words, rows
+
+
+def _together(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(before * _STEP + words)
+
+
+def _distinct_texts(df: DataFrame, id_col: str, lang_col: str, text_col: str) -> DataFrame:
+    """__lang and __text of one row of each text: the first by id. Only hashes are shuffled, unless very many texts have copies."""
+    rows = df.select(df[id_col].alias("__id"), F.coalesce(df[lang_col], F.lit("")).alias("__lang"), df[text_col].alias("__text"), F.xxhash64(df[text_col]).alias("__hash"))
+    groups = rows.groupBy("__hash").agg(F.min("__id").alias("__first"), F.max(F.col("__id").isNull()).alias("__none"), F.count("*").alias("n")).where("n > 1")
+    copies = written(groups.select(F.col("__hash").alias("__copied"), "__first", "__none"), "copied-texts")
+    side = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+    met = rows.join(side, F.col("__hash") == F.col("__copied"), "left")
+    first = F.col("__copied").isNull() | F.when(F.col("__none"), F.col("__id").isNull()).otherwise(F.col("__id") == F.col("__first"))
+    return met.where(first).select("__lang", "__text")
+
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """lang, u, w (hashes) and n of every pair of neighbours; tasks add up what they have read before the shuffle."""
+
+    def passed(gathered: list[tuple]) -> pa.RecordBatch:
+        lang, u, w, n = (np.concatenate(x) for x in zip(*gathered, strict=True))
+        gathered.clear()
+        _, first, back = np.unique(_together(u, w), return_index=True, return_inverse=True)
+        n = np.bincount(back, n, len(first)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(lang[first], pa.string()), pa.array(u[first].view(np.int64)), pa.array(w[first].view(np.int64)), pa.array(n)], ["lang", "u", "w", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[tuple] = []
+        size = 0
         for batch in worker("quality", batches):
-            langs = batch.column("__lang").to_pylist()
+            names = batch.column("__lang").to_pylist()
             for c in chunks(batch.column("__text")):
-                bits = _surprise(c, langs[c.first : c.last], shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), batch.column("__lang").slice(c.first, c.rows), *(pa.array(x.astype(np.int64)) for x in _base(c)), pa.array(bits, mask=np.isnan(bits))], ["__id", "__lang", *NAMES, "__bits"])
+                langs = names[c.first : c.last]
+                u, w, rows = pairs(c, langs)
+                _, first, n = np.unique(_together(u, w), return_index=True, return_counts=True)
+                gathered.append((np.array(langs, object)[rows[first]], u[first], w[first], n))
+                size += len(first)
+                if size >= GATHERED:
+                    yield passed(gathered)
+                    size = 0
+        if gathered:
+            yield passed(gathered)
+
+    short_batches(texts.sparkSession)
+    return texts.mapInArrow(run, "lang string, u long, w long, n long").groupBy("lang", "u", "w").agg(F.sum("n").alias("n"))
+
+
+def _tally(n: str) -> list[Column]:
+    """How many counts are one, two, three and four."""
+    return [F.count_if(F.col(n) == k).alias(f"{n}{k}") for k in (1, 2, 3, 4)]
+
+
+def _discounts(n: str) -> list[Column]:
+    """Discounts of counts one, two and three or more, from the numbers of counts one to four."""
+    y = F.col(f"{n}1") / (F.col(f"{n}1") + 2 * F.col(f"{n}2"))
+    known = (F.col(f"{n}1") > 0) & (F.col(f"{n}2") > 0)
+    out = []
+    for k, usual in zip((1, 2, 3), USUAL, strict=True):
+        own = F.least(F.lit(float(k)), F.greatest(F.lit(0.0), k - (k + 1) * y * F.col(f"{n}{k + 1}") / F.col(f"{n}{k}")))
+        out.append(F.when(known & (F.col(f"{n}{k}") > 0), own).otherwise(F.lit(usual)).alias(f"d_{n}{k}"))
+    return out
+
+
+def _cut(n: str) -> Column:
+    return F.when(F.col(n) == 1, F.col(f"d_{n}1")).when(F.col(n) == 2, F.col(f"d_{n}2")).otherwise(F.col(f"d_{n}3"))
+
+
+def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries (kind, u, w, cost) of a model of all languages, and each language's cost of an unknown word.
+
+    kind 2: a pair that came twice or more; kind 1: the back-off weight of such a pair's
+    first word; kind 0: a word that followed two words or more. A cost is minus the
+    logarithm, in ``PART`` parts of a bit. A pair that is not stored costs what its first
+    word's back-off (none: 0) and its second word do.
+    """
+    cost = lambda p: F.round(-F.log2(p) * PART).cast("long").alias("cost")
+    follow = written(counts.groupBy("lang", "w").agg(F.count("*").alias("m")), "followers")
+    langs = counts.groupBy("lang").agg(*_tally("n")).select("lang", *_discounts("n"))
+    lower = follow.groupBy("lang").agg(*_tally("m"), F.sum("m").alias("all"), F.count_if(F.col("m") >= 2).alias("words"), F.count_if(F.col("m") == 2).alias("twos"), F.count_if(F.col("m") >= 3).alias("more"))
+    lower = lower.select("lang", "all", "words", "twos", "more", "m1", *_discounts("m"))
+    # words that followed one word alone give all their mass away
+    lower = lower.withColumn("rest", (F.col("m1") + F.col("twos") * F.col("d_m2") + F.col("more") * F.col("d_m3")) / F.col("all") / (F.col("words") + 1))
+    langs = written(langs.join(lower, "lang"), "language-figures")
+    by_lang = F.broadcast(langs) if langs.count() <= BROADCAST_LANGUAGES else langs
+    words = follow.where("m >= 2").join(by_lang, "lang").select("w", ((F.col("m") - _cut("m")) / F.col("all") + F.col("rest")).alias("p"))
+    words = written(words, "word-entries")
+    given = F.count_if(F.col("n") == 1) + F.count_if(F.col("n") == 2) * F.first("d_n2") + F.count_if(F.col("n") >= 3) * F.first("d_n3")
+    contexts = counts.join(by_lang.select("lang", "d_n2", "d_n3"), "lang").groupBy("u").agg(F.sum("n").alias("total"), given.alias("given"), F.max("n").alias("most")).where("most >= 2")
+    contexts = written(contexts.select("u", "total", (F.col("given") / F.col("total")).alias("back")), "context-entries")
+    twice = counts.where("n >= 2").join(by_lang.select("lang", "rest", "d_n1", "d_n2", "d_n3"), "lang").join(contexts, "u").join(words, "w", "left")
+    twice = twice.select(F.lit(2).alias("kind"), "u", "w", cost((F.col("n") - _cut("n")) / F.col("total") + F.col("back") * F.coalesce("p", "rest")))
+    entries = twice.unionByName(contexts.select(F.lit(1).alias("kind"), "u", F.lit(0).cast("long").alias("w"), cost(F.col("back")))).unionByName(words.select(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("u"), "w", cost(F.col("p"))))
+    return written(entries, "model-entries"), langs.select("lang", cost(F.col("rest")))
+
+
+class Arrays:
+    """The entries of a model in arrays sorted by hash."""
+
+    def __init__(self, entries: pa.Table, unknown: dict[str, int]):
+        self.unknown = unknown
+        kind, u, w = (entries.column(x).to_numpy() for x in ("kind", "u", "w"))
+        cost = entries.column("cost").to_numpy().astype(np.int32)
+        self.parts = []
+        for which in range(3):
+            at = np.flatnonzero(kind == which)
+            own, other = u[at].view(np.uint64), w[at].view(np.uint64)
+            keys = (other, own, _together(own, other) if which == 2 else None)[which]
+            order = np.argsort(keys)
+            self.parts.append((keys[order], cost[at][order]))
+
+    def costs(self, before: np.ndarray, words: np.ndarray, unknown: np.ndarray) -> np.ndarray:
+        """The cost of each word after the one before it; ``unknown`` is what an unknown word costs there."""
+
+        def looked(which: int, keys: np.ndarray, absent: np.ndarray | int) -> np.ndarray:
+            known, cost = self.parts[which]
+            at = find(known, keys)
+            return np.where(at >= 0, cost[at] if len(cost) else 0, absent)
+
+        away = looked(1, before, 0) + looked(0, words, unknown)
+        return looked(2, _together(before, words), away).astype(np.int64)
+
+
+def _scored(df: DataFrame, entries: DataFrame, unknown: DataFrame, id_col: str, lang_col: str, text_col: str) -> DataFrame:
+    """__id, __lang, the base counts and __cost of every row, under a broadcast model."""
+    arrays = Arrays(entries.toArrow(), {r["lang"]: r["cost"] for r in unknown.collect()})
+    shared = df.sparkSession.sparkContext.broadcast(arrays)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in worker("quality", batches):
+            names = batch.column("__lang").to_pylist()
+            for c in chunks(batch.column("__text")):
+                langs = names[c.first : c.last]
+                u, w, rows = pairs(c, langs)
+                cost = known.costs(u, w, np.array([known.unknown.get(x, 0) for x in langs], np.int64)[rows])
+                total = np.zeros(c.rows, np.int64)
+                np.add.at(total, rows, cost)
+                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), batch.column("__lang").slice(c.first, c.rows), *(pa.array(x.astype(np.int64)) for x in _base(c)), pa.array(total)], ["__id", "__lang", *NAMES, "__cost"])
 
     source = df.select(df[id_col].alias("__id"), F.coalesce(df[lang_col], F.lit("")).alias("__lang"), df[text_col].alias("__text"))
-    rows = source.where(F.col("__lang").isin(list(models)))
-    return rows.mapInArrow(run, f"__id {dict(source.dtypes)['__id']}, __lang string, {', '.join(f'{x} long' for x in NAMES)}, __bits double")
+    return source.mapInArrow(run, f"__id {dict(source.dtypes)['__id']}, __lang string, {', '.join(f'{x} long' for x in NAMES)}, __cost long")
 
 
-NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+def _scored_by_joins(df: DataFrame, entries: DataFrame, unknown: DataFrame, id_col: str, lang_col: str, text_col: str) -> DataFrame:
+    """As ``_scored``, for a model of any size: the texts' pairs meet its entries in joins."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in worker("quality", batches):
+            names = batch.column("__lang").to_pylist()
+            for c in chunks(batch.column("__text")):
+                u, w, rows = pairs(c, names[c.first : c.last])
+                bounds = pa.array(np.searchsorted(rows, np.arange(c.rows + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(x.view(np.int64))) for x in (u, w)]
+                yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), batch.column("__lang").slice(c.first, c.rows), *(pa.array(x.astype(np.int64)) for x in _base(c)), *lists], ["__id", "__lang", *NAMES, "__us", "__ws"])
 
-def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", width: float = 6.0, least_spread: float = 0.03, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+    source = df.select(df[id_col].alias("__id"), F.coalesce(df[lang_col], F.lit("")).alias("__lang"), df[text_col].alias("__text"))
+    rows = source.mapInArrow(run, f"__id {dict(source.dtypes)['__id']}, __lang string, {', '.join(f'{x} long' for x in NAMES)}, __us array<long>, __ws array<long>")
+    rows = written(rows.withColumn("__row", F.monotonically_increasing_id()), "text-pairs")  # written: numbers stay as they are
+    met = rows.select("__row", "__lang", F.explode(F.arrays_zip("__us", "__ws")).alias("p")).select("__row", "__lang", F.col("p.__us").alias("u"), F.col("p.__ws").alias("w"))
+    met = met.groupBy("__row", "__lang", "u", "w").agg(F.count("*").alias("n"))
+    part = lambda kind, name, *keys: entries.where(F.col("kind") == kind).select(*keys, F.col("cost").alias(name))
+    met = met.join(part(2, "pair", "u", "w"), ["u", "w"], "left").join(part(1, "back", "u"), "u", "left").join(part(0, "word", "w"), "w", "left")
+    met = met.join(unknown.withColumnsRenamed({"lang": "__lang", "cost": "unknown"}), "__lang", "left")
+    own = F.coalesce("pair", F.coalesce("back", F.lit(0)) + F.coalesce("word", "unknown"))
+    costs = written(met.groupBy("__row").agg(F.sum(own * F.col("n")).alias("__cost")), "text-costs")
+    return rows.join(costs, "__row", "left").select("__id", "__lang", *NAMES, F.coalesce("__cost", F.lit(0)).alias("__cost"))
+
+
+def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", low_width: float = 9.0, high_width: float = 3.0, least_spread: float = 0.75, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
     """Base counts, perplexity and the verdict for every row.
 
     base_failed: under 50 words, or over half of the words in repeated windows of three.
-    A text that passes is kept if the logarithm of its perplexity lies in its language's
-    band: the median of all texts that pass, ``width`` times their scaled median absolute
-    deviation (``least_spread`` bits at least) to either side. Null and empty texts have no
-    words and fail the base; a null language is a language of its own; repeated rows, ties
-    and null ids are kept, one row out for each row in; other columns are not read.
+    A text that passes is kept if the logarithm of its perplexity (of a word) lies in its
+    language's band: the median of all texts that pass, ``low_width`` and ``high_width`` times
+    their scaled median absolute deviation (``least_spread`` bits at least) below and above.
+    The model counts each distinct text once, so copies do not make each other likely. Null and empty texts have
+    no words and fail the base; a null language is a language of its own; repeated rows, ties
+    and null ids are kept, one row out for each row in; other columns are not read. An empty
+    table gives an empty result; a text of any length is read whole, a long one alone.
     """
     spark = df.sparkSession
     short_batches(spark)
-    counts = written(gram_counts(df, lang_col, text_col), "gram-counts")
-    sizes = {r[0]: r[1] for r in counts.groupBy("lang").count().collect()}
-    for r in df.select(F.coalesce(df[lang_col], F.lit("")).alias("lang")).distinct().collect():
-        sizes.setdefault(r[0], 0)
-    groups: list[list[str]] = [[]]
-    for lang, n in sorted(sizes.items()):
-        if groups[-1] and sum(sizes[x] for x in groups[-1]) + n > broadcast_entries:
-            groups.append([])
-        groups[-1].append(lang)
-    scored = None
-    for group in groups:  # of languages whose models are broadcast together
-        models = {}
-        for lang in group:
-            own = counts.where(F.col("lang") == lang).select("gram", "n").toPandas()  # 64**4 rows at most
-            own = own.sort_values("gram")
-            models[lang] = Model(own["gram"].to_numpy(), own["n"].to_numpy())
-        part = _scored(df, models, id_col, lang_col, text_col)
-        scored = part if scored is None else scored.unionByName(part)
+    counts = written(pair_counts(_distinct_texts(df, id_col, lang_col, text_col)), "pair-counts")
+    entries, unknown = model(counts)
+    way = _scored if entries.count() <= broadcast_entries and unknown.count() <= BROADCAST_LANGUAGES else _scored_by_joins
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = written(scored.withColumn("base_failed", failed), "scored")
+    bits = F.when(F.col("n_words") > 0, F.col("__cost") / F.col("n_words") / PART)
+    rows = written(way(df, entries, unknown, id_col, lang_col, text_col).withColumns({"base_failed": failed, "__bits": bits}), "scored")
     step = 0.001
-    bins = rows.where(~F.col("base_failed") & F.col("__bits").isNotNull()).groupBy("__lang", F.floor(F.col("__bits") / step).alias("bin")).agg(F.count("*").alias("n"))
+    bins = rows.where(~F.col("base_failed")).groupBy("__lang", F.floor(F.col("__bits") / step).alias("bin")).agg(F.count("*").alias("n"))
     middle = _median(bins, "bin").withColumnRenamed("median", "__middle")
     away = bins.join(middle, "__lang").groupBy("__lang", F.abs(F.col("bin") - F.col("__middle")).alias("bin")).agg(F.sum("n").alias("n"))
     spread = _median(away, "bin").withColumnRenamed("median", "__away")
-    margin = F.lit(width) * F.greatest(F.lit(least_spread), F.col("__away") * (1.4826 * step))
-    band = middle.join(spread, "__lang").select("__lang", ((F.col("__middle") + 0.5) * step - margin).alias("low_bits"), ((F.col("__middle") + 0.5) * step + margin).alias("high_bits"))
+    margin = F.greatest(F.lit(least_spread), F.col("__away") * (1.4826 * step))
+    centre = (F.col("__middle") + 0.5) * step
+    band = middle.join(spread, "__lang").select("__lang", (centre - low_width * margin).alias("low_bits"), (centre + high_width * margin).alias("high_bits"))
     band = written(band, "bands")
     judged = rows.join(F.broadcast(band) if band.count() <= BROADCAST_LANGUAGES else band, "__lang", "left")
     inside = F.coalesce(F.col("__bits").between(F.col("low_bits"), F.col("high_bits")), F.lit(False))

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import re
 import zlib
 
@@ -47,65 +48,70 @@ def test_base_counts_and_bands(spark, docs):
     assert quality.quality(df.limit(0)).count() == 0
 
 
-def test_groups_of_languages_agree(docs):
-    """Models broadcast one language at a time give the same rows."""
-    one = quality.quality(docs).orderBy("doc_id").collect()
-    assert quality.quality(docs, broadcast_entries=1).orderBy("doc_id").collect() == one
-
-
-def test_junk_is_rejected(spark, docs, sf_dir):
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = quality.quality(docs).where("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(F.avg((~F.col("kept")).cast("double")).alias("out")).collect()
-    out = {r["quality"]: r["out"] for r in rows}
-    assert out[1] < 0.03 and out[0] > out[1]
-
-
-def test_model_sums_to_one():
-    rng = np.random.default_rng(0)
-    grams, counts = np.unique(rng.integers(0, 64**4, 3000) & 0o07070707, return_counts=True)
-    model = quality.Model(grams, counts)
-    for context in [int(grams[0]) >> 6, int(grams[50]) >> 6, 0o777777, 0]:
-        p = model.probabilities(np.array([context << 6 | s for s in range(64)]))
-        assert p.sum() == pytest.approx(1, abs=1e-4) and (p > 0).all()
-
-
-def test_model_against_formulas():
-    """Two contexts by hand: interpolated, with discounts from counts of counts."""
-    text = b"abababcabd" * 3
-    c = next(chunks(pa.array([text.decode()])))
-    code, fits = quality.codes(c)
-    grams, counts = np.unique(code[fits], return_counts=True)
-    model = quality.Model(grams, counts)
-    levels = {4: dict(zip(grams.tolist(), counts.tolist(), strict=True))}
-    for o in (3, 2, 1):
-        levels[o] = collections.Counter(k & ((1 << 6 * o) - 1) for k in levels[o + 1])
-
-    def prob(code, order):
-        if not order:
-            return 1 / 64
-        own = code & ((1 << 6 * order) - 1)
-        table = levels[order]
-        d = quality._discounts(np.array(list(table.values())))
-        after = [n for k, n in table.items() if k >> 6 == own >> 6]
+def test_broadcast_and_joins_agree(spark, docs):
+    """The two ways to the model's entries give the same rows."""
+    few = docs.where("doc_id < 60").unionByName(docs.where("doc_id < 60 AND lang = 'de'").withColumn("lang", F.lit(None).cast("string")))
+    order = lambda df: sorted(map(tuple, df.collect()))
+    assert order(quality.quality(few, broadcast_entries=0)) == order(quality.quality(few))
+
+
+def test_junk_is_rejected(spark, sf_dir):
+    """In each language a third of the texts of low quality that pass the base go, and hardly a good one."""
+    folder = os.environ.get("TEST_LARGER_SF_DIR", "/root/testdata/sf0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.quality(docs).where("NOT base_failed").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = rows.groupBy("lang", "quality").agg(F.avg((~F.col("kept")).cast("double")).alias("out")).collect()
+    out = {(r["lang"], r["quality"]): r["out"] for r in rows}
+    for lang in {k for k, _ in out}:
+        assert out[lang, 0] > 0.3 and out[lang, 1] < 0.02, out
+
+
+def test_model_grows_with_the_corpus(docs):
+    texts = docs.select(F.col("lang").alias("__lang"), F.col("text").alias("__text"))
+    size = [quality.model(quality.pair_counts(x))[0].count() for x in (texts.where("length(__text) % 4 = 0"), texts)]
+    assert size[1] > 2 * size[0] > 0
+
+
+def test_model_against_formulas(spark):
+    """Costs of all pairs against modified Kneser-Ney by hand; the probabilities after a word sum to one."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"W{i}" for i in range(12)]
+    texts = [" ".join(vocabulary[min(int(rng.exponential(3)), 11)] for _ in range(12)) for _ in range(40)] + ["once only here"]
+    df = spark.createDataFrame([("xx", t) for t in texts], "__lang string, __text string")
+    entries, unknown = quality.model(quality.pair_counts(df))
+    arrays = quality.Arrays(entries.toArrow(), {r["lang"]: r["cost"] for r in unknown.collect()})
+
+    pair, follow = collections.Counter(), collections.Counter()
+    for t in texts:
+        words = ["<s>", *t.lower().split()]
+        pair.update(zip(words, words[1:], strict=False))
+    follow.update(w for _, w in pair)
+
+    def discounts(counts):
+        n = collections.Counter(counts)
+        y = n[1] / (n[1] + 2 * n[2])
+        return {k: min(k, max(0, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else u for k, u in ((1, 0.5), (2, 1.0), (3, 1.5))}
+
+    d, e = discounts(pair.values()), discounts(follow.values())
+    rest = sum(1 if m == 1 else e[min(m, 3)] for m in follow.values()) / sum(follow.values()) / (sum(m > 1 for m in follow.values()) + 1)
+    low = lambda w: rest + ((follow[w] - e[min(follow[w], 3)]) / sum(follow.values()) if follow[w] > 1 else 0)
+
+    def prob(u, w):
+        after = [n for (x, _), n in pair.items() if x == u]
         if not after:
-            return prob(code, order - 1)
-        n = table.get(own, 0)
-        return max(0, n - d[min(n, 3)]) / sum(after) + sum(d[min(x, 3)] for x in after) / sum(after) * prob(code, order - 1)
-
-    tests = [*grams.tolist(), 0o01020304, 0o77777777, int(grams[0]) ^ 1]
-    assert model.probabilities(np.array(tests)) == pytest.approx([prob(k, 4) for k in tests], rel=1e-4)
-
-
-def test_mean_surprise():
-    texts = ["the cat sat", "x", "", "the cat sat on the mat"]
-    c = next(chunks(pa.array(texts)))
-    code, fits = quality.codes(c)
-    grams, counts = np.unique(code[fits], return_counts=True)
-    models = {"en": quality.Model(grams, counts)}
-    got = quality._surprise(c, ["en"] * 4, models)
-    assert np.isnan(got[1]) and np.isnan(got[2])
-    alone = quality._surprise(next(chunks(pa.array(texts[3:]))), ["en"], models)
-    assert got[3] == pytest.approx(alone[0]) and math.isfinite(got[0])
+            return low(w)
+        back = sum(1 if n == 1 else d[min(n, 3)] for n in after) / sum(after)
+        n = pair[u, w]
+        return ((n - d[min(n, 3)]) / sum(after) if n > 1 else 0) + back * low(w)
+
+    for u in ("w0", "w3", "w11", "once", "never"):
+        words = [*[x.lower() for x in vocabulary], "here", "new"]
+        c = next(chunks(pa.array([f"{u} {w}" for w in words])))
+        before, own, rows = quality.pairs(c, ["xx"] * len(words))
+        cost = arrays.costs(before, own, np.full(len(own), arrays.unknown["xx"]))[rows.searchsorted(np.arange(len(words))) + 1]
+        assert cost / quality.PART == pytest.approx([-math.log2(prob(u, w)) for w in words], abs=1e-4)
+        known = [w for w in follow if follow[w] > 1]
+        assert sum(prob(u, w) for w in known) + prob(u, "unknown") == pytest.approx(1, abs=1e-9)
 
 
 def test_language_accuracy(docs):
