@@ -214,7 +214,7 @@ def _edge(columns: tuple[str, str], others: tuple[str, str]) -> list[Column]:
 
 
 def _stars(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
-    """Pairs of a key's least node with the key's others, where they are near.
+    """A pair of each node with the least of its keys' least nodes that is near it.
 
     Of the segments of two near fingerprints one differs by at most ``distance // segments``
     bits. Half of that radius is enumerated on either side, so the two meet under one key.
@@ -226,7 +226,10 @@ def _stars(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
         hubs = hubs.where("c > 1")
     met = probes.join(hubs.select("key", F.col("hub.print").alias("hub_print"), F.col("hub.digest").alias("hub_digest")), "key")
     near = met.where(_apart(distance, "print", "hub_print") & ((F.col("print") != F.col("hub_print")) | (F.col("digest") != F.col("hub_digest"))))
-    return written(near.select(*_edge(("print", "digest"), ("hub_print", "hub_digest"))).distinct(), "stars")
+    # one star is enough for each node: what it leaves apart is found when nodes meet across roots
+    least = near.groupBy("print", "digest").agg(F.min(F.struct(F.col("hub_print").alias("print"), F.col("hub_digest").alias("digest"))).alias("hub"))
+    least = least.select("print", "digest", F.col("hub.print").alias("hub_print"), F.col("hub.digest").alias("hub_digest"))
+    return written(least.select(*_edge(("print", "digest"), ("hub_print", "hub_digest"))).distinct(), "stars")
 
 
 def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int) -> DataFrame:
