@@ -232,15 +232,15 @@ def _stars(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
     return written(least.select(*_edge(("print", "digest"), ("hub_print", "hub_digest"))).distinct(), "stars")
 
 
-def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int) -> DataFrame:
-    """All near pairs of nodes that are not under one root yet.
+def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int, similarity: tuple[int, int]) -> DataFrame:
+    """All near pairs of nodes, of sizes that can reach the similarity, that are not under one root yet.
 
     Of such two at least one is not under the root of their key's least node, so those alone
     meet all nodes of a key: a group under one root makes no pairs, whatever its size.
     """
     radius = distance // segments
     root = roots.select(F.col("node.print").alias("print"), F.col("node.digest").alias("digest"), F.col("root.print").alias("__rp"), F.col("root.digest").alias("__rd"))
-    placed = nodes.join(root, ["print", "digest"], "left").select("print", "digest", F.coalesce("__rp", "print").alias("rp"), F.coalesce("__rd", "digest").alias("rd"))
+    placed = nodes.join(root, ["print", "digest"], "left").select("print", "digest", "n", F.coalesce("__rp", "print").alias("rp"), F.coalesce("__rd", "digest").alias("rd"))
     placed = written(placed, "placed")
     table, probes = _entries(placed, segments, radius // 2), _entries(placed, segments, radius - radius // 2)
     hubs = table.groupBy("key").agg(F.min(F.struct("print", "digest", "rp", "rd")).alias("hub"), F.count("*").alias("c"))
@@ -250,11 +250,12 @@ def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int) ->
 
     def few(entries: DataFrame) -> DataFrame:
         strange = entries.join(hubs, "key").where((F.col("rp") != F.col("hp")) | (F.col("rd") != F.col("hd")))
-        return strange.select("key", *(F.col(c).alias(f"x_{c}") for c in ("print", "digest", "rp", "rd")))
+        return strange.select("key", *(F.col(c).alias(f"x_{c}") for c in ("print", "digest", "n", "rp", "rd")))
 
     def pairs(some: DataFrame, all_: DataFrame) -> DataFrame:
         apart = (F.col("x_rp") != F.col("rp")) | (F.col("x_rd") != F.col("rd"))
-        return some.join(all_, "key").where(_apart(distance, "x_print", "print") & apart).select(*_edge(("x_print", "x_digest"), ("print", "digest")))
+        sizes = similarity[1] * F.least("x_n", "n") >= similarity[0] * F.greatest("x_n", "n")
+        return some.join(all_, "key").where(_apart(distance, "x_print", "print") & apart & sizes).select(*_edge(("x_print", "x_digest"), ("print", "digest")))
 
     out = pairs(few(table), probes)
     if radius % 2:
@@ -268,7 +269,7 @@ def _similar(pairs: DataFrame, df: DataFrame, rows: DataFrame, id_col: str, text
     named = lambda c: F.struct(F.col("print"), F.col("digest")).alias(c)
     if pairs.isEmpty():
         return pairs
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().select(F.col("w.print").alias("print"), F.col("w.digest").alias("digest")), "wanted")
+    wanted = written(pairs.select("a.print", "a.digest").distinct().unionByName(pairs.select("b.print", "b.digest").distinct()).distinct(), "wanted")
     one = written(rows.join(wanted, ["print", "digest"], "left_semi").groupBy("print", "digest").agg(F.min("__id").alias("one"), F.max(F.col("__id").isNull()).alias("none")), "wanted-rows")
     ids = one.select(F.when(F.col("none"), F.lit(None)).otherwise(F.col("one")).alias("one")).distinct()
     texts = df.select(df[id_col].alias("__id"), df[text_col].alias("__text")).join(ids, F.col("__id").eqNullSafe(F.col("one")), "left_semi")
@@ -291,7 +292,8 @@ def near_copies(df: DataFrame, id_col: str, text_col: str = "text", shingle: int
     similar pairs are found: of 64 bits, 11 held 93 % of all pairs of similarity 0.8 when
     counted on the given tables. The keys that are enumerated grow with the texts, the
     fingerprints compared with their square over 2**(64 / segments): lower the distance or the
-    segments for larger corpora.
+    segments for larger corpora. Texts within the distance that do not reach the similarity
+    (a passage shared by many short texts) are compared pair by pair; linked ones are not.
 
     Ids tell rows of different texts apart (a struct will do); a null id is no candidate for
     the least. Repeated rows are kept; ties are of no effect. Other columns are not read.
@@ -300,11 +302,11 @@ def near_copies(df: DataFrame, id_col: str, text_col: str = "text", shingle: int
     over, under = similarity
     rows = written(_described(df, id_col, text_col, shingle), "described")
     nodes = written(rows.groupBy("print", "digest").agg(F.min("__id").alias("least"), F.min("n").alias("n")), "set-nodes")
-    looked = nodes.where((under - over) * F.col("n") >= over).select("print", "digest")
+    looked = nodes.where((under - over) * F.col("n") >= over).select("print", "digest", "n")
     verify = lambda pairs: _similar(pairs, df, rows, id_col, text_col, shingle, similarity)
-    stars = _stars(looked, distance, segments)
+    stars = _stars(looked.select("print", "digest"), distance, segments)
     roots = components(verify(stars))
-    across = _across(looked, roots, distance, segments)
+    across = _across(looked, roots, distance, segments, similarity)
     more = verify(written(across.join(stars, ["a", "b"], "left_anti"), "pairs"))
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))

@@ -242,8 +242,8 @@ def test_large_group_makes_no_pairs(spark):
         own[rng.randrange(len(own))] = f"x{i}"
         texts.append(" ".join(own))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    nodes = simhash._described(df, "doc_id", "text", 5).select("print", "digest").distinct()
-    stars = simhash._stars(nodes, 11, 4)
+    nodes = simhash._described(df, "doc_id", "text", 5).select("print", "digest", "n").distinct()
+    stars = simhash._stars(nodes.select("print", "digest"), 11, 4)
     assert stars.count() < 300
-    assert simhash._across(nodes, components(stars), 11, 4).count() < 300
+    assert simhash._across(nodes, components(stars), 11, 4, (4, 5)).count() < 300
     assert {r["component_id"] for r in simhash.near_copies(df, "doc_id").collect()} == {0}
