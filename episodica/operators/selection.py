@@ -48,11 +48,19 @@ def shard(df: DataFrame, key: str, k: int, contiguous: bool = True) -> DataFrame
 
 
 def batches(df: DataFrame, key: str, size: int, seed: object) -> DataFrame:
-    """``batch`` of rows in a seeded order, within 64 independent shuffles; the last, incomplete batch of each goes."""
-    df = df.withColumn("stream", F.pmod(F.xxhash64(F.col(key)), F.lit(64)).cast("long"))
-    w = Window.partitionBy("stream").orderBy(hash_rank(F.col(key), seed), key)
-    df = df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
-    return df.withColumn("__n", F.count("*").over(Window.partitionBy("stream", "batch"))).where(F.col("__n") == size).drop("__n")
+    """``batch`` of rows in a seeded order of all rows; the last, incomplete batch goes.
+
+    Hashes deal the rows evenly into 4,096 ranges of the order; a row's place is its number
+    in its range after those of the ranges before, so no task sees all rows.
+    """
+    ranged = df.withColumn("__h", hash_rank(F.col(key), seed)).withColumn("__range", F.left("__h", F.lit(3)))
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))  # 4,096 rows at most
+    order = Window.orderBy("__range")
+    sizes = sizes.withColumns({"__before": F.sum("__n").over(order) - F.col("__n"), "__all": F.sum("__n").over(Window.partitionBy(F.lit(1)))}).drop("__n")
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("__h", key)) - 1
+    numbered = ranged.withColumn("__place", place).join(F.broadcast(sizes), "__range").withColumn("__place", F.col("__place") + F.col("__before"))
+    whole = F.col("__place") < F.floor(F.col("__all") / size) * size
+    return numbered.where(whole).withColumn("batch", F.floor(F.col("__place") / size).cast("long")).drop("__h", "__range", "__place", "__before", "__all")
 
 
 def fill_gaps(df: DataFrame, key: str) -> DataFrame:

@@ -44,9 +44,9 @@ def modulo_shards(spark: SparkSession, d: str) -> DataFrame:
     return C.shard(trajectories(spark, d).select("ep").distinct(), "ep", 7, contiguous=False)
 
 
-@query("shuffled_batches")
+@query("shuffled_batches", "SELECT event_id, (p // 16)::BIGINT AS batch FROM (SELECT event_id, row_number() OVER (ORDER BY md5('7|' || event_id), event_id) - 1 AS p, count(*) OVER () AS n FROM events) WHERE p < n // 16 * 16")
 def shuffled_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Batches of 16 in a seeded order; streams are dealt by a hash that SQL does not have."""
+    """Batches of 16 in a seeded order."""
     return C.batches(table(spark, d, "events").select("event_id"), "event_id", 16, 7)
 
 
@@ -56,7 +56,20 @@ def random_choice(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.element_at(F.array(F.lit("first"), F.lit("second"), F.lit("third")), F.floor(u * 3).cast("int") + 1).alias("choice"))
 
 
-@query("mixture_sample")
+_DRAW = "('0x' || substr(sha256('11|{}|' || i), 1, 13))::BIGINT / 4503599627370496.0"
+
+
+@query(
+    "mixture_sample",
+    f"""WITH e AS (SELECT o_custkey % 5 AS dataset, o_custkey AS episode, count(*) AS length FROM orders GROUP BY 1, 2),
+    w AS (SELECT * FROM (VALUES (0, 1.0::DOUBLE), (1, 0.5::DOUBLE), (3, 2.0::DOUBLE), (4, 0.25::DOUBLE)) AS t(dataset, weight)),
+    r AS (SELECT dataset, sum(weight) OVER (ORDER BY dataset) / sum(weight) OVER () AS high FROM w),
+    q AS (SELECT i, {_DRAW.format("dataset")} AS ud, {_DRAW.format("episode")} AS ue, {_DRAW.format("step")} AS us FROM range(2000) AS t(i)),
+    c AS (SELECT i, ue, us, (SELECT min(dataset) FROM r WHERE high > ud) AS dataset FROM q),
+    h AS (SELECT dataset, episode, length, (sum(length) OVER k)::DOUBLE / (sum(length) OVER (PARTITION BY dataset))::DOUBLE AS high FROM e WINDOW k AS (PARTITION BY dataset ORDER BY episode)),
+    g AS (SELECT *, coalesce(lag(high) OVER (PARTITION BY dataset ORDER BY episode), 0.0) AS low FROM h)
+    SELECT i AS index, c.dataset::BIGINT AS dataset, episode, floor(us * length)::BIGINT AS step FROM c JOIN g ON c.dataset = g.dataset AND ue >= low AND ue < high""",
+)
 def mixture_sample(spark: SparkSession, d: str) -> DataFrame:
     """2,000 draws: a dataset by weight, an episode by length, a step; the draws' number is the operator's parameter."""
     t = table(spark, d, "orders").select((F.col("o_custkey") % 5).alias("dataset"), F.col("o_custkey").alias("episode"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources.folders import shared_folder
+
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -88,8 +90,13 @@ def chunk_broker(requests: DataFrame, horizon: int) -> DataFrame:
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Run a stream over all that is there now, into a table in memory: for tests and bounded replays."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    query = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Run a stream over all that is there now, into files of the shared folder; in complete mode the last batch's rows replace those before."""
+    spark = stream.sparkSession
+    path = shared_folder(spark, name)
+    state = checkpoint or shared_folder(spark, f"{name}-state")
+    if mode == "append":
+        writer = stream.writeStream.format("parquet").option("path", path)
+    else:
+        writer = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+    writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
