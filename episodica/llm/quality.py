@@ -3,13 +3,19 @@
 Spark counts the words and the pairs of neighbouring words of each language, every
 distinct text once. Pairs and words that came once alone are not stored: their mass goes
 to the shorter context, so a text is not made likely by itself. What is stored grows with
-the corpus: log probabilities of pairs, back-off weights of contexts and log probabilities
-of words, in arrays sorted by 64-bit hashes. Up to a counted bound the arrays are
-broadcast; beyond it the texts' pairs are joined with the same table.
+the corpus: counts of pairs, back-off weights of contexts and probabilities of words, in
+arrays sorted by hash.
+
+A first pass counts pairs by hash: tasks pass on sorted runs of hashes of five bytes and a
+bucket's bits, which buckets merge, keeping those that came twice. A second pass looks each
+pair up there and adds up what each word was followed by and what it followed. Up to a
+counted bound the arrays are broadcast; beyond it pairs are counted as rows and the texts'
+pairs are joined with them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +30,20 @@ _SYMBOLS = any_of(*((ord(c), ord(c)) for c in "#*$%&|<>"))
 _LOWER, _STEP = lower_bytes(), np.uint64(0xD6E8FEB86659FD93)
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-#: Entries of the model (12 bytes each) up to which it is broadcast.
-BROADCAST_ENTRIES = 8_000_000
+#: Pairs of the model (12 bytes each), and words of it, up to which it is broadcast.
+BROADCAST_ENTRIES = 16_000_000
 
 #: Rows of per-language figures, and of texts that have copies, up to which they are broadcast.
 BROADCAST_LANGUAGES, BROADCAST_COPIES = 10_000, 1_000_000
 
-#: Pairs that a task gathers before it passes them on.
-GATHERED = 1_000_000
+#: Pairs, or words, that a task gathers before it passes them on.
+GATHERED = 4_000_000
+
+#: Words of the corpus for each bucket of pair hashes, which one task merges; bytes taken for a word.
+BUCKET_WORDS, WORD_BYTES = 1 << 21, 6
+
+#: Bits of a pair's hash that are stored beside those of its bucket.
+STORED = 40
 
 #: Log probabilities are whole numbers of this part of a bit, so that sums are the same in any order.
 PART = 1 << 20
@@ -134,7 +146,7 @@ def pair_counts(texts: DataFrame) -> DataFrame:
                 _, first, n = np.unique(_together(u, w), return_index=True, return_counts=True)
                 gathered.append((np.array(langs, object)[rows[first]], u[first], w[first], n))
                 size += len(first)
-                if size >= GATHERED:
+                if size >= GATHERED // 4:
                     yield passed(gathered)
                     size = 0
         if gathered:
@@ -164,6 +176,20 @@ def _cut(n: str) -> Column:
     return F.when(F.col(n) == 1, F.col(f"d_{n}1")).when(F.col(n) == 2, F.col(f"d_{n}2")).otherwise(F.col(f"d_{n}3"))
 
 
+def _language_figures(tallies: DataFrame, follow: DataFrame) -> DataFrame:
+    """Discounts of each language, and the probability ``rest`` of a word that followed less than two words.
+
+    ``tallies``: how many pairs came once to four times; ``follow``: m, the number of words
+    that each word followed.
+    """
+    langs = tallies.select("lang", *_discounts("n"))
+    lower = follow.groupBy("lang").agg(*_tally("m"), F.sum("m").alias("all"), F.count_if(F.col("m") >= 2).alias("words"), F.count_if(F.col("m") == 2).alias("twos"), F.count_if(F.col("m") >= 3).alias("more"))
+    lower = lower.select("lang", "all", "words", "twos", "more", "m1", *_discounts("m"))
+    # words that followed one word alone give all their mass away
+    lower = lower.withColumn("rest", (F.col("m1") + F.col("twos") * F.col("d_m2") + F.col("more") * F.col("d_m3")) / F.col("all") / (F.col("words") + 1))
+    return written(langs.join(lower, "lang"), "language-figures")
+
+
 def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The entries (kind, u, w, cost) of a model of all languages, and each language's cost of an unknown word.
 
@@ -174,12 +200,7 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     cost = lambda p: F.round(-F.log2(p) * PART).cast("long").alias("cost")
     follow = written(counts.groupBy("lang", "w").agg(F.count("*").alias("m")), "followers")
-    langs = counts.groupBy("lang").agg(*_tally("n")).select("lang", *_discounts("n"))
-    lower = follow.groupBy("lang").agg(*_tally("m"), F.sum("m").alias("all"), F.count_if(F.col("m") >= 2).alias("words"), F.count_if(F.col("m") == 2).alias("twos"), F.count_if(F.col("m") >= 3).alias("more"))
-    lower = lower.select("lang", "all", "words", "twos", "more", "m1", *_discounts("m"))
-    # words that followed one word alone give all their mass away
-    lower = lower.withColumn("rest", (F.col("m1") + F.col("twos") * F.col("d_m2") + F.col("more") * F.col("d_m3")) / F.col("all") / (F.col("words") + 1))
-    langs = written(langs.join(lower, "lang"), "language-figures")
+    langs = _language_figures(counts.groupBy("lang").agg(*_tally("n")), follow)
     by_lang = F.broadcast(langs) if langs.count() <= BROADCAST_LANGUAGES else langs
     words = follow.where("m >= 2").join(by_lang, "lang").select("w", ((F.col("m") - _cut("m")) / F.col("all") + F.col("rest")).alias("p"))
     words = written(words, "word-entries")
@@ -192,48 +213,228 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(entries, "model-entries"), langs.select("lang", cost(F.col("rest")))
 
 
-class Arrays:
-    """The entries of a model in arrays sorted by hash."""
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of whole numbers, all first bytes before all second ones: high bytes of sorted or small values compress."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
 
-    def __init__(self, entries: pa.Table, unknown: dict[str, int]):
-        self.unknown = unknown
-        kind, u, w = (entries.column(x).to_numpy() for x in ("kind", "u", "w"))
-        cost = entries.column("cost").to_numpy().astype(np.int32)
-        self.parts = []
-        for which in range(3):
-            at = np.flatnonzero(kind == which)
-            own, other = u[at].view(np.uint64), w[at].view(np.uint64)
-            keys = (other, own, _together(own, other) if which == 2 else None)[which]
-            order = np.argsort(keys)
-            self.parts.append((keys[order], cost[at][order]))
+def _whole(planes: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.view("<u8").reshape(-1)
 
-    def costs(self, before: np.ndarray, words: np.ndarray, unknown: np.ndarray) -> np.ndarray:
-        """The cost of each word after the one before it; ``unknown`` is what an unknown word costs there."""
 
-        def looked(which: int, keys: np.ndarray, absent: np.ndarray | int) -> np.ndarray:
-            known, cost = self.parts[which]
-            at = find(known, keys)
-            return np.where(at >= 0, cost[at] if len(cost) else 0, absent)
+def _short(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The bits of pair hashes that are compared: those of the bucket and the stored ones."""
+    return keys >> np.uint64(64 - STORED - bits)
 
-        away = looked(1, before, 0) + looked(0, words, unknown)
-        return looked(2, _together(before, words), away).astype(np.int64)
 
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sum of each one's numbers."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n, first)
 
-def _scored(df: DataFrame, entries: DataFrame, unknown: DataFrame, id_col: str, lang_col: str, text_col: str) -> DataFrame:
+
+def repeated_pairs(texts: DataFrame, bits: int) -> DataFrame:
+    """lang, bucket, keys and n of the pairs that came twice or more, and n1 to n4, how many came once to four times.
+
+    A task passes on one row a language and bucket for each ``GATHERED`` pairs: hashes of
+    pairs that it met once, and those of others with their counts. A bucket holds
+    ``BUCKET_WORDS`` words of the corpus or fewer, so what one task merges does not grow.
+    """
+
+    def passed(gathered: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in gathered.items():
+            keys, n = _added(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            whose = (keys >> np.uint64(STORED)).astype(np.int64)
+            cuts = np.append(np.flatnonzero(np.append(True, whose[1:] != whose[:-1])), len(keys)).tolist()
+            once, more, times = [], [], []
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                single = n[i:j] == 1
+                once.append(_planes(keys[i:j][single], 5))
+                more.append(_planes(keys[i:j][~single], 5))
+                times.append(_planes(n[i:j][~single], 4))
+            rows = [pa.array([lang] * len(once)), pa.array(whose[cuts[:-1]].astype(np.int32)), *(pa.array(x, pa.binary()) for x in (once, more, times))]
+            yield pa.RecordBatch.from_arrays(rows, ["lang", "bucket", "once", "more", "times"])
+        gathered.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: dict[str, list] = {}
+        size = 0
+        for batch in worker("quality", batches):
+            names = batch.column("__lang").to_pylist()
+            for c in chunks(batch.column("__text")):
+                langs = names[c.first : c.last]
+                u, w, rows = pairs(c, langs)
+                keys, codes, known = _short(_together(u, w), bits), *_coded(langs)
+                for i, lang in enumerate(known):
+                    own, n = np.unique(keys[codes[rows] == i], return_counts=True)
+                    if len(own):
+                        gathered.setdefault(lang, []).append((own, n))
+                        size += len(own)
+                if size >= GATHERED:
+                    yield from passed(gathered)
+                    size = 0
+        yield from passed(gathered)
+
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        parts = {x: [_whole(b, width) for b in table.column(x).to_pylist()] for x, width in (("once", 5), ("more", 5), ("times", 4))}
+        ones = [np.ones(len(x), np.int64) for x in parts["once"]]
+        keys, n = _added(np.concatenate(parts["once"] + parts["more"]), np.concatenate(ones + [x.astype(np.int64) for x in parts["times"]]))
+        kept = n >= 2
+        row = [key[0].as_py(), key[1].as_py(), _planes(keys[kept], 5), _planes(n[kept], 4), int(kept.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4))]
+        return pa.table({f.name: pa.array([x], f.type) for f, x in zip(made, row, strict=True)})
+
+    made = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("keys", pa.binary()), ("times", pa.binary()), ("pairs", pa.int64()), *((f"n{k}", pa.int64()) for k in (1, 2, 3, 4))])
+    short_batches(texts.sparkSession)
+    parts = texts.mapInArrow(run, "lang string, bucket int, once binary, more binary, times binary")
+    return written(parts.groupBy("lang", "bucket").applyInArrow(merged, "lang string, bucket int, keys binary, times binary, pairs long, n1 long, n2 long, n3 long, n4 long"), "repeated-pairs")
+
+
+def _coded(langs: list[str]) -> tuple[np.ndarray, list[str]]:
+    """Each row's place in the list of distinct languages, and that list."""
+    known = sorted(set(langs))
+    place = {x: i for i, x in enumerate(known)}
+    return np.array([place[x] for x in langs], np.int64), known
+
+
+class Pairs:
+    """Counts of the pairs that came twice or more, in arrays sorted by hash."""
+
+    def __init__(self, repeated: DataFrame, bits: int):
+        self.bits = bits
+        table = repeated.select("bucket", "keys", "times").toArrow()
+        keys, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+        for bucket, k, t in zip(*(table.column(x).to_pylist() for x in ("bucket", "keys", "times")), strict=True):
+            keys.append(_whole(k, 5) | np.uint64(bucket << STORED))
+            n.append(_whole(t, 4).astype(np.uint32))
+        keys, n = np.concatenate(keys), np.concatenate(n)
+        order = np.argsort(keys)
+        self.keys, self.n = keys[order], n[order]
+
+    def counts(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """How often each pair came: one where it is not stored."""
+        wanted, back = np.unique(_short(_together(before, words), self.bits), return_inverse=True)
+        at = find(self.keys, wanted)
+        return np.where(at >= 0, self.n[at] if len(self.n) else 1, 1)[back].astype(np.int64)
+
+
+def word_figures(texts: DataFrame, shared) -> DataFrame:
+    """lang, word (hash), ones, n2, n3, total and m of every word and mark.
+
+    ones, n2 and n3: how many words followed it once, twice and more often; total: how often
+    a word followed it; m: how many words it followed. A pair that came n times adds 1/n at
+    each of its places; sums are rounded to the whole numbers that they are.
+    """
+    names = ["ones", "twos", "more", "threes", "follows"]
+
+    def passed(gathered: list[tuple]) -> pa.RecordBatch:
+        words, lang, *sums_ = (np.concatenate(x) for x in zip(*gathered, strict=True))
+        gathered.clear()
+        _, first, back = np.unique(words, return_index=True, return_inverse=True)
+        sums_ = [np.bincount(back, x, len(first)) for x in sums_]
+        columns = [pa.array(x.astype(np.int32 if i < 3 else np.float64)) for i, x in enumerate(sums_)]
+        return pa.RecordBatch.from_arrays([pa.array(lang[first], pa.string()), pa.array(words[first].view(np.int64)), *columns], ["lang", "word", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        gathered: list[tuple] = []
+        size = 0
+        for batch in worker("quality", batches):
+            langs = batch.column("__lang").to_pylist()
+            for c in chunks(batch.column("__text")):
+                u, w, rows = pairs(c, langs[c.first : c.last])
+                n = known.counts(u, w)
+                words, first, back = np.unique(np.concatenate([u, w]), return_index=True, return_inverse=True)
+                of_u, of_w = back[: len(u)], back[len(u) :]
+                own = np.array(langs[c.first : c.last], object)[np.concatenate([rows, rows])[first]]
+                part = 1 / n
+                values = [np.bincount(of_u, x, len(words)) for x in (n == 1, n == 2, n > 2, part * (n > 2))]
+                gathered.append((words, own, *values, np.bincount(of_w, part, len(words))))
+                size += len(words)
+                if size >= GATHERED:
+                    yield passed(gathered)
+                    size = 0
+        if gathered:
+            yield passed(gathered)
+
+    out = texts.mapInArrow(run, "lang string, word long, ones int, twos int, more int, threes double, follows double")
+    out = out.groupBy("lang", "word").agg(*(F.sum(x).alias(x) for x in names))
+    whole = lambda x: F.round(x).cast("long")
+    return written(out.select("lang", "word", "ones", (F.col("twos") / 2).cast("long").alias("n2"), whole("threes").alias("n3"), (F.col("ones") + F.col("twos") + F.col("more")).alias("total"), whole("follows").alias("m")), "word-figures")
+
+
+class Words:
+    """Figures of words and languages, in arrays sorted by hash."""
+
+    def __init__(self, entries: DataFrame, langs: DataFrame):
+        table = entries.toArrow()
+        words = table.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(words)
+        self.words = words[order]
+        self.total, self.back, self.p = (table.column(x).to_numpy()[order].astype(np.float64) for x in ("total", "back", "p"))
+        self.langs = {r["lang"]: (r["rest"], r["d_n2"], r["d_n3"]) for r in langs.collect()}
+
+    def costs(self, before: np.ndarray, words: np.ndarray, n: np.ndarray, figures: np.ndarray) -> np.ndarray:
+        """The cost of each word after the one before it; n: how often that pair came; ``figures``: rest and discounts of its language."""
+        cost = lambda p: np.rint(-np.log2(p) * PART).astype(np.int64)
+        rest, two, three = figures.T
+        pad = lambda x, absent: np.append(x, absent)  # noqa: E731  (place -1: what is not stored)
+        at_u, at_w = find(self.words, before), find(self.words, words)
+        back, total, p = pad(self.back, 0)[at_u], pad(self.total, 0)[at_u], pad(self.p, 0)[at_w]
+        p = np.where(p > 0, p, rest)
+        again = n >= 2
+        out = cost(np.where(back > 0, back, 1)) + cost(p)
+        out[again] = cost((n[again] - np.where(n[again] == 2, two[again], three[again])) / total[again] + back[again] * p[again])
+        return out
+
+
+def counted(texts: DataFrame, size: int, bound: int) -> tuple[Pairs, Words] | None:
+    """The model in sorted arrays, or None if it has over ``bound`` pairs or words. ``size``: bytes of all texts."""
+    spark = texts.sparkSession
+    bits = min(24, max(8, math.ceil(math.log2(max(1, size) / WORD_BYTES / BUCKET_WORDS))))
+    repeated = repeated_pairs(texts, bits)
+    if (repeated.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]) > bound:
+        return None
+    known = Pairs(repeated, bits)
+    shared = spark.sparkContext.broadcast(known)
+    words = word_figures(texts, shared)
+    shared.unpersist()
+    tallies = repeated.groupBy("lang").agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in (1, 2, 3, 4)))
+    langs = _language_figures(tallies, words.where("m > 0"))
+    if langs.count() > BROADCAST_LANGUAGES:
+        return None
+    entries = words.where("m >= 2 OR n2 + n3 > 0")
+    if entries.count() > bound:
+        return None
+    given = F.col("ones") + F.col("n2") * F.col("d_n2") + F.col("n3") * F.col("d_n3")
+    entries = entries.join(F.broadcast(langs), "lang").select(
+        "word",
+        "total",
+        F.when(F.col("n2") + F.col("n3") > 0, given / F.col("total")).otherwise(0.0).alias("back"),
+        F.when(F.col("m") >= 2, (F.col("m") - _cut("m")) / F.col("all") + F.col("rest")).otherwise(0.0).alias("p"),
+    )
+    return known, Words(entries, langs)
+
+
+def _scored(df: DataFrame, arrays: tuple[Pairs, Words], id_col: str, lang_col: str, text_col: str) -> DataFrame:
     """__id, __lang, the base counts and __cost of every row, under a broadcast model."""
-    arrays = Arrays(entries.toArrow(), {r["lang"]: r["cost"] for r in unknown.collect()})
     shared = df.sparkSession.sparkContext.broadcast(arrays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, figures = shared.value
         for batch in worker("quality", batches):
             names = batch.column("__lang").to_pylist()
             for c in chunks(batch.column("__text")):
                 langs = names[c.first : c.last]
                 u, w, rows = pairs(c, langs)
-                cost = known.costs(u, w, np.array([known.unknown.get(x, 0) for x in langs], np.int64)[rows])
+                by_row = np.array([figures.langs.get(x, (1.0, *USUAL[1:])) for x in langs], np.float64).reshape(-1, 3)
                 total = np.zeros(c.rows, np.int64)
-                np.add.at(total, rows, cost)
+                np.add.at(total, rows, figures.costs(u, w, known.counts(u, w), by_row[rows]))
                 yield pa.RecordBatch.from_arrays([batch.column("__id").slice(c.first, c.rows), batch.column("__lang").slice(c.first, c.rows), *(pa.array(x.astype(np.int64)) for x in _base(c)), pa.array(total)], ["__id", "__lang", *NAMES, "__cost"])
 
     source = df.select(df[id_col].alias("__id"), F.coalesce(df[lang_col], F.lit("")).alias("__lang"), df[text_col].alias("__text"))
@@ -279,12 +480,16 @@ def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_
     """
     spark = df.sparkSession
     short_batches(spark)
-    counts = written(pair_counts(_distinct_texts(df, id_col, lang_col, text_col)), "pair-counts")
-    entries, unknown = model(counts)
-    way = _scored if entries.count() <= broadcast_entries and unknown.count() <= BROADCAST_LANGUAGES else _scored_by_joins
+    texts = _distinct_texts(df, id_col, lang_col, text_col)
+    size = df.agg(F.coalesce(F.sum(F.octet_length(df[text_col])), F.lit(0))).first()[0]
+    if (arrays := counted(texts, size, broadcast_entries)) is not None:
+        scored = _scored(df, arrays, id_col, lang_col, text_col)
+    else:
+        entries, unknown = model(written(pair_counts(texts), "pair-counts"))
+        scored = _scored_by_joins(df, entries, unknown, id_col, lang_col, text_col)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     bits = F.when(F.col("n_words") > 0, F.col("__cost") / F.col("n_words") / PART)
-    rows = written(way(df, entries, unknown, id_col, lang_col, text_col).withColumns({"base_failed": failed, "__bits": bits}), "scored")
+    rows = written(scored.withColumns({"base_failed": failed, "__bits": bits}), "scored")
     step = 0.001
     bins = rows.where(~F.col("base_failed")).groupBy("__lang", F.floor(F.col("__bits") / step).alias("bin")).agg(F.count("*").alias("n"))
     middle = _median(bins, "bin").withColumnRenamed("median", "__middle")

@@ -78,8 +78,7 @@ def test_model_against_formulas(spark):
     vocabulary = [f"W{i}" for i in range(12)]
     texts = [" ".join(vocabulary[min(int(rng.exponential(3)), 11)] for _ in range(12)) for _ in range(40)] + ["once only here"]
     df = spark.createDataFrame([("xx", t) for t in texts], "__lang string, __text string")
-    entries, unknown = quality.model(quality.pair_counts(df))
-    arrays = quality.Arrays(entries.toArrow(), {r["lang"]: r["cost"] for r in unknown.collect()})
+    stored, figures = quality.counted(df, 10**4, 10**6)
 
     pair, follow = collections.Counter(), collections.Counter()
     for t in texts:
@@ -108,7 +107,7 @@ def test_model_against_formulas(spark):
         words = [*[x.lower() for x in vocabulary], "here", "new"]
         c = next(chunks(pa.array([f"{u} {w}" for w in words])))
         before, own, rows = quality.pairs(c, ["xx"] * len(words))
-        cost = arrays.costs(before, own, np.full(len(own), arrays.unknown["xx"]))[rows.searchsorted(np.arange(len(words))) + 1]
+        cost = figures.costs(before, own, stored.counts(before, own), np.tile(figures.langs["xx"], (len(own), 1)))[rows.searchsorted(np.arange(len(words))) + 1]
         assert cost / quality.PART == pytest.approx([-math.log2(prob(u, w)) for w in words], abs=1e-4)
         known = [w for w in follow if follow[w] > 1]
         assert sum(prob(u, w) for w in known) + prob(u, "unknown") == pytest.approx(1, abs=1e-9)
