@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,10 @@ GATHERED = 4_000_000
 #: Words of the corpus for each bucket of pair hashes, which one task merges; bytes taken for a word.
 BUCKET_WORDS, WORD_BYTES = 1 << 21, 6
 
-#: Bits of a pair's hash that are stored beside those of its bucket.
+#: Parts in which the driver fetches the model.
+FETCHES = 4
+
+#: Bits of a hash that are stored beside those of its bucket.
 STORED = 40
 
 #: Log probabilities are whole numbers of this part of a bit, so that sums are the same in any order.
@@ -179,15 +183,14 @@ def _cut(n: str) -> Column:
 def _language_figures(tallies: DataFrame, follow: DataFrame) -> DataFrame:
     """Discounts of each language, and the probability ``rest`` of a word that followed less than two words.
 
-    ``tallies``: how many pairs came once to four times; ``follow``: m, the number of words
-    that each word followed.
+    ``tallies``: n1 to n4, how many pairs came once to four times; ``follow``: m1 to m4, how
+    many words followed one to four words, ``words``, how many two or more, and ``all``, the sum.
     """
-    langs = tallies.select("lang", *_discounts("n"))
-    lower = follow.groupBy("lang").agg(*_tally("m"), F.sum("m").alias("all"), F.count_if(F.col("m") >= 2).alias("words"), F.count_if(F.col("m") == 2).alias("twos"), F.count_if(F.col("m") >= 3).alias("more"))
-    lower = lower.select("lang", "all", "words", "twos", "more", "m1", *_discounts("m"))
+    lower = follow.select("lang", "all", "words", "m1", "m2", *_discounts("m"))
     # words that followed one word alone give all their mass away
-    lower = lower.withColumn("rest", (F.col("m1") + F.col("twos") * F.col("d_m2") + F.col("more") * F.col("d_m3")) / F.col("all") / (F.col("words") + 1))
-    return written(langs.join(lower, "lang"), "language-figures")
+    given = F.col("m1") + F.col("m2") * F.col("d_m2") + (F.col("words") - F.col("m2")) * F.col("d_m3")
+    lower = lower.withColumn("rest", given / F.col("all") / (F.col("words") + 1))
+    return written(tallies.select("lang", *_discounts("n")).join(lower, "lang"), "language-figures")
 
 
 def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -200,7 +203,8 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     cost = lambda p: F.round(-F.log2(p) * PART).cast("long").alias("cost")
     follow = written(counts.groupBy("lang", "w").agg(F.count("*").alias("m")), "followers")
-    langs = _language_figures(counts.groupBy("lang").agg(*_tally("n")), follow)
+    lower = follow.groupBy("lang").agg(*_tally("m"), F.sum("m").alias("all"), F.count_if(F.col("m") >= 2).alias("words"))
+    langs = _language_figures(counts.groupBy("lang").agg(*_tally("n")), lower)
     by_lang = F.broadcast(langs) if langs.count() <= BROADCAST_LANGUAGES else langs
     words = follow.where("m >= 2").join(by_lang, "lang").select("w", ((F.col("m") - _cut("m")) / F.col("all") + F.col("rest")).alias("p"))
     words = written(words, "word-entries")
@@ -239,6 +243,13 @@ def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first)
 
 
+def _buckets(keys: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The buckets of sorted keys, and the first and last place of each."""
+    whose = (keys >> np.uint64(STORED)).astype(np.int32)
+    cuts = np.append(np.flatnonzero(np.append(True, whose[1:] != whose[:-1])), len(keys))
+    return whose[cuts[:-1]], list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+
+
 def repeated_pairs(texts: DataFrame, bits: int) -> DataFrame:
     """lang, bucket, keys and n of the pairs that came twice or more, and n1 to n4, how many came once to four times.
 
@@ -250,15 +261,14 @@ def repeated_pairs(texts: DataFrame, bits: int) -> DataFrame:
     def passed(gathered: dict[str, list]) -> Iterator[pa.RecordBatch]:
         for lang, parts in gathered.items():
             keys, n = _added(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-            whose = (keys >> np.uint64(STORED)).astype(np.int64)
-            cuts = np.append(np.flatnonzero(np.append(True, whose[1:] != whose[:-1])), len(keys)).tolist()
+            whose, places = _buckets(keys)
             once, more, times = [], [], []
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            for i, j in places:
                 single = n[i:j] == 1
                 once.append(_planes(keys[i:j][single], 5))
                 more.append(_planes(keys[i:j][~single], 5))
                 times.append(_planes(n[i:j][~single], 4))
-            rows = [pa.array([lang] * len(once)), pa.array(whose[cuts[:-1]].astype(np.int32)), *(pa.array(x, pa.binary()) for x in (once, more, times))]
+            rows = [pa.array([lang] * len(once)), pa.array(whose), *(pa.array(x, pa.binary()) for x in (once, more, times))]
             yield pa.RecordBatch.from_arrays(rows, ["lang", "bucket", "once", "more", "times"])
         gathered.clear()
 
@@ -302,18 +312,25 @@ def _coded(langs: list[str]) -> tuple[np.ndarray, list[str]]:
     return np.array([place[x] for x in langs], np.int64), known
 
 
+def _fetched(table: DataFrame, bits: int, *columns: str) -> Iterator[tuple]:
+    """Rows of a table of buckets, in ``FETCHES`` parts, so that the driver holds one part beside what is made of it."""
+    for i in range(FETCHES):
+        own = F.col("bucket").between((i << bits) // FETCHES, ((i + 1 << bits) // FETCHES) - 1)
+        part = table.where(own).select("bucket", *columns).toArrow()
+        yield from zip(*(part.column(x).to_pylist() for x in ("bucket", *columns)), strict=True)
+
+
 class Pairs:
     """Counts of the pairs that came twice or more, in arrays sorted by hash."""
 
-    def __init__(self, repeated: DataFrame, bits: int):
+    def __init__(self, repeated: DataFrame, bits: int, size: int):
         self.bits = bits
-        table = repeated.select("bucket", "keys", "times").toArrow()
-        keys, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
-        for bucket, k, t in zip(*(table.column(x).to_pylist() for x in ("bucket", "keys", "times")), strict=True):
-            keys.append(_whole(k, 5) | np.uint64(bucket << STORED))
-            n.append(_whole(t, 4).astype(np.uint32))
-        keys, n = np.concatenate(keys), np.concatenate(n)
-        order = np.argsort(keys)
+        keys, n, at = np.zeros(size, np.uint64), np.zeros(size, np.uint32), 0
+        for bucket, k, t in _fetched(repeated, bits, "keys", "times"):
+            own = _whole(k, 5) | np.uint64(bucket << STORED)
+            keys[at : at + len(own)], n[at : at + len(own)] = own, _whole(t, 4)
+            at += len(own)
+        order = np.argsort(keys).astype(np.uint32)
         self.keys, self.n = keys[order], n[order]
 
     def counts(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -323,68 +340,106 @@ class Pairs:
         return np.where(at >= 0, self.n[at] if len(self.n) else 1, 1)[back].astype(np.int64)
 
 
-def word_figures(texts: DataFrame, shared) -> DataFrame:
-    """lang, word (hash), ones, n2, n3, total and m of every word and mark.
+FIGURES = ("ones", "n2", "n3", "total", "m")
+
+
+def word_figures(texts: DataFrame, shared, bits: int) -> DataFrame:
+    """Words and marks by language and bucket: words (hashes) and ``FIGURES`` of those in a pair that came twice, or that followed two words or more; m1 to m4, ``all`` and ``words`` of all.
 
     ones, n2 and n3: how many words followed it once, twice and more often; total: how often
     a word followed it; m: how many words it followed. A pair that came n times adds 1/n at
-    each of its places; sums are rounded to the whole numbers that they are.
+    each of its places; sums are rounded to the whole numbers that they are. Words that a task
+    met once, in pairs that came once, are passed on as hashes alone.
     """
-    names = ["ones", "twos", "more", "threes", "follows"]
+    counts, parts = ("ones", "twos", "more"), ("threes", "follows")
 
-    def passed(gathered: list[tuple]) -> pa.RecordBatch:
-        words, lang, *sums_ = (np.concatenate(x) for x in zip(*gathered, strict=True))
+    def passed(gathered: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        for lang, some in gathered.items():
+            words, *values = (np.concatenate(x) for x in zip(*some, strict=True))
+            words, back = np.unique(words, return_inverse=True)
+            values = np.array([np.bincount(back, x, len(words)) for x in values])
+            plain = (values == np.array([1, 0, 0, 0, 1])[:, None]).all(axis=0)
+            whose, places = _buckets(words)
+            columns: list[list[bytes]] = [[] for _ in range(7)]
+            for i, j in places:
+                single, rest = plain[i:j], values[:, i:j][:, ~plain[i:j]]
+                whole = [words[i:j][single], words[i:j][~single], *rest[:3].astype(np.int64), *(x.copy().view(np.int64) for x in rest[3:])]
+                for column, x, width in zip(columns, whole, (5, 5, 4, 4, 4, 8, 8), strict=True):
+                    column.append(_planes(x, width))
+            rows = [pa.array([lang] * len(places)), pa.array(whose), *(pa.array(x, pa.binary()) for x in columns)]
+            yield pa.RecordBatch.from_arrays(rows, ["lang", "bucket", "plain", "words", *counts, *parts])
         gathered.clear()
-        _, first, back = np.unique(words, return_index=True, return_inverse=True)
-        sums_ = [np.bincount(back, x, len(first)) for x in sums_]
-        columns = [pa.array(x.astype(np.int32 if i < 3 else np.float64)) for i, x in enumerate(sums_)]
-        return pa.RecordBatch.from_arrays([pa.array(lang[first], pa.string()), pa.array(words[first].view(np.int64)), *columns], ["lang", "word", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        gathered: list[tuple] = []
+        gathered: dict[str, list] = {}
         size = 0
         for batch in worker("quality", batches):
-            langs = batch.column("__lang").to_pylist()
+            names = batch.column("__lang").to_pylist()
             for c in chunks(batch.column("__text")):
-                u, w, rows = pairs(c, langs[c.first : c.last])
+                langs = names[c.first : c.last]
+                u, w, rows = pairs(c, langs)
+                codes, langs = _coded(langs)
                 n = known.counts(u, w)
-                words, first, back = np.unique(np.concatenate([u, w]), return_index=True, return_inverse=True)
+                words, first, back = np.unique(_short(np.concatenate([u, w]), bits), return_index=True, return_inverse=True)
                 of_u, of_w = back[: len(u)], back[len(u) :]
-                own = np.array(langs[c.first : c.last], object)[np.concatenate([rows, rows])[first]]
                 part = 1 / n
                 values = [np.bincount(of_u, x, len(words)) for x in (n == 1, n == 2, n > 2, part * (n > 2))]
-                gathered.append((words, own, *values, np.bincount(of_w, part, len(words))))
+                values.append(np.bincount(of_w, part, len(words)))
+                own = codes[np.concatenate([rows, rows])[first]]
+                for i, lang in enumerate(langs):
+                    at = own == i
+                    if at.any():
+                        gathered.setdefault(lang, []).append((words[at], *(x[at] for x in values)))
                 size += len(words)
                 if size >= GATHERED:
-                    yield passed(gathered)
+                    yield from passed(gathered)
                     size = 0
-        if gathered:
-            yield passed(gathered)
+        yield from passed(gathered)
 
-    out = texts.mapInArrow(run, "lang string, word long, ones int, twos int, more int, threes double, follows double")
-    out = out.groupBy("lang", "word").agg(*(F.sum(x).alias(x) for x in names))
-    whole = lambda x: F.round(x).cast("long")
-    return written(out.select("lang", "word", "ones", (F.col("twos") / 2).cast("long").alias("n2"), whole("threes").alias("n3"), (F.col("ones") + F.col("twos") + F.col("more")).alias("total"), whole("follows").alias("m")), "word-figures")
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        columns = {x: np.concatenate([_whole(b, width) for b in table.column(x).to_pylist()]) for x, width in (("plain", 5), ("words", 5), *((x, 4) for x in counts), *((x, 8) for x in parts))}
+        plain = np.ones(len(columns["plain"]))
+        rest = [columns[x].astype(np.float64) for x in counts] + [columns[x].view(np.float64) for x in parts]
+        words, back = np.unique(np.concatenate([columns["plain"], columns["words"]]), return_inverse=True)
+        ones, twos, more, threes, follows = (np.bincount(back, np.concatenate([plain * own, x]), len(words)) for own, x in zip((1, 0, 0, 0, 1), rest, strict=True))
+        n2, n3, m = (np.rint(x).astype(np.int64) for x in (twos / 2, threes, follows))
+        kept = (m >= 2) | (n2 + n3 > 0)
+        figures = [ones, n2, n3, ones + twos + more, m]
+        row = [key[0].as_py(), key[1].as_py(), int(kept.sum()), _planes(words[kept], 5), *(_planes(x[kept].astype(np.int64), 6) for x in figures), *(int((m == k).sum()) for k in (1, 2, 3, 4)), int(m.sum()), int((m >= 2).sum())]
+        return pa.table({f.name: pa.array([x], f.type) for f, x in zip(made, row, strict=True)})
+
+    made = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("entries", pa.int64()), ("hashes", pa.binary()), *((x, pa.binary()) for x in FIGURES), *((x, pa.int64()) for x in ("m1", "m2", "m3", "m4", "all", "words"))])
+    out = texts.mapInArrow(run, "lang string, bucket int, plain binary, words binary, " + ", ".join(f"{x} binary" for x in counts + parts))
+    out = out.groupBy("lang", "bucket").applyInArrow(merged, "lang string, bucket int, entries long, hashes binary, " + ", ".join(f"{x} binary" for x in FIGURES) + ", m1 long, m2 long, m3 long, m4 long, all long, words long")
+    return written(out, "word-figures")
 
 
 class Words:
     """Figures of words and languages, in arrays sorted by hash."""
 
-    def __init__(self, entries: DataFrame, langs: DataFrame):
-        table = entries.toArrow()
-        words = table.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(words)
-        self.words = words[order]
-        self.total, self.back, self.p = (table.column(x).to_numpy()[order].astype(np.float64) for x in ("total", "back", "p"))
-        self.langs = {r["lang"]: (r["rest"], r["d_n2"], r["d_n3"]) for r in langs.collect()}
+    def __init__(self, words: DataFrame, langs: DataFrame, bits: int):
+        by_lang = {r["lang"]: r for r in langs.collect()}
+        self.bits = bits
+        self.langs = {x: (r["rest"], r["d_n2"], r["d_n3"]) for x, r in by_lang.items()}
+        made = [(np.zeros(0, np.uint64), *[np.zeros(0)] * 3)]
+        for bucket, lang, hashes, *planes in _fetched(words.where("entries > 0"), bits, "lang", "hashes", *FIGURES):
+            r = by_lang[lang]
+            ones, n2, n3, total, m = (_whole(x, 6).astype(np.float64) for x in planes)
+            back = np.where(n2 + n3 > 0, ones + n2 * r["d_n2"] + n3 * r["d_n3"], 0) / np.maximum(total, 1)
+            p = np.where(m >= 2, (m - np.where(m == 2, r["d_m2"], r["d_m3"])) / r["all"] + r["rest"], 0)
+            made.append((_whole(hashes, 5) | np.uint64(bucket << STORED), total, back, p))
+        keys, *rest = (np.concatenate(x) for x in zip(*made, strict=True))
+        order = np.argsort(keys)
+        self.words = keys[order]
+        self.total, self.back, self.p = (x[order] for x in rest)
 
     def costs(self, before: np.ndarray, words: np.ndarray, n: np.ndarray, figures: np.ndarray) -> np.ndarray:
         """The cost of each word after the one before it; n: how often that pair came; ``figures``: rest and discounts of its language."""
         cost = lambda p: np.rint(-np.log2(p) * PART).astype(np.int64)
         rest, two, three = figures.T
         pad = lambda x, absent: np.append(x, absent)  # noqa: E731  (place -1: what is not stored)
-        at_u, at_w = find(self.words, before), find(self.words, words)
+        at_u, at_w = (find(self.words, _short(x, self.bits)) for x in (before, words))
         back, total, p = pad(self.back, 0)[at_u], pad(self.total, 0)[at_u], pad(self.p, 0)[at_w]
         p = np.where(p > 0, p, rest)
         again = n >= 2
@@ -393,40 +448,29 @@ class Words:
         return out
 
 
-def counted(texts: DataFrame, size: int, bound: int) -> tuple[Pairs, Words] | None:
-    """The model in sorted arrays, or None if it has over ``bound`` pairs or words. ``size``: bytes of all texts."""
-    spark = texts.sparkSession
+def counted(texts: DataFrame, size: int, bound: int) -> tuple[Broadcast, Broadcast] | None:
+    """The model in sorted arrays (``Pairs`` and ``Words``), or None if it has over ``bound`` pairs or words. ``size``: bytes of all texts."""
+    context = texts.sparkSession.sparkContext
     bits = min(24, max(8, math.ceil(math.log2(max(1, size) / WORD_BYTES / BUCKET_WORDS))))
     repeated = repeated_pairs(texts, bits)
-    if (repeated.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]) > bound:
+    entries = lambda df, name: df.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]
+    if (n := entries(repeated, "pairs")) > bound:
         return None
-    known = Pairs(repeated, bits)
-    shared = spark.sparkContext.broadcast(known)
-    words = word_figures(texts, shared)
-    shared.unpersist()
+    known = context.broadcast(Pairs(repeated, bits, n))
+    words = word_figures(texts, known, bits)
     tallies = repeated.groupBy("lang").agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in (1, 2, 3, 4)))
-    langs = _language_figures(tallies, words.where("m > 0"))
-    if langs.count() > BROADCAST_LANGUAGES:
-        return None
-    entries = words.where("m >= 2 OR n2 + n3 > 0")
-    if entries.count() > bound:
+    lower = words.groupBy("lang").agg(*(F.sum(x).alias(x) for x in ("m1", "m2", "m3", "m4", "all", "words")))
+    langs = _language_figures(tallies, lower)
+    if langs.count() > BROADCAST_LANGUAGES or entries(words, "entries") > bound:
         return None
-    given = F.col("ones") + F.col("n2") * F.col("d_n2") + F.col("n3") * F.col("d_n3")
-    entries = entries.join(F.broadcast(langs), "lang").select(
-        "word",
-        "total",
-        F.when(F.col("n2") + F.col("n3") > 0, given / F.col("total")).otherwise(0.0).alias("back"),
-        F.when(F.col("m") >= 2, (F.col("m") - _cut("m")) / F.col("all") + F.col("rest")).otherwise(0.0).alias("p"),
-    )
-    return known, Words(entries, langs)
+    return known, context.broadcast(Words(words, langs, bits))
 
 
-def _scored(df: DataFrame, arrays: tuple[Pairs, Words], id_col: str, lang_col: str, text_col: str) -> DataFrame:
+def _scored(df: DataFrame, arrays: tuple[Broadcast, Broadcast], id_col: str, lang_col: str, text_col: str) -> DataFrame:
     """__id, __lang, the base counts and __cost of every row, under a broadcast model."""
-    shared = df.sparkSession.sparkContext.broadcast(arrays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, figures = shared.value
+        known, figures = (x.value for x in arrays)
         for batch in worker("quality", batches):
             names = batch.column("__lang").to_pylist()
             for c in chunks(batch.column("__text")):

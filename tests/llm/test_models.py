@@ -78,7 +78,7 @@ def test_model_against_formulas(spark):
     vocabulary = [f"W{i}" for i in range(12)]
     texts = [" ".join(vocabulary[min(int(rng.exponential(3)), 11)] for _ in range(12)) for _ in range(40)] + ["once only here"]
     df = spark.createDataFrame([("xx", t) for t in texts], "__lang string, __text string")
-    stored, figures = quality.counted(df, 10**4, 10**6)
+    stored, figures = (x.value for x in quality.counted(df, 10**4, 10**6))
 
     pair, follow = collections.Counter(), collections.Counter()
     for t in texts:
