@@ -217,15 +217,27 @@ def model(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(entries, "model-entries"), langs.select("lang", cost(F.col("rest")))
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of whole numbers, all first bytes before all second ones: high bytes of sorted or small values compress."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+def _planes(values: np.ndarray, width: int, ordered: bool = False) -> bytes:
+    """The low ``width`` bytes of whole numbers, of ``ordered`` ones their steps: all first bytes before all second ones, compressed."""
+    if ordered:
+        values = np.diff(values, prepend=np.zeros(1, values.dtype))
+    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(raw).to_bytes(4, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
-def _whole(planes: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(planes) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
-    return out.view("<u8").reshape(-1)
+def _whole(planes: bytes, width: int, ordered: bool = False) -> np.ndarray:
+    size = int.from_bytes(planes[:4], "little")
+    out = np.zeros((size // width, 8), np.uint8)
+    if size:
+        raw = pa.Codec("zstd").decompress(planes[4:], size, asbytes=True)
+        out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    values = out.view("<u8").reshape(-1)
+    return np.cumsum(values, dtype=np.uint64) if ordered else values
+
+
+def _low(keys: np.ndarray) -> np.ndarray:
+    """The stored bits of hashes, without those of the bucket."""
+    return keys & np.uint64((1 << STORED) - 1)
 
 
 def _short(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -265,8 +277,8 @@ def repeated_pairs(texts: DataFrame, bits: int) -> DataFrame:
             once, more, times = [], [], []
             for i, j in places:
                 single = n[i:j] == 1
-                once.append(_planes(keys[i:j][single], 5))
-                more.append(_planes(keys[i:j][~single], 5))
+                once.append(_planes(_low(keys[i:j][single]), 5, True))
+                more.append(_planes(_low(keys[i:j][~single]), 5, True))
                 times.append(_planes(n[i:j][~single], 4))
             rows = [pa.array([lang] * len(once)), pa.array(whose), *(pa.array(x, pa.binary()) for x in (once, more, times))]
             yield pa.RecordBatch.from_arrays(rows, ["lang", "bucket", "once", "more", "times"])
@@ -292,11 +304,11 @@ def repeated_pairs(texts: DataFrame, bits: int) -> DataFrame:
         yield from passed(gathered)
 
     def merged(key: tuple, table: pa.Table) -> pa.Table:
-        parts = {x: [_whole(b, width) for b in table.column(x).to_pylist()] for x, width in (("once", 5), ("more", 5), ("times", 4))}
+        parts = {x: [_whole(b, width, width == 5) for b in table.column(x).to_pylist()] for x, width in (("once", 5), ("more", 5), ("times", 4))}
         ones = [np.ones(len(x), np.int64) for x in parts["once"]]
         keys, n = _added(np.concatenate(parts["once"] + parts["more"]), np.concatenate(ones + [x.astype(np.int64) for x in parts["times"]]))
         kept = n >= 2
-        row = [key[0].as_py(), key[1].as_py(), _planes(keys[kept], 5), _planes(n[kept], 4), int(kept.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4))]
+        row = [key[0].as_py(), key[1].as_py(), _planes(keys[kept], 5, True), _planes(n[kept], 4), int(kept.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4))]
         return pa.table({f.name: pa.array([x], f.type) for f, x in zip(made, row, strict=True)})
 
     made = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("keys", pa.binary()), ("times", pa.binary()), ("pairs", pa.int64()), *((f"n{k}", pa.int64()) for k in (1, 2, 3, 4))])
@@ -327,7 +339,7 @@ class Pairs:
         self.bits = bits
         keys, n, at = np.zeros(size, np.uint64), np.zeros(size, np.uint32), 0
         for bucket, k, t in _fetched(repeated, bits, "keys", "times"):
-            own = _whole(k, 5) | np.uint64(bucket << STORED)
+            own = _whole(k, 5, True) | np.uint64(bucket << STORED)
             keys[at : at + len(own)], n[at : at + len(own)] = own, _whole(t, 4)
             at += len(own)
         order = np.argsort(keys).astype(np.uint32)
@@ -363,9 +375,9 @@ def word_figures(texts: DataFrame, shared, bits: int) -> DataFrame:
             columns: list[list[bytes]] = [[] for _ in range(7)]
             for i, j in places:
                 single, rest = plain[i:j], values[:, i:j][:, ~plain[i:j]]
-                whole = [words[i:j][single], words[i:j][~single], *rest[:3].astype(np.int64), *(x.copy().view(np.int64) for x in rest[3:])]
+                whole = [_low(words[i:j][single]), _low(words[i:j][~single]), *rest[:3].astype(np.int64), *(x.copy().view(np.int64) for x in rest[3:])]
                 for column, x, width in zip(columns, whole, (5, 5, 4, 4, 4, 8, 8), strict=True):
-                    column.append(_planes(x, width))
+                    column.append(_planes(x, width, width == 5))
             rows = [pa.array([lang] * len(places)), pa.array(whose), *(pa.array(x, pa.binary()) for x in columns)]
             yield pa.RecordBatch.from_arrays(rows, ["lang", "bucket", "plain", "words", *counts, *parts])
         gathered.clear()
@@ -398,7 +410,7 @@ def word_figures(texts: DataFrame, shared, bits: int) -> DataFrame:
         yield from passed(gathered)
 
     def merged(key: tuple, table: pa.Table) -> pa.Table:
-        columns = {x: np.concatenate([_whole(b, width) for b in table.column(x).to_pylist()]) for x, width in (("plain", 5), ("words", 5), *((x, 4) for x in counts), *((x, 8) for x in parts))}
+        columns = {x: np.concatenate([_whole(b, width, width == 5) for b in table.column(x).to_pylist()]) for x, width in (("plain", 5), ("words", 5), *((x, 4) for x in counts), *((x, 8) for x in parts))}
         plain = np.ones(len(columns["plain"]))
         rest = [columns[x].astype(np.float64) for x in counts] + [columns[x].view(np.float64) for x in parts]
         words, back = np.unique(np.concatenate([columns["plain"], columns["words"]]), return_inverse=True)
@@ -406,7 +418,7 @@ def word_figures(texts: DataFrame, shared, bits: int) -> DataFrame:
         n2, n3, m = (np.rint(x).astype(np.int64) for x in (twos / 2, threes, follows))
         kept = (m >= 2) | (n2 + n3 > 0)
         figures = [ones, n2, n3, ones + twos + more, m]
-        row = [key[0].as_py(), key[1].as_py(), int(kept.sum()), _planes(words[kept], 5), *(_planes(x[kept].astype(np.int64), 6) for x in figures), *(int((m == k).sum()) for k in (1, 2, 3, 4)), int(m.sum()), int((m >= 2).sum())]
+        row = [key[0].as_py(), key[1].as_py(), int(kept.sum()), _planes(words[kept], 5, True), *(_planes(x[kept].astype(np.int64), 6) for x in figures), *(int((m == k).sum()) for k in (1, 2, 3, 4)), int(m.sum()), int((m >= 2).sum())]
         return pa.table({f.name: pa.array([x], f.type) for f, x in zip(made, row, strict=True)})
 
     made = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("entries", pa.int64()), ("hashes", pa.binary()), *((x, pa.binary()) for x in FIGURES), *((x, pa.int64()) for x in ("m1", "m2", "m3", "m4", "all", "words"))])
@@ -428,7 +440,7 @@ class Words:
             ones, n2, n3, total, m = (_whole(x, 6).astype(np.float64) for x in planes)
             back = np.where(n2 + n3 > 0, ones + n2 * r["d_n2"] + n3 * r["d_n3"], 0) / np.maximum(total, 1)
             p = np.where(m >= 2, (m - np.where(m == 2, r["d_m2"], r["d_m3"])) / r["all"] + r["rest"], 0)
-            made.append((_whole(hashes, 5) | np.uint64(bucket << STORED), total, back, p))
+            made.append((_whole(hashes, 5, True) | np.uint64(bucket << STORED), total, back, p))
         keys, *rest = (np.concatenate(x) for x in zip(*made, strict=True))
         order = np.argsort(keys)
         self.words = keys[order]
