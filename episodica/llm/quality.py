@@ -46,6 +46,9 @@ BUCKET_WORDS, WORD_BYTES = 1 << 21, 6
 #: Parts in which the driver fetches the model.
 FETCHES = 4
 
+#: Pairs of the model that are compressed together in a broadcast.
+SENT = 1_000_000
+
 #: Bits of a hash that are stored beside those of its bucket.
 STORED = 40
 
@@ -345,6 +348,18 @@ class Pairs:
         order = np.argsort(keys).astype(np.uint32)
         self.keys, self.n = keys[order], n[order]
 
+    def __getstate__(self) -> tuple:
+        """Parts of ``SENT`` pairs, compressed: a broadcast is kept in a file by the driver and each executor."""
+        parts = [slice(i, i + SENT) for i in range(0, len(self.keys), SENT)]
+        return self.bits, len(self.keys), [(_planes(self.keys[x], 8, True), _planes(self.n[x], 4)) for x in parts]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.bits, size, parts = state
+        self.keys, self.n = np.zeros(size, np.uint64), np.zeros(size, np.uint32)
+        for i, (keys, n) in enumerate(parts):
+            own = slice(i * SENT, (i + 1) * SENT)
+            self.keys[own], self.n[own] = _whole(keys, 8, True), _whole(n, 4)
+
     def counts(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
         """How often each pair came: one where it is not stored."""
         wanted, back = np.unique(_short(_together(before, words), self.bits), return_inverse=True)
