@@ -77,6 +77,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
+def op12_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -106,5 +112,24 @@ FROM dw d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN names i ON i.doc_id =
 """
 
 
+#: Sets by unnesting; texts of one set are one node; pairs meet at the shingles that two nodes have.
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda p: array_to_string(w[p : p + 4], ' ')))) END AS grams FROM w),
+d AS (SELECT doc_id, len(grams)::BIGINT AS n, sha256(array_to_string(grams, chr(10))) AS node, grams FROM s),
+node AS (SELECT node, any_value(n) AS n, any_value(grams) AS grams, min(doc_id) AS least FROM d WHERE n > 0 GROUP BY node),
+g AS (SELECT node, n, unnest(grams) AS gram FROM node),
+few AS (SELECT * FROM g WHERE gram IN (SELECT gram FROM g GROUP BY gram HAVING count(*) > 1)),
+link AS (
+  SELECT x.node AS a, y.node AS b FROM few x JOIN few y ON x.gram = y.gram AND x.node <> y.node AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+  GROUP BY x.node, y.node, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (SELECT node AS a, node AS b FROM node UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+named AS (SELECT r.a AS node, min(n.least) AS component_id FROM reach r JOIN node n ON n.node = r.b GROUP BY r.a)
+SELECT d.doc_id, d.n AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id FROM d LEFT JOIN named m ON m.node = d.node AND d.n > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_winnowing": OP4_SQL}
+    return {"op4_winnowing": OP4_SQL, "op12_jaccard_trie": OP12_SQL}
