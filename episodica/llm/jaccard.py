@@ -21,10 +21,13 @@ from .simhash import SIMILARITY, _sets
 from .text import chunks, find, spread, worker
 
 #: Prefixes that a shingle is in from which it counts as frequent and goes to the end of the order.
-FREQUENT = 24
+FREQUENT = 2
 
 #: Frequent shingles whose place is broadcast, most frequent first (8 bytes and 4 for each); the others stay in order of their hashes.
-PLACES = 1_000_000
+PLACES = 2_000_000
+
+#: Bits of a set's parity sketch: two sets differ in as many shingles at least as their sketches do in bits.
+SKETCH = 512
 
 #: Rounds in which frequent shingles are looked for: one that has left the prefixes makes room for others.
 ROUNDS = 3
@@ -34,6 +37,7 @@ SPLIT = 512
 
 Order = tuple[np.ndarray, np.ndarray]  # frequent shingles, sorted, and their places
 NODE = ("hi", "lo")
+BITS = [f"b{i}" for i in range(SKETCH // 64)]
 
 
 def _needed(n: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
@@ -63,6 +67,18 @@ def _digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
+def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """A long column for each 64 bits of the sets' sketches: bit j is the parity of the shingles that fall to j."""
+    out = np.zeros((len(bounds) - 1, SKETCH // 64), np.int64)
+    for first in range(0, len(out), 1024):
+        some = bounds[first : first + 1025]
+        rows = np.repeat(np.arange(len(some) - 1), np.diff(some))
+        at = rows * SKETCH + (hashes[some[0] : some[-1]] >> np.uint64(20)).astype(np.int64) % SKETCH
+        odd = np.bincount(at, minlength=(len(some) - 1) * SKETCH).astype(np.uint8) & 1
+        out[first : first + 1024] = np.packbits(odd).view(np.int64).reshape(-1, SKETCH // 64)
+    return list(np.ascontiguousarray(out.T))
+
+
 def _heads(hashes: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Where the prefixes of all sets are, and their sizes; none for a set that only equal ones reach."""
     over, under = similarity
@@ -81,16 +97,16 @@ class _Texts:
         self.shingle, self.similarity = shingle, similarity
 
     def rows(self) -> DataFrame:
-        """id, the digest of the set and its size, of every row."""
+        """id, the digest of the set, its size and its sketch, of every row."""
         shingle = self.shingle
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in worker("jaccard", batches):
                 for c in chunks(batch.column("text")):
                     hashes, bounds = _sets(c, shingle)
-                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(c.first, c.rows), *map(pa.array, (*_digests(hashes, bounds), np.diff(bounds)))], ["id", *NODE, "n"])
+                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(c.first, c.rows), *map(pa.array, (*_digests(hashes, bounds), np.diff(bounds), *_sketches(hashes, bounds)))], ["id", *NODE, "n", *BITS])
 
-        return self.source.mapInArrow(run, f"id {self.kind}, hi long, lo long, n long")
+        return self.source.mapInArrow(run, f"id {self.kind}, hi long, lo long, n long, " + ", ".join(f"{b} long" for b in BITS))
 
     def counted(self, now: Order, before: Order | None = None) -> DataFrame:
         """token and c, the rows with it in their prefix by the order ``now``, but not by ``before``."""
@@ -178,7 +194,7 @@ def _order(texts: _Texts, frequent: int, places: int, rounds: int) -> Order:
 
     It decides what is compared, not the result. Its size is bounded by ``places``.
     """
-    before, now = None, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    before, now = None, (np.zeros(0, np.uint64), np.zeros(0, np.int32))
     tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for _ in range(rounds):
         found = texts.counted(now, before).where(F.col("c") >= frequent).orderBy(F.desc("c"), "token").limit(places).toArrow()
@@ -191,15 +207,24 @@ def _order(texts: _Texts, frequent: int, places: int, rounds: int) -> Order:
         counts = counts[by_count][firsts]
         kept = np.sort(np.lexsort((tokens, -counts))[:places])
         tokens, counts = tokens[kept], counts[kept]
-        before, now = now, (tokens, np.argsort(np.lexsort((tokens, counts))))
+        before, now = now, (tokens, np.argsort(np.lexsort((tokens, counts))).astype(np.int32))
     return now
 
 
-def _met(over: int, under: int, a: tuple[str, str], b: tuple[str, str]) -> Column:
-    """Whether sets whose first common shingle has these (size, place) can reach the similarity, by their lengths from there on."""
-    (n, at), (m, there) = ((F.col(x), F.col(y)) for x, y in (a, b))
+def _met(similarity: tuple[int, int], a: str = "", b: str = "x_") -> Column:
+    """Whether two sets that share a shingle of their prefixes can reach the similarity.
+
+    Their sizes must allow it, and what either has from the shingle on (which is the first that
+    they share, or a later one, then an earlier row meets them too), and the bits in which
+    their sketches differ.
+    """
+    over, under = similarity
+    n, m, at, there = (F.col(x) for x in (f"{a}n", f"{b}n", f"{a}at", f"{b}at"))
     rest = F.least(n - at, m - there)
-    return (F.lit(under) * F.least(n, m) >= F.lit(over) * F.greatest(n, m)) & (F.lit(over + under) * rest >= F.lit(over) * (n + m))
+    apart = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in BITS), F.lit(0))
+    # of n + m shingles, each side's differing ones counted, at most this share may differ
+    near = F.lit(over + under) * apart <= F.lit(under - over) * (n + m)
+    return (F.lit(under) * F.least(n, m) >= F.lit(over) * F.greatest(n, m)) & (F.lit(over + under) * rest >= F.lit(over) * (n + m)) & near
 
 
 def _node(prefix: str = "") -> Column:
@@ -208,13 +233,14 @@ def _node(prefix: str = "") -> Column:
 
 def _stars(shared: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) of each set b with the one that is most often the least of a shingle that both have in their prefixes."""
-    hubs = shared.groupBy("token").agg(F.min(F.struct(*NODE, "n", "at")).alias("hub"), F.max(F.struct(*NODE)).alias("last"))
+    own = [*NODE, "n", "at", *BITS]
+    hubs = shared.groupBy("token").agg(F.min(F.struct(*own)).alias("hub"), F.max(F.struct(*NODE)).alias("last"))
     hubs = hubs.where((F.col("hub.hi") != F.col("last.hi")) | (F.col("hub.lo") != F.col("last.lo")))
-    hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"h_{c}") for c in (*NODE, "n", "at")))
-    met = shared.join(hubs, "token").where((_node() != _node("h_")) & _met(*similarity, ("n", "at"), ("h_n", "h_at")))
-    votes = met.groupBy(*NODE, "h_hi", "h_lo").count()
-    best = votes.groupBy(*NODE).agg(F.max(F.struct("count", "h_hi", "h_lo")).alias("best"))
-    return written(best.select(F.struct(F.col("best.h_hi").alias("hi"), F.col("best.h_lo").alias("lo")).alias("a"), _node().alias("b")), "jaccard-stars")
+    hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"x_{c}") for c in own))
+    met = shared.join(hubs, "token").where((_node() != _node("x_")) & _met(similarity))
+    votes = met.groupBy(*NODE, "x_hi", "x_lo").count()
+    best = votes.groupBy(*NODE).agg(F.max(F.struct("count", "x_hi", "x_lo")).alias("best"))
+    return written(best.select(F.struct(F.col("best.x_hi").alias("hi"), F.col("best.x_lo").alias("lo")).alias("a"), _node().alias("b")), "jaccard-stars")
 
 
 def _across(shared: DataFrame, roots: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -227,8 +253,8 @@ def _across(shared: DataFrame, roots: DataFrame, similarity: tuple[int, int]) ->
     placed = written(placed.withColumn("root", F.coalesce("root", _node())), "jaccard-placed")
     hubs = placed.groupBy("token").agg(F.min(F.struct(*NODE, "root")).alias("hub"), F.min("root").alias("less"), F.max("root").alias("more")).where("less <> more")
     strange = placed.join(hubs.select("token", F.col("hub.root").alias("hub_root")), "token").where("root <> hub_root")
-    strange = strange.select("token", *(F.col(c).alias(f"x_{c}") for c in (*NODE, "n", "at", "root")))
-    both = strange.join(placed, "token").where((F.col("x_root") != F.col("root")) & _met(*similarity, ("n", "at"), ("x_n", "x_at")))
+    strange = strange.select("token", *(F.col(c).alias(f"x_{c}") for c in (*NODE, "n", "at", "root", *BITS)))
+    both = strange.join(placed, "token").where((F.col("x_root") != F.col("root")) & _met(similarity))
     # the lesser set is the probe, whichever of the two is strange, so that a pair is looked at once
     return written(both.select(F.least(_node("x_"), _node()).alias("a"), F.greatest(_node("x_"), _node()).alias("b")).distinct(), "jaccard-across")
 
@@ -315,8 +341,11 @@ def jaccard_components(
     rows = written(texts.rows(), "jaccard-rows")
     nodes = written(rows.where("n > 0").groupBy(*NODE).agg(F.min("id").alias("least")), "jaccard-nodes")
     order = _order(texts, frequent, places, rounds)
-    many = written(texts.counted(order).where("c > 1").select("token"), "jaccard-tokens")
-    shared = written(texts.postings(order).join(many, "token", "left_semi"), "jaccard-shared")
+    postings = written(texts.postings(order), "jaccard-postings")
+    many = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    shared = written(postings.join(written(many, "jaccard-tokens"), "token", "left_semi"), "jaccard-met")
+    sketches = rows.select(*NODE, *BITS).join(written(shared.select(*NODE).distinct(), "jaccard-some"), [*NODE], "left_semi").dropDuplicates([*NODE])
+    shared = written(shared.join(sketches, [*NODE]), "jaccard-shared")
     stars = _stars(shared, similarity)
     roots = components(_similar(stars, texts, rows, order, split))
     across = _across(shared, roots, similarity)

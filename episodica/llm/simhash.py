@@ -145,13 +145,22 @@ def _sets(c: Chunk, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     for i in range(shingle - 1):
         at = np.flatnonzero(counts[few] > i)
         brief[at] = mix(brief[at] * _STEP + words[firsts[few[at]] + i])
-    out, whose = np.concatenate([out, mix(brief + counts[few].astype(np.uint64))]), np.concatenate([whose, few])
-    order = np.lexsort((out, whose))
-    out, whose = out[order], whose[order]
-    new = np.ones(len(out), bool)
-    new[1:] = (out[1:] != out[:-1]) | (whose[1:] != whose[:-1])
-    out, whose = out[new], whose[new]
-    return out, np.searchsorted(whose, np.arange(c.rows + 1))
+    brief = mix(brief + counts[few].astype(np.uint64))
+    sizes = np.bincount(whose, minlength=c.rows)
+    sizes[few] = 1
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    whole = np.empty(len(out) + len(few), np.uint64)
+    whole[bounds[few]] = brief
+    whole[np.arange(len(out)) + np.searchsorted(few, whose)] = out
+    whose = np.repeat(np.arange(c.rows), sizes)
+    if len(whole) < 16 * c.rows:
+        whole = whole[np.lexsort((whole, whose))]
+    else:
+        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            whole[i:j].sort()
+    new = np.ones(len(whole), bool)
+    new[1:] = (whole[1:] != whole[:-1]) | (whose[1:] != whose[:-1])
+    return whole[new], np.concatenate([[0], np.cumsum(np.bincount(whose[new], minlength=c.rows))])
 
 
 def _set_prints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
