@@ -77,12 +77,24 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import filter_audit
+
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import jaccard_components
 
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resample import importance_resample
+
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), shortest=1, longest=1, buckets=10_000, percent=10, least_words=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -131,5 +143,64 @@ SELECT d.doc_id, d.n AS n_shingles, coalesce(m.component_id, d.doc_id) AS compon
 """
 
 
+#: The mask of a document's failures by part and labels, and every order of the five letters.
+OP11_SQL = r"""
+WITH label AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+least AS (SELECT coalesce(text, '') AS text, min(doc_id) AS least FROM documents GROUP BY 1),
+d AS (
+  SELECT coalesce(d.lang, '') AS part, regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce(d.text, '') AS text,
+    coalesce(b.good, false) AS good, coalesce(b.toxic, false) AS toxic, coalesce(x.least < d.doc_id, false) AS copy
+  FROM documents d LEFT JOIN label b ON b.doc_id = d.doc_id LEFT JOIN least x ON x.text = coalesce(d.text, '')),
+f AS (
+  SELECT part, good, toxic, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+    regexp_matches(text, '[#$%&*|]'), copy] AS fails FROM d),
+p AS (SELECT 'A' AS c UNION ALL SELECT 'B' UNION ALL SELECT 'C' UNION ALL SELECT 'D' UNION ALL SELECT 'E'),
+o AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM p a, p b, p c, p d, p e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, ascii(filter_order[step::INTEGER]) - 64 AS i,
+    list_transform(range(1, step), lambda k: ascii(filter_order[k::INTEGER]) - 64) AS before FROM o, range(1, 6) AS r(step)),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+x AS (
+  SELECT part, filter_order, step, i, n, good, toxic, fails[i] AS bad, list_bool_or(list_transform(before, lambda k: fails[k])) AS gone,
+    len(list_filter(fails, lambda y: y)) = 1 AS alone FROM g, steps),
+r AS (
+  SELECT part, filter_order, step, i, coalesce(sum(n) FILTER (NOT bad AND NOT coalesce(gone, false)), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (bad AND NOT coalesce(gone, false)), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (bad AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (bad AND alone), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (bad AND NOT coalesce(gone, false)), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (bad AND NOT coalesce(gone, false)), 0)::BIGINT AS toxic_lost FROM x GROUP BY ALL)
+SELECT * EXCLUDE (i), sum(removed) OVER (PARTITION BY part, i)::BIGINT AS shapley FROM r
+"""
+
+#: CRC32 by its table, made by the rule, over the UTF-8 bytes of each distinct word.
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+bw AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+tab AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+words AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+bytes AS (SELECT w, list_transform(range(0, len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b FROM words),
+crc AS (
+  SELECT w, xor(list_reduce([4294967295::BIGINT] || b, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN crc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN crc USING (w) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT count(*) FROM dw) + 10000) / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM bw) + 10000))))::BIGINT AS gain
+  FROM range(10000) AS r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weight AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM dw JOIN crc USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+score AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296))))::BIGINT AS score
+  FROM d LEFT JOIN weight USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM score WHERE n_features >= 20)
+SELECT s.*, CASE WHEN r.rank <= (SELECT count(*) FROM ranked) * 10 // 100 THEN r.rank END AS rank FROM score s LEFT JOIN ranked r USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_winnowing": OP4_SQL, "op12_jaccard_trie": OP12_SQL}
+    return {"op4_winnowing": OP4_SQL, "op11_filter_audit": OP11_SQL, "op12_jaccard_trie": OP12_SQL, "op13_resample": OP13_SQL}
