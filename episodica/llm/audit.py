@@ -19,9 +19,7 @@ from .shared import quoted, written
 #: Filters by letter; bit i of a mask is set where a row fails filter i.
 FILTERS = "ABCDE"
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WHOLE = (1 << len(FILTERS)) - 1
-_MEASURES = ("n", "good", "toxic")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -39,7 +37,9 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     The same word of a row meets itself before the shuffle; a row's words are spread over tasks.
     """
     text = F.coalesce(quoted("text"), F.lit(""))
-    words = docs.select(quoted("doc_id").alias("id"), F.xxhash64(text).alias("hash"), F.explode(F.split(text, r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
+    # the hash is made before words are exploded, not once for each of them
+    texts = docs.select(quoted("doc_id").alias("id"), F.xxhash64(text).alias("hash"), F.split(text, r"[\x20\x09-\x0D]+").alias("words"))
+    words = texts.select("id", "hash", F.explode("words").alias("word")).where("word <> ''")
     by_word = words.groupBy("id", "hash", "word").agg(F.count("*").alias("c"))
     return by_word.groupBy("id", "hash").agg(F.sum("c").alias("total"), F.count("*").alias("uniques"))
 
@@ -80,12 +80,8 @@ def _masked(flagged: DataFrame) -> DataFrame:
 
 def _conditional_counts(masked: DataFrame) -> DataFrame:
     """A row for each part: 32 conditional counts, of all rows, of good and of toxic ones."""
-
-    def column(measure: str, mask: int) -> Column:
-        where = F.col("m") == mask
-        return F.coalesce(F.sum(F.when(where if measure == "n" else where & F.col(measure), F.col("k"))), F.lit(0)).cast("long").alias(f"{measure}_{mask}")
-
-    return masked.groupBy("part").agg(*(column(x, m) for x in _MEASURES for m in range(_WHOLE + 1)))
+    condition = {"n": "", "good": " AND good", "toxic": " AND toxic"}
+    return masked.groupBy("part").agg(*(F.expr(f"cast(sum(if(m = {m}{more}, k, 0)) AS bigint) AS {measure}_{m}") for measure, more in condition.items() for m in range(_WHOLE + 1)))
 
 
 def _orders() -> list[tuple[str, int, int, int]]:
@@ -101,23 +97,19 @@ def _orders() -> list[tuple[str, int, int, int]]:
 
 def _steps(counts: DataFrame) -> DataFrame:
     """A row for each part, order and step, from the part's conditional counts."""
-    orders = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("filter_order", "step", "bit", "before"), x, strict=True))) for x in _orders()))
+    orders = ", ".join(f"named_struct('filter_order', '{order}', 'step', {step}, 'bit', {bit}, 'before', {before})" for order, step, bit, before in _orders())  # 600 structs
 
-    def added(measure: str, where) -> Column:
-        cells = F.array(*(F.struct(F.lit(m).alias("m"), F.col(f"{measure}_{m}").alias("k")) for m in range(_WHOLE + 1)))
-        return F.aggregate(cells, F.lit(0).cast("long"), lambda acc, x: acc + F.when(where(x["m"]), x["k"]).otherwise(0))
+    def added(measure: str, condition: str, times: str = "x") -> Column:
+        cells = ", ".join(f"{measure}_{m}" for m in range(_WHOLE + 1))
+        return F.expr(f"aggregate(transform(array({cells}), (x, m) -> if({condition}, {times}, 0L)), 0L, (a, x) -> a + x)")
 
-    bit, before = F.col("bit"), F.col("before")
-    fails = lambda m: m.bitwiseAND(bit) != 0
-    earlier = lambda m: m.bitwiseAND(before) != 0
-    here = lambda m: fails(m) & ~earlier(m)
+    fails, earlier = "m & bit <> 0", "m & before <> 0"
     # of the 120 orders, those in which the filter comes first among a row's k failures are one in k
-    cells = F.array(*(F.struct(F.lit(m).alias("m"), F.col(f"n_{m}").alias("k"), F.lit(math.factorial(len(FILTERS)) // max(1, m.bit_count())).alias("w")) for m in range(_WHOLE + 1)))
-    shapley = F.aggregate(cells, F.lit(0).cast("long"), lambda acc, x: acc + F.when(fails(x["m"]), x["k"] * x["w"]).otherwise(0))
-    return counts.select("*", F.inline(orders)).select(
-        "part", "filter_order", "step", added("n", lambda m: ~fails(m) & ~earlier(m)).alias("kept"), added("n", here).alias("removed"),
-        added("n", lambda m: fails(m) & earlier(m)).alias("redundant"), added("n", lambda m: m == bit).alias("unique_fails"),
-        added("good", here).alias("good_lost"), added("toxic", here).alias("toxic_lost"), shapley.alias("shapley"),
+    share = f"x * ({math.factorial(len(FILTERS))} div greatest(1, bit_count(m)))"
+    return counts.selectExpr("*", f"inline(array({orders}))").select(
+        "part", "filter_order", "step", added("n", f"NOT ({fails}) AND NOT ({earlier})").alias("kept"), added("n", f"{fails} AND NOT ({earlier})").alias("removed"),
+        added("n", f"{fails} AND {earlier}").alias("redundant"), added("n", "m = bit").alias("unique_fails"), added("good", f"{fails} AND NOT ({earlier})").alias("good_lost"),
+        added("toxic", f"{fails} AND NOT ({earlier})").alias("toxic_lost"), added("n", fails, share).alias("shapley"),
     )
 
 
