@@ -32,30 +32,29 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
-    """copies, total and uniques of every (id, hash) that has a word: rows that repeat an id and a text are counted together, ``total`` over all of them.
+    """words and uniques of every (id, hash) that has a word.
 
-    The same word of a row meets itself before the shuffle; a row's words are spread over tasks.
+    Rows that repeat an id and a text become one, in the tasks that read them first. Texts are
+    dealt out by id and hash; there words are exploded and counted by (row, word), then by row:
+    both keys begin with what texts were dealt by, so words themselves are not shuffled.
     """
     text = F.coalesce(quoted("text"), F.lit(""))
-    # the hash is made before words are exploded, not once for each of them
-    texts = docs.select(quoted("doc_id").alias("id"), F.xxhash64(text).alias("hash"), F.split(text, r"[\x20\x09-\x0D]+").alias("words"))
-    words = texts.select("id", "hash", F.explode("words").alias("word")).where("word <> ''")
+    texts = docs.select(quoted("doc_id").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text")).groupBy("id", "hash").agg(F.first("text").alias("text"))
+    words = texts.select("id", "hash", F.split("text", r"[\x20\x09-\x0D]+").alias("words")).select("id", "hash", F.explode("words").alias("word")).where("word <> ''")
     by_word = words.groupBy("id", "hash", "word").agg(F.count("*").alias("c"))
-    return by_word.groupBy("id", "hash").agg(F.sum("c").alias("total"), F.count("*").alias("uniques"))
+    return by_word.groupBy("id", "hash").agg(F.sum("c").alias("words"), F.count("*").alias("uniques"))
 
 
 def _flagged(docs: DataFrame, labels: DataFrame, least_words: int, distinct_percent: int, upper_percent: int) -> DataFrame:
     """Rows counted by (digest, part, id, good, toxic) and the mask of filters A to D."""
     rows = _rows(docs).groupBy("id", "hash", "part", "digest", "chars", "upper", "sign").agg(F.count("*").alias("n"))
     rows = written(rows, "audit-rows")
-    # a row that repeats an id and a text with another language is of one text too, so its words are in the total as well
-    copies = rows.groupBy("id", "hash").agg(F.sum("n").alias("copies"))
-    counted = written(copies.withColumnRenamed("id", "i").withColumnRenamed("hash", "h").join(_word_counts(docs), F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash")), "left")
-        .select("i", "h", F.expr("coalesce(total, 0) div copies").alias("words"), F.coalesce("uniques", F.lit(0)).alias("uniques")), "audit-words")
+    counted = written(_word_counts(docs).withColumnsRenamed({"id": "i", "hash": "h"}), "audit-words")
     label = labels.select(quoted("doc_id").alias("l"), (quoted("quality") == 1).alias("good"), (quoted("toxic") == 1).alias("toxic")).where("l IS NOT NULL").groupBy("l").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
     label = written(label.where("good OR toxic"), "audit-labels")
     out = rows.join(counted, F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash")), "left").join(label, F.col("l") == F.col("id"), "left")
-    fails = (F.col("words") < least_words, 100 * F.col("uniques") < distinct_percent * F.col("words"), 100 * F.col("upper") > upper_percent * F.col("chars"), F.col("sign"))
+    words, uniques = F.coalesce("words", F.lit(0)), F.coalesce("uniques", F.lit(0))
+    fails = (words < least_words, 100 * uniques < distinct_percent * words, 100 * F.col("upper") > upper_percent * F.col("chars"), F.col("sign"))
     mask = sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(fails)), F.lit(0))
     return written(out.select("digest", "part", "id", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"), mask.alias("mask"), "n"), "audit-flagged")
 
