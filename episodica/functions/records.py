@@ -1,87 +1,109 @@
-"""Nested records: paths, repacking, renaming, leaves, tagged arrays. Schemas are worked on by the driver; rows by expressions."""
+"""Nested records: paths, repacking, renaming, merging, leaves, tagged arrays.
+
+A record is a struct of structs. Its schema is worked on by the driver, by paths such as
+a/b/c; rows are rebuilt by one projection. A struct that is null is read as a struct of nulls.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Tree = dict
-
 
-def flatten(tree: Mapping, prefix: str = "") -> dict[str, object]:
-    """Leaves of nested mappings by their a/b/c paths."""
-    out: dict[str, object] = {}
-    for k, v in tree.items():
-        path = f"{prefix}/{k}" if prefix else k
-        out |= flatten(v, path) if isinstance(v, Mapping) else {path: v}
+def leaf_paths(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
+    """Leaf fields of nested structs by their paths."""
+    out: dict[str, T.DataType] = {}
+    for f in schema.fields:
+        path = f"{prefix}/{f.name}" if prefix else f.name
+        out |= leaf_paths(f.dataType, path) if isinstance(f.dataType, T.StructType) else {path: f.dataType}
     return out
 
 
-def unflatten(leaves: Mapping[str, object]) -> Tree:
-    """Nested mappings from paths; a path that is both leaf and branch is an error."""
-    out: Tree = {}
-    for path, v in leaves.items():
-        *branch, leaf = path.split("/")
-        at = out
-        for k in branch:
-            at = at.setdefault(k, {})
-            if not isinstance(at, dict):
-                raise ValueError(f"{path} goes through a leaf")
-        if isinstance(at.get(leaf), dict):
-            raise ValueError(f"{path} is a leaf and a branch")
-        at[leaf] = v
-    return out
+def at_path(path: str) -> Column:
+    return F.col(".".join(f"`{p}`" for p in path.split("/")))
 
 
-def rename(patterns: Mapping[str, str | None], leaves: Mapping[str, object]) -> dict[str, object]:
-    """Paths renamed by the first pattern that matches all of them (with back-references), or deleted where it gives None."""
-    out: dict[str, object] = {}
-    for path, v in leaves.items():
-        to: str | None = path
-        for pattern, new in patterns.items():
-            if m := re.fullmatch(pattern, path):
-                to = None if new is None else m.expand(new)
-                break
-        if to is None:
-            continue
-        if to in out:
-            raise ValueError(f"two paths become {to}")
-        out[to] = v
-    unflatten(out)
+def leaves(df: DataFrame, root: str | None = None) -> dict[str, Column]:
+    """The leaf columns of a table, or of one struct column of it, by their paths."""
+    if root is None:
+        return {p: at_path(p) for p in leaf_paths(df.schema)}
+    kind = df.schema[root].dataType
+    if not isinstance(kind, T.StructType):
+        raise TypeError(f"{root} is not a record")
+    return {p: at_path(f"{root}/{p}") for p in leaf_paths(kind)}
+
+
+def nested(paths: Mapping[str, Column]) -> dict[str, Column]:
+    """Columns of structs from leaves by path, in order of first appearance; a path that is a leaf and a branch is an error."""
+    _checked(paths)
+    groups: dict[str, dict[str, Column] | Column] = {}
+    for path, column in paths.items():
+        head, _, rest = path.partition("/")
+        if rest:
+            groups.setdefault(head, {})[rest] = column  # type: ignore[index]
+        else:
+            groups[head] = column
+    built = {}
+    for head, inner in groups.items():
+        built[head] = F.struct(*(c.alias(k) for k, c in nested(inner).items())) if isinstance(inner, dict) else inner
+    return built
+
+
+def _checked(paths: Iterable[str]) -> None:
+    known = set(paths)
+    for path in known:
+        branch = path
+        while "/" in branch:
+            branch = branch.rpartition("/")[0]
+            if branch in known:
+                raise ValueError(f"{branch} is a leaf, and a branch of {path}")
+
+
+def record(paths: Mapping[str, Column]) -> Column:
+    """One struct column from leaves by path."""
+    return F.struct(*(c.alias(k) for k, c in nested(paths).items()))
+
+
+def renamed_paths(paths: Iterable[str], patterns: Mapping[str, str | None]) -> dict[str, str]:
+    """Old path -> new path: by the first pattern that matches all of a path, with back-references; None deletes, no match keeps.
+
+    Two paths that become one, and a leaf that becomes a branch of another, are errors.
+    """
+    rules = [(re.compile(pattern), to) for pattern, to in patterns.items()]
+    out: dict[str, str] = {}
+    for path in paths:
+        match = next(((m, to) for rule, to in rules if (m := rule.fullmatch(path))), None)
+        to = path if match is None else None if match[1] is None else match[0].expand(match[1])
+        if to is not None:
+            if to in out.values():
+                raise ValueError(f"two paths become {to}")
+            out[path] = to
+    _checked(out.values())
     return out
 
 
-def combine(left: Mapping, right: Mapping, f: Callable, strict: bool = False) -> Tree:
-    """f of the leaves that both have; leaves of the left one alone stay, those of the right one alone are an error if strict."""
-    a, b = flatten(left), flatten(right)
-    if strict and (missing := set(b) - set(a)):
-        raise ValueError(f"unknown paths {sorted(missing)}")
-    return unflatten({k: f(v, b[k]) if k in b else v for k, v in a.items()})
+def rename(df: DataFrame, patterns: Mapping[str, str | None]) -> DataFrame:
+    """A table whose nested fields are moved, renamed or deleted by patterns on their paths."""
+    own = leaves(df)
+    columns = nested({to: own[path] for path, to in renamed_paths(own, patterns).items()})
+    return df.select(*(c.alias(k) for k, c in columns.items()))
 
 
-def update(tree: Mapping, more: Mapping) -> Tree:
-    """A copy with the leaves of ``more`` set, branch by branch."""
-    out = dict(tree)
-    for k, v in more.items():
-        out[k] = update(out.get(k) or {}, v) if isinstance(v, Mapping) else v
-    return out
-
-
-def leaf_paths(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
-    """Leaf fields of nested structs by their paths."""
-    out: dict[str, T.DataType] = {}
-    for f in schema.fields:
-        path = f"{prefix}/{f.name}" if prefix else f.name
-        out |= leaf_paths(f.dataType, path) if isinstance(f.dataType, T.StructType) else {path: f.dataType}
-    return out
+def combine(left: Mapping[str, Column], right: Mapping[str, Column], f: Callable[[Column, Column], Column], strict: bool = False) -> dict[str, Column]:
+    """f of the leaves that both have; leaves of the left one alone stay, those of the right one alone are an error if strict."""
+    if strict and (unknown := sorted(set(right) - set(left))):
+        raise ValueError(f"unknown paths {unknown}")
+    return {path: f(c, right[path]) if path in right else c for path, c in left.items()}
 
 
-def at_path(path: str) -> Column:
-    return F.col(".".join(f"`{p}`" for p in path.split("/")))
+def update(left: Mapping[str, Column], right: Mapping[str, Column]) -> dict[str, Column]:
+    """The leaves of both, the right one's where both have one; a leaf gives way to a branch of the right one, and a branch to a leaf."""
+    clash = lambda path: any(path.startswith(f"{r}/") or r.startswith(f"{path}/") for r in right)
+    return {p: right.get(p, c) for p, c in left.items() if not clash(p)} | {p: c for p, c in right.items() if p not in left}
 
 
 def repack(df: DataFrame, structure: Mapping) -> DataFrame:

@@ -9,41 +9,57 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 
-def backbone(places: Sequence[int], weights: Sequence[float]) -> list[int]:
-    """Positions of the heaviest non-decreasing subsequence of plan places; -1 (unknown) never takes part.
+class PrefixMaxima:
+    """The greatest entry among places 0 to p, by a Fenwick tree: entries only grow."""
 
-    Of equal weights the earliest predecessor and the earliest end count.
+    def __init__(self, size: int):
+        self.tree = [(0.0, 1)] * (size + 1)
+
+    def upto(self, place: int) -> tuple[float, int]:
+        best, i = (0.0, 1), place + 1
+        while i:
+            best = max(best, self.tree[i])
+            i &= i - 1
+        return best
+
+    def put(self, place: int, entry: tuple[float, int]) -> None:
+        i = place + 1
+        while i < len(self.tree):
+            self.tree[i] = max(self.tree[i], entry)
+            i += i & -i
+
+
+def heaviest_ascent(places: Sequence[int], weights: Sequence[float]) -> list[int]:
+    """Positions of the heaviest subsequence of places that never falls; -1 (unknown) never takes part, weights are positive.
+
+    Of equal weights the earliest predecessor and the earliest end count. n log n.
     """
-    best: list[float] = []
-    before: list[int] = []
-    for i, p in enumerate(places):
-        total, link = (weights[i], -1) if p >= 0 else (float("-inf"), -1)
-        if p >= 0:
-            for j in range(i):
-                if 0 <= places[j] <= p and best[j] + weights[i] > total:
-                    total, link = best[j] + weights[i], j
-        best.append(total)
-        before.append(link)
-    if not any(p >= 0 for p in places):
+    links: dict[int, int] = {}
+    maxima = PrefixMaxima(max(places, default=-1) + 1)
+    for i, (place, weight) in enumerate(zip(places, weights, strict=True)):
+        if place >= 0:
+            # an entry is a weight and the position that ends with it, negative so that the earliest is greatest
+            so_far, end = maxima.upto(place)
+            links[i] = -end
+            maxima.put(place, (so_far + weight, -i))
+    if not links:
         return []
-    at = max(range(len(places)), key=lambda i: best[i])
-    out = []
+    at, chain = -maxima.upto(max(places))[1], []
     while at >= 0:
-        out.append(at)
-        at = before[at]
-    return out[::-1]
+        chain.append(at)
+        at = links[at]
+    return chain[::-1]
 
 
 def repaired(places: Sequence[int], weights: Sequence[float]) -> list[int]:
-    """Plan places with those off the backbone taken from the one before on it; leading ones from its first."""
-    on = backbone(places, weights)
+    """Plan places with those off the heaviest ascent taken from the one before on it; leading ones from its first."""
+    on = heaviest_ascent(places, weights)
     if not on:
         return list(places)
-    out, held, kept = [], places[on[0]], set(on)
-    for i, p in enumerate(places):
-        held = p if i in kept else held
-        out.append(held)
-    return out
+    known = np.full(len(places), -1)
+    known[on] = on
+    known = np.maximum.accumulate(known)
+    return np.asarray(places)[np.where(known < 0, on[0], known)].tolist()
 
 
 def ordered_labels(segments: DataFrame, plan: Sequence[str]) -> DataFrame:
@@ -58,27 +74,66 @@ def ordered_labels(segments: DataFrame, plan: Sequence[str]) -> DataFrame:
     return segments.groupBy("ep").applyInPandas(run, "ep long, segment long, label string, ordered string")
 
 
-def hdbscan(distance: np.ndarray, least: int) -> np.ndarray:
-    """Cluster numbers of a distance matrix, -1 for noise.
+class Frames:
+    """States of one episode in order of time: the distance of two is that of their states plus that of their times.
 
-    Mutual reachability, its minimum spanning tree, the tree condensed to clusters of at least
-    ``least`` points, and of these the ones with the greatest excess of mass.
+    No matrix is kept: a row of distances is made when it is asked for.
     """
-    n = len(distance)
-    if n < 2 * least or n < 3:
-        return np.full(n, -1)
-    core = np.sort(distance, axis=1)[:, min(least, n) - 1]
-    reach = np.maximum(np.maximum(core[:, None], core[None, :]), distance)
-    # Prim's spanning tree
+
+    def __init__(self, states: np.ndarray, times: np.ndarray):
+        self.states, self.times = states, times
+
+    def __len__(self) -> int:
+        return len(self.times)
+
+    def row(self, i: int, a: int = 0, b: int | None = None) -> np.ndarray:
+        """Distances of frame i from frames a to b."""
+        apart = self.states[a:b] - self.states[i]
+        return np.sqrt(np.einsum("ij,ij->i", apart, apart)) + np.abs(self.times[a:b] - self.times[i])
+
+    def core(self, k: int) -> np.ndarray:
+        """The distance of each frame's k-th nearest (itself the first): sought in a window of time that doubles until what is outside is farther."""
+        n = len(self)
+        out = np.empty(n)
+        for i in range(n):
+            width = 2 * k
+            while True:
+                a, b = max(0, i - width), min(n, i + width + 1)
+                found = np.partition(self.row(i, a, b), min(k, b - a) - 1)[min(k, b - a) - 1]
+                outside = min(self.times[i] - self.times[a - 1] if a else np.inf, self.times[b] - self.times[i] if b < n else np.inf)
+                if (a == 0 and b == n) or (b - a >= k and found <= outside):
+                    break
+                width *= 2
+            out[i] = found
+        return out
+
+
+def _spanning_tree(frames: Frames, core: np.ndarray) -> list[tuple[float, int, int]]:
+    """The edges of the least spanning tree of mutual reachability, by Prim, a row of distances at a time."""
+    n = len(frames)
     near, link, out = np.full(n, np.inf), np.zeros(n, int), np.zeros(n, bool)
     edges, at = [], 0
     for _ in range(n - 1):
         out[at] = True
-        closer = (reach[at] < near) & ~out
-        near[closer], link[closer] = reach[at][closer], at
+        reach = np.maximum(np.maximum(core, core[at]), frames.row(at))
+        closer = (reach < near) & ~out
+        near[closer], link[closer] = reach[closer], at
         at = int(np.argmin(np.where(out, np.inf, near)))
         edges.append((near[at], link[at], at))
-    edges.sort()
+    return sorted(edges)
+
+
+def hdbscan(frames: Frames, least: int) -> np.ndarray:
+    """Cluster numbers of frames, -1 for noise.
+
+    Mutual reachability, its minimum spanning tree, the tree condensed to clusters of at least
+    ``least`` points, and of these the ones with the greatest excess of mass. Memory grows with
+    the frames, time with their square.
+    """
+    n = len(frames)
+    if n < 2 * least or n < 3:
+        return np.full(n, -1)
+    edges = _spanning_tree(frames, frames.core(min(least, n)))
     # single-linkage dendrogram
     parent, size, children = list(range(2 * n - 1)), [1] * n + [0] * (n - 1), {}
 
@@ -146,16 +201,16 @@ def hdbscan_segments(frames: DataFrame, fps: float, time_weight: float, least: i
     """ep, frame and segment: clusters of states and times (distances added), in order of first frames, noise filled from its neighbours.
 
     With ``expected`` the least cluster size is searched for that many segments, the nearest found otherwise.
-    ``frames``: ep, frame, v (array). An episode's matrix has the square of its frames.
+    ``frames``: ep, frame, v (array). An episode is one task's, in memory that grows with its frames.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame")
         x = np.stack(pdf["v"].to_numpy()).astype(float)
         t = pdf["frame"].to_numpy() / fps
-        far = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)) + time_weight * np.abs(t[:, None] - t[None, :])
+        own = Frames(x, time_weight * t)
         sizes = [least] if expected is None else range(2, max(3, len(pdf) // 2))
-        found = min((hdbscan(far, s) for s in sizes), key=lambda z: abs(len(set(z[z >= 0].tolist())) - (expected or 0)) if expected else 0)
+        found = min((hdbscan(own, s) for s in sizes), key=lambda z: abs(len(set(z[z >= 0].tolist())) - (expected or 0)) if expected else 0)
         filled = pd.Series(found).where(lambda s: s >= 0).ffill().bfill().fillna(0).astype(int)
         order = {c: i for i, c in enumerate(dict.fromkeys(filled))}
         return pd.DataFrame({"ep": pdf["ep"].to_numpy(), "frame": pdf["frame"].to_numpy(), "segment": filled.map(order).to_numpy()})

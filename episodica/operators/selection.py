@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.texts import uniform
+from .order import permuted, running
 
 
 def hash_rank(key: Column, seed: object) -> Column:
@@ -28,50 +28,42 @@ def subsets(spark: SparkSession, df: DataFrame, key: str, sizes: Iterable[int])
     return drawn.withColumn("__r", F.row_number().over(Window.partitionBy("size").orderBy("__h", key))).where("__r <= size").select("size", key)
 
 
-def shuffled_prefix(ids: list, n: int, seed: int) -> list:
-    """The first n after a Mersenne-Twister shuffle, in their first order; all where n is no less than their number."""
-    if n >= len(ids):
-        return list(ids)
-    drawn = list(ids)
-    random.Random(seed).shuffle(drawn)
-    chosen = set(drawn[:n])
-    return [i for i in ids if i in chosen]
+def shuffled_prefix(df: DataFrame, key: str, n: int, seed: object) -> DataFrame:
+    """The rows whose keys a seeded permutation of all (distinct) keys puts among the first n; all where there are no more.
+
+    Keys are numbered in their order and their places permuted one by one: nothing is sorted by
+    a hash, nothing is collected.
+    """
+    keys = running(df.select(key).distinct(), key)
+    total = keys.agg(F.count("*").alias("__all"))  # one row
+    chosen = keys.join(F.broadcast(total)).where(permuted(F.col("place"), F.col("__all"), seed) < n).select(key)
+    return df.join(chosen, key, "left_semi")
 
 
 def shard(df: DataFrame, key: str, k: int, contiguous: bool = True) -> DataFrame:
-    """``shard`` of sorted keys: blocks of ceil(n / k), or every k-th. One row for each key (an episode) passes a single task."""
-    w = Window.orderBy(key)
-    place = F.row_number().over(w) - 1
-    total = F.count("*").over(Window.partitionBy(F.lit(1)))
-    number = F.floor(place / F.ceil(total / k)) if contiguous else place % k
-    return df.withColumn("shard", number.cast("long"))
+    """``shard`` of sorted keys: blocks of ceil(n / k), or every k-th."""
+    total = df.agg(F.count("*").alias("__all"))  # one row
+    placed = running(df, key, name="__place").join(F.broadcast(total))
+    number = F.floor(F.col("__place") / F.ceil(F.col("__all") / k)) if contiguous else F.col("__place") % k
+    return placed.withColumn("shard", number.cast("long")).drop("__place", "__all")
 
 
 def batches(df: DataFrame, key: str, size: int, seed: object) -> DataFrame:
-    """``batch`` of rows in a seeded order of all rows; the last, incomplete batch goes.
-
-    Hashes deal the rows evenly into 4,096 ranges of the order; a row's place is its number
-    in its range after those of the ranges before, so no task sees all rows.
-    """
-    ranged = df.withColumn("__h", hash_rank(F.col(key), seed)).withColumn("__range", F.left("__h", F.lit(3)))
-    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))  # 4,096 rows at most
-    order = Window.orderBy("__range")
-    sizes = sizes.withColumns({"__before": F.sum("__n").over(order) - F.col("__n"), "__all": F.sum("__n").over(Window.partitionBy(F.lit(1)))}).drop("__n")
-    place = F.row_number().over(Window.partitionBy("__range").orderBy("__h", key)) - 1
-    numbered = ranged.withColumn("__place", place).join(F.broadcast(sizes), "__range").withColumn("__place", F.col("__place") + F.col("__before"))
+    """``batch`` of rows in a seeded order of all rows, numbered in ranges of it; the last, incomplete batch goes."""
+    total = df.agg(F.count("*").alias("__all"))  # one row
+    placed = running(df.withColumn("__h", hash_rank(F.col(key), seed)), "__h", key, name="__place").join(F.broadcast(total))
     whole = F.col("__place") < F.floor(F.col("__all") / size) * size
-    return numbered.where(whole).withColumn("batch", F.floor(F.col("__place") / size).cast("long")).drop("__h", "__range", "__place", "__before", "__all")
+    return placed.where(whole).withColumn("batch", F.floor(F.col("__place") / size).cast("long")).drop("__h", "__place", "__all")
 
 
 def fill_gaps(df: DataFrame, key: str) -> DataFrame:
-    """key and new: the highest ids move into the lowest holes of 0..n-1, the rest stay. For ids of datasets: n rows pass a single task."""
-    n = df.agg(F.count("*").alias("__n"))
-    ids = df.select(key).crossJoin(F.broadcast(n))  # n is one row
-    holes = n.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias("hole")).join(df.select(F.col(key).alias("hole")), "hole", "left_anti")
-    holes = holes.withColumn("__r", F.row_number().over(Window.orderBy("hole")))
-    high = ids.where(F.col(key) >= F.col("__n")).select(key).withColumn("__r", F.row_number().over(Window.orderBy(F.col(key).desc())))
-    moved = high.join(holes, "__r").select(key, F.col("hole").alias("new"))
-    return df.select(key).join(moved, key, "left").select(key, F.coalesce("new", key).alias("new"))
+    """key and new: the highest ids move into the lowest holes of 0..n-1, the rest stay; holes and ids above are numbered in ranges."""
+    total = df.count()
+    ids = df.select(key)
+    holes = running(df.sparkSession.range(total).withColumnRenamed("id", "hole").join(ids.withColumnRenamed(key, "hole"), "hole", "left_anti"), "hole")
+    high = running(ids.where(F.col(key) >= total).withColumn("__down", -F.col(key)), "__down")
+    moved = high.join(holes, "place").select(key, F.col("hole").alias("new"))
+    return ids.join(moved, key, "left").select(key, F.coalesce("new", key).alias("new"))
 
 
 def instance_split(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -81,13 +73,21 @@ def instance_split(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("split", F.when(place <= F.greatest(n - 5, F.ceil(n / 2)), "train").otherwise("test"))
 
 
-def cumulative(df: DataFrame, weight: str, order: str, *keys: str) -> DataFrame:
-    """``low`` and ``high``: the part of [0, 1) that a row's weight takes up."""
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+def cumulative(df: DataFrame, weight: str, order: str) -> DataFrame:
+    """``low`` and ``high``: the part of [0, 1) that a row's weight takes up. One row for each dataset."""
+    w = Window.partitionBy(F.lit(1))
     run, total = F.sum(weight).over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.sum(weight).over(w)
     return df.withColumn("high", run / total).withColumn("low", F.coalesce(F.lag("high").over(w.orderBy(order)), F.lit(0.0)))
 
 
+def shares(df: DataFrame, length: str, order: str, key: str) -> DataFrame:
+    """``low`` and ``high`` as ``cumulative``, of whole lengths within each key, and the key's rows (``n``): summed in ranges, so a key of any size is spread."""
+    placed = running(df, key, order, amount=F.col(length).cast("long"), name="__before")
+    totals = placed.groupBy(key).agg(F.min("__before").alias("__first"), F.sum(length).alias("__total"), F.count("*").alias("n"))
+    own = placed.join(totals, key).withColumn("__before", F.col("__before") - F.col("__first"))
+    return own.withColumns({"low": F.col("__before") / F.col("__total"), "high": (F.col("__before") + F.col(length)) / F.col("__total")}).drop("__before", "__first", "__total")
+
+
 def mixture(draws: DataFrame, datasets: DataFrame, episodes: DataFrame, seed: object) -> DataFrame:
     """For each draw a dataset by weight, an episode of it by length, and a step, by hashes of seed and draw.
 
@@ -98,7 +98,7 @@ def mixture(draws: DataFrame, datasets: DataFrame, episodes: DataFrame, seed: ob
     d = cumulative(datasets.where("weight > 0"), "weight", "dataset").agg(F.array_sort(F.collect_list(F.struct("low", "high", "dataset"))).alias("__d"))
     u = lambda part: uniform(F.concat_ws("|", F.lit(str(seed)), F.lit(part), F.col("index").cast("string")))
     drawn = draws.crossJoin(F.broadcast(d)).select("index", F.element_at(F.filter("__d", lambda x: x["high"] > u("dataset")), 1)["dataset"].alias("dataset"), u("episode").alias("ue"), u("step").alias("us"))
-    ranges = cumulative(episodes, "length", "episode", "dataset").withColumn("__n", F.count("*").over(Window.partitionBy("dataset")))
+    ranges = shares(episodes, "length", "episode", "dataset").withColumnRenamed("n", "__n")
     binned = ranges.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("low") * F.col("__n")), F.least(F.floor(F.col("high") * F.col("__n")), F.col("__n") - 1))))
     sizes = episodes.groupBy("dataset").agg(F.count("*").alias("__n"))
     drawn = drawn.join(sizes, "dataset").withColumn("__bin", F.floor(F.col("ue") * F.col("__n")))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .order import running
+
 EP, FRAME = "ep", "frame"
 
 
@@ -131,8 +133,8 @@ def key_frames(ranges: DataFrame, kind: str = "ends", k: int = 3, stride: int =
 
 
 def offsets(lengths: DataFrame, key: str, length: str = "length") -> DataFrame:
-    """``offset``: lengths of all earlier keys. One row for each episode passes a single task."""
-    return lengths.withColumn("offset", (F.sum(length).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(length)).cast("long"))
+    """``offset``: lengths of all earlier keys, summed in ranges of the key."""
+    return running(lengths, key, amount=F.col(length).cast("long"), name="offset")
 
 
 def spread_plan(ranges: DataFrame, plan: Sequence[str], ep: str = EP) -> DataFrame:

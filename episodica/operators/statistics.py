@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 
 def by_dimension(df: DataFrame, vector: str, *keys: str) -> DataFrame:
     """Keys, dim and value: one row for each element; null elements and vectors are left out."""
@@ -16,12 +18,19 @@ def by_dimension(df: DataFrame, vector: str, *keys: str) -> DataFrame:
 def summary(df: DataFrame, vector: str, *keys: str, quantiles: bool = True) -> DataFrame:
     """mean, population std, min, max, n and exact q01 and q99 of every dimension.
 
-    Partial aggregation leaves a row for each key and dimension to shuffle, but for exact
-    quantiles, whose values are counted. ``fixed_histogram`` is the bounded alternative.
+    Partial aggregation leaves a row for each key and dimension to shuffle; quantiles are
+    selected (``exact_quantiles``), so no task holds the values of a dimension. One pass with
+    quantiles of a bounded error is ``running_statistics``.
     """
-    v = F.col("value")
-    more = [F.percentile(v, F.lit(0.01)).alias("q01"), F.percentile(v, F.lit(0.99)).alias("q99")] if quantiles else []
-    return by_dimension(df, vector, *keys).groupBy(*keys, "dim").agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.count("*").alias("n"), *more)
+    v, rows = F.col("value"), by_dimension(df, vector, *keys)
+    figures = rows.groupBy(*keys, "dim").agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.count("*").alias("n"))
+    if not quantiles:
+        return figures
+    found = exact_quantiles(rows, "value", (0.01, 0.99), *keys, "dim")
+    same = F.col("f.dim") == F.col("q.dim")
+    for k in keys:
+        same = same & F.col(f"f.{k}").eqNullSafe(F.col(f"q.{k}"))
+    return figures.alias("f").join(found.alias("q"), same).select("f.*", "q.q01", "q.q99")
 
 
 def nested(stats: DataFrame, *keys: str) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..functions.texts import uniform
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -36,15 +38,20 @@ class Group:
 
 @dataclass
 class Modality:
-    """A change of some vector columns by their statistics, in training or not, that can be undone.
+    """A change of some vector columns by their statistics that can be undone; in training, with noise after it.
 
-    ``stats``: column -> {mean, std} or {q01, q99}, each a list of numbers.
+    ``stats``: column -> {mean, std} or {q01, q99}, each a list of numbers. Noise is uniform
+    within ``noise`` to either side, by a hash of seed, ``key`` (a column) and place: the same
+    in every run. It is not undone.
     """
 
     columns: Sequence[str]
     stats: Mapping[str, Mapping[str, Sequence[float]]]
     quantiles: bool = False
     training: bool = True
+    noise: float = 0.0
+    key: str | None = None
+    seed: object = 0
 
     def _figures(self, column: str) -> tuple[Column, Column]:
         if column not in self.stats:
@@ -52,9 +59,17 @@ class Modality:
         names = ("q01", "q99") if self.quantiles else ("mean", "std")
         return tuple(F.array(*(F.lit(float(x)) for x in self.stats[column][n])) for n in names)  # type: ignore[return-value]
 
+    def _noisy(self, v: Column) -> Column:
+        if not (self.training and self.noise):
+            return v
+        if self.key is None:
+            raise ValueError("noise needs the key of a row")
+        at = lambda i: uniform(F.concat_ws("|", F.lit(str(self.seed)), F.col(self.key).cast("string"), i.cast("string")))
+        return F.transform(v, lambda x, i: x + self.noise * (at(i) * 2 - 1))
+
     def apply(self, df: DataFrame) -> DataFrame:
         f = V.to_quantiles if self.quantiles else V.zscore
-        return df.withColumns({c: f(F.col(c), *self._figures(c)) for c in self.columns})
+        return df.withColumns({c: self._noisy(f(F.col(c), *self._figures(c))) for c in self.columns})
 
     def unapply(self, df: DataFrame) -> DataFrame:
         f = V.from_quantiles if self.quantiles else V.unzscore
@@ -100,6 +115,25 @@ def policy_input(state: str, actions: str, size: int) -> Step:
     return lambda df: df.withColumns({state: V.pad(F.col(state), size), actions: F.transform(F.col(actions), lambda a: V.pad(a, size))})
 
 
+def image_slots(slots: Mapping[str, str | None], mask_missing: bool = True) -> Step:
+    """``images`` and ``image_masks``: a struct each, with a field for every slot of a model.
+
+    A slot without a column, or a row without that image, gets zeros of the size of the first
+    slot's image, and a mask that is false (true where missing images are not to be masked).
+    """
+
+    def step(df: DataFrame) -> DataFrame:
+        named = [c for c in slots.values() if c is not None]
+        if not named:
+            raise ValueError("no slot has a column")
+        blank = F.transform(F.col(named[0]), lambda x: F.lit(0.0))
+        images = F.struct(*((blank if c is None else F.coalesce(F.col(c), blank)).alias(k) for k, c in slots.items()))
+        there = F.struct(*((F.lit(not mask_missing) if c is None else F.col(c).isNotNull() | F.lit(not mask_missing)).alias(k) for k, c in slots.items()))
+        return df.withColumns({"images": images, "image_masks": there})
+
+    return step
+
+
 def policy_output(actions: str, size: int) -> Step:
     """Each action cut to the robot's size."""
     return lambda df: df.withColumn(actions, F.transform(F.col(actions), lambda a: F.slice(a, 1, size)))
@@ -110,9 +144,12 @@ def action_parts(v: Column) -> dict[str, Column]:
     return {"pos": V.part(v, 0, 3), "rot": V.part(v, 3, 6), "rot_6d": V.six_of(V.part(v, 3, 6)), "gripper": F.get(v, F.lit(6)), "base_mode": F.get(v, F.lit(7))}
 
 
-def task_object(boxes: Column, names: Column) -> dict[str, Column]:
-    """The first box is the task's object, the rest distract from it."""
-    return {"task_box": F.get(boxes, F.lit(0)), "task_name": F.coalesce(F.get(names, F.lit(0)), F.lit("obj_0")), "distractors": F.slice(boxes, 2, F.greatest(F.size(boxes) - 1, F.lit(0)))}
+def task_object(boxes: Column, names: Column, category: Column | None = None) -> dict[str, Column]:
+    """The first box is the task's object, the rest distract from it; its name is the category, else the first name, else `object`."""
+    first = F.get(names, F.lit(0))
+    name = F.coalesce(first, F.lit("object")) if category is None else F.coalesce(category, first, F.lit("object"))
+    rest = lambda x: F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0)))
+    return {"task_box": F.get(boxes, F.lit(0)), "task_name": name, "distractors": rest(boxes), "distractor_names": F.coalesce(rest(names), F.array().cast("array<string>"))}
 
 
 def subset_of_words(words: Column, text: Column) -> Column:
@@ -121,6 +158,23 @@ def subset_of_words(words: Column, text: Column) -> Column:
     return F.forall(words, lambda w: F.array_contains(said, w))
 
 
+def scene_targets(scenes: DataFrame, things: DataFrame, key: str, ref: str, said: str, thing: str) -> DataFrame:
+    """key, query and label, once each: what a scene refers to, and for a scene that refers to nothing every thing whose words its instruction has.
+
+    A thing is looked for by one of its words, the rarest over all things, so a scene meets
+    things that share a telling word with it and not all of them.
+    """
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != ""))
+    known = things.select(thing, words(F.col(thing)).alias("__words")).where(F.size("__words") > 0)
+    spread = known.select(thing, F.explode("__words").alias("__word"))
+    counts = spread.groupBy("__word").agg(F.count("*").alias("__n"))
+    rarest = spread.join(counts, "__word").groupBy(thing).agg(F.min(F.struct("__n", "__word")).alias("__r")).select(thing, F.col("__r.__word").alias("__word"))
+    open_ = scenes.where(F.col(ref).isNull()).select(key, said, F.explode(words(F.col(said))).alias("__word"))
+    met = open_.join(rarest, "__word").join(known, thing).where(subset_of_words(F.col("__words"), F.col(said)))
+    referred = scenes.where(F.col(ref).isNotNull()).select(key, F.col(ref).alias("query"), F.col(ref).alias("label"))
+    return referred.unionByName(met.select(key, F.col(thing).alias("query"), F.lower(thing).alias("label"))).distinct()
+
+
 def token_layout(prefix: Column, suffix: Column, size: int, fill: int = 0) -> dict[str, Column]:
     """Prefix and suffix ids in one row of ``size``, with masks: real, autoregressive (suffix), counted in the loss (suffix)."""
     from ..functions.texts import padded_tokens
@@ -138,3 +192,30 @@ def sample_rows(df: DataFrame, rows: Callable, schema: str, key: str = "ep") ->
 def scene_path(number: Column, kind: str) -> Column:
     """Folder of a layout or a style: numbers 1 to 10 are for tests."""
     return F.format_string(f"{kind}s/%s/{kind}%03d.yaml", F.when(number.between(1, 10), "test").otherwise("train"), number.cast("long"))
+
+
+def work_units(units: DataFrame, key: str, work: Callable, schema: str, tries: int = 3) -> DataFrame:
+    """key, tries, error and the columns of ``schema``: what ``work`` makes of each unit (a row as a dict, to a list of rows), in its place.
+
+    A unit that raises is tried again, ``tries`` times at most; one that never succeeds is one
+    row with its last error and nulls, so the others' results stay. Results are told apart by
+    the unit's key and ``place``, whatever task made them and when; a lost task's units are
+    worked on anew. Units are rows of any number, spread as the table is.
+    """
+    names = [f.split()[0] for f in schema.split(",")]
+
+    def run(frames):  # noqa: ANN001, ANN202
+        for pdf in frames:
+            for unit in pdf.to_dict("records"):
+                made, error, tried = [], None, 0
+                while tried < tries:
+                    tried += 1
+                    try:
+                        made, error = list(work(unit)), None
+                        break
+                    except Exception as e:  # noqa: BLE001  (a unit's error is its result)
+                        made, error = [], f"{type(e).__name__}: {e}"
+                rows = [(unit[key], i, tried, None, *r) for i, r in enumerate(made)] if error is None else [(unit[key], 0, tried, error, *[None] * len(names))]
+                yield pd.DataFrame(rows, columns=[key, "place", "tries", "error", *names]).astype(object)
+
+    return units.mapInPandas(run, f"{key} {dict(units.dtypes)[key]}, place long, tries long, error string, {schema}")

@@ -9,8 +9,9 @@ from ..functions import texts as T
 from ..operators import matching as M
 from ..operators import selection as C
 from ..operators import statistics as S
-from ..sources.tables import table, trajectories
-from .catalogue import SQL, TRAJ, query
+from ..operators.order import running
+from ..sources.tables import table, trajectories, vectors
+from .catalogue import TRAJ, VEC, query
 
 
 @query("left_merge_coalesce", f"WITH {TRAJ} SELECT t.event_id, coalesce(g.x, t.label) AS label, g.box FROM traj t LEFT JOIN (SELECT ep, frame, 'seen' AS x, k AS box FROM traj WHERE k % 3 = 0) g ON g.ep = t.ep AND g.frame = t.frame")
@@ -22,12 +23,10 @@ def left_merge_coalesce(spark: SparkSession, d: str) -> DataFrame:
 
 @query("positional_merge", "SELECT d.doc_id, b.item_id, b.n FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS p FROM documents) d JOIN (SELECT item_id, length(text) AS n, row_number() OVER (ORDER BY item_id) AS p FROM benchmark) b USING (p)")
 def positional_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Two sequences by position, as long as the shorter one: the longer is cut by a top-n before it is numbered."""
+    """Two sequences by position, as long as the shorter one; either is numbered in ranges."""
     items = table(spark, d, "benchmark").select("item_id", F.length("text").cast("long").alias("n"))
-    n = items.count()  # of a benchmark
-    number = lambda df, key: df.withColumn("p", F.row_number().over(Window.orderBy(key)))
-    docs = table(spark, d, "documents").select("doc_id").orderBy("doc_id").limit(n)
-    return number(docs, "doc_id").join(number(items, "item_id"), "p").select("doc_id", "item_id", "n")
+    docs = table(spark, d, "documents").select("doc_id")
+    return running(docs, "doc_id").join(running(items, "item_id"), "place").select("doc_id", "item_id", "n")
 
 
 @query("status_rollup", "SELECT CASE WHEN l.doc_id IS NULL THEN 'label missing' WHEN d.n_chars < 100 THEN 'short' ELSE 'ok' END AS status, count(*) AS n FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1")
@@ -37,19 +36,9 @@ def status_rollup(spark: SparkSession, d: str) -> DataFrame:
     return both.groupBy(M.status({"label": F.coalesce("there", F.lit(False))}, F.col("n_chars") >= 100, "short").alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("multi_way_alignment", f"WITH {TRAJ}, c AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) SELECT t.ep, t.frame, t.label, coalesce(c.role, 'unknown') AS role FROM traj t JOIN (SELECT ep, count(*) AS m FROM traj GROUP BY ep) z ON z.ep = t.ep LEFT JOIN conversations c ON c.conv_id = t.ep AND c.turn = t.frame WHERE t.frame < least(z.m, 6)")
+@query("multi_way_alignment", f"WITH {TRAJ} SELECT t.ep, t.frame, t.label, coalesce(c.role, 'unknown') AS role FROM traj t JOIN (SELECT ep, count(*) AS m FROM traj GROUP BY ep) z ON z.ep = t.ep JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) y ON y.conv_id = t.ep LEFT JOIN conversations c ON c.conv_id = t.ep AND c.turn = t.frame WHERE t.frame < least(z.m, y.n)")
 def multi_way_alignment(spark: SparkSession, d: str) -> DataFrame:
-    """Frames up to the least length, labels padded with `unknown`."""
-    t = trajectories(spark, d)
-    sizes = t.groupBy("ep").agg(F.least(F.count("*"), F.lit(6)).alias("m"))
-    roles = table(spark, d, "conversations").select(F.col("conv_id").alias("ep"), F.col("turn").alias("frame"), "role")
-    kept = t.join(sizes, "ep").where(F.col("frame") < F.col("m"))
-    return kept.join(roles, ["ep", "frame"], "left").select("ep", "frame", "label", F.coalesce("role", F.lit("unknown")).alias("role"))
-
-
-@query("multi_way_alignment_all", f"WITH {TRAJ} SELECT t.ep, t.frame, t.label, coalesce(c.role, 'unknown') AS role FROM traj t JOIN (SELECT ep, count(*) AS m FROM traj GROUP BY ep) z ON z.ep = t.ep JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) y ON y.conv_id = t.ep LEFT JOIN conversations c ON c.conv_id = t.ep AND c.turn = t.frame WHERE t.frame < least(z.m, y.n)")
-def multi_way_alignment_all(spark: SparkSession, d: str) -> DataFrame:
-    """As multi_way_alignment, up to the least length of the aligned sequences themselves; one that is absent has length 0."""
+    """Frames up to the least length of the aligned sequences themselves; one that is absent has length 0."""
     t = trajectories(spark, d)
     roles = table(spark, d, "conversations").select(F.col("conv_id").alias("ep"), F.col("turn").alias("frame"), "role")
     sizes = t.groupBy("ep").agg(F.count("*").alias("m")).join(roles.groupBy("ep").agg(F.count("*").alias("n")), "ep")
@@ -94,7 +83,7 @@ def source_episode_numbers(spark: SparkSession, d: str) -> DataFrame:
     """One running number over the first source and then the second; datasets, not frames."""
     s = table(spark, d, "supplier")
     both = s.where("s_acctbal >= 0").select("s_suppkey", F.lit(0).alias("tier")).unionByName(s.where("NOT s_acctbal >= 0").select("s_suppkey", F.lit(1).alias("tier")))
-    return both.select("s_suppkey", (F.row_number().over(Window.orderBy("tier", "s_suppkey")) - 1).cast("long").alias("episode"))
+    return running(both, "tier", "s_suppkey", name="episode").select("s_suppkey", F.col("episode").cast("long").alias("episode"))
 
 
 @query("tolerance_match", "WITH q AS (SELECT c_custkey, c_nationkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0), r AS (SELECT c_custkey AS demo, c_nationkey, c_acctbal AS y FROM customer WHERE c_custkey % 2 = 1), c AS (SELECT q.c_custkey, min(r.demo) AS demo FROM q JOIN r ON q.c_nationkey = r.c_nationkey AND abs(q.c_acctbal - r.y) <= 100 GROUP BY 1), e AS (SELECT c_nationkey, min(demo) AS demo FROM r GROUP BY 1) SELECT q.c_custkey, coalesce(c.demo, e.demo) AS demo, c.demo IS NOT NULL AS close FROM q LEFT JOIN c USING (c_custkey) LEFT JOIN e USING (c_nationkey)")
@@ -104,6 +93,17 @@ def tolerance_match(spark: SparkSession, d: str) -> DataFrame:
     return M.tolerance(c.where("c_custkey % 2 = 0"), right, "c_custkey", "demo", "c_nationkey", "c_acctbal", 100.0)
 
 
+#: How far vectors may be apart in each of their first six dimensions.
+BOUNDS = (0.1, 0.1, 0.1, 0.2, 0.2, 0.3)
+
+
+@query("tolerance_match_vectors", f"WITH {VEC}, q AS (SELECT * FROM vec WHERE vec_id % 2 = 0), r AS (SELECT * FROM vec WHERE vec_id % 2 = 1), c AS (SELECT q.vec_id, min(r.vec_id) AS demo FROM q JOIN r ON q.ep = r.ep AND abs(q.v[1] - r.v[1]) <= 0.1::DOUBLE AND abs(q.v[2] - r.v[2]) <= 0.1::DOUBLE AND abs(q.v[3] - r.v[3]) <= 0.1::DOUBLE AND abs(q.v[4] - r.v[4]) <= 0.2::DOUBLE AND abs(q.v[5] - r.v[5]) <= 0.2::DOUBLE AND abs(q.v[6] - r.v[6]) <= 0.3::DOUBLE GROUP BY 1), e AS (SELECT ep, min(vec_id) AS demo FROM r GROUP BY ep) SELECT q.vec_id, coalesce(c.demo, e.demo) AS demo, c.demo IS NOT NULL AS close FROM q LEFT JOIN c USING (vec_id) LEFT JOIN e USING (ep)")
+def tolerance_match_vectors(spark: SparkSession, d: str) -> DataFrame:
+    v = vectors(spark, d).select("vec_id", "ep", "v")
+    right = v.where("vec_id % 2 = 1").withColumnRenamed("vec_id", "demo")
+    return M.tolerance_vectors(v.where("vec_id % 2 = 0"), right, "vec_id", "demo", "ep", "v", BOUNDS)
+
+
 @query("interval_join_rounds", f"WITH {TRAJ}, r AS (SELECT ep, frame AS start, row_number() OVER (PARTITION BY ep ORDER BY frame) - 1 AS round FROM traj WHERE label = 'purchase') SELECT t.event_id, max(r.round) AS round FROM traj t LEFT JOIN r ON r.ep = t.ep AND r.start <= t.frame GROUP BY t.event_id")
 def interval_join_rounds(spark: SparkSession, d: str) -> DataFrame:
     t = trajectories(spark, d).select("ep", "frame", "label", "event_id")
@@ -117,20 +117,9 @@ def nearest_time_match(spark: SparkSession, d: str) -> DataFrame:
     return M.nearest(t.where("label = 'click'").select("ep", "frame", "event_id"), t.where("label = 'purchase'").select("ep", "frame", "value"), "ep", "frame", "value").select("event_id", "matched_frame", "matched_value")
 
 
-@query("nearest_object", "WITH o AS (SELECT p_partkey, p_size AS x, p_size % 7 AS y FROM part WHERE p_partkey <= 40), q AS (SELECT s_suppkey, (s_suppkey * 7 % 50) AS x, s_suppkey % 7 AS y FROM supplier), c AS (SELECT q.s_suppkey, o.p_partkey, abs(q.x - o.x) <= 8 AND abs(q.y - o.y) <= 8 AS inside, abs(q.x - o.x) + abs(q.y - o.y) AS far FROM q, o) SELECT s_suppkey, coalesce(min(p_partkey) FILTER (inside), arg_min(p_partkey, far * 100000 + p_partkey)) AS p_partkey FROM c GROUP BY s_suppkey")
+@query("nearest_object", "WITH o AS (SELECT p_partkey, p_size AS x, p_size % 7 AS y FROM part), q AS (SELECT s_suppkey, (s_suppkey * 7 % 50) AS x, s_suppkey % 7 AS y FROM supplier), c AS (SELECT q.s_suppkey, o.p_partkey, abs(q.x - o.x) <= 8 AND abs(q.y - o.y) <= 8 AS inside, abs(q.x - o.x) + abs(q.y - o.y) AS far FROM q, o) SELECT s_suppkey, coalesce(min(p_partkey) FILTER (inside), arg_min(p_partkey, (far, p_partkey))) AS p_partkey FROM c GROUP BY s_suppkey")
 def nearest_object(spark: SparkSession, d: str) -> DataFrame:
-    """The first object whose box, 8 pixels wider, holds a point; else the nearest. Objects of one scene (40 here) go with each point."""
-    things = table(spark, d, "part").where("p_partkey <= 40").agg(F.array_sort(F.collect_list(F.struct("p_partkey", F.col("p_size").alias("x"), (F.col("p_size") % 7).alias("y")))).alias("things"))
-    q = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 7 % 50).alias("x"), (F.col("s_suppkey") % 7).alias("y")).crossJoin(F.broadcast(things))
-    dx, dy = (lambda o: F.abs(F.col("x") - o["x"])), (lambda o: F.abs(F.col("y") - o["y"]))
-    held = F.filter("things", lambda o: (dx(o) <= 8) & (dy(o) <= 8))
-    near = F.array_min(F.transform("things", lambda o: F.struct((dx(o) + dy(o)).alias("far"), o["p_partkey"].alias("p"))))["p"]
-    return q.select("s_suppkey", F.when(F.size(held) > 0, F.get(held, F.lit(0))["p_partkey"]).otherwise(near).alias("p_partkey"))
-
-
-@query("nearest_object_all", "WITH o AS (SELECT p_partkey, p_size AS x, p_size % 7 AS y FROM part), q AS (SELECT s_suppkey, (s_suppkey * 7 % 50) AS x, s_suppkey % 7 AS y FROM supplier), c AS (SELECT q.s_suppkey, o.p_partkey, abs(q.x - o.x) <= 8 AND abs(q.y - o.y) <= 8 AS inside, abs(q.x - o.x) + abs(q.y - o.y) AS far FROM q, o) SELECT s_suppkey, coalesce(min(p_partkey) FILTER (inside), arg_min(p_partkey, (far, p_partkey))) AS p_partkey FROM c GROUP BY s_suppkey")
-def nearest_object_all(spark: SparkSession, d: str) -> DataFrame:
-    """As nearest_object, over all parts: places of points meet places of objects, each with its least key, so pairs are bounded by the pixels."""
+    """The first object whose box, 8 pixels wider, holds a point; else the nearest. Places of points meet places of objects, each with its least key, so pairs are bounded by the pixels."""
     o = table(spark, d, "part").groupBy(F.col("p_size").alias("ox"), (F.col("p_size") % 7).alias("oy")).agg(F.min("p_partkey").alias("p"))
     q = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 7 % 50).alias("x"), (F.col("s_suppkey") % 7).alias("y"))
     dx, dy = F.abs(F.col("x") - F.col("ox")), F.abs(F.col("y") - F.col("oy"))
@@ -163,14 +152,8 @@ def idf_jaccard_match(spark: SparkSession, d: str) -> DataFrame:
     return M.token_matches(words.where("id % 2 = 0"), words.where("id % 2 = 1"), idf, threshold=0.05, margin=0.02).withColumn("score", F.round("score", 6))
 
 
-@query("jaccard_coverage", "WITH plan AS (SELECT ['open the view', 'click here', 'purchase it now', 'sign up', 'error page'] AS p), s AS (SELECT user_id AS key, event_id, CASE event_type WHEN 'view' THEN 'open view the' WHEN 'click' THEN 'click here' WHEN 'purchase' THEN 'purchase it' WHEN 'signup' THEN 'other words entirely' ELSE 'page' END AS step FROM events WHERE event_id % 40 = 0), m AS (SELECT key, event_id, CASE step WHEN 'open view the' THEN 0 WHEN 'click here' THEN 1 WHEN 'purchase it' THEN 2 END AS idx FROM s) SELECT key, max(idx)::BIGINT AS covered, 5::BIGINT AS size, coalesce(max(idx), -1) < 3 AS truncated FROM m GROUP BY key")
+@query("jaccard_coverage", "WITH plan AS (SELECT ['open the view', 'click here', 'purchase it now', 'sign up', 'error page'] AS p), s AS (SELECT user_id AS key, event_id, CASE event_type WHEN 'view' THEN 'open view the' WHEN 'click' THEN 'click here' WHEN 'purchase' THEN 'purchase it' WHEN 'signup' THEN 'other words entirely' ELSE 'page' END AS step FROM events), m AS (SELECT key, event_id, CASE step WHEN 'open view the' THEN 0 WHEN 'click here' THEN 1 WHEN 'purchase it' THEN 2 END AS idx FROM s) SELECT key, max(idx)::BIGINT AS covered, 5::BIGINT AS size, coalesce(max(idx), -1) < 3 AS truncated FROM m GROUP BY key")
 def jaccard_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return _coverage(table(spark, d, "events").where("event_id % 40 = 0"))
-
-
-@query("jaccard_coverage_all", SQL["jaccard_coverage"].replace(" WHERE event_id % 40 = 0", ""))
-def jaccard_coverage_all(spark: SparkSession, d: str) -> DataFrame:
-    """Over the steps of all events."""
     return _coverage(table(spark, d, "events"))
 
 
@@ -208,7 +191,8 @@ def integrity_anti_join(spark: SparkSession, d: str) -> DataFrame:
 def natural_sort_ids(spark: SparkSession, d: str) -> DataFrame:
     name = F.when(F.col("s_suppkey") % 10 == 0, F.concat(F.lit("extra"), F.chr(97 + F.floor(F.col("s_suppkey") / 10) % 26), F.lit("_"))).otherwise(F.concat(F.lit("demo_"), F.col("s_suppkey").cast("string")))
     names = table(spark, d, "supplier").select(name.alias("name")).distinct()
-    return names.select("name", F.row_number().over(Window.orderBy(T.natural_number(F.col("name")), "name")).cast("long").alias("place"))
+    placed = running(names.withColumn("number", T.natural_number(F.col("name"))), "number", "name")
+    return placed.select("name", (F.col("place") + 1).cast("long").alias("place"))
 
 
 @query("latest_run", "SELECT o_custkey, max(o_orderdate) AS latest, arg_max(o_orderkey, strftime(o_orderdate, '%Y-%m-%d-%H-%M') || lpad(o_orderkey::VARCHAR, 12, '0')) AS o_orderkey FROM orders GROUP BY o_custkey")
@@ -235,11 +219,13 @@ def fill_id_gaps(spark: SparkSession, d: str) -> DataFrame:
     return C.fill_gaps(table(spark, d, "supplier").where("s_suppkey % 4 <> 0").select(F.col("s_suppkey").alias("id")), "id")
 
 
-@query("expand_layout_ids", "WITH ids AS (SELECT unnest([0, 1, 2, 3]) AS pos, unnest([7, -1, 3, -2]) AS id), g AS (SELECT -1 AS g, [10, 11, 12] AS m UNION ALL SELECT -2, [20, 21]) SELECT pos::BIGINT AS pos, unnest(range(0, len(coalesce(m, [id])))) AS at, unnest(coalesce(m, [id]))::BIGINT AS member FROM ids LEFT JOIN g ON g.g = ids.id")
+@query("expand_layout_ids", "WITH ids AS (SELECT p_partkey AS pos, CASE WHEN p_partkey % 3 = 0 THEN -(p_size % 30) ELSE p_size END::BIGINT AS id FROM part), g AS (SELECT -n_nationkey::BIGINT AS g, list(s_suppkey ORDER BY s_suppkey) AS m FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey > 0 GROUP BY n_nationkey), x AS (SELECT pos, coalesce(m, [id]) AS m FROM ids LEFT JOIN g ON g.g = ids.id) SELECT pos, unnest(range(0, len(m))) AS at, unnest(m) AS member FROM x")
 def expand_layout_ids(spark: SparkSession, d: str) -> DataFrame:
-    ids = spark.createDataFrame([(0, 7), (1, -1), (2, 3), (3, -2)], "pos long, id long")
-    groups = spark.createDataFrame([(-1, [10, 11, 12]), (-2, [20, 21])], "group long, members array<long>")
-    return C.expand_groups(ids, groups).withColumn("at", F.col("at").cast("long"))
+    """Negative ids stand for the suppliers of a nation, in order; positive ones, and those of no nation, for themselves."""
+    size = F.col("p_size").cast("long")
+    ids = table(spark, d, "part").select(F.col("p_partkey").alias("pos"), F.when(F.col("p_partkey") % 3 == 0, -(size % 30)).otherwise(size).alias("id"))
+    groups = table(spark, d, "supplier").where("s_nationkey > 0").groupBy((-F.col("s_nationkey")).cast("long").alias("group")).agg(F.sort_array(F.collect_list("s_suppkey")).alias("members"))
+    return C.expand_groups(ids, groups).select("pos", F.col("at").cast("long").alias("at"), "member")
 
 
 @query("set_operations", "SELECT 'minus' AS op, count(*) AS n FROM (SELECT s_nationkey FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) UNION ALL SELECT 'both', count(*) FROM (SELECT s_nationkey FROM supplier INTERSECT SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) UNION ALL SELECT 'either', count(*) FROM (SELECT s_nationkey FROM supplier UNION SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) UNION ALL SELECT 'all', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM customer WHERE c_acctbal > 9900)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import texts as T
 from ..operators import selection as C
 from ..operators import statistics as S
+from ..operators.order import permuted_sql
 from ..sources.tables import table, trajectories
 from .catalogue import TRAJ, query
 
@@ -23,15 +24,14 @@ def independent_subsets(spark: SparkSession, d: str) -> DataFrame:
     return C.subsets(spark, table(spark, d, "orders").select("o_custkey").distinct(), "o_custkey", (10, 50, 100))
 
 
-@query("seeded_prefix")
-def seeded_prefix(spark: SparkSession, d: str) -> DataFrame:
-    """30 episode ids by a Mersenne-Twister shuffle, whose draws SQL does not have; episode ids are few."""
-    ids = [r[0] for r in trajectories(spark, d).select("ep").distinct().orderBy("ep").collect()]
-    chosen = C.shuffled_prefix(ids, 30, 0)
-    return trajectories(spark, d).where(F.col("ep").isin(chosen)).groupBy("ep").agg(F.count("*").alias("n"))
+_EPS = "e AS (SELECT DISTINCT user_id AS ep FROM events), p AS (SELECT ep, row_number() OVER (ORDER BY ep) - 1 AS p, count(*) OVER () AS n FROM e)"
 
 
-_EPS = "e AS (SELECT DISTINCT user_id AS ep FROM events), p AS (SELECT ep, row_number() OVER (ORDER BY ep) - 1 AS p, count(*) OVER () AS n FROM e)"
+@query("seeded_prefix", f"WITH {_EPS}, x AS (SELECT ep, {permuted_sql('p', 'n', 0)} AS x FROM p) SELECT user_id AS ep, count(*) AS n FROM events WHERE user_id IN (SELECT ep FROM x WHERE x < 30) GROUP BY 1")
+def seeded_prefix(spark: SparkSession, d: str) -> DataFrame:
+    """30 episodes by a seeded permutation: sampling is the operator."""
+    return C.shuffled_prefix(trajectories(spark, d), "ep", 30, 0).groupBy("ep").agg(F.count("*").alias("n"))
+
 
 
 @query("contiguous_shards", f"WITH {_EPS} SELECT ep, floor(p / ceil(n / 7))::BIGINT AS shard FROM p")
@@ -135,21 +135,8 @@ def cycled_indices(spark: SparkSession, d: str) -> DataFrame:
     return _lengths(spark, d).select("ds", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1199).cast("long"))).alias("i")).select("ds", "i", (F.col("i") % F.col("n")).alias("row"))
 
 
-@query("global_index_lookup", f"WITH {TRAJ}, n AS (SELECT ep, count(*) AS n FROM traj GROUP BY ep), o AS (SELECT ep, n, (sum(n) OVER (ORDER BY ep) - n)::BIGINT AS o FROM n), t AS (SELECT sum(n)::BIGINT AS t FROM n), i AS (SELECT unnest(range(0, 15000, 37)) AS i) SELECT i, ep, (i % t) - o AS frame FROM i, t JOIN o ON i % t >= o AND i % t < o + n")
+@query("global_index_lookup", f"WITH {TRAJ}, n AS (SELECT ep, count(*) AS n FROM traj GROUP BY ep), o AS (SELECT ep, n, (sum(n) OVER (ORDER BY ep) - n)::BIGINT AS o FROM n), t AS (SELECT sum(n)::BIGINT AS t FROM n), i AS (SELECT unnest(range(0, 2 * t)) AS i FROM t) SELECT i, ep, (i % t) - o AS frame FROM i, t JOIN o ON i % t >= o AND i % t < o + n")
 def global_index_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Global index to episode and offset, round again past the end: an interval match over one sorted pass."""
-    from ..operators.matching import intervals
-    from ..operators.sequences import offsets
-
-    lengths = offsets(trajectories(spark, d).groupBy("ep").agg(F.count("*").alias("length")), "ep")
-    total = lengths.agg(F.sum("length").alias("t"))
-    points = spark.range(0, 15000, 37).withColumnRenamed("id", "i").crossJoin(F.broadcast(total)).select(F.lit(0).alias("one"), "i", (F.col("i") % F.col("t")).alias("x"))
-    met = intervals(points, lengths.withColumn("one", F.lit(0)), "one", "x", "offset", "ep")
-    return met.join(lengths, "ep").select("i", "ep", (F.col("x") - F.col("offset")).alias("frame"))
-
-
-@query("global_index_lookup_all", f"WITH {TRAJ}, n AS (SELECT ep, count(*) AS n FROM traj GROUP BY ep), o AS (SELECT ep, n, (sum(n) OVER (ORDER BY ep) - n)::BIGINT AS o FROM n), t AS (SELECT sum(n)::BIGINT AS t FROM n), i AS (SELECT unnest(range(0, 2 * t)) AS i FROM t) SELECT i, ep, (i % t) - o AS frame FROM i, t JOIN o ON i % t >= o AND i % t < o + n")
-def global_index_lookup_all(spark: SparkSession, d: str) -> DataFrame:
     """Every global index and, past the end, every one again: indices and the episodes that hold them meet in bins."""
     from ..operators.sequences import offsets
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import statistics as S
+from ..operators.quantiles import exact_quantiles
 from ..sources.tables import states, table, trajectories
 from .catalogue import TRAJ, VEC, query
 
@@ -78,8 +79,12 @@ def success_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query("timing_quantiles", "SELECT event_type, round(avg(value), 6) AS mean, round(min(value), 6) AS least, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS most FROM events GROUP BY event_type")
 def timing_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    p = [F.round(F.percentile("value", F.lit(q)), 6).alias(f"p{round(q * 100)}") for q in (0.25, 0.5, 0.75)]
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.min("value"), 6).alias("least"), *p, F.round(F.max("value"), 6).alias("most"))
+    """Quantiles by selection: a kind of event of any size is counted in bins, not gathered."""
+    events = table(spark, d, "events").select("event_type", "value")
+    figures = events.groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.min("value"), 6).alias("least"), F.round(F.max("value"), 6).alias("most"))
+    found = exact_quantiles(events, "value", (0.25, 0.5, 0.75), "event_type")
+    found = found.select(F.col("event_type").alias("kind"), *(F.round(f"q{p}", 6).alias(f"p{p}") for p in (25, 50, 75)))
+    return figures.join(found, F.col("event_type").eqNullSafe(F.col("kind")), "left").drop("kind")
 
 
 @query("frames_per_segment", f"WITH {TRAJ} SELECT ep, label, greatest(1, count(*)) AS weight FROM traj GROUP BY ep, label")

@@ -10,18 +10,13 @@ from ..sources.folders import shared_folder
 from ..sources.tables import table, trajectories
 from .catalogue import TRAJ, query
 
-_ROOTS: dict[tuple[str, str], str] = {}
-
 
 def _dataset(spark: SparkSession, d: str) -> str:
-    """The events as a dataset of episodes, written once for each session and input."""
-    key = spark.sparkContext.applicationId, d
-    if key not in _ROOTS:
-        root = shared_folder(spark, "dataset")
-        frames = trajectories(spark, d).select(F.col("ep").alias("episode_index"), F.col("frame").alias("frame_index"), F.col("label").alias("task"), "value")
-        D.write_dataset(frames, root)
-        _ROOTS[key] = root
-    return _ROOTS[key]
+    """The events as a dataset of episodes, written anew for each query."""
+    root = shared_folder(spark, "dataset")
+    frames = trajectories(spark, d).select(F.col("ep").alias("episode_index"), F.col("frame").alias("frame_index"), F.col("label").alias("task"), "value")
+    D.write_dataset(frames, root)
+    return root
 
 
 @query("dataset_frames", f"WITH {TRAJ} SELECT ep AS episode_index, frame AS frame_index, value FROM traj")
@@ -58,12 +53,34 @@ def dataset_info(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([row], "fps double, total_episodes long, total_frames long, total_tasks long")
 
 
-@query("dataset_discovery", "SELECT 1::BIGINT AS n")
+def _several(spark: SparkSession, d: str) -> str:
+    """A folder of three datasets, of the users by their remainder."""
+    root = shared_folder(spark, "datasets")
+    frames = trajectories(spark, d).select(F.col("ep").alias("episode_index"), F.col("frame").alias("frame_index"), F.col("label").alias("task"), "value")
+    for k in range(3):
+        D.write_dataset(frames.where(F.col("episode_index") % 3 == k), f"{root}/group/set{k}")
+    return root
+
+
+@query("dataset_discovery", "SELECT 'set' || user_id % 3 AS dataset, count(DISTINCT user_id) AS episodes, count(*) AS frames FROM events GROUP BY 1")
 def dataset_discovery(spark: SparkSession, d: str) -> DataFrame:
-    """Datasets below a folder: the one written there, although its metadata are several files."""
-    root = _dataset(spark, d)
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").text(f"{root}/meta").select(F.regexp_extract("_metadata.file_path", "^(.*)/meta/", 1).alias("dataset"))
-    return found.distinct().agg(F.count("*").alias("n"))
+    """Datasets found below a folder, and what their metadata tell of their episodes."""
+    root = _several(spark, d)
+    found = D.discover(spark, root).join(D.all_episodes(spark, root), "dataset")
+    return found.groupBy(F.element_at(F.split("dataset", "/"), -1).alias("dataset")).agg(F.count("*").alias("episodes"), F.sum("length").alias("frames"))
+
+
+@query("dataset_instructions", f"WITH {TRAJ}, e AS (SELECT ep, arg_min(label, frame) AS instruction FROM traj GROUP BY 1), f AS (SELECT instruction, min(('set' || ep % 3, ep)) AS f FROM e GROUP BY 1) SELECT instruction, f[1] AS dataset, f[2] AS episode_index FROM f")
+def dataset_instructions(spark: SparkSession, d: str) -> DataFrame:
+    """Each instruction where it is first seen over all datasets below a folder."""
+    return D.instructions(spark, _several(spark, d))
+
+
+@query("dataset_episode", f"WITH {TRAJ}, p AS (SELECT * FROM traj WHERE ep = (SELECT max(user_id) FROM events)) SELECT frame AS frame_index, value FROM p")
+def dataset_episode(spark: SparkSession, d: str) -> DataFrame:
+    """A point read: the last episode by its path."""
+    last = table(spark, d, "events").agg(F.max("user_id")).first()[0]
+    return D.read_episode(spark, _dataset(spark, d), last).select("frame_index", "value")
 
 
 @query("reexported_frames", f"WITH {TRAJ} SELECT ep AS episode_index, frame AS step, value FROM traj")

@@ -8,15 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import texts as T
 from ..functions import vectors as V
 from ..sources.tables import table, trajectories, vectors
-from .catalogue import SQL, TRAJ, VEC, query
+from .catalogue import TRAJ, VEC, query
 
 #: Texts in the forms that models write, as a table to parse.
-SAID = [
-    (0, "Here: {'0': ['grasp the cup', 'closes'], '1': ['place the cup', 'opens']}"), (1, "{0: ['grasp the cup', 'it closes'], 1: ['place the cup', 'it opens']} done"),
-    (2, "no labels"), (3, "{'0': ['fly', 'x'], '1': ['place the cup', 'y']}"), (4, "{'0': ['grasp the cup']}"), (5, "{'0': ['grasp the cup', 'a']}"), (6, None), (7, ""),
-]
-
-
 def _move_sql() -> str:
     steps = [("move", "forward", "backward", "mm"), ("move", "left", "right", "mm"), ("move", "upward", "downward", "mm"), ("roll", "upward", "downward", "degrees"), ("pitch", "upward", "downward", "degrees"), ("yaw", "counterclockwise", "clockwise", "degrees")]
     parts = [f"'{n} ' || CASE WHEN v[{i}] > 0 THEN '{a}' ELSE '{b}' END || ' ' || round_even(abs({f'v[{i}] * 1000' if u == 'mm' else f'degrees(v[{i}])'}), 0)::BIGINT || ' {u}; '" for i, (n, a, b, u) in enumerate(steps, 1)]
@@ -67,11 +61,21 @@ def parse_plan(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.inline(T.parse_plan(text))).withColumn("points", F.array_join("points", ";"))
 
 
-@query("check_labels", "SELECT * FROM (VALUES (0::BIGINT, 'ok', 2::BIGINT), (1, 'ok', 2), (2, 'unreadable', 0), (3, 'unknown label', 2), (4, 'not pairs', 1), (5, 'wrong count', 1), (6, 'unreadable', 0), (7, 'unreadable', 0)) t(id, status, pairs)")
+_SAID = "CASE WHEN event_type IN ('view', 'click', 'purchase') THEN {} ELSE 'unknown label' END"
+
+
+@query("check_labels", f"SELECT event_id, CASE event_id % 5 WHEN 0 THEN {_SAID.format("'ok'")} WHEN 1 THEN {_SAID.format("'wrong count'")} WHEN 2 THEN 'unreadable' WHEN 3 THEN 'not pairs' ELSE {_SAID.format("'ok'")} END AS status, [2, 1, 0, 1, 2][event_id % 5 + 1]::BIGINT AS pairs FROM events")
 def check_labels(spark: SparkSession, d: str) -> DataFrame:
-    said = spark.createDataFrame(SAID, "id long, text string").withColumn("text", F.coalesce("text", F.lit("")))
-    allowed = F.array(F.lit("grasp the cup"), F.lit("place the cup"))
-    return said.select("id", T.check_labels(F.col("text"), F.lit(2), allowed).alias("status"), F.size(T.parse_labels(F.col("text"))).cast("long").alias("pairs"))
+    """Answers that label two segments, with quoted or bare numbers; with one label, none, a label without a reason."""
+    kind, e = F.col("event_id") % 5, F.col("event_type")
+    text = (
+        F.when(kind == 0, F.concat(F.lit("Here: {'0': ['"), e, F.lit("', 'it closes'], '1': ['view', 'it opens']}")))
+        .when(kind == 1, F.concat(F.lit("{'0': ['"), e, F.lit("', 'x']}")))
+        .when(kind == 2, "no labels").when(kind == 3, F.concat(F.lit("{'0': ['"), e, F.lit("']}")))
+        .otherwise(F.concat(F.lit("{0: ['"), e, F.lit("', 'it closes'], 1: ['click', 'it opens']} done")))
+    )
+    allowed = F.array(F.lit("view"), F.lit("click"), F.lit("purchase"))
+    return table(spark, d, "events").select("event_id", T.check_labels(text, F.lit(2), allowed).alias("status"), F.size(T.parse_labels(text)).cast("long").alias("pairs"))
 
 
 @query("parse_list", "SELECT item_id, 'find ' || item_id || '|put it' AS items FROM benchmark WHERE item_id % 3 > 0 UNION ALL SELECT item_id, NULL FROM benchmark WHERE item_id % 3 = 0")
@@ -96,15 +100,8 @@ def object_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", T.spoken_name(name).alias("spoken"), T.camel_words(F.lit("TallCupTop")).alias("camel"), T.singular(F.when(even, "cups").otherwise("gas")).alias("singular"), T.step_text(kind, F.lit("cup"), F.when(even, "shelf")).alias("step"))
 
 
-@query("normalize_tokens", "SELECT doc_id, trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) AS plain, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(t), '[a-z]+'), lambda w: NOT list_contains(['a','an','the','of','to','in','on','and','it','is','from','with','by','for'], w)))), ' ') AS tokens, replace(replace(trim(t), '_', ' '), chr(10), ' ') AS prompt FROM (SELECT doc_id, text AS t FROM documents WHERE lang = 'en')")
+@query("normalize_tokens", "SELECT doc_id, trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) AS plain, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(t), '[a-z]+'), lambda w: NOT list_contains(['a','an','the','of','to','in','on','and','it','is','from','with','by','for'], w)))), ' ') AS tokens, replace(replace(trim(t), '_', ' '), chr(10), ' ') AS prompt FROM (SELECT doc_id, text AS t FROM documents)")
 def normalize_tokens(spark: SparkSession, d: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, d, "documents").where("lang = 'en'").select("doc_id", T.plain(t).alias("plain"), F.array_join(F.sort_array(T.tokens(t)), " ").alias("tokens"), T.clean_prompt(t).alias("prompt"))
-
-
-@query("normalize_tokens_all", SQL["normalize_tokens"].replace(" WHERE lang = 'en'", ""))
-def normalize_tokens_all(spark: SparkSession, d: str) -> DataFrame:
-    """As normalize_tokens, over all languages."""
     t = F.col("text")
     return table(spark, d, "documents").select("doc_id", T.plain(t).alias("plain"), F.array_join(F.sort_array(T.tokens(t)), " ").alias("tokens"), T.clean_prompt(t).alias("prompt"))
 
@@ -116,20 +113,9 @@ def flag_same_category(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "benchmark").select("item_id", (F.size(w) != F.size(F.array_distinct(w))).alias("repeated"), F.size(w).cast("long").alias("words"))
 
 
-@query("multiphase_plans", f"WITH {TRAJ}, p AS (SELECT ep, frame, label, CASE WHEN label LIKE 'v%' OR frame = 0 THEN 1 ELSE 0 END AS s FROM traj WHERE frame < 12) SELECT ep, frame, (sum(s) OVER (PARTITION BY ep ORDER BY frame) - 1)::BIGINT AS phase, sum(CASE WHEN label LIKE 'v%' THEN 1 ELSE 0 END) OVER (PARTITION BY ep) >= 2 AS multiphase FROM p")
+@query("multiphase_plans", f"WITH {TRAJ}, p AS (SELECT ep, frame, label, CASE WHEN label LIKE 'v%' OR frame = 0 THEN 1 ELSE 0 END AS s FROM traj) SELECT ep, frame, (sum(s) OVER (PARTITION BY ep ORDER BY frame) - 1)::BIGINT AS phase, sum(CASE WHEN label LIKE 'v%' THEN 1 ELSE 0 END) OVER (PARTITION BY ep) >= 2 AS multiphase FROM p")
 def multiphase_plans(spark: SparkSession, d: str) -> DataFrame:
-    """A plan cut at its approaches; index 0 always begins a phase."""
-    plan = F.transform(F.array_sort(F.collect_list(F.struct("frame", "label"))), lambda x: x["label"])
-    p = trajectories(spark, d).where("frame < 12").groupBy("ep").agg(plan.alias("plan"))
-    start = lambda x: F.lower(x).rlike("^v")
-    p = p.withColumn("n", F.size(F.filter("plan", start)))
-    phase = F.transform("plan", lambda x, i: F.size(F.filter(F.slice("plan", 2, i), start)))
-    return p.select("ep", F.posexplode(phase).alias("frame", "phase"), (F.col("n") >= 2).alias("multiphase")).select("ep", F.col("frame").cast("long").alias("frame"), F.col("phase").cast("long").alias("phase"), "multiphase")
-
-
-@query("multiphase_plans_all", SQL["multiphase_plans"].replace(" WHERE frame < 12", ""))
-def multiphase_plans_all(spark: SparkSession, d: str) -> DataFrame:
-    """As multiphase_plans, over all frames: phases are a running sum."""
+    """A plan cut at its approaches, as a running sum; index 0 always begins a phase."""
     w = Window.partitionBy("ep")
     start = F.lower("label").rlike("^v").cast("long")
     t = trajectories(spark, d).select("ep", "frame", F.coalesce(start, F.lit(0)).alias("start"))

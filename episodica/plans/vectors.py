@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..operators import statistics as S
+from ..operators.running import running_statistics
 from ..sources.tables import states, table, trajectories, vectors
-from .catalogue import DIMS, SQL, TRAJ, VEC, query
+from .catalogue import DIMS, TRAJ, VEC, query
 
 #: Sub-ranges of a state vector that stand for its modalities.
 MODALITIES = {"position": (0, 3), "rotation": (3, 6), "gripper": (6, 8)}
@@ -67,50 +68,25 @@ def _with_stats(spark: SparkSession, d: str) -> DataFrame:
     return v.crossJoin(F.broadcast(S.nested(S.summary(v, "v"))))  # one row of statistics
 
 
-@query("zscore_normalize", f"WITH {_STATS} SELECT vec_id, dim AS i, round((x - m) / (s + 1e-6), 6) AS x FROM dims JOIN st USING (dim) WHERE dim < 8")
+@query("zscore_normalize", f"WITH {_STATS} SELECT vec_id, dim AS i, round((x - m) / (s + 1e-6), 6) AS x FROM dims JOIN st USING (dim)")
 def zscore_normalize(spark: SparkSession, d: str) -> DataFrame:
-    return _exploded(_with_stats(spark, d).select("vec_id", V.part(V.zscore(F.col("v"), F.col("mean"), F.col("std")), 0, 8).alias("p")), "p", "vec_id")
-
-
-@query("quantile_normalize", f"WITH {_STATS} SELECT vec_id, dim AS i, round((x - lo) / (hi - lo + 1e-6) * 2 - 1, 6) AS x FROM dims JOIN st USING (dim) WHERE dim < 8")
-def quantile_normalize(spark: SparkSession, d: str) -> DataFrame:
-    return _exploded(_with_stats(spark, d).select("vec_id", V.part(V.to_quantiles(F.col("v"), F.col("q01"), F.col("q99")), 0, 8).alias("p")), "p", "vec_id")
-
-
-@query("unnormalize_roundtrip", f"WITH {DIMS} SELECT vec_id, dim AS i, round(x, 6) AS z, round(x, 6) AS q FROM dims WHERE dim < 8")
-def unnormalize_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    c = F.col
-    out = _with_stats(spark, d).select("vec_id", V.unzscore(V.zscore(c("v"), c("mean"), c("std")), c("mean"), c("std")).alias("z"), V.from_quantiles(V.to_quantiles(c("v"), c("q01"), c("q99")), c("q01"), c("q99")).alias("q"))
-    return out.select("vec_id", F.posexplode(F.slice(F.arrays_zip("z", "q"), 1, 8)).alias("i", "p")).select("vec_id", c("i").cast("long").alias("i"), F.round("p.z", 6).alias("z"), F.round("p.q", 6).alias("q"))
-
-
-@query("clip_scale", f"WITH {DIMS}, st AS (SELECT ep, dim, quantile_cont(x, 0.01) AS lo, quantile_cont(x, 0.99) AS hi FROM dims WHERE dim < 8 GROUP BY ep, dim) SELECT vec_id, dim AS i, round(greatest(-1, least(1, 2 * (x - lo) / (hi - lo + 1e-8) - 1)), 6) AS x FROM dims JOIN st USING (ep, dim)")
-def clip_scale(spark: SparkSession, d: str) -> DataFrame:
-    v = vectors(spark, d).withColumn("v", V.part(F.col("v"), 0, 8))
-    stats = S.summary(v, "v", "ep").select("ep", "dim", "q01", "q99")
-    return S.by_dimension(v, "v", "ep", "vec_id").join(stats, ["ep", "dim"]).select("vec_id", F.col("dim").alias("i"), F.round(V.clipped(F.col("value"), F.col("q01"), F.col("q99")), 6).alias("x"))
-
-
-@query("zscore_normalize_all", SQL["zscore_normalize"].replace(" WHERE dim < 8", ""))
-def zscore_normalize_all(spark: SparkSession, d: str) -> DataFrame:
-    """As zscore_normalize, over all dimensions; so the three after it."""
     return _exploded(_with_stats(spark, d).select("vec_id", V.zscore(F.col("v"), F.col("mean"), F.col("std")).alias("p")), "p", "vec_id")
 
 
-@query("quantile_normalize_all", SQL["quantile_normalize"].replace(" WHERE dim < 8", ""))
-def quantile_normalize_all(spark: SparkSession, d: str) -> DataFrame:
+@query("quantile_normalize", f"WITH {_STATS} SELECT vec_id, dim AS i, round((x - lo) / (hi - lo + 1e-6) * 2 - 1, 6) AS x FROM dims JOIN st USING (dim)")
+def quantile_normalize(spark: SparkSession, d: str) -> DataFrame:
     return _exploded(_with_stats(spark, d).select("vec_id", V.to_quantiles(F.col("v"), F.col("q01"), F.col("q99")).alias("p")), "p", "vec_id")
 
 
-@query("unnormalize_roundtrip_all", SQL["unnormalize_roundtrip"].replace(" WHERE dim < 8", ""))
-def unnormalize_roundtrip_all(spark: SparkSession, d: str) -> DataFrame:
+@query("unnormalize_roundtrip", f"WITH {DIMS} SELECT vec_id, dim AS i, round(x, 6) AS z, round(x, 6) AS q FROM dims")
+def unnormalize_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
     out = _with_stats(spark, d).select("vec_id", V.unzscore(V.zscore(c("v"), c("mean"), c("std")), c("mean"), c("std")).alias("z"), V.from_quantiles(V.to_quantiles(c("v"), c("q01"), c("q99")), c("q01"), c("q99")).alias("q"))
     return out.select("vec_id", F.posexplode(F.arrays_zip("z", "q")).alias("i", "p")).select("vec_id", c("i").cast("long").alias("i"), F.round("p.z", 6).alias("z"), F.round("p.q", 6).alias("q"))
 
 
-@query("clip_scale_all", SQL["clip_scale"].replace(" WHERE dim < 8", ""))
-def clip_scale_all(spark: SparkSession, d: str) -> DataFrame:
+@query("clip_scale", f"WITH {DIMS}, st AS (SELECT ep, dim, quantile_cont(x, 0.01) AS lo, quantile_cont(x, 0.99) AS hi FROM dims GROUP BY ep, dim) SELECT vec_id, dim AS i, round(greatest(-1, least(1, 2 * (x - lo) / (hi - lo + 1e-8) - 1)), 6) AS x FROM dims JOIN st USING (ep, dim)")
+def clip_scale(spark: SparkSession, d: str) -> DataFrame:
     v = vectors(spark, d)
     stats = S.summary(v, "v", "ep").select("ep", "dim", "q01", "q99")
     return S.by_dimension(v, "v", "ep", "vec_id").join(stats, ["ep", "dim"]).select("vec_id", F.col("dim").alias("i"), F.round(V.clipped(F.col("value"), F.col("q01"), F.col("q99")), 6).alias("x"))
@@ -158,6 +134,26 @@ def histogram_quantile(spark: SparkSession, d: str) -> DataFrame:
     return _stats(S.histogram_quantiles(hist, (0.01, 0.5, 0.99)))
 
 
+#: The least power of two by which all values fall into 5,000 bins, and bin numbers have 52 bits; quantiles are left edges of bins.
+_RUNNING = DIMS + """, f AS (SELECT {k}dim, count(*) AS n, avg(x) AS mean, stddev_pop(x) AS std, min(x) AS lo, max(x) AS hi FROM dims GROUP BY {k}dim),
+e AS (SELECT {k}dim, min(e) AS e FROM f, (SELECT unnest(range(-120, 60)) AS e) WHERE floor(hi * pow(2.0, -e)) - floor(lo * pow(2.0, -e)) < 5000 AND greatest(abs(lo), abs(hi)) * pow(2.0, -e) < pow(2.0, 52) GROUP BY {k}dim),
+b AS (SELECT {k}dim, e, floor(x * pow(2.0, -e)) AS bin, count(*) AS c FROM dims JOIN e USING ({k}dim) GROUP BY {k}dim, e, bin),
+c AS (SELECT {k}dim, bin * pow(2.0, e) AS edge, sum(c) OVER (PARTITION BY {k}dim ORDER BY bin) AS c, sum(c) OVER (PARTITION BY {k}dim) AS n FROM b),
+q AS (SELECT {k}dim, min(edge) FILTER (c >= 0.01::DOUBLE * n) AS q01, min(edge) FILTER (c >= 0.99::DOUBLE * n) AS q99 FROM c GROUP BY {k}dim)
+SELECT {k}dim, n, round(mean, 6) AS mean, round(std, 6) AS std, round(lo, 6) AS min, round(hi, 6) AS max, round(q01, 6) AS q01, round(q99, 6) AS q99 FROM f JOIN q USING ({k}dim)"""
+
+
+@query("running_stats", "WITH " + _RUNNING.replace("{k}", ""))
+def running_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics in one pass, merged as a tree."""
+    return _stats(running_statistics(vectors(spark, d), "v"))
+
+
+@query("running_stats_by_label", "WITH " + _RUNNING.replace("{k}", "ep, "))
+def running_stats_by_label(spark: SparkSession, d: str) -> DataFrame:
+    return _stats(running_statistics(vectors(spark, d), "v", "ep"))
+
+
 _MASK = [True, True, False, True]
 _DELTA = f"WITH {VEC}, c AS (SELECT vec_id, v AS state, [v, lead(v) OVER (PARTITION BY ep ORDER BY frame)] AS rows, lead(v) OVER (PARTITION BY ep ORDER BY frame) IS NOT NULL AS has FROM vec), r AS (SELECT vec_id, state, unnest(rows) AS row, unnest([0, 1]) AS step FROM c WHERE has), x AS (SELECT vec_id, step, state, row, unnest(range(0, 6)) AS i FROM r) SELECT vec_id, step::BIGINT AS step, i, round(row[i + 1] - CASE WHEN i IN (0, 1, 3) THEN state[i + 1] ELSE 0 END, 6) AS delta, round(row[i + 1], 6) AS back FROM x"
 
@@ -174,14 +170,8 @@ def delta_actions(spark: SparkSession, d: str) -> DataFrame:
     return out.select("vec_id", "step", F.col("i").cast("long").alias("i"), F.round(F.col("q")["delta"], 6).alias("delta"), F.round(F.col("q")["back"], 6).alias("back"))
 
 
-@query("digitize", f"WITH {DIMS} SELECT vec_id, dim AS i, greatest(-1, least(255, floor((x * 4 + 1) * 128)))::BIGINT AS bin FROM dims WHERE dim < 8")
+@query("digitize", f"WITH {DIMS} SELECT vec_id, dim AS i, greatest(-1, least(255, floor((x * 4 + 1) * 128)))::BIGINT AS bin FROM dims")
 def digitize(spark: SparkSession, d: str) -> DataFrame:
-    return vectors(spark, d).select("vec_id", F.posexplode(F.transform(V.part(F.col("v"), 0, 8), lambda x: V.digitize(x * 4))).alias("i", "bin")).withColumn("i", F.col("i").cast("long"))
-
-
-@query("digitize_all", SQL["digitize"].replace(" WHERE dim < 8", ""))
-def digitize_all(spark: SparkSession, d: str) -> DataFrame:
-    """As digitize, over all dimensions."""
     return vectors(spark, d).select("vec_id", F.posexplode(F.transform("v", lambda x: V.digitize(x * 4))).alias("i", "bin")).withColumn("i", F.col("i").cast("long"))
 
 

@@ -1,8 +1,9 @@
 """Episode datasets on disk: a directory of Parquet episodes with JSON metadata, read and written by Spark.
 
-Layout: data/chunk-NNN/episode_NNNNNN.parquet, meta/episodes.jsonl, meta/tasks.jsonl,
-meta/info.json, meta/modality.json, meta/stats.json. All paths go through Spark's
-file systems.
+Written layout: data/chunk=N/episode=N/ and meta/episodes.jsonl/, meta/tasks.jsonl/,
+meta/info.json/, each a folder of part files. Read layouts: that one, and plain files
+data/chunk-NNN/episode_NNNNNN.parquet, meta/episodes.jsonl, meta/tasks.jsonl, meta/info.json.
+All paths go through Spark's file systems.
 """
 
 from __future__ import annotations
@@ -32,9 +33,15 @@ def read_frames(spark: SparkSession, root: str, schema: str | T.StructType | Non
     return df.select(*(columns or df.columns), F.col("_metadata.file_path").alias("path"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_episode(spark: SparkSession, root: str, ep: int) -> DataFrame:
-    """One episode by its computed path."""
-    return spark.read.parquet(f"{root}/data/chunk-{ep // CHUNK:03d}/episode_{ep:06d}.parquet")
+    """One episode by its computed path, in either layout; nothing else is listed. An episode that is not there raises an error."""
+    written = f"{root}/data/chunk={ep // CHUNK}/episode={ep}"
+    return spark.read.parquet(written if exists(spark, written) else f"{root}/data/chunk-{ep // CHUNK:03d}/episode_{ep:06d}.parquet")
 
 
 def episode_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -70,16 +77,30 @@ def fps(document: dict, default: float = 20.0) -> float:
     return float(document.get("fps") or document.get("info", {}).get("video.fps") or default)
 
 
-def discover(spark: SparkSession, root: str) -> DataFrame:
-    """dataset: every folder below ``root`` that has meta/episodes.jsonl, once."""
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "episodes.jsonl").format("binaryFile").load(root).select("path")
-    return found.select(F.regexp_replace("path", "/meta/episodes.jsonl$", "").alias("dataset")).distinct()
+#: Metadata of episodes below a folder, as one file or as a folder of part files.
+_META, _META_GLOB = r"/meta/episodes\.jsonl(/part-[^/]*)?$", "{episodes.jsonl,part-*.json}"
+
+
+def discover(spark: SparkSession, root: str, allowed: DataFrame | None = None) -> DataFrame:
+    """dataset: the path of every folder below ``root`` that has meta/episodes.jsonl, once; of those in ``allowed`` (dataset) if given.
+
+    File names alone are read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", _META_GLOB).load(root).select("path")
+    found = files.where(F.col("path").rlike(_META)).select(F.regexp_replace("path", _META, "").alias("dataset")).distinct()
+    return found if allowed is None else found.join(allowed.select("dataset"), "dataset", "left_semi")
+
+
+def all_episodes(spark: SparkSession, root: str) -> DataFrame:
+    """dataset (its path), episode_index, tasks and length of the episodes of all datasets below a folder; malformed lines are left out."""
+    lines = spark.read.schema(EPISODES).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", _META_GLOB).json(root)
+    lines = lines.select("*", F.col("_metadata.file_path").alias("path")).where(F.col("path").rlike(_META))
+    return lines.select(F.regexp_replace("path", _META, "").alias("dataset"), "episode_index", "tasks", "length")
 
 
 def instructions(spark: SparkSession, root: str) -> DataFrame:
-    """instruction, dataset and episode_index where it is first seen, over all datasets below a folder; blanks are left out."""
-    lines = spark.read.schema(EPISODES).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "episodes.jsonl").json(root)
-    rows = lines.select(F.regexp_extract("_metadata.file_path", "/([^/]+)/meta/episodes.jsonl$", 1).alias("dataset"), "episode_index", F.explode("tasks").alias("instruction")).where(F.trim("instruction") != "")
+    """instruction, dataset (the name of its folder) and episode_index where it is first seen, over all datasets below a folder; blanks are left out."""
+    rows = all_episodes(spark, root).select(F.element_at(F.split("dataset", "/"), -1).alias("dataset"), "episode_index", F.explode("tasks").alias("instruction")).where(F.trim("instruction") != "")
     return rows.groupBy("instruction").agg(F.min(F.struct("dataset", "episode_index")).alias("f")).select("instruction", "f.*")
 
 
@@ -119,7 +140,6 @@ def write_dataset(frames: DataFrame, root: str, task: str = "task", rate: float
     Episodes are dealt out by number and written to a folder each, so files need no driver;
     metadata are aggregates of the frames. Task numbers follow first appearance.
     """
-    spark = frames.sparkSession
     first = frames.groupBy(task).agg(F.min(F.struct("episode_index", "frame_index")).alias("f"))
     tasks = first.select(F.col(task).alias("task"), (F.row_number().over(Window.orderBy("f")) - 1).cast("long").alias("task_index"))  # one row for each task
     numbered = frames.join(tasks.withColumnRenamed("task", task), task).drop(task).withColumn("timestamp", (F.col("frame_index") / rate).cast("float"))
@@ -128,9 +148,9 @@ def write_dataset(frames: DataFrame, root: str, task: str = "task", rate: float
     episodes = frames.groupBy("episode_index").agg(F.array(F.min_by(task, "frame_index")).alias("tasks"), F.count("*").alias("length"))
     episodes.orderBy("episode_index").write.mode(mode).json(f"{root}/meta/episodes.jsonl")
     tasks.select("task_index", "task").orderBy("task_index").write.mode(mode).json(f"{root}/meta/tasks.jsonl")
-    totals = episodes.agg(F.lit(rate).alias("fps"), F.count("*").alias("total_episodes"), F.sum("length").alias("total_frames"), F.lit(CHUNK).alias("chunks_size"))
+    features = F.from_json(F.lit(json.dumps({n: {"dtype": t} for n, t in frames.dtypes if n != task} | {"task_index": {"dtype": "bigint"}, "timestamp": {"dtype": "float"}})), "map<string, struct<dtype: string>>")
+    totals = episodes.agg(F.lit(rate).alias("fps"), F.count("*").alias("total_episodes"), F.sum("length").alias("total_frames"), F.lit(CHUNK).alias("chunks_size"), features.alias("features"))
     totals.crossJoin(F.broadcast(tasks.agg(F.count("*").alias("total_tasks")))).coalesce(1).write.mode(mode).json(f"{root}/meta/info.json")
-    del spark
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -194,6 +214,5 @@ def merge_splits(spark: SparkSession, paths: list[str], schema: str | T.StructTy
     """The union of the splits that are there, and those that are not."""
     there, missing = [], []
     for p in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(p)
-        (there if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at) else missing).append(p)
+        (there if exists(spark, p) else missing).append(p)
     return (spark.read.schema(schema).parquet(*there) if there else spark.createDataFrame([], schema)), missing

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..sources.folders import shared_folder
 
-EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
     """Events from a folder of Parquet files, ts as a timestamp."""
@@ -42,51 +41,108 @@ def deduplicated(events: DataFrame, keys: list[str], delay: str = "1 hour") -> D
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(keys)
 
 
-def stateful_runs(events: DataFrame) -> DataFrame:
-    """user_id, run, label, start, end and n: as ``sequences.run_ranges``, a run is emitted when the next begins.
+class InOrder(StatefulProcessor):
+    """Hands a key's rows to ``step`` in order of time, whatever order, files or batches they come in.
 
-    A user's state is the open run; events of one user must arrive in order.
+    Rows are held as list state until the watermark reaches them, then released in order of
+    (time, tie); rows behind the watermark are late and dropped by Spark. ``step`` takes what
+    it kept of the key (a tuple, or None) and the row's fields, and gives back what to keep and
+    the rows that come of it. Held are the rows of the delay, one key's at a time.
     """
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        run, label, start, end, n, frame = state.get if state.exists else (-1, None, 0, 0, 0, 0)
+    def __init__(self, held: str, kept: str, out: list[str], step: Callable[[tuple | None, tuple], tuple[tuple, list[tuple]]]):
+        self.held_schema, self.kept_schema, self.out, self.step = held, kept, out, step
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", self.held_schema)
+        self.kept = handle.getValueState("kept", self.kept_schema)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
+        for pdf in rows:
+            self.held.appendList(list(pdf.iloc[:, 2:].itertuples(index=False, name=None)))  # without key and ts
+        yield self._released(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
+        yield self._released(key, timerValues.getCurrentWatermarkInMs())
+
+    def _released(self, key: tuple, watermark: int) -> pd.DataFrame:
+        rows = sorted(self.held.get())
+        due = [r for r in rows if r[0] // 1000 <= watermark]  # what is left lies ahead, so its timer does
         done = []
-        for pdf in batches:
-            for x in pdf.sort_values(["ts", "event_id"])["event_type"]:
-                if n and x == label:
-                    end, n = frame, n + 1
-                else:
-                    if n:
-                        done.append((key[0], run, label, start, end, n))
-                    run, label, start, end, n = run + 1, x, frame, frame, 1
-                frame += 1
-        state.update((run, label, start, end, n, frame))
-        yield pd.DataFrame(done, columns=["user_id", "run", "label", "start", "end", "n"])
-
-    out = "user_id long, run long, label string, start long, end long, n long"
+        if due:
+            now = self.kept.get() if self.kept.exists() else None
+            for r in due:
+                now, made = self.step(now, r[2:])
+                done += [(*key, *m) for m in made]
+            self.kept.update(now)
+            if len(due) < len(rows):
+                self.held.put(rows[len(due) :])
+            else:
+                self.held.clear()
+        if len(due) < len(rows):
+            self.handle.registerTimer(rows[len(due)][0] // 1000)
+        return pd.DataFrame(done, columns=self.out)
+
+
+def in_order(events: DataFrame, key: str, ts: str, tie: str, fields: dict[str, str], delay: str, kept: str, out: str, step: Callable) -> DataFrame:
+    """``out`` rows (the key first) that ``step`` makes of each key's rows, in order of ``ts`` and ``tie``; rows wait for the watermark, ``delay`` behind the latest.
+
+    ``fields``: the columns that ``step`` gets, and their types. Needs the RocksDB state store.
+    """
+    micros = F.unix_micros(F.col(ts)).alias("__at")
+    rows = events.withWatermark(ts, delay).select(F.col(key).alias("__key"), F.col(ts).alias("__ts"), micros, F.col(tie).cast("long").alias("__tie"), *(F.col(c).cast(t).alias(c) for c, t in fields.items()))
+    held = "at long, tie long, " + ", ".join(f"{c} {t}" for c, t in fields.items())
+    names = [f.strip().split(" ")[0] for f in out.split(",")]
+    return rows.groupBy("__key").transformWithStateInPandas(InOrder(held, kept, names, step), out, "append", "EventTime")
+
+
+def stateful_runs(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """user_id, run, label, start, end and n: as ``sequences.run_ranges``, a run is emitted when the next begins.
+
+    A user's state is the open run and the events that the watermark has not passed; events may
+    come in any order within the delay.
+    """
+
+    def step(now: tuple | None, row: tuple) -> tuple[tuple, list[tuple]]:
+        run, label, start, end, n, frame = now or (-1, None, 0, 0, 0, 0)
+        if n and row[0] == label:
+            return (run, label, start, frame, n + 1, frame + 1), []
+        return (run + 1, row[0], frame, frame, 1, frame + 1), [(run, label, start, end, n)] if n else []
+
     held = "run long, label string, start long, end long, n long, frame long"
-    return events.groupBy("user_id").applyInPandasWithState(step, out, held, "append", GroupStateTimeout.NoTimeout)
+    return in_order(events, "user_id", "ts", "event_id", {"event_type": "string"}, delay, held, "user_id long, run long, label string, start long, end long, n long", step)
 
 
-def chunk_broker(requests: DataFrame, horizon: int) -> DataFrame:
+def chunk_broker(requests: DataFrame, horizon: int, delay: str = "1 hour") -> DataFrame:
     """key, seq, chunk and cursor: each key asks for a new chunk every ``horizon`` requests and is dealt its rows one by one.
 
-    ``requests``: key, seq, reset (boolean; true begins a chunk anew).
+    ``requests``: key, ts, seq, reset (boolean; true begins a chunk anew), served in order of ts
+    and seq.
     """
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        chunk, cursor = state.get if state.exists else (-1, horizon)
-        out = []
-        for pdf in batches:
-            for r in pdf.sort_values("seq").itertuples():
-                if r.reset or cursor >= horizon:
-                    chunk, cursor = chunk + 1, 0
-                out.append((key[0], r.seq, chunk, cursor))
-                cursor += 1
-        state.update((chunk, cursor))
-        yield pd.DataFrame(out, columns=["key", "seq", "chunk", "cursor"])
+    def step(now: tuple | None, row: tuple) -> tuple[tuple, list[tuple]]:
+        chunk, cursor = now or (-1, horizon)
+        if row[1] or cursor >= horizon:
+            chunk, cursor = chunk + 1, 0
+        return (chunk, cursor + 1), [(row[0], chunk, cursor)]
+
+    return in_order(requests, "key", "ts", "seq", {"seq": "long", "reset": "boolean"}, delay, "chunk long, cursor long", "key long, seq long, chunk long, cursor long", step)
+
+
+#: The state store that list states and timers need.
+_STORE = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
-    return requests.groupBy("key").applyInPandasWithState(step, "key long, seq long, chunk long, cursor long", "chunk long, cursor long", "append", GroupStateTimeout.NoTimeout)
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started within use RocksDB for their state; the session's own setting comes back after."""
+    before = spark.conf.get(_STORE[0], None)
+    spark.conf.set(*_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_STORE[0]) if before is None else spark.conf.set(_STORE[0], before)
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
@@ -98,5 +154,6 @@ def drain(stream: DataFrame, name: str, mode: str = "append", checkpoint: str |
         writer = stream.writeStream.format("parquet").option("path", path)
     else:
         writer = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
-    writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    with state_store(spark):
+        writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)

@@ -67,19 +67,88 @@ def test_synthetic(spark):
     assert df.schema.fieldNames() == ["x", "n", "v", "s"] and df.where("x between -1 and 1 and n < 2048 and size(v) = 8").count() == 20
 
 
+def test_both_layouts(spark, root, tmp_path):
+    assert [r["dataset"].rsplit("/", 1)[1] for r in D.discover(spark, str(root).rsplit("/", 1)[0]).collect()] == ["one"]
+    assert sorted(map(tuple, D.instructions(spark, str(root).rsplit("/", 1)[0]).collect())) == [("task 0", "one", 0), ("task 1", "one", 1)]
+    assert D.read_episode(spark, root, 3).count() == 6
+    (tmp_path / "data" / "chunk-001").mkdir(parents=True)
+    D.read_episode(spark, root, 2).toPandas().to_parquet(tmp_path / "data" / "chunk-001" / "episode_001002.parquet")
+    assert D.read_episode(spark, str(tmp_path), 1002).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        D.read_episode(spark, root, 99).count()
+    allowed = spark.createDataFrame([("nowhere",)], "dataset string")
+    assert D.discover(spark, str(root).rsplit("/", 1)[0], allowed).count() == 0
+    assert D.read_document(spark, f"{root}/meta/info.json")["features"]["state"]["dtype"] == "array<double>"
+
+
+ROWS = [(i, 60 * i + (7 * i) % 5, 1 + i % 3, "aab"[(i // 5) % 3] if i % 11 else "c", 0.0) for i in range(90)] + [(1000 + k, 10**6, 1 + k, "z", 0.0) for k in range(3)]
+
+
+def files(spark, folder, rows, size):
+    """Rows in files of a few, one file a micro-batch."""
+    for i in range(0, len(rows), size):
+        df = spark.createDataFrame(rows[i : i + size], "event_id long, t long, user_id long, event_type string, value double")
+        df.selectExpr("event_id", "timestamp_seconds(t + 1700000000) AS ts", "user_id", "event_type", "value").coalesce(1).write.mode("append").parquet(folder)
+
+
+def runs_of(rows):
+    """Ended runs of the rows that the watermark is past."""
+    out = []
+    for user in (1, 2, 3):
+        own = [r[3] for r in sorted((r for r in rows if r[2] == user and r[1] < 10**6 - 9000), key=lambda r: (r[1], r[0]))]
+        run, start = 0, 0
+        for i in range(1, len(own)):
+            if own[i] != own[i - 1]:
+                out.append((user, run, own[i - 1], start, i - 1, i - start))
+                run, start = run + 1, i
+    return sorted(out)
+
+
+@pytest.mark.parametrize("order, batch", [("as is", 10000), ("reversed", 3), ("mixed", 2)])
+def test_runs_in_any_order(spark, tmp_path, order, batch):
+    """The same runs whatever the order of files and the size of Arrow batches."""
+    import random
+
+    rows = {"as is": ROWS, "reversed": ROWS[:90][::-1] + ROWS[90:], "mixed": random.Random(1).sample(ROWS[:90], 90) + ROWS[90:]}[order]
+    files(spark, str(tmp_path / "in"), rows, 23)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        out = O.drain(O.stateful_runs(O.event_stream(spark, str(tmp_path / "in"), 1), "150 minutes"), "runs")
+        assert sorted(map(tuple, out.collect())) == runs_of(ROWS)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
+
+
+def test_broker_in_any_order(spark, tmp_path):
+    files(spark, str(tmp_path / "in"), ROWS[:90][::-1] + ROWS[90:], 31)
+    asked = O.event_stream(spark, str(tmp_path / "in"), 1).selectExpr("user_id AS key", "ts", "event_id AS seq", "event_type = 'c' AS reset")
+    got = sorted(map(tuple, O.drain(O.chunk_broker(asked, 4, "150 minutes"), "broker").collect()))
+    want = []
+    for user in (1, 2, 3):
+        chunk, cursor = -1, 4
+        for r in sorted((r for r in ROWS[:90] if r[2] == user), key=lambda r: (r[1], r[0])):
+            if r[3] == "c" or cursor >= 4:
+                chunk, cursor = chunk + 1, 0
+            want.append((user, r[0], chunk, cursor))
+            cursor += 1
+    assert got == sorted(want)
+
+
 def test_stream_resumes(spark, tmp_path):
     """State outlives a query: runs that begin in one drain end in the next."""
-    rows = [(i, i * 60, 1, label, 0.0) for i, label in enumerate("aabbbc")]
-    schema = "event_id long, t long, user_id long, event_type string, value double"
-    write = lambda part: spark.createDataFrame(part, schema).selectExpr("event_id", "timestamp_seconds(t) AS ts", "user_id", "event_type", "value").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    write(rows[:3])
+    state = str(tmp_path / "state")
 
     def drained():
-        runs = O.stateful_runs(O.event_stream(spark, str(tmp_path / "in"), 10))
-        q = runs.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
-        q.awaitTermination()
+        runs = O.stateful_runs(O.event_stream(spark, str(tmp_path / "in"), 10), "0 seconds")
+        with O.state_store(spark):
+            q = runs.writeStream.format("parquet").option("checkpointLocation", state).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
+            q.awaitTermination()
         return sorted(tuple(r)[1:] for r in spark.read.parquet(str(tmp_path / "out")).collect())
 
+    rows = [(i, i * 60, 1, label, 0.0) for i, label in enumerate("aabbbcc")]
+    files(spark, str(tmp_path / "in"), rows[:4], 9)
     assert drained() == [(0, "a", 0, 1, 2)]
-    write(rows[3:])
+    files(spark, str(tmp_path / "in"), rows[4:], 9)
     assert drained() == [(0, "a", 0, 1, 2), (1, "b", 2, 4, 3)]

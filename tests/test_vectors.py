@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,16 +19,17 @@ def vec(*x):
     return F.array(*(F.lit(float(v)) for v in x))
 
 
-def test_delta_and_absolute(one):
-    rows = F.array(vec(3, 4, 5), vec(5, 6, 7))
-    assert one(V.shift(rows, vec(1, 2, 3), [False, True], -1))[0] == [[3, 2, 5], [5, 4, 7]]
-    assert one(V.shift(rows, vec(1, 2, 3), [False, True], 1))[0] == [[3, 6, 5], [5, 8, 7]]
-    assert one(V.shift(rows, vec(1, 2, 3), None, 1))[0] == [[3, 4, 5], [5, 6, 7]]
+def test_shifts_of_some_elements(one):
+    rows, base, mask = F.array(vec(9, -1, 0.5, 2), vec(0, 10, 20, 30)), vec(4, 0.5, 100, -2), [True, False, False, True]
+    assert one(V.shift(rows, base, mask, -1))[0] == [[5, -1, 0.5, 4], [-4, 10, 20, 32]]
+    assert one(V.shift(V.shift(rows, base, mask, -1), base, mask, 1))[0] == [[9, -1, 0.5, 2], [0, 10, 20, 30]]
+    assert one(V.shift(rows, base, None, -1))[0] == [[9, -1, 0.5, 2], [0, 10, 20, 30]]
+    assert one(V.shift(rows, base, [True], -1))[0] == [[5, -1, 0.5, 2], [-4, 10, 20, 30]]  # a mask may be shorter
 
 
-def test_run_mask():
-    assert V.run_mask(2, -2, 2) == [True, True, False, False, True, True]
-    assert V.run_mask(2, 0, 2) == [True] * 4
+def test_masks_of_runs():
+    assert V.run_mask(-1, 3, -2, 1) == [False, True, True, True, False, False, True]
+    assert V.run_mask() == V.run_mask(0) == []
 
 
 def test_digitize(one):
@@ -53,9 +55,12 @@ def test_small_rotation_series(one):
 
 
 def test_population_figures(spark):
-    df = spark.createDataFrame([([float(i)],) for i in range(12)], "v array<double>")
-    r = S.summary(df, "v").first()
-    assert r["mean"] == 5.5 and r["std"] == pytest.approx(math.sqrt(143 / 12))
+    values = [2.0, -7.5, 11.25, 2.0, 0.0, 30.0, -1.0]
+    df = spark.createDataFrame([([x, -x],) for x in values], "v array<double>").repartition(3)
+    for r in S.summary(df, "v").collect():
+        own = np.array(values) * (1 - 2 * r["dim"])
+        assert [r[c] for c in ("mean", "std", "min", "max", "n")] == pytest.approx([own.mean(), own.std(), own.min(), own.max(), 7])
+        assert [r["q01"], r["q99"]] == pytest.approx(np.quantile(own, [0.01, 0.99]))
 
 
 def test_unknown_pooling(spark):
