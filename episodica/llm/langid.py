@@ -73,6 +73,8 @@ class KernelClassifier:
     langs: list[str]
     codes: np.ndarray
     weights: np.ndarray
+    #: Score under which a text is likely in none of the languages, see ``fit``.
+    least: float = 0.0
 
     @classmethod
     def fit(cls, texts: list[str], labels: list[str], landmarks: int, ridge: float) -> KernelClassifier:
@@ -107,6 +109,12 @@ class KernelClassifier:
         classifier.weights = (basis.T @ (root @ solved)).astype(np.float32)
         return classifier
 
+    def leads(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The best language of each text, and half its lead over the next, between 0 and 1."""
+        scores = self.score(c)
+        top = np.sort(scores, axis=1)
+        return scores.argmax(axis=1), np.clip((top[:, -1] - (top[:, -2] if len(self.langs) > 1 else -1)) / 2, 0, 1)
+
     def _table(self) -> list[np.ndarray]:
         mine = held("langid")
         if mine.get("codes") is not self.codes:
@@ -149,12 +157,16 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string")) % 3 == 1
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 200, landmarks: int = 128, ridge: float = 1e-3) -> KernelClassifier:
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 200, landmarks: int = 128, ridge: float = 1e-3, share: float = 0.01) -> KernelClassifier:
     """Learn from at most ``per_language`` labelled, not held-out texts of each language: those least by a hash of the id.
 
     Rows with a null text or language are not learned from; ties of the hash go by id, then by
     the text's hash; rows that repeat an id, a language and a text count once among those
     chosen. An empty table gives a classifier that knows no language.
+
+    ``least`` is learned from the same sample: two classifiers of half of it each score the
+    other half's texts, and it is half the score that ``share`` of these do not reach. Texts of
+    another script, language or of random letters score near 0.
     """
     labelled = df.where(df[lang_col].isNotNull() & df[text_col].isNotNull() & ~held_out(df[id_col]))
     rows = labelled.select(df[id_col].alias("__id"), df[lang_col].alias("__lang"), F.xxhash64(df[id_col]).alias("__order"), F.xxhash64(df[text_col]).alias("__hash"))
@@ -166,7 +178,21 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     # rows that repeat an id, a language and a text come once
     sample = texts.join(F.broadcast(chosen), same).groupBy("__order", "__id", "__lang", "__hash").agg(F.min("__text").alias("__text"))
     taken = sorted((r["__order"], str(r["__id"]), r["__text"], r["__lang"]) for r in sample.select("__order", "__id", "__text", "__lang").collect())
-    return KernelClassifier.fit([t for *_, t, _ in taken], [x for *_, x in taken], landmarks, ridge)
+    texts, labels = [t for *_, t, _ in taken], [x for *_, x in taken]
+    out = KernelClassifier.fit(texts, labels, landmarks, ridge)
+    out.least = _least(texts, labels, landmarks, ridge, share)
+    return out
+
+
+def _least(texts: list[str], labels: list[str], landmarks: int, ridge: float, share: float) -> float:
+    """Half the ``share`` quantile of the scores that each half of the sample gets from the other; 0 where a half is empty."""
+    scores = [np.zeros(0)]
+    for own in (0, 1):
+        learned = KernelClassifier.fit(texts[own::2], labels[own::2], landmarks, ridge)
+        if learned.langs and len(texts) > 1:
+            scores += [learned.leads(block)[1] for c in chunks(pa.array(texts[1 - own :: 2], pa.string()), BLOCK_BYTES) for block, _ in _blocks(c)]
+    found = np.concatenate(scores)
+    return float(np.quantile(found, share)) / 2 if len(found) else 0.0
 
 
 def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -195,10 +221,7 @@ def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id"
                     letters &= len(model.langs) > 0
                     langs, lead = np.full(c.rows, "und", object), np.zeros(c.rows)
                     if model.langs:
-                        scores = model.score(c)
-                        best = scores.argmax(axis=1)
-                        top = np.sort(scores, axis=1)
-                        lead = np.clip((top[:, -1] - (top[:, -2] if len(model.langs) > 1 else -1)) / 2, 0, 1)
+                        best, lead = model.leads(c)
                         langs[letters] = np.array(model.langs, object)[best[letters]]
                     lead = np.where(letters, lead, 0.0)
                     yield pa.RecordBatch.from_arrays([*carried.parts(batch, c.first, c.rows), pa.array(langs, pa.string()), pa.array(lead)], [*carried.heads, "lang_pred", "score"])

@@ -122,14 +122,22 @@ def _together(before: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def _distinct_texts(df: DataFrame, id_col: str, lang_col: str, text_col: str) -> DataFrame:
-    """__lang and __text of one row of each text: the first by id. Only hashes are shuffled, unless very many texts have copies."""
+    """__lang and __text of one row of each text: of the least id (null last), then the least language.
+
+    Only hashes are shuffled, unless very many texts have copies. Rows that repeat a text's
+    least id and language are alike and become one; their texts are shuffled for that.
+    """
     rows = df.select(df[id_col].alias("__id"), F.coalesce(df[lang_col], F.lit("")).alias("__lang"), df[text_col].alias("__text"), F.xxhash64(df[text_col]).alias("__hash"))
-    groups = rows.groupBy("__hash").agg(F.min("__id").alias("__first"), F.max(F.col("__id").isNull()).alias("__none"), F.count("*").alias("n")).where("n > 1")
-    copies = written(groups.select(F.col("__hash").alias("__copied"), "__first", "__none"), "copied-texts")
+    place = F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"), F.col("__lang").alias("lang"))
+    counts = rows.groupBy("__hash", place.alias("__place")).agg(F.count("*").alias("n"))
+    groups = counts.groupBy("__hash").agg(F.min(F.struct("__place", "n")).alias("f"), F.sum("n").alias("n")).where("n > 1")
+    copies = written(groups.select(F.col("__hash").alias("__copied"), F.col("f.__place").alias("__first"), F.col("f.n").alias("__alike")), "copied-texts")
     side = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
-    met = rows.join(side, F.col("__hash") == F.col("__copied"), "left")
-    first = F.col("__copied").isNull() | F.when(F.col("__none"), F.col("__id").isNull()).otherwise(F.col("__id") == F.col("__first"))
-    return met.where(first).select("__lang", "__text")
+    met = rows.join(side, F.col("__hash") == F.col("__copied"), "left").where(F.col("__copied").isNull() | place.eqNullSafe(F.col("__first")))
+    if copies.where("__alike > 1").isEmpty():
+        return met.select("__lang", "__text")
+    alike = F.coalesce(F.col("__alike"), F.lit(1)) > 1
+    return met.where(~alike).select("__lang", "__text").unionByName(met.where(alike).dropDuplicates(["__hash"]).select("__lang", "__text"))
 
 
 def pair_counts(texts: DataFrame) -> DataFrame:

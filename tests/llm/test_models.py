@@ -55,6 +55,19 @@ def test_broadcast_and_joins_agree(spark, docs):
     assert order(quality.quality(few, broadcast_entries=0)) == order(quality.quality(few))
 
 
+def test_copies_count_once(spark, docs):
+    """Rows that repeat an id and a text, and copies without an id, change no perplexity."""
+    few = docs.where("doc_id < 120").select("doc_id", "text", "lang")
+    one = few.where("doc_id = 17")
+    copies = one.crossJoin(spark.range(200)).drop("id")
+    nameless = few.where("doc_id = 18").withColumn("doc_id", F.lit(None).cast("long")).crossJoin(spark.range(2)).drop("id")
+    other = few.where("doc_id = 19").withColumn("lang", F.lit("zz"))
+    plain = {r["doc_id"]: r["perplexity"] for r in quality.quality(few).collect()}
+    again = [r for r in quality.quality(few.unionByName(copies).unionByName(nameless).unionByName(other)).collect() if r["doc_id"] is not None]
+    assert len(again) == len(plain) + 201
+    assert all(r["perplexity"] == plain[r["doc_id"]] for r in again if r["doc_id"] != 19)
+
+
 def test_junk_is_rejected(spark, sf_dir):
     """In each language a third of the texts of low quality that pass the base go, and hardly a good one."""
     folder = os.environ.get("TEST_LARGER_SF_DIR", "/root/testdata/sf0.1")
@@ -132,6 +145,21 @@ def test_language_of_odd_texts(spark, docs):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_least_score(spark):
+    """Other scripts, other languages and random letters score under the least that was learned; of labelled texts under one in a hundred does."""
+    rng = np.random.default_rng(1)
+    letters = lambda pool: " ".join("".join(rng.choice(list(pool), rng.integers(2, 9))) for _ in range(200))
+    odd = ["Это совсем другой язык, и слов тут много. " * 4, "これは日本語の文章です。十分です。" * 4, "η γλώσσα αυτή είναι άλλη " * 6, letters("qwxzjkvbpfghm"), letters("abcdefghijklmnopqrstuvwxyz"), "7 8 9 x " * 60]
+    larger = spark.read.parquet(os.environ.get("TEST_LARGER_SF_DIR", "/root/testdata/sf0.1") + "/documents.parquet")
+    model = langid.fit(larger)
+    assert 0 < model.least < 0.5
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    assert all(r["score"] < model.least for r in langid.identify(rows, model).collect())
+    labelled = langid.identify(larger.where("lang IS NOT NULL AND text RLIKE '[a-z]'"), model)
+    assert labelled.where(F.col("score") < model.least).count() < 0.01 * labelled.count()
+    assert langid.fit(larger.limit(0)).least == 0
+
+
 def test_prediction_ignores_labels(docs):
     model = langid.fit(docs)
     plain = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model).collect()}

@@ -48,6 +48,15 @@ def test_blocks():
     assert pages.main_text("a < b & c", None) == "a < b & c"
 
 
+def test_classes_take_no_article_text():
+    """Class words that are part of another word, or on a paragraph, say nothing; whole ones do."""
+    page = '<article><div class="entry-header"><h1>Title</h1></div><p>Body</p><p class="ad hoc">More</p><div class="share-price">Text</div><div class="header">Head</div><h2 id="comments">On comments</h2>{}</article>'
+    kept = "Title\nBody\nMore\nText\nHead\nOn comments"
+    assert pages.main_text(page.format(""), None) == kept
+    assert pages.main_text(page.format('<div class="ad">no</div><section id="comments"><p>no</p></section><ul class="share-buttons"><li>yes</ul>'), None) == kept + "\nyes"
+    assert pages.main_text('<div class="cookie-banner">no</div><div class="ad top">no</div><div class="ad-hoc">yes</div><p class="notice">yes</p>', None) == "yes\nyes"
+
+
 def test_articles(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = {r["page_id"]: r for r in pages.extract(df).collect()}
