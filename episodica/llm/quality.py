@@ -545,13 +545,16 @@ def _scored_by_joins(df: DataFrame, entries: DataFrame, unknown: DataFrame, id_c
     return rows.join(costs, "__row", "left").select("__id", "__lang", *NAMES, F.coalesce("__cost", F.lit(0)).alias("__cost"))
 
 
-def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", low_width: float = 9.0, high_width: float = 3.0, least_spread: float = 0.75, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", low_width: float = 9.0, high_width: float = 3.0, least_spread: float = 0.75, low_share: float = 0.001, low_margin: float = 0.25, broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
     """Base counts, perplexity and the verdict for every row.
 
     base_failed: under 50 words, or over half of the words in repeated windows of three.
     A text that passes is kept if the logarithm of its perplexity (of a word) lies in its
     language's band: the median of all texts that pass, ``low_width`` and ``high_width`` times
     their scaled median absolute deviation (``least_spread`` bits at least) below and above.
+    Below, the band also ends with the language's own tail: ``low_margin`` deviations under the
+    value that ``low_share`` of its texts (three at least) do not exceed. Near copies of clean
+    texts reach far down, texts that repeat themselves farther.
     The model counts each distinct text once, so copies do not make each other likely. Null and empty texts have
     no words and fail the base; a null language is a language of its own; repeated rows, ties
     and null ids are kept, one row out for each row in; other columns are not read. An empty
@@ -571,20 +574,22 @@ def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_
     rows = written(scored.withColumns({"base_failed": failed, "__bits": bits}), "scored")
     step = 0.001
     bins = rows.where(~F.col("base_failed")).groupBy("__lang", F.floor(F.col("__bits") / step).alias("bin")).agg(F.count("*").alias("n"))
-    middle = _median(bins, "bin").withColumnRenamed("median", "__middle")
+    middle = _quantile(bins, "bin").withColumnRenamed("quantile", "__middle")
+    tail = _quantile(bins, "bin", low_share, 3).withColumnRenamed("quantile", "__tail")
     away = bins.join(middle, "__lang").groupBy("__lang", F.abs(F.col("bin") - F.col("__middle")).alias("bin")).agg(F.sum("n").alias("n"))
-    spread = _median(away, "bin").withColumnRenamed("median", "__away")
+    spread = _quantile(away, "bin").withColumnRenamed("quantile", "__away")
     margin = F.greatest(F.lit(least_spread), F.col("__away") * (1.4826 * step))
     centre = (F.col("__middle") + 0.5) * step
-    band = middle.join(spread, "__lang").select("__lang", (centre - low_width * margin).alias("low_bits"), (centre + high_width * margin).alias("high_bits"))
+    low = F.greatest(centre - low_width * margin, F.col("__tail") * step - low_margin * margin)
+    band = middle.join(spread, "__lang").join(tail, "__lang").select("__lang", low.alias("low_bits"), (centre + high_width * margin).alias("high_bits"))
     band = written(band, "bands")
     judged = rows.join(F.broadcast(band) if band.count() <= BROADCAST_LANGUAGES else band, "__lang", "left")
     inside = F.coalesce(F.col("__bits").between(F.col("low_bits"), F.col("high_bits")), F.lit(False))
     return judged.select(F.col("__id").alias(id_col), *NAMES, "base_failed", (~F.col("base_failed") & inside).alias("kept"), F.pow(F.lit(2.0), F.col("__bits")).alias("perplexity"), F.pow(F.lit(2.0), F.col("low_bits")).alias("low"), F.pow(F.lit(2.0), F.col("high_bits")).alias("high"))
 
 
-def _median(bins: DataFrame, value: str) -> DataFrame:
-    """The lower median of a histogram, by language; a language has as many rows as its figures have bins."""
-    ordered = Window.partitionBy("__lang").orderBy(value)
+def _quantile(bins: DataFrame, value: str, share: float = 0.5, least: int = 1) -> DataFrame:
+    """The value that ``share`` of a histogram's counts, ``least`` at least, do not exceed, by language; a language has as many rows as its figures have bins."""
     whole = Window.partitionBy("__lang")
-    return bins.withColumn("__sum", F.sum("n").over(ordered)).withColumn("__all", F.sum("n").over(whole)).where(2 * F.col("__sum") >= F.col("__all")).groupBy("__lang").agg(F.min(value).alias("median"))
+    sums = bins.withColumn("__sum", F.sum("n").over(whole.orderBy(value))).withColumn("__all", F.sum("n").over(whole))
+    return sums.where(F.col("__sum") >= F.least(F.col("__all"), F.greatest(F.lit(least), share * F.col("__all")))).groupBy("__lang").agg(F.min(value).alias("quantile"))

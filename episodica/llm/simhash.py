@@ -105,7 +105,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with equal fingerprints, copies among them, are one node: they are aggregated before
     anything is joined. Null and empty texts have fingerprint zero and link like any other.
     A null id is no candidate for the least; where all ids are null, it is null. Repeated
-    rows are kept. Columns not asked for are not read.
+    rows are kept; ties are of no effect. Columns not asked for are not read. An empty table
+    gives an empty result; a text of any length is read whole, its shingles in one task.
     """
     rows = written(fingerprints(df, id_col, text_col, shingle), "fingerprints")
     nodes = written(rows.groupBy("__print").agg(F.min("__id").alias("__least")), "nodes")

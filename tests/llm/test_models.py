@@ -79,6 +79,24 @@ def test_junk_is_rejected(spark, sf_dir):
         assert out[lang, 0] > 0.3 and out[lang, 1] < 0.02, out
 
 
+def test_repetitive_texts_are_rejected(spark, docs):
+    """Texts that pass the base but are half a loop fall under the lower band in each language; others hardly do."""
+    folder = os.environ.get("TEST_LARGER_SF_DIR", "/root/testdata/sf0.1").replace("sf0.1", "sf0.01")
+    few = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").where("lang IS NOT NULL")
+    before = {r["doc_id"]: r for r in quality.quality(few).collect()}
+    own = {r["doc_id"]: r for r in few.collect()}
+    planted = []
+    for lang in ("de", "en", "es", "fr"):
+        likely = sorted((r["perplexity"], d) for d, r in before.items() if own[d]["lang"] == lang and not r["base_failed"] and r["n_words"] >= 100 and r["n_repeat_words"] == 0)
+        for _, d in likely[:2]:
+            words = own[d]["text"].split()
+            planted.append((10**9 + len(planted), " ".join(words[:3] * ((len(words) - 12) // 3) + words[3:]), lang))
+    after = {r["doc_id"]: r for r in quality.quality(few.unionByName(spark.createDataFrame(planted, few.schema))).collect()}
+    gone = {lang for d, _, lang in planted if not after[d]["base_failed"] and after[d]["perplexity"] < after[d]["low"]}
+    assert gone == {"de", "en", "es", "fr"}
+    assert sum(r["kept"] and not after[d]["kept"] for d, r in before.items()) <= 0.005 * len(before)
+
+
 def test_model_grows_with_the_corpus(docs):
     texts = docs.select(F.col("lang").alias("__lang"), F.col("text").alias("__text"))
     size = [quality.model(quality.pair_counts(x))[0].count() for x in (texts.where("length(__text) % 4 = 0"), texts)]
