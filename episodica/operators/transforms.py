@@ -204,18 +204,19 @@ def work_units(units: DataFrame, key: str, work: Callable, schema: str, tries: i
     """
     names = [f.split()[0] for f in schema.split(",")]
 
+    def tried(unit: dict) -> list[tuple]:
+        error = None
+        for n in range(1, tries + 1):
+            try:
+                return [(unit[key], i, n, None, *r) for i, r in enumerate(work(unit))]
+            except Exception as e:  # noqa: BLE001  (a unit's error is its result)
+                error = f"{type(e).__name__}: {e}"
+        return [(unit[key], 0, tries, error, *[None] * len(names))]
+
     def run(frames):  # noqa: ANN001, ANN202
         for pdf in frames:
-            for unit in pdf.to_dict("records"):
-                made, error, tried = [], None, 0
-                while tried < tries:
-                    tried += 1
-                    try:
-                        made, error = list(work(unit)), None
-                        break
-                    except Exception as e:  # noqa: BLE001  (a unit's error is its result)
-                        made, error = [], f"{type(e).__name__}: {e}"
-                rows = [(unit[key], i, tried, None, *r) for i, r in enumerate(made)] if error is None else [(unit[key], 0, tried, error, *[None] * len(names))]
+            for first in range(0, len(pdf), 1000):
+                rows = [r for unit in pdf[first : first + 1000].to_dict("records") for r in tried(unit)]
                 yield pd.DataFrame(rows, columns=[key, "place", "tries", "error", *names]).astype(object)
 
     return units.mapInPandas(run, f"{key} {dict(units.dtypes)[key]}, place long, tries long, error string, {schema}")

@@ -174,9 +174,26 @@ def start_mid_end_points(spark: SparkSession, d: str) -> DataFrame:
     return r.select("ep", "run", at(F.col("s")).alias("a"), F.coalesce(at(F.floor((F.col("s") + F.col("e")) / 2)), F.lit(0)).alias("m"), at(F.col("e")).alias("b"))
 
 
-@query("weighted_lnds")
+#: Segment by segment, for each place of the plan the heaviest chain that ends there; then each segment's label from the last of the chain up to it.
+_ASCENT = TRAJ + """,
+c AS (SELECT ep, frame, label, CASE WHEN label IS DISTINCT FROM lag(label) OVER (PARTITION BY ep ORDER BY frame) THEN 1 ELSE 0 END AS c FROM traj),
+r AS (SELECT ep, frame, label, sum(c) OVER (PARTITION BY ep ORDER BY frame)::BIGINT - 1 AS segment FROM c),
+seg AS (SELECT ep, segment, min(label) AS label, list_position(['signup', 'view', 'click', 'purchase', 'error'], min(label)) AS p, count(*)::DOUBLE AS weight FROM r GROUP BY ep, segment),
+d(ep, i, best) AS (
+  SELECT DISTINCT ep, 0::BIGINT, list_transform(range(5), lambda x: {'w': 0.0::DOUBLE, 'e': 1::BIGINT, 'c': []::BIGINT[]}) FROM seg
+  UNION ALL
+  SELECT d.ep, d.i + 1, list_transform(range(1, 6), lambda q: CASE WHEN q <> s.p THEN d.best[q] ELSE list_max([d.best[q],
+    {'w': list_max(d.best[1 : s.p]).w + s.weight, 'e': -s.segment, 'c': list_append(list_max(d.best[1 : s.p]).c, s.segment)}]) END)
+  FROM d JOIN seg s ON s.ep = d.ep AND s.segment = d.i),
+n AS (SELECT ep, count(*) AS n FROM seg GROUP BY ep),
+best AS (SELECT d.ep, list_max(d.best).c AS chain FROM d JOIN n ON n.ep = d.ep AND d.i = n.n),
+h AS (SELECT s.ep, s.segment, s.label, coalesce(list_max(list_filter(b.chain, lambda x: x <= s.segment)), b.chain[1]) AS held FROM seg s JOIN best b ON b.ep = s.ep)
+SELECT h.ep, h.segment, h.label, o.label AS ordered FROM h JOIN seg o ON o.ep = h.ep AND o.segment = h.held"""
+
+
+@query("weighted_lnds", f"WITH RECURSIVE {_ASCENT}")
 def weighted_lnds(spark: SparkSession, d: str) -> DataFrame:
-    """Segment labels of an episode put into the order of its plan; an algorithm that SQL does not express."""
+    """Segment labels of an episode put into the order of its plan."""
     ranges = Q.run_ranges(trajectories(spark, d), "label").select("ep", F.col("run").alias("segment"), "label", F.col("frames").alias("weight"))
     return ordered_labels(ranges, ["signup", "view", "click", "purchase", "error"])
 

@@ -140,3 +140,35 @@ def stats_file(spark: SparkSession, d: str) -> DataFrame:
     stats = table(spark, d, "events").groupBy(F.col("event_type").alias("column")).agg(one(F.avg("value"), "mean"), one(F.stddev_pop("value"), "std"), one(F.min("value"), "min"), one(F.max("value"), "max"), one(F.min("value"), "q01"), one(F.max("value"), "q99"))
     D.write_stats(stats, path)
     return D.read_stats(spark, path).select("column", F.round(F.get("min", F.lit(0)), 6).alias("low"), F.round(F.get("max", F.lit(0)), 6).alias("high"))
+
+
+@query("merged_maps", "SELECT event_type || (event_id % 50) AS key, arg_max(event_id, (user_id % 4, event_id)) AS value, 'part=' || max(user_id % 4) AS part FROM events GROUP BY 1")
+def merged_maps(spark: SparkSession, d: str) -> DataFrame:
+    """Four files of keys and values, of users by their remainder; of a key in several files the last file's value counts."""
+    path = shared_folder(spark, "maps")
+    rows = table(spark, d, "events").select((F.col("user_id") % 4).alias("part"), F.concat("event_type", (F.col("event_id") % 50).cast("string")).alias("key"), "event_id")
+    own = rows.groupBy("part", "key").agg(F.max("event_id").alias("v"))
+    own.groupBy("part").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "v")))).alias("value")).write.partitionBy("part").text(path)
+    return D.read_maps(spark, path, "bigint").select("key", "value", F.regexp_extract("path", "/(part=[0-9]+)/", 1).alias("part"))
+
+
+@query("finished_runs", "SELECT 'run=' || CASE WHEN user_id % 3 = 0 THEN '1' ELSE '2' END AS run, count(DISTINCT user_id) AS tasks, round(sum(value), 4) AS total, (SELECT count(DISTINCT user_id) FROM events WHERE user_id % 3 = 0) AS skipped FROM events GROUP BY 1")
+def finished_runs(spark: SparkSession, d: str) -> DataFrame:
+    """A first run finishes a third of the users; the second skips those."""
+    root = shared_folder(spark, "runs")
+    rows = table(spark, d, "events").select(F.col("user_id").alias("task"), "value")
+    D.write_run(rows.where("task % 3 = 0"), root, "1")
+    counts = D.write_run(rows, root, "2")
+    both = spark.read.schema("task long, value double, run string").parquet(root)
+    return both.groupBy(F.concat(F.lit("run="), "run").alias("run")).agg(F.countDistinct("task").alias("tasks"), F.round(F.sum("value"), 4).alias("total"), F.lit(counts["skipped"]).cast("long").alias("skipped"))
+
+
+@query("episode_documents", f"WITH {TRAJ}, e AS (SELECT ep, count(*) AS n, CASE WHEN ep % 5 = 0 THEN 'no camera' WHEN ep % 7 = 0 THEN 'no positions' ELSE 'ok' END AS status FROM traj GROUP BY ep) SELECT status, count(*) AS n, coalesce(sum(n) FILTER (status = 'ok'), 0)::BIGINT AS frames FROM e GROUP BY status")
+def episode_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of the episodes that have all parts, read again; what is missing is counted."""
+    path = shared_folder(spark, "documents")
+    ep = F.col("ep")
+    status = F.when(ep % 5 == 0, "no camera").when(ep % 7 == 0, "no positions").otherwise("ok").alias("status")
+    counts = D.write_documents(trajectories(spark, d).groupBy("ep").agg(F.count("*").alias("length")).select("*", status), path, "ep", "status")
+    frames = spark.read.schema("length long, ep long").json(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("frames"))  # one row
+    return counts.join(F.broadcast(frames)).select("status", "n", F.when(F.col("status") == "ok", F.col("frames")).otherwise(0).alias("frames"))

@@ -216,3 +216,31 @@ def merge_splits(spark: SparkSession, paths: list[str], schema: str | T.StructTy
     for p in paths:
         (there if exists(spark, p) else missing).append(p)
     return (spark.read.schema(schema).parquet(*there) if there else spark.createDataFrame([], schema)), missing
+
+
+def read_maps(spark: SparkSession, path: str, value: str) -> DataFrame:
+    """key, value and path of JSON objects of keys in all files below a folder: of a key that several files have, the value of the last file by path; ``value``: its type. Files that hold no object are left out."""
+    lines = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
+    maps = lines.select(F.from_json("value", f"map<string, {value}>").alias("m"), F.col("_metadata.file_path").alias("path")).where(F.col("m").isNotNull())
+    return maps.select(F.explode("m"), "path").groupBy("key").agg(F.max_by(F.struct("value", "path"), "path").alias("l")).select("key", "l.value", "l.path")
+
+
+def write_run(results: DataFrame, root: str, stamp: str, key: str = "task") -> dict[str, int]:
+    """One run's results below a folder of its own (run=stamp), of tasks that no earlier run has finished; gives how many tasks were written and skipped.
+
+    Each run is a commit: one that failed leaves no results, so its tasks are not taken as finished.
+    """
+    spark = results.sparkSession
+    kept = results.drop("run")
+    if exists(spark, root):
+        done = spark.read.schema(f"`{key}` {dict(results.dtypes)[key]}, run string").parquet(root).select(key).distinct()
+        kept = kept.join(done, key, "left_anti")
+    kept.write.parquet(f"{root}/run={stamp}")
+    written = spark.read.schema(kept.schema).parquet(f"{root}/run={stamp}").select(key).distinct().count()
+    return {"written": written, "skipped": results.select(key).distinct().count() - written}
+
+
+def write_documents(documents: DataFrame, root: str, key: str, status: str, ok: str = "ok") -> DataFrame:
+    """A JSON document for each row whose ``status`` is ``ok``, in a folder by its key; gives status and n over all rows, those not written too."""
+    documents.where(F.col(status) == ok).drop(status).write.partitionBy(key).json(root)
+    return documents.groupBy(status).agg(F.count("*").alias("n"))
