@@ -21,10 +21,10 @@ from .simhash import SIMILARITY, _sets
 from .text import chunks, find, spread, worker
 
 #: Prefixes that a shingle is in from which it counts as frequent and goes to the end of the order.
-FREQUENT = 2
+FREQUENT = 4
 
 #: Frequent shingles whose place is broadcast, most frequent first (8 bytes and 4 for each); the others stay in order of their hashes.
-PLACES = 2_000_000
+PLACES = 500_000
 
 #: Bits of a set's parity sketch: two sets differ in as many shingles at least as their sketches do in bits.
 SKETCH = 512
@@ -197,9 +197,13 @@ def _order(texts: _Texts, frequent: int, places: int, rounds: int) -> Order:
     before, now = None, (np.zeros(0, np.uint64), np.zeros(0, np.int32))
     tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for _ in range(rounds):
-        found = texts.counted(now, before).where(F.col("c") >= frequent).orderBy(F.desc("c"), "token").limit(places).toArrow()
-        if not found.num_rows:
+        many = written(texts.counted(now, before).where(F.col("c") >= frequent), "jaccard-frequent")
+        # levels of counts from the top, as long as all of a level's shingles have a place
+        levels = many.groupBy(F.floor(4 * F.log2("c")).alias("level")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("level")).collect()  # 256 rows at most
+        fits = np.cumsum([r["n"] for r in levels]) <= places
+        if not fits.any():
             break
+        found = many.where(F.col("c") >= levels[int(fits.sum()) - 1]["c"]).toArrow()
         tokens = np.concatenate([tokens, found.column("token").to_numpy().view(np.uint64)])
         counts = np.concatenate([counts, found.column("c").to_numpy()])
         by_count = np.lexsort((tokens, -counts))
