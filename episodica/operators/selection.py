@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,12 +90,13 @@ def shares(df: DataFrame, length: str, order: str, key: str) -> DataFrame:
 
 
 def mixture(draws: DataFrame, datasets: DataFrame, episodes: DataFrame, seed: object) -> DataFrame:
-    """For each draw a dataset by weight, an episode of it by length, and a step, by hashes of seed and draw.
+    """For each draw a dataset by weight, an episode of it by length, and a step, by hashes of seed and draw; without a seed each call draws anew.
 
     ``draws``: index; ``datasets``: dataset, weight; ``episodes``: dataset, episode, length.
     Datasets are few: their ranges are one array, searched by each draw. Episodes are
     found by dealing their ranges into as many bins as the dataset has episodes.
     """
+    seed = uuid.uuid4().hex if seed is None else seed
     d = cumulative(datasets.where("weight > 0"), "weight", "dataset").agg(F.array_sort(F.collect_list(F.struct("low", "high", "dataset"))).alias("__d"))
     u = lambda part: uniform(F.concat_ws("|", F.lit(str(seed)), F.lit(part), F.col("index").cast("string")))
     drawn = draws.crossJoin(F.broadcast(d)).select("index", F.element_at(F.filter("__d", lambda x: x["high"] > u("dataset")), 1)["dataset"].alias("dataset"), u("episode").alias("ue"), u("step").alias("us"))
@@ -106,6 +108,28 @@ def mixture(draws: DataFrame, datasets: DataFrame, episodes: DataFrame, seed: ob
     return met.select("index", "dataset", "episode", F.floor(F.col("us") * F.col("length")).cast("long").alias("step"))
 
 
+def registry_choice(key: Column, registries: Mapping[str, tuple[float, Sequence[str]]], seed: object) -> tuple[Column, Column]:
+    """A registry by weight and one of its items, each as likely, by hashes of seed and key; ``registries``: name -> (weight, items), fixed by the caller.
+
+    Registries without weight or items are never chosen.
+    """
+    known = [(name, weight, items) for name, (weight, items) in registries.items() if weight > 0 and items]
+    if not known:
+        raise ValueError("no registry to choose from")
+    u = lambda part: uniform(F.concat_ws("|", F.lit(str(seed)), F.lit(part), key.cast("string")))
+    total, run = sum(w for _, w, _ in known), 0.0
+    names, chosen = F.lit(known[-1][0]), F.lit(known[-1][2][0])
+    steps = []
+    for name, weight, items in known:
+        run += weight
+        at = F.element_at(F.array(*map(F.lit, items)), (F.floor(u("item") * len(items)) + 1).cast("int"))
+        steps.append((run / total, F.lit(name), at))
+    for high, name, item in reversed(steps):
+        names = F.when(u("registry") < high, name).otherwise(names)
+        chosen = F.when(u("registry") < high, item).otherwise(chosen)
+    return names, chosen
+
+
 def class_weights(df: DataFrame, kind: str, key: str, totals: dict[str, float]) -> DataFrame:
     """Each class's total weight split evenly among its rows, over the first row's (by key). One row for each dataset."""
     own = F.create_map(*(x for k, v in totals.items() for x in (F.lit(k), F.lit(float(v)))))

@@ -56,6 +56,16 @@ def random_choice(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.element_at(F.array(F.lit("first"), F.lit("second"), F.lit("third")), F.floor(u * 3).cast("int") + 1).alias("choice"))
 
 
+_PLACE = "('0x' || substr(sha256('13|{}|' || event_id), 1, 13))::BIGINT / 4503599627370496.0"
+
+
+@query("registry_choice", f"WITH u AS (SELECT event_id, {_PLACE.format('registry')} AS r, {_PLACE.format('item')} AS i FROM events) SELECT event_id, CASE WHEN r < 0.5 THEN 'cups' WHEN r < 0.75 THEN 'pans' ELSE 'jars' END AS registry, CASE WHEN r < 0.5 THEN ['mug', 'glass', 'bowl'][floor(i * 3)::INT + 1] WHEN r < 0.75 THEN ['wok'][1] ELSE ['small', 'large'][floor(i * 2)::INT + 1] END AS item FROM u")
+def registry_choice(spark: SparkSession, d: str) -> DataFrame:
+    """Two levels: a registry by weight (one has none), then an item of it."""
+    registry, item = C.registry_choice(F.col("event_id"), {"cups": (2.0, ["mug", "glass", "bowl"]), "none": (0.0, ["x"]), "pans": (1.0, ["wok"]), "jars": (1.0, ["small", "large"])}, 13)
+    return table(spark, d, "events").select("event_id", registry.alias("registry"), item.alias("item"))
+
+
 _DRAW = "('0x' || substr(sha256('11|{}|' || i), 1, 13))::BIGINT / 4503599627370496.0"
 
 

@@ -172,3 +172,20 @@ def episode_documents(spark: SparkSession, d: str) -> DataFrame:
     counts = D.write_documents(trajectories(spark, d).groupBy("ep").agg(F.count("*").alias("length")).select("*", status), path, "ep", "status")
     frames = spark.read.schema("length long, ep long").json(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("frames"))  # one row
     return counts.join(F.broadcast(frames)).select("status", "n", F.when(F.col("status") == "ok", F.col("frames")).otherwise(0).alias("frames"))
+
+
+@query("reexported_dataset", f"WITH {TRAJ}, k AS (SELECT * FROM traj WHERE ep < 40) SELECT count(DISTINCT ep) AS episodes, count(*) AS frames, count(DISTINCT label) AS tasks, round(sum(value), 4) AS total, 'reading' AS stats FROM k")
+def reexported_dataset(spark: SparkSession, d: str) -> DataFrame:
+    """The first 40 episodes under another column name: totals and statistics follow."""
+    root, out = shared_folder(spark, "dataset"), shared_folder(spark, "reexported")
+    frames = trajectories(spark, d).select(F.col("ep").alias("episode_index"), F.col("frame").alias("frame_index"), F.col("label").alias("task"), "value", "k")
+    D.write_dataset(frames, root)
+    one = lambda c, name: F.array(c).alias(name)
+    figures = lambda c: frames.agg(F.lit(c).alias("column"), one(F.avg(c), "mean"), one(F.stddev_pop(c), "std"), one(F.min(c).cast("double"), "min"), one(F.max(c).cast("double"), "max"), one(F.min(c).cast("double"), "q01"), one(F.max(c).cast("double"), "q99"))
+    D.write_stats(figures("value").unionByName(figures("k")), f"{root}/meta/stats.json")
+    D.reexport_dataset(spark, root, out, ["value", "k"], ["k"], {"value": "reading"}, 40)
+    info = D.read_document(spark, f"{out}/meta/info.json")
+    names = D.read_stats(spark, f"{out}/meta/stats.json").agg(F.array_join(F.sort_array(F.collect_list("column")), ",").alias("stats"))
+    total = D.read_frames(spark, out, columns=["reading"]).agg(F.round(F.sum("reading"), 4).alias("total"))
+    counts = spark.createDataFrame([(info["total_episodes"], info["total_frames"], info["total_tasks"])], "episodes long, frames long, tasks long")
+    return counts.join(F.broadcast(total)).join(F.broadcast(names))

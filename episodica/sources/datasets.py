@@ -182,6 +182,19 @@ def reexport(frames: DataFrame, dropped: list[str], renamed: dict[str, str], fir
     return out if first is None else out.where(F.col("episode_index") < first)
 
 
+def reexport_dataset(spark: SparkSession, root: str, out: str, columns: list[str], dropped: list[str], renamed: dict[str, str], first: int | None = None) -> None:
+    """A dataset written anew: some columns dropped, others renamed, of the first episodes only if asked; totals, lengths and tasks are counted again, statistics keep their figures under the new names."""
+    number = F.regexp_extract("path", r"episode[=_](\d+)", 1).cast("long")
+    frames = read_frames(spark, root, columns=[*dict.fromkeys(["frame_index", "task_index", *columns])]).withColumn("episode_index", number).drop("path")
+    named = frames.join(read_tasks(spark, root), "task_index").drop("task_index")
+    write_dataset(reexport(named, dropped, renamed, first), out)
+    if exists(spark, f"{root}/meta/stats.json"):
+        stats = read_stats(spark, f"{root}/meta/stats.json").where(~F.col("column").isin(dropped) if dropped else F.lit(True))
+        for old, new in renamed.items():
+            stats = stats.withColumn("column", F.when(F.col("column") == old, new).otherwise(F.col("column")))
+        write_stats(stats, f"{out}/meta/stats.json")
+
+
 def synthetic(spark: SparkSession, n: int, schema: T.StructType, seed: int = 0, size: int = 8) -> DataFrame:
     """Rows that fit a schema: numbers from -1 to 1, whole numbers below 2048, vectors of ``size``; other types are null."""
     made = []
