@@ -30,7 +30,10 @@ PLACES = 500_000
 SKETCH = 512
 
 #: Rounds in which frequent shingles are looked for: one that has left the prefixes makes room for others.
-ROUNDS = 3
+ROUNDS = 2
+
+#: Times that sets which are not under one root are compared with another set of each of their shingles, one each, before all of them meet.
+MEETINGS = 4
 
 #: Sets that meet one probe in a task; a probe that meets more is sent to several.
 SPLIT = 512
@@ -235,27 +238,47 @@ def _node(prefix: str = "") -> Column:
     return F.struct(*(F.col(f"{prefix}{c}").alias(c) for c in NODE))
 
 
-def _stars(shared: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of each set b with the one that is most often the least of a shingle that both have in their prefixes."""
-    own = [*NODE, "n", "at", *BITS]
-    hubs = shared.groupBy("token").agg(F.min(F.struct(*own)).alias("hub"), F.max(F.struct(*NODE)).alias("last"))
-    hubs = hubs.where((F.col("hub.hi") != F.col("last.hi")) | (F.col("hub.lo") != F.col("last.lo")))
+def _told_apart(shared: DataFrame) -> DataFrame:
+    """Of shingles that are in the prefixes of the same sets the first in the order, for each of those sets.
+
+    It is the first for all of them, so what two sets have from their first common shingle on is not changed.
+    """
+    hash_ = F.xxhash64(*NODE)
+    lists = shared.groupBy("token").agg(F.min(F.struct(*NODE, "at")).alias("least"), F.max(F.struct(*NODE)).alias("last"), F.count("*").alias("c"), F.bit_xor(hash_).alias("x"), F.sum(F.shiftright(F.xxhash64(*NODE, F.lit(7)), 32)).alias("s"))
+    lists = lists.where((F.col("least.hi") != F.col("last.hi")) | (F.col("least.lo") != F.col("last.lo")))
+    kept = lists.groupBy("least.hi", "least.lo", "last", "c", "x", "s").agg(F.min_by("token", "least.at").alias("token")).select("token")
+    return written(shared.join(written(kept, "jaccard-kept"), "token", "left_semi"), "jaccard-shingles")
+
+
+def _placed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """The sets of each shingle with their roots; of shingles alone whose sets are under several."""
+    placed = shared.join(roots.select(F.col("node.hi").alias("hi"), F.col("node.lo").alias("lo"), "root"), [*NODE], "left")
+    placed = written(placed.withColumn("root", F.coalesce("root", _node())), "jaccard-placed")
+    mixed = placed.groupBy("token").agg(F.min("root").alias("less"), F.max("root").alias("more")).where("less <> more").select("token")
+    return written(placed.join(written(mixed, "jaccard-mixed"), "token", "left_semi"), "jaccard-open")
+
+
+def _meetings(placed: DataFrame, tried: DataFrame | None, turn: int, similarity: tuple[int, int]) -> DataFrame:
+    """A pair of each set with one that is under another root: that which is most often the chosen set of a shingle that both have, and was not tried before; ``turn`` chooses."""
+    own = [*NODE, "n", "at", *BITS, "root"]
+    hubs = placed.groupBy("token").agg(F.min(F.struct(F.xxhash64(*NODE, F.lit(turn)).alias("h"), *own)).alias("hub"))
     hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"x_{c}") for c in own))
-    met = shared.join(hubs, "token").where((_node() != _node("x_")) & _met(similarity))
-    votes = met.groupBy(*NODE, "x_hi", "x_lo").count()
-    best = votes.groupBy(*NODE).agg(F.max(F.struct("count", "x_hi", "x_lo")).alias("best"))
-    return written(best.select(F.struct(F.col("best.x_hi").alias("hi"), F.col("best.x_lo").alias("lo")).alias("a"), _node().alias("b")), "jaccard-stars")
+    met = placed.join(hubs, "token").where((F.col("root") != F.col("x_root")) & _met(similarity))
+    votes = met.groupBy(_node("x_").alias("a"), _node().alias("b")).count()
+    if tried is not None:
+        known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        votes = votes.join(known, ["a", "b"], "left_anti")
+    best = votes.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best"))
+    return written(best.select("best.a", "b"), "jaccard-meetings")
 
 
-def _across(shared: DataFrame, roots: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _across(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs of sets that share a shingle in their prefixes and are not under one root yet.
 
     Of two such sets one at least is not under the root of the shingle's least set, so those
     alone meet all sets of a shingle: a group under one root makes no pairs.
     """
-    placed = shared.join(roots.select(F.col("node.hi").alias("hi"), F.col("node.lo").alias("lo"), "root"), [*NODE], "left")
-    placed = written(placed.withColumn("root", F.coalesce("root", _node())), "jaccard-placed")
-    hubs = placed.groupBy("token").agg(F.min(F.struct(*NODE, "root")).alias("hub"), F.min("root").alias("less"), F.max("root").alias("more")).where("less <> more")
+    hubs = placed.groupBy("token").agg(F.min(F.struct(*NODE, "root")).alias("hub"))
     strange = placed.join(hubs.select("token", F.col("hub.root").alias("hub_root")), "token").where("root <> hub_root")
     strange = strange.select("token", *(F.col(c).alias(f"x_{c}") for c in (*NODE, "n", "at", "root", *BITS)))
     both = strange.join(placed, "token").where((F.col("x_root") != F.col("root")) & _met(similarity))
@@ -324,14 +347,15 @@ def _similar(pairs: DataFrame, texts: _Texts, rows: DataFrame, order: Order, spl
 
 def jaccard_components(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: tuple[int, int] = SIMILARITY,
-    frequent: int = FREQUENT, places: int = PLACES, rounds: int = ROUNDS, split: int = SPLIT,
+    frequent: int = FREQUENT, places: int = PLACES, rounds: int = ROUNDS, meetings: int = MEETINGS, split: int = SPLIT,
 ) -> DataFrame:
     """``id_col``, n_shingles and component_id, the least id of all rows linked to it, of every row.
 
     A row's set holds the distinct runs of ``shingle`` words (A-Z lower-cased, words are runs
     without ASCII white space; fewer words are one run). Two rows link when the similarity of
     their sets is ``similarity``, a fraction, or more. All links are found, whatever the order
-    of shingles that ``frequent``, ``places`` and ``rounds`` lead to.
+    of shingles that ``frequent``, ``places`` and ``rounds`` lead to, and however many ``meetings``
+    come before all pairs that are left.
 
     Rows of equal sets are one node. A null or empty text, or one without words, has an empty
     set and is its own component. A null id is no candidate for the least; where all ids of a
@@ -350,13 +374,25 @@ def jaccard_components(
     shared = written(postings.join(written(many, "jaccard-tokens"), "token", "left_semi"), "jaccard-met")
     sketches = rows.select(*NODE, *BITS).join(written(shared.select(*NODE).distinct(), "jaccard-some"), [*NODE], "left_semi").dropDuplicates([*NODE])
     shared = written(shared.join(sketches, [*NODE]), "jaccard-shared")
-    stars = _stars(shared, similarity)
-    roots = components(_similar(stars, texts, rows, order, split))
-    across = _across(shared, roots, similarity)
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _similar(written(across.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs"), texts, rows, order, split)
+    shared, tried = _told_apart(shared), None
+    roots = shared.select(_node().alias("node"), _node().alias("root")).limit(0)
+    edges = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    for turn in range(meetings):
+        open_ = _placed(shared, roots)
+        pairs = _meetings(open_, tried, turn, similarity)
+        found = _similar(pairs, texts, rows, order, split)
+        if found.isEmpty():
+            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        roots = components(edges().unionByName(found))
+    open_ = _placed(shared, roots)
+    across = _across(open_, similarity)
+    if tried is not None:
+        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        across = written(across.join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
+    more = _similar(across, texts, rows, order, split)
     if not more.isEmpty():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+        roots = components(edges().unionByName(more))
     roots = roots.select(F.col("node.hi").alias("hi"), F.col("node.lo").alias("lo"), "root")
     placed = written(nodes.join(roots, [*NODE], "left").select(*NODE, "least", F.coalesce("root", _node()).alias("root")), "jaccard-roots")
     least = written(placed.groupBy("root").agg(F.min("least").alias("component_id")), "jaccard-least")

@@ -64,7 +64,7 @@ def corpus(seed=5):
     return [*out, out[3], (7, out[9][1]), (7, out[10][1]), (None, out[11][1]), (None, "only null ids here and no other row"), (None, None)]
 
 
-@pytest.mark.parametrize("bounds", [{}, {"frequent": 3, "places": 40, "rounds": 3, "split": 2}, {"frequent": 2, "places": 5, "rounds": 1, "split": 1}])
+@pytest.mark.parametrize("bounds", [{}, {"frequent": 3, "places": 40, "rounds": 3, "split": 2, "meetings": 1}, {"frequent": 2, "places": 5, "rounds": 1, "split": 1, "meetings": 0}])
 def test_against_brute_force(spark, bounds):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n": F.lit("x"), "hi": F.lit(1), "token": F.lit(2), "component_id": F.lit(3)}).repartition(3)
