@@ -70,6 +70,11 @@ def _halves(prints: DataFrame) -> DataFrame:
     return prints.select("__print", F.explode(F.array(*(F.struct(F.lit(i).alias("segment"), _half(F.col("__print"), i).alias("value")) for i in (0, 1)))).alias("__s")).select("__print", "__s.*")
 
 
+def _met(some: DataFrame, others: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by a shuffle of both sides, whatever Spark expects: its estimate takes exploded rows for one, so it would send them all through the driver."""
+    return some.join(others.hint("merge"), on, how)
+
+
 def _ball(value: Column, bits: int) -> Column:
     """The value and all values one bit away."""
     return F.concat(F.array(value), F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
@@ -89,12 +94,12 @@ def _links(prints: DataFrame, bucket: int) -> DataFrame:
     crowded = written(halves.groupBy("segment", "value").count().where(F.col("count") > bucket).select("segment", "value"), "crowded")
     table = halves.join(crowded, ["segment", "value"], "left_anti").select("segment", "value", F.col("__print").alias("a"))
     probes = halves.select("segment", F.explode(_ball(F.col("value"), 32)).alias("value"), F.col("__print").alias("b"))
-    near = table.join(probes, ["segment", "value"]).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).select("a", "b")
+    near = _met(table, probes, ["segment", "value"]).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).select("a", "b")
     around = crowded.select("segment", F.explode(_ball(F.col("value"), 32)).alias("value")).distinct()
-    hot = halves.join(around, ["segment", "value"], "left_semi").select("__print").distinct()
+    hot = _met(halves, around, ["segment", "value"], "left_semi").select("__print").distinct()
     centres = hot.select("__print", F.explode(_ball(F.col("__print"), 64)).alias("centre"))
     first = centres.groupBy("centre").agg(F.min("__print").alias("a"), F.count("*").alias("n")).where("n > 1").select("centre", "a")
-    through = centres.join(first, "centre").where("__print <> a").select("a", F.col("__print").alias("b"))
+    through = _met(centres, first, "centre").where("__print <> a").select("a", F.col("__print").alias("b"))
     return near.unionByName(through).distinct()
 
 

@@ -247,3 +247,23 @@ def test_large_group_makes_no_pairs(spark):
     assert stars.count() < 300
     assert simhash._across(nodes, components(stars), 11, 4, (4, 5)).count() < 300
     assert {r["component_id"] for r in simhash.near_copies(df, "doc_id").collect()} == {0}
+
+
+def _stars_of(distance, segments):
+    from episodica.llm import simhash
+
+    def plan(prints):
+        nodes = prints.select(F.col("__print").alias("print"), F.col("__print").alias("digest"), F.lit(9).cast("long").alias("n"))
+        entries = simhash._entries(nodes, segments, distance // segments // 2)
+        return simhash._met(entries, entries.groupBy("key").count(), "key")
+
+    return plan
+
+
+@pytest.mark.parametrize("make", [lambda p: __import__("episodica.llm.simhash", fromlist=["_links"])._links(p, 64), _stars_of(11, 4)])
+def test_exploded_rows_are_not_broadcast(spark, make):
+    """Spark takes an exploded row for one, so by its estimate it would send balls of any number through the driver."""
+    prints = spark.range(2000).select(F.xxhash64("id").alias("__print"))
+    plan = make(prints)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" in plan
+    assert all("LeftAnti" in line for line in plan.splitlines() if "BroadcastHashJoin" in line)  # of crowded buckets alone
