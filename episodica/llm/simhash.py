@@ -206,11 +206,9 @@ def _masks(bits: int, radius: int) -> list[int]:
 
 def _entries(nodes: DataFrame, segments: int, radius: int) -> DataFrame:
     """The nodes' columns and a key (value and segment) for each segment and each value within ``radius`` bits of its own."""
-    cuts = [64 * i // segments for i in range(segments + 1)]
 
     def ball(segment: int) -> Column:
-        first, bits = cuts[segment], cuts[segment + 1] - cuts[segment]
-        own = F.shiftrightunsigned("print", first).bitwiseAND(F.lit((1 << bits) - 1))
+        own, bits = _segment(F.col("print"), segment, segments)
         flips = F.array(*(F.lit(m).cast("long") for m in _masks(bits, radius)))
         return F.transform(flips, lambda m: own.bitwiseXOR(m) * F.lit(segments) + F.lit(segment))
 
@@ -218,6 +216,29 @@ def _entries(nodes: DataFrame, segments: int, radius: int) -> DataFrame:
     return nodes.select("*", F.explode(F.concat(*balls)).alias("key"))
 
 
+def _segment(value: Column, segment: int, segments: int) -> tuple[Column, int]:
+    """A segment of 64 bits, and its bits."""
+    first, end = 64 * segment // segments, 64 * (segment + 1) // segments
+    return F.shiftrightunsigned(value, first).bitwiseAND(F.lit((1 << (end - first)) - 1)), end - first
+
+
+def _meeting(own: Column, other: Column, segments: int, radius: int) -> Column:
+    """The one of all keys that two near fingerprints share under which they are paired.
+
+    Of the first segment that differs in ``radius`` bits at most, ``own`` with the lowest
+    ``radius // 2`` of these flipped: so far from ``own``, and no farther than the rest from ``other``.
+    """
+    out = F.lit(None).cast("long")
+    for segment in reversed(range(segments)):
+        value, _ = _segment(own, segment, segments)
+        apart, _ = _segment(own.bitwiseXOR(other), segment, segments)
+        rest = apart
+        for _ in range(radius // 2):
+            rest = rest.bitwiseAND(rest - 1)
+        out = F.when(F.bit_count(apart) <= radius, value.bitwiseXOR(apart).bitwiseXOR(rest) * F.lit(segments) + F.lit(segment)).otherwise(out)
+    return out
+
+
 def _apart(distance: int, a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
@@ -239,7 +260,7 @@ def _stars(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
     hubs = table.groupBy("key").agg(F.min(F.struct("print", "digest")).alias("hub"), F.count("*").alias("c"))
     if radius % 2 == 0:
         hubs = hubs.where("c > 1")
-    met = probes.join(hubs.select("key", F.col("hub.print").alias("hub_print"), F.col("hub.digest").alias("hub_digest")), "key")
+    met = _met(probes, hubs.select("key", F.col("hub.print").alias("hub_print"), F.col("hub.digest").alias("hub_digest")), "key")
     near = met.where(_apart(distance, "print", "hub_print") & ((F.col("print") != F.col("hub_print")) | (F.col("digest") != F.col("hub_digest"))))
     # one star is enough for each node: what it leaves apart is found when nodes meet across roots
     least = near.groupBy("print", "digest").agg(F.min(F.struct(F.col("hub_print").alias("print"), F.col("hub_digest").alias("digest"))).alias("hub"))
@@ -251,7 +272,9 @@ def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int, si
     """All near pairs of nodes, of sizes that can reach the similarity, that are not under one root yet.
 
     Of such two at least one is not under the root of their key's least node, so those alone
-    meet all nodes of a key: a group under one root makes no pairs, whatever its size.
+    meet all nodes of a key: a group under one root makes no pairs, whatever its size. Of the
+    keys that two share one pairs them: of the lesser fingerprint if both sides have the same
+    radius, else of the one in the table, so that it is the same key whichever is strange to it.
     """
     radius = distance // segments
     root = roots.select(F.col("node.print").alias("print"), F.col("node.digest").alias("digest"), F.col("root.print").alias("__rp"), F.col("root.digest").alias("__rd"))
@@ -264,17 +287,20 @@ def _across(nodes: DataFrame, roots: DataFrame, distance: int, segments: int, si
     hubs = hubs.select("key", F.col("hub.rp").alias("hp"), F.col("hub.rd").alias("hd"))
 
     def few(entries: DataFrame) -> DataFrame:
-        strange = entries.join(hubs, "key").where((F.col("rp") != F.col("hp")) | (F.col("rd") != F.col("hd")))
+        strange = _met(entries, hubs, "key").where((F.col("rp") != F.col("hp")) | (F.col("rd") != F.col("hd")))
         return strange.select("key", *(F.col(c).alias(f"x_{c}") for c in ("print", "digest", "n", "rp", "rd")))
 
-    def pairs(some: DataFrame, all_: DataFrame) -> DataFrame:
+    def pairs(some: DataFrame, all_: DataFrame, table_side: str) -> DataFrame:
+        x, y = F.col("x_print"), F.col("print")
+        own, other = (F.least(x, y), F.greatest(x, y)) if radius % 2 == 0 else (x, y) if table_side == "some" else (y, x)
+        once = F.col("key") == _meeting(own, other, segments, radius)
         apart = (F.col("x_rp") != F.col("rp")) | (F.col("x_rd") != F.col("rd"))
         sizes = similarity[1] * F.least("x_n", "n") >= similarity[0] * F.greatest("x_n", "n")
-        return some.join(all_, "key").where(_apart(distance, "x_print", "print") & apart & sizes).select(*_edge(("x_print", "x_digest"), ("print", "digest")))
+        return _met(some, all_, "key").where(_apart(distance, "x_print", "print") & apart & sizes & once).select(*_edge(("x_print", "x_digest"), ("print", "digest")))
 
-    out = pairs(few(table), probes)
+    out = pairs(few(table), probes, "some")
     if radius % 2:
-        out = out.unionByName(pairs(few(probes), table))
+        out = out.unionByName(pairs(few(probes), table, "all"))
     return written(out.distinct(), "across")
 
 

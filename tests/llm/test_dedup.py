@@ -267,3 +267,23 @@ def test_exploded_rows_are_not_broadcast(spark, make):
     plan = make(prints)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert "SortMergeJoin" in plan
     assert all("LeftAnti" in line for line in plan.splitlines() if "BroadcastHashJoin" in line)  # of crowded buckets alone
+
+
+@pytest.mark.parametrize("distance, segments", [(11, 4), (8, 3), (11, 3), (3, 4)])
+def test_near_pairs_have_one_meeting(spark, distance, segments):
+    """Two near fingerprints share the key under which they are paired, in the table and among the probes."""
+    from episodica.llm import simhash
+
+    rng, radius = random.Random(3), distance // segments
+    pairs = []
+    for i in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), i % (distance + 1)):
+            b ^= 1 << bit
+        pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
+    df = spark.createDataFrame(pairs, "a long, b long").distinct()
+    met = df.withColumn("meeting", simhash._meeting(F.col("a"), F.col("b"), segments, radius))
+    sides = lambda c, r: simhash._entries(df.select("a", "b", F.col(c).alias("print")), segments, r).select("a", "b", F.col("key").alias("meeting"))
+    both = met.join(sides("a", radius // 2), ["a", "b", "meeting"]).join(sides("b", radius - radius // 2), ["a", "b", "meeting"])
+    assert both.count() == df.count()
