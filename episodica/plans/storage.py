@@ -21,14 +21,14 @@ def _dataset(spark: SparkSession, d: str) -> str:
 
 @query("dataset_frames", f"WITH {TRAJ} SELECT ep AS episode_index, frame AS frame_index, value FROM traj")
 def dataset_frames(spark: SparkSession, d: str) -> DataFrame:
-    frames = D.read_frames(spark, _dataset(spark, d), columns=["frame_index", "value"])
-    return frames.select(F.regexp_extract("path", r"episode=(\d+)", 1).cast("long").alias("episode_index"), F.col("frame_index").cast("long").alias("frame_index"), "value")
+    frames = D.episode_frames(spark, _dataset(spark, d), ["frame_index", "value"])
+    return frames.select("episode_index", F.col("frame_index").cast("long").alias("frame_index"), "value")
 
 
 @query("dataset_episode_rows", "SELECT user_id AS episode_index, count(*) AS n FROM events GROUP BY 1")
 def dataset_episode_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = D.episode_rows(spark, _dataset(spark, d))
-    return rows.groupBy(F.regexp_extract("path", r"episode=(\d+)", 1).cast("long").alias("episode_index")).agg(F.sum("n").alias("n"))
+    return rows.groupBy("episode_index").agg(F.sum("n").alias("n"))
 
 
 @query("dataset_episodes", f"WITH {TRAJ} SELECT ep AS episode_index, arg_min(label, frame) AS task, count(*) AS length FROM traj GROUP BY 1")

@@ -152,3 +152,19 @@ def test_stream_resumes(spark, tmp_path):
     assert drained() == [(0, "a", 0, 1, 2)]
     files(spark, str(tmp_path / "in"), rows[4:], 9)
     assert drained() == [(0, "a", 0, 1, 2), (1, "b", 2, 4, 3)]
+
+
+def test_files_do_not_follow_episodes(spark, tmp_path):
+    """Many episodes are a few files, in one chunk and over its end; null tasks keep their frames."""
+    frames = spark.range(6000).selectExpr("700 + id % 600 AS episode_index", "id div 600 AS frame_index", "nullif(concat('t', id % 3), 't2') AS task", "id AS x")
+    D.write_dataset(frames, str(tmp_path / "set"))
+    files = list((tmp_path / "set" / "data").rglob("*.parquet"))
+    assert {f.parent.name for f in files} == {"chunk=0", "chunk=1"} and len(files) <= 8
+    rows = D.episode_rows(spark, str(tmp_path / "set")).collect()
+    assert sorted(r["episode_index"] for r in rows) == list(range(700, 1300)) and {r["n"] for r in rows} == {10}
+    assert sorted(r["frame_index"] for r in D.read_episode(spark, str(tmp_path / "set"), 1001).collect()) == list(range(10))
+    assert {(r["task"], r["length"]) for r in D.read_episodes(spark, str(tmp_path / "set")).collect()} == {("t0", 10), ("t1", 10), ("", 10)}
+    documents = spark.range(500).selectExpr("id", "id % 7 AS n", "if(id % 5 = 0, 'gone', 'ok') AS status")
+    assert {tuple(r) for r in D.write_documents(documents, str(tmp_path / "docs"), "id", "status").collect()} == {("gone", 100), ("ok", 400)}
+    assert len(list((tmp_path / "docs").rglob("*.json"))) <= 4
+    assert sorted(r["id"] for r in spark.read.json(str(tmp_path / "docs")).collect()) == [i for i in range(500) if i % 5]
