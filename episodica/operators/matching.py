@@ -89,14 +89,40 @@ def intervals(points: DataFrame, rounds: DataFrame, key: str, at: str, start: st
 def tolerance(left: DataFrame, right: DataFrame, left_id: str, right_id: str, length: str, value: str, within: float) -> DataFrame:
     """left_id and right_id: the least right id of equal length whose value differs by at most ``within``; else the least of equal length.
 
-    Values are dealt into bins of width ``within``; a value meets its own bin and the two beside it.
+    No pairs are made: values are dealt into bins a little narrower than ``within``, so all of a
+    bin are close to each other, and what else is close to a value is an end of the bin before
+    and a beginning of the bin after it: running minima. Values near the very bound, where
+    rounding decides, are met in narrow cells and compared. Equal values are one row on either side.
     """
-    bin_of = F.floor(F.col(value) / within).cast("long")
-    l_bins = left.select(left_id, length, F.col(value).alias("__x"), F.explode(F.array(bin_of - 1, bin_of, bin_of + 1)).alias("__bin"))
-    r_bins = right.select(right_id, length, F.col(value).alias("__y"), bin_of.alias("__bin"))
-    close = l_bins.join(r_bins, [length, "__bin"]).where(F.abs(F.col("__x") - F.col("__y")) <= within).groupBy(left_id).agg(F.min(right_id).alias("__close"))
+    x, y = F.col("__x").cast("double"), F.col("__y").cast("double")
+    lefts = left.select(length, F.col(value).alias("__x")).distinct()
+    rights = right.where(F.col(value).isNotNull()).groupBy(length, F.col(value).alias("__y")).agg(F.min(right_id).alias("__id"))
+    exact = F.abs(F.col("__x") - F.col("__y")) <= within
+    # of values so much greater than the bound the places below are not exact: they meet in bins
+    great = within * 2.0**30
+    usual, others = lefts.where(F.abs(x) < great), rights.where(F.abs(y) < 2 * great)
+    width, margin = within * (1 - 2.0**-20), within * 2.0**-19
+    in_bin = lambda c: F.floor(c / width).cast("long")
+    own = others.groupBy(length, in_bin(y).alias("__bin")).agg(F.min("__id").alias("__id"))
+    found = usual.withColumn("__bin", in_bin(x)).join(own, [length, "__bin"]).select(length, "__x", "__id")
+    # ends are beginnings of the values with the other sign
+    ends, starts = (F.struct((in_bin(c) + b).alias("bin"), (s * (c + t)).alias("at"), F.lit(s).alias("sign")) for c, b, t, s in ((x, -1, margin - within, -1), (x, 1, within - margin, 1)))
+    asked = usual.select(length, "__x", F.explode(F.array(ends, starts)).alias("__p")).withColumn("__side", F.lit(1))
+    placed = [F.struct(in_bin(y).alias("bin"), (s * y).alias("at"), F.lit(s).alias("sign")) for s in (-1, 1)]
+    held = others.select(length, "__id", F.explode(F.array(*placed)).alias("__p")).withColumn("__side", F.lit(0))
+    run = Window.partitionBy(length, "__p.bin", "__p.sign").orderBy("__p.at", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ran = asked.unionByName(held, allowMissingColumns=True).withColumn("__id", F.min("__id").over(run)).where((F.col("__side") == 1) & F.col("__id").isNotNull())
+    cell = lambda c: F.floor(c / (2 * margin)).cast("long")
+    bounds = F.array(*(cell(x + t) + i for t in (-within, within) for i in (-1, 0, 1)))
+    edge = usual.withColumn("__cell", F.explode(F.array_distinct(bounds))).join(others.withColumn("__cell", cell(y)), [length, "__cell"]).where(exact)
+    near = lambda c: F.floor(c / within).cast("long")
+    far = lefts.where(F.abs(x) >= great).withColumn("__bin", F.explode(F.array(*(near(x) + i for i in (-2, -1, 0, 1, 2))))).join(rights.where(F.abs(y) >= great / 2).withColumn("__bin", near(y)), [length, "__bin"]).where(exact)
+    close = found
+    for part in (ran, edge, far):
+        close = close.unionByName(part.select(length, "__x", "__id"))
+    close = close.groupBy(length, F.col("__x").alias(value)).agg(F.min("__id").alias("__close"))
     equal = right.groupBy(length).agg(F.min(right_id).alias("__equal"))
-    return left.join(close, left_id, "left").join(equal, length, "left").select(left_id, F.coalesce("__close", "__equal").alias(right_id), F.col("__close").isNotNull().alias("close"))
+    return left.join(close, [length, value], "left").join(equal, length, "left").select(left_id, F.coalesce("__close", "__equal").alias(right_id), F.col("__close").isNotNull().alias("close"))
 
 
 def tolerance_vectors(left: DataFrame, right: DataFrame, left_id: str, right_id: str, length: str, vector: str, within: Sequence[float], grid: int = 3) -> DataFrame:
