@@ -137,13 +137,32 @@ def class_weights(df: DataFrame, kind: str, key: str, totals: dict[str, float])
     return split.withColumn("weight", F.col("__w") / F.first("__w").over(Window.partitionBy(F.lit(1)).orderBy(key))).drop("__w")
 
 
-def expand_groups(ids: DataFrame, groups: DataFrame) -> DataFrame:
-    """pos and id: negative ids stand for a group's members, in order; positive ones for themselves.
+#: Members in one block, ids that meet it in one task, and rows that a task makes at most on average.
+BLOCK, MEETING, TASK_ROWS = 1000, 1000, 4_000_000
 
-    ``ids``: pos, id; ``groups``: group, members (array).
+
+def expand_groups(ids: DataFrame, groups: DataFrame, block: int = BLOCK, meeting: int = MEETING) -> DataFrame:
+    """pos, at and member: an id that is a group's stands for its members, in order; any other for itself.
+
+    ``ids``: pos, id; ``groups``: group (once), members (array). The result has a row for each id
+    and member. It is counted first and made by as many tasks as it takes, as blocks of members
+    meet parts of the ids: a group of any size, or one that most ids name, is spread.
     """
-    joined = ids.join(groups, ids["id"] == groups["group"], "left")
-    return joined.select("pos", F.posexplode(F.coalesce("members", F.array("id"))).alias("at", "member"))
+    sizes = ids.groupBy("id").agg(F.count("*").alias("__ids")).join(groups.select(F.col("group").alias("id"), F.size("members").alias("__n")).where("__n >= 0"), "id")
+    sizes = sizes.select("id", "__n", "__ids", F.ceil(F.col("__ids") / meeting).cast("int").alias("__parts"))  # one row for each group
+    rows = sizes.agg(F.coalesce(F.sum(F.col("__n").cast("long") * F.col("__ids")), F.lit(0))).first()[0]
+    most = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, -(-rows // 50_000)), -(-rows // TASK_ROWS))
+    placed = ids.join(sizes.drop("__ids"), "id", "left")
+    alone = placed.where("__n IS NULL").select("pos", F.lit(0).alias("at"), F.col("id").alias("member"))
+    firsts = F.sequence(F.lit(0), F.col("__n") - 1, F.lit(block))
+    asked = placed.where("__n > 0").select("pos", "id", F.pmod(F.xxhash64("pos"), F.col("__parts")).cast("int").alias("__part"), F.explode(firsts).alias("__first"))
+    cut = groups.withColumnRenamed("group", "id").join(sizes.drop("__ids"), "id").where("__n > 0").select("id", "members", "__parts", F.explode(firsts).alias("__first"))
+    blocks = cut.select("id", "__first", F.slice("members", F.col("__first") + 1, F.lit(block)).alias("__block"), F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
+    keys = ["id", "__part", "__first"]
+    met = asked.repartition(tasks, *keys).join(blocks.repartition(tasks, *keys).hint("merge"), keys)
+    made = met.select("pos", "__first", F.posexplode("__block").alias("__at", "member"))
+    return alone.unionByName(made.select("pos", (F.col("__first") + F.col("__at")).alias("at"), "member"))
 
 
 def must_be_empty(df: DataFrame, message: str) -> None:

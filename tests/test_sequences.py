@@ -198,3 +198,19 @@ def test_few_candidates_of_token_matches(spark):
     met = M.prefix_candidates(weigh(left, "left_id"), weigh(right, "right_id"), 0.35).count()
     sharing = sum(bool(sets[a] & sets[b]) for a in sets if a < 1000 for b in sets if b >= 1000)
     assert len(want) <= met < sharing / 20
+
+
+def test_groups_of_any_size_are_spread(spark):
+    """Groups of no, one and many members, ids of no group and null; blocks of a few, several tasks for one group."""
+    members = {-1: [7], -2: list(range(100, 125)), -3: [], -4: None}
+    groups = spark.createDataFrame(list(members.items()), "group long, members array<long>")
+    rows = [(p, (-1, -2, -3, -4, -5, 6, None)[p % 7]) for p in range(140)] + [(3, -2), (3, -2)]
+    ids = spark.createDataFrame(rows, "pos long, id long")
+    want = []
+    for p, i in rows:
+        own = members.get(i)
+        want += [(p, at, m) for at, m in enumerate([i] if own is None else own)]
+    met = C.expand_groups(ids, groups, block=4, meeting=3)
+    key = lambda r: (r[0], r[1], r[2] is None, r[2] or 0)
+    assert sorted((tuple(r) for r in met.select("pos", "at", "member").collect()), key=key) == sorted(want, key=key)
+    assert sorted((tuple(r) for r in C.expand_groups(ids, groups).select("pos", "at", "member").collect()), key=key) == sorted(want, key=key)
