@@ -45,7 +45,9 @@ def permuted(place: Column, n: Column, seed: object, rounds: int = 40, epoch: Co
 
     def swap(x: Column, key: Column) -> Column:
         mirror = F.pmod(F.pmod(key, n) + n - x, n)
-        bit = F.md5(F.concat_ws("|", key.cast("string"), F.greatest(x, mirror).cast("string"))) >= F.lit("8")
+        larger = F.greatest(x, mirror)
+        # with epochs no SQL gives the same order, and a hash of numbers is cheaper than one of texts
+        bit = F.md5(F.concat_ws("|", key.cast("string"), larger.cast("string"))) >= F.lit("8") if epoch is None else F.xxhash64(key, larger) >= 0
         return F.when(bit, mirror).otherwise(x)
 
     keys = F.array(*(F.lit(k).cast("long") for k in round_keys(seed, rounds)))
