@@ -3,11 +3,12 @@
 Each page is cut into blocks of text. Within a host, pages are ordered by path;
 each is paired with the neighbour whose path has the longer common beginning, their
 blocks are aligned by a longest common subsequence, and shared blocks are marked.
-What two neighbouring pages share is the site's frame, unless markup says that it
-is the article: an article repeated on two pages is still each page's text, and a
-frame that changes from page to page is still a frame. So elements that name their
-role (article, main; nav, footer, aside, form and the like) decide first, and the
-differences decide all other blocks.
+What two neighbouring pages share is the site's frame; what differs is the text. The
+differences are checked by markup: a frame that changes from page to page is still a
+frame, so elements that name that role (nav, footer, aside, form and the like) go. Of
+elements that are named article or main those with a block that differs are the
+article, and stay whole, as a passage that two articles share is still each page's
+text; those that a neighbour has as well (teasers, notices) go.
 """
 
 from __future__ import annotations
@@ -68,18 +69,18 @@ def _zone(name: str, attributes: str, inside_main: bool) -> int | None:
     return None
 
 
-def blocks(page: str) -> list[tuple[str, int]]:
-    """The blocks of text of a page, in order, each with its zone; an unclosed element ends with what holds it."""
-    out: list[tuple[str, int]] = []
+def blocks(page: str) -> list[tuple[str, int, int]]:
+    """The blocks of text of a page, in order, each with its zone and the number of the article around it (0: none); an unclosed element ends with what holds it."""
+    out: list[tuple[str, int, int]] = []
     text: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # name, zone, whether its text is dropped
-    zone, dropped, raw = OPEN, False, ""
+    stack: list[tuple[str, int, bool, int]] = []  # name, zone, whether its text is dropped, article
+    zone, dropped, article, raw, articles = OPEN, False, 0, "", 0
 
     def flush() -> None:
         line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if line:
-            out.append((line, zone))
+            out.append((line, zone, article))
 
     at = 0
     for m in _MARKUP.finditer(page):
@@ -101,7 +102,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
-                    zone, dropped = (stack[-1][1], stack[-1][2]) if stack else (OPEN, False)
+                    zone, dropped, article = stack[-1][1:] if stack else (OPEN, False, 0)
                     break
                 if stack[i][0] in _BLOCK and (name not in _BLOCK or name == "p"):
                     break  # an inline end does not leave the block around it
@@ -110,12 +111,15 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and name in (x[0] for x in stack):
             _close(stack, name)
-            zone, dropped = (stack[-1][1], stack[-1][2]) if stack else (OPEN, False)
+            zone, dropped, article = stack[-1][1:] if stack else (OPEN, False, 0)
         said = _zone(name, m[3], zone == MAIN)
+        if said == MAIN and (zone == OPEN or zone == MAIN and name == "article"):
+            articles += 1
+            article = articles
         if said is not None and zone != FRAME:
             zone = said
         dropped = dropped or name in _DROPPED
-        stack.append((name, zone, dropped))
+        stack.append((name, zone, dropped, article))
         raw = name if name in _RAW else ""
     if not dropped and not raw:
         text.append(page[at:])
@@ -123,7 +127,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
-def _close(stack: list[tuple[str, int, bool]], name: str) -> None:
+def _close(stack: list[tuple[str, int, bool, int]], name: str) -> None:
     """Close an open paragraph, item or cell where its like begins, within what holds both."""
     holders = {"p": _BLOCK - {"p"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}.get(name, {"table", "select"})
     for i in range(len(stack) - 1, -1, -1):
@@ -203,14 +207,14 @@ _OUTLINE_DDL = "struct<key: bigint, host: string, path: string, lines: array<big
 
 
 def _outlines(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """key, host, path and the hashes of the blocks that markup neither keeps nor frames, of every page."""
+    """key, host, path and the hashes of the blocks that markup does not frame, of every page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in worker("pages", batches):
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 addresses = [_address(u) for u in part.column("__url").to_pylist()]
-                lines = [[_hash(t) for t, zone in blocks(p or "") if zone == OPEN] for p in part.column("__html").to_pylist()]
+                lines = [[_hash(t) for t, *_ in _unframed(p)] for p in part.column("__html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("__key"), pa.array([h for h, _ in addresses], pa.string()), pa.array([p for _, p in addresses], pa.string()), pa.array(lines, pa.list_(pa.int64()))], ["key", "host", "path", "lines"])
 
     pages = df.select("__key", df[url_col].alias("__url"), df[html_col].alias("__html")).mapInArrow(run, "key long, host string, path string, lines array<long>")
@@ -218,7 +222,7 @@ def _outlines(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 
 def shared_blocks(own: dict, before: dict | None, after: dict | None) -> list[int]:
-    """Numbers, among its open blocks, of those that a page shares with the nearer of its neighbours on the same host.
+    """Numbers, among its unframed blocks, of those that a page shares with the nearer of its neighbours on the same host.
 
     The one before comes first where both are as near; one that shares nothing gives way to the other.
     """
@@ -230,9 +234,9 @@ def shared_blocks(own: dict, before: dict | None, after: dict | None) -> list[in
 
 
 def _differences(outlines: DataFrame) -> DataFrame:
-    """key and shared (numbers among open blocks) for every outline with open blocks.
+    """key and shared (numbers among unframed blocks) for every outline with such blocks.
 
-    Pages of a host whose open blocks are all the same are mirrors: the first stands for
+    Pages of a host whose unframed blocks are all the same are mirrors: the first stands for
     them, so that each is compared with the nearest page that differs.
     Outlines are dealt out by ranges of host and path and sorted, so that a host of any
     size is spread over tasks. The first and the last outline of a range lack a neighbour:
@@ -282,13 +286,27 @@ def _differences(outlines: DataFrame) -> DataFrame:
     return outlines.select("key", "host", "print").join(written(named, "page-shares"), ["host", "print"]).select("key", "shared")
 
 
+def _unframed(page: str | None) -> list[tuple[str, int, int]]:
+    return [b for b in blocks(page or "") if b[1] != FRAME]
+
+
 def main_text(page: str | None, shared: list[int] | None) -> str:
-    """The blocks of the article; in a page that marks none, those neither framed by markup nor shared."""
-    found = blocks(page or "")
-    if any(zone == MAIN for _, zone in found):
-        return "\n".join(t for t, zone in found if zone == MAIN)
-    gone = set(shared or ())
-    return "\n".join(t for i, t in enumerate(t for t, zone in found if zone == OPEN) if i not in gone)
+    """The blocks that differ from the neighbour's, without those framed by markup; ``shared``: numbers of the others among the unframed ones.
+
+    In a page that marks articles, those with a block that differs, whole. The others go if they
+    are the smaller part of the marked text: else the neighbour has the article too, and all stay.
+    """
+    found, gone = _unframed(page), set(shared or ())
+    sizes: dict[int, int] = {}
+    for text, zone, article in found:
+        if zone == MAIN:
+            sizes[article] = sizes.get(article, 0) + len(text)
+    if not sizes:
+        return "\n".join(text for i, (text, *_) in enumerate(found) if i not in gone)
+    differ = {article for i, (_, zone, article) in enumerate(found) if zone == MAIN and i not in gone}
+    if 2 * sum(sizes[a] for a in differ) <= sum(sizes.values()):
+        differ = set(sizes)
+    return "\n".join(text for text, zone, article in found if zone == MAIN and article in differ)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
