@@ -2,9 +2,10 @@
 
 The kernel of two texts is the number of byte runs of length 1 to 3 that both hold
 (blended spectrum, presence), divided by the root of the product of their numbers
-of distinct runs. Landmarks from a bounded sample give Nystrom features; kernel
-ridge regression on them, one language against the rest, gives a weight for each
-landmark and language. As the kernel is linear in presence, weights fold into one
+of distinct runs. Landmarks, a bounded number of texts, give Nystrom features; kernel
+ridge regression on those of all labelled texts, one language against the rest, gives a
+weight for each landmark and language. Tasks add up products of features; the driver
+solves a system of the landmarks' size. As the kernel is linear in presence, weights fold into one
 matrix of runs by languages, and a batch of texts is scored by one product.
 """
 
@@ -24,6 +25,8 @@ from .text import Chunk, any_of, chunks, held, owner, worker
 ORDERS = (1, 2, 3)
 RESULTS = ("held_out", "lang_pred", "score")
 BLOCK_BYTES, BLOCK_ROWS = 1 << 18, 128
+#: Features and scores are whole numbers of this part when they are added up or counted, so that sums do not depend on their order.
+UNIT = 1 << 16
 _ASCII_LETTER = any_of((0x41, 0x5A), (0x61, 0x7A))
 
 
@@ -68,6 +71,38 @@ def _presence(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.unique(np.concatenate(sets)), sets
 
 
+@dataclass
+class Landmarks:
+    """Texts that others are compared with: their runs, and the map from kernel rows to features of unit length at most."""
+
+    codes: np.ndarray
+    basis: np.ndarray
+    size: np.ndarray
+    root: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Landmarks:
+        codes, sets = _presence(texts)
+        basis = np.zeros((len(texts), len(codes)), np.float32)
+        for row, own in zip(basis, sets, strict=True):
+            row[np.searchsorted(codes, own)] = 1
+        size = np.sqrt([max(1, len(own)) for own in sets])
+        values, vectors = np.linalg.eigh((basis @ basis.T) / np.outer(size, size))
+        good = values > 1e-6 * values[-1]
+        return cls(codes, basis, size, vectors[:, good] / np.sqrt(values[good]))
+
+    def features(self, c: Chunk) -> np.ndarray:
+        seen, size = _present(self.codes, c)
+        # counts of common runs are whole numbers, whatever the texts beside them
+        return ((seen @ self.basis.T) / np.outer(np.sqrt(np.maximum(1, size)), self.size)) @ self.root
+
+    def classifier(self, langs: list[str], squares: np.ndarray, sums: np.ndarray, ridge: float) -> KernelClassifier:
+        """Ridge regression from the sum of features' products and each language's sum of features."""
+        wanted = 2 * sums.T - sums.sum(axis=0)[:, None]  # 1 for the language, -1 for the rest
+        solved = np.linalg.solve(squares + ridge * np.eye(len(squares)), wanted)
+        return KernelClassifier(langs, self.codes, (self.basis.T @ ((self.root @ solved) / self.size[:, None])).astype(np.float32))
+
+
 @dataclass
 class KernelClassifier:
     langs: list[str]
@@ -78,36 +113,23 @@ class KernelClassifier:
 
     @classmethod
     def fit(cls, texts: list[str], labels: list[str], landmarks: int, ridge: float) -> KernelClassifier:
-        """The first texts of each language, in turn, are the landmarks."""
+        """From texts at hand. The first texts of each language, in turn, are the landmarks."""
         langs = sorted(set(labels))
         if not langs:
-            return cls([], np.zeros(0, np.uint32), np.zeros((0, 0), np.float32))
+            return cls.empty()
         seen: dict[str, int] = {}
         turn = []
         for i, x in enumerate(labels):
             turn.append((seen.setdefault(x, 0), x, i))
             seen[x] += 1
-        marks = [i for *_, i in sorted(turn)[: max(landmarks, 2 * len(langs))]]  # each language has two at least
-        codes, sets = _presence([texts[i] for i in marks])
-        basis = np.zeros((len(marks), len(codes)), np.float32)
-        for row, own in zip(basis, sets, strict=True):
-            row[np.searchsorted(codes, own)] = 1 / np.sqrt(max(1, len(own)))
-        values, vectors = np.linalg.eigh((basis @ basis.T).astype(float))
-        good = values > 1e-6 * values[-1]
-        root = vectors[:, good] / np.sqrt(values[good])
-        classifier = cls(langs, codes, np.zeros((len(codes), 0), np.float32))
-        kernel = np.zeros((len(texts), len(marks)))
-        done = 0
-        for c in chunks(pa.array(texts, pa.string()), BLOCK_BYTES):
-            for block, first in _blocks(c):
-                seen_here, size = classifier._present(block)
-                kernel[done + first : done + first + block.rows] = (seen_here @ basis.T) / np.sqrt(np.maximum(1, size))[:, None]
-            done += c.rows
-        features = kernel @ root
-        wanted = np.where(np.array(labels)[:, None] == np.array(langs)[None, :], 1.0, -1.0)
-        solved = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ wanted)
-        classifier.weights = (basis.T @ (root @ solved)).astype(np.float32)
-        return classifier
+        marks = Landmarks.of([texts[i] for *_, i in sorted(turn)[: _marks(landmarks, langs)]])
+        features = np.concatenate([marks.features(block) for c in chunks(pa.array(texts, pa.string()), BLOCK_BYTES) for block, _ in _blocks(c)])
+        own = np.array(labels)[:, None] == np.array(langs)[None, :]
+        return marks.classifier(langs, features.T @ features, own.T @ features, ridge)
+
+    @classmethod
+    def empty(cls) -> KernelClassifier:
+        return cls([], np.zeros(0, np.uint32), np.zeros((0, 0), np.float32))
 
     def leads(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The best language of each text, and half its lead over the next, between 0 and 1."""
@@ -115,37 +137,43 @@ class KernelClassifier:
         top = np.sort(scores, axis=1)
         return scores.argmax(axis=1), np.clip((top[:, -1] - (top[:, -2] if len(self.langs) > 1 else -1)) / 2, 0, 1)
 
-    def _table(self) -> list[np.ndarray]:
-        mine = held("langid")
-        if mine.get("codes") is not self.codes:
-            mine["codes"], mine["tables"] = self.codes, []
-            for n in ORDERS:
-                table = np.full(1 << 8 * n, -1, np.int32)
-                at = np.flatnonzero(self.codes >> 24 == n)
-                table[self.codes[at] & 0xFFFFFF] = at
-                mine["tables"].append(table)
-        return mine["tables"]
-
-    def _present(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Texts by known runs, and each text's number of distinct runs, known or not."""
-        rows, codes = grams(c)
-        at = np.full(len(codes), -1, np.int32)
-        order = codes >> 24
-        for n, table in zip(ORDERS, self._table(), strict=True):
-            own = order == n
-            at[own] = table[codes[own] & 0xFFFFFF]
-        out = np.zeros((c.rows, len(self.codes)), np.float32)
-        known = at >= 0
-        out[rows[known], at[known]] = 1
-        rest = np.unique(rows[~known].astype(np.uint64) << np.uint64(32) | codes[~known])
-        unknown = np.bincount((rest >> np.uint64(32)).astype(np.int64), minlength=c.rows)
-        return out, out.sum(axis=1) + unknown
-
     def score(self, c: Chunk) -> np.ndarray:
-        seen, size = self._present(c)
+        seen, size = _present(self.codes, c)
         return (seen @ self.weights) / np.sqrt(np.maximum(1, size))[:, None]
 
 
+def _marks(landmarks: int, langs: list[str]) -> int:
+    return max(landmarks, 2 * len(langs))  # each language has two at least
+
+
+def _tables(codes: np.ndarray) -> list[np.ndarray]:
+    mine = held("langid")
+    if mine.get("codes") is not codes:
+        mine["codes"], mine["tables"] = codes, []
+        for n in ORDERS:
+            table = np.full(1 << 8 * n, -1, np.int32)
+            at = np.flatnonzero(codes >> 24 == n)
+            table[codes[at] & 0xFFFFFF] = at
+            mine["tables"].append(table)
+    return mine["tables"]
+
+
+def _present(known_codes: np.ndarray, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """Texts by known runs, and each text's number of distinct runs, known or not."""
+    rows, codes = grams(c)
+    at = np.full(len(codes), -1, np.int32)
+    order = codes >> 24
+    for n, table in zip(ORDERS, _tables(known_codes), strict=True):
+        own = order == n
+        at[own] = table[codes[own] & 0xFFFFFF]
+    out = np.zeros((c.rows, len(known_codes)), np.float32)
+    known = at >= 0
+    out[rows[known], at[known]] = 1
+    rest = np.unique(rows[~known].astype(np.uint64) << np.uint64(32) | codes[~known])
+    unknown = np.bincount((rest >> np.uint64(32)).astype(np.int64), minlength=c.rows)
+    return out, out.sum(axis=1) + unknown
+
+
 def _blocks(c: Chunk) -> Iterator[tuple[Chunk, int]]:
     for first in range(0, c.rows, BLOCK_ROWS):
         last = min(first + BLOCK_ROWS, c.rows)
@@ -157,42 +185,99 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string")) % 3 == 1
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 200, landmarks: int = 128, ridge: float = 1e-3, share: float = 0.01) -> KernelClassifier:
-    """Learn from at most ``per_language`` labelled, not held-out texts of each language: those least by a hash of the id.
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", landmarks: int = 128, ridge: float = 1e-3, share: float | None = 0.01) -> KernelClassifier:
+    """Learn from all labelled, not held-out texts.
 
-    Rows with a null text or language are not learned from; ties of the hash go by id, then by
-    the text's hash; rows that repeat an id, a language and a text count once among those
-    chosen. An empty table gives a classifier that knows no language.
+    The landmarks are those least by a hash of the id, each language in turn; ties of the hash
+    go by id, then by the text's hash. Rows with a null text or language are not learned from;
+    repeated rows are one landmark, but weigh as often as they come. An empty table gives a
+    classifier that knows no language.
 
-    ``least`` is learned from the same sample: two classifiers of half of it each score the
-    other half's texts, and it is half the score that ``share`` of these do not reach. Texts of
-    another script, language or of random letters score near 0.
+    ``least`` is learned from all these texts too: two classifiers, each of the half of them by a
+    hash, score the other half's texts, and it is half the score that ``share`` of these do not
+    reach (without a ``share`` it is 0, and not looked for). Texts of another script, language
+    or of random letters score near 0.
     """
+    short_batches(df.sparkSession)
     labelled = df.where(df[lang_col].isNotNull() & df[text_col].isNotNull() & ~held_out(df[id_col]))
-    rows = labelled.select(df[id_col].alias("__id"), df[lang_col].alias("__lang"), F.xxhash64(df[id_col]).alias("__order"), F.xxhash64(df[text_col]).alias("__hash"))
-    rank = F.row_number().over(Window.partitionBy("__lang").orderBy("__order", "__id", "__hash"))
-    chosen = rows.withColumn("__rank", rank).where(F.col("__rank") <= per_language).select("__id", "__lang", "__order", "__hash").distinct()
-    # per_language rows a language: the size of the sample, whatever the data
-    texts = labelled.select(df[id_col].alias("__i"), df[lang_col].alias("__l"), F.xxhash64(df[text_col]).alias("__h"), df[text_col].alias("__text"))
-    same = F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__l") == F.col("__lang")) & (F.col("__h") == F.col("__hash"))
-    # rows that repeat an id, a language and a text come once
-    sample = texts.join(F.broadcast(chosen), same).groupBy("__order", "__id", "__lang", "__hash").agg(F.min("__text").alias("__text"))
-    taken = sorted((r["__order"], str(r["__id"]), r["__text"], r["__lang"]) for r in sample.select("__order", "__id", "__text", "__lang").collect())
-    texts, labels = [t for *_, t, _ in taken], [x for *_, x in taken]
-    out = KernelClassifier.fit(texts, labels, landmarks, ridge)
-    out.least = _least(texts, labels, landmarks, ridge, share)
+    labelled = labelled.select(df[id_col].alias("id"), df[lang_col].alias("lang"), df[text_col].alias("text"), F.xxhash64(df[id_col]).alias("order"), F.xxhash64(df[text_col]).alias("hash"))
+    langs = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())  # a row for each language
+    if not langs:
+        return KernelClassifier.empty()
+    turn = F.dense_rank().over(Window.partitionBy("lang").orderBy("order", "id", "hash"))
+    ranked = labelled.select("id", "lang", "order", "hash").withColumn("turn", turn).where(F.col("turn") <= landmarks)
+    chosen = ranked.distinct().orderBy("turn", "lang").limit(_marks(landmarks, langs)).withColumnsRenamed({"id": "__id", "lang": "__lang", "hash": "__hash"}).drop("order")
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("lang") == F.col("__lang")) & (F.col("hash") == F.col("__hash"))
+    found = labelled.join(F.broadcast(chosen), same).groupBy("turn", "lang").agg(F.min("text").alias("text")).collect()  # as many rows as landmarks
+    marks = Landmarks.of([r["text"] for r in sorted(found, key=lambda r: (r["turn"], r["lang"]))])
+    texts = labelled.select("text", "lang", (F.xxhash64("id", "hash") % 2 == 0).cast("int").alias("half"))
+    squares, sums, counts = _added(texts, marks, langs)
+    out = marks.classifier(langs, squares.sum(axis=0), sums.sum(axis=0), ridge)
+    if share is not None and counts.any(axis=1).all():
+        halves = []
+        for half in (0, 1):
+            own = np.flatnonzero(counts[half])
+            halves.append(marks.classifier([langs[i] for i in own], squares[half], sums[half][own], ridge))
+        out.least = _least(texts, halves, share)
     return out
 
 
-def _least(texts: list[str], labels: list[str], landmarks: int, ridge: float, share: float) -> float:
-    """Half the ``share`` quantile of the scores that each half of the sample gets from the other; 0 where a half is empty."""
-    scores = [np.zeros(0)]
-    for own in (0, 1):
-        learned = KernelClassifier.fit(texts[own::2], labels[own::2], landmarks, ridge)
-        if learned.langs and len(texts) > 1:
-            scores += [learned.leads(block)[1] for c in chunks(pa.array(texts[1 - own :: 2], pa.string()), BLOCK_BYTES) for block, _ in _blocks(c)]
-    found = np.concatenate(scores)
-    return float(np.quantile(found, share)) / 2 if len(found) else 0.0
+def _added(texts: DataFrame, marks: Landmarks, langs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each half of the texts the sum of features' products; the sum of features and the number of texts by language."""
+    size, upper = marks.root.shape[1], np.triu_indices(marks.root.shape[1])
+    sent = texts.sparkSession.sparkContext.broadcast((marks, {x: i for i, x in enumerate(langs)}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, number = sent.value
+        squares = np.zeros((2, size, size), np.int64)
+        sums = np.zeros((2, len(number), size + 1), np.int64)
+        for batch in worker("langid", batches):
+            halves, names = batch.column("half").to_numpy(), np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
+            for whole in chunks(batch.column("text"), BLOCK_BYTES):
+                for c, _ in _blocks(whole):
+                    features = np.rint(own.features(c) * UNIT)
+                    for half in (0, 1):
+                        rows = halves[c.first : c.first + c.rows] == half
+                        some = features[rows]
+                        squares[half] += (some.T @ some).astype(np.int64)  # whole numbers below 2^53
+                        np.add.at(sums[half], names[c.first : c.first + c.rows][rows], np.column_stack([some, np.ones(len(some))]).astype(np.int64))
+        columns = {"half": [], "lang": [], "values": []}
+        for half in (0, 1):
+            for lang in [-1, *np.flatnonzero(sums[half, :, size]).tolist()] if sums[half].any() else []:
+                columns["half"].append(half)
+                columns["lang"].append(lang)
+                columns["values"].append(squares[half][upper] if lang < 0 else sums[half, lang])
+        yield pa.RecordBatch.from_arrays([pa.array(columns["half"], pa.int32()), pa.array(columns["lang"], pa.int32()), pa.array(columns["values"], pa.list_(pa.int64()))], list(columns))
+
+    parts = texts.mapInArrow(run, "half int, lang int, values array<long>").select("half", "lang", F.posexplode("values").alias("at", "value"))
+    got = parts.groupBy("half", "lang", "at").agg(F.sum("value").alias("value")).toArrow()  # landmarks x (landmarks + languages) rows at most
+    half, lang, at, value = (got.column(c).to_numpy() for c in ("half", "lang", "at", "value"))
+    squares, sums = np.zeros((2, size, size)), np.zeros((2, len(langs), size + 1))
+    flat = lang < 0
+    squares[half[flat], upper[0][at[flat]], upper[1][at[flat]]] = value[flat]
+    squares[half[flat], upper[1][at[flat]], upper[0][at[flat]]] = value[flat]
+    sums[half[~flat], lang[~flat], at[~flat]] = value[~flat]
+    return squares / UNIT**2, sums[:, :, :size] / UNIT, sums[:, :, size]
+
+
+def _least(texts: DataFrame, halves: list[KernelClassifier], share: float) -> float:
+    """Half the ``share`` quantile of the scores that all texts get from the classifier of the other half, to parts of ``UNIT``."""
+    sent = texts.sparkSession.sparkContext.broadcast(halves)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = sent.value
+        for batch in worker("langid", batches):
+            half = batch.column("half").to_numpy()
+            for whole in chunks(batch.column("text"), BLOCK_BYTES):
+                for c, _ in _blocks(whole):
+                    leads = np.where(half[c.first : c.first + c.rows] == 0, both[1].leads(c)[1], both[0].leads(c)[1])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.floor(leads * UNIT).astype(np.int64))], ["score"])
+
+    found = texts.mapInArrow(run, "score long").groupBy("score").agg(F.count("*").alias("n")).orderBy("score").toArrow()  # UNIT + 1 rows at most
+    scores, ends = found.column("score").to_numpy(), np.cumsum(found.column("n").to_numpy())
+    place = share * (ends[-1] - 1)
+    below, above = (scores[np.searchsorted(ends, int(i), "right")] for i in (np.floor(place), np.ceil(place)))
+    return float(below + (above - below) * (place % 1)) / UNIT / 2
 
 
 def identify(df: DataFrame, classifier: KernelClassifier, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

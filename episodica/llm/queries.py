@@ -74,7 +74,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, identify
 
     docs = _table(spark, sf_dir, "documents")
-    return identify(docs, fit(docs))
+    return identify(docs, fit(docs, share=None))
 
 
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,6 +185,24 @@ def test_prediction_ignores_labels(docs):
     assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(other, model).collect()} == plain
 
 
+def test_all_labelled_texts_teach(spark):
+    """The weights are those of a regression on every labelled text, not of the first 200 of a language; the least score is a quantile of all."""
+    rng = np.random.default_rng(3)
+    pools = {"aa": "abcdefgh", "bb": "efghijkl"}
+    rows = [(i, " ".join("".join(rng.choice(list(pools[x]), 4)) for _ in range(6)), x) for i, x in enumerate(["aa", "bb"] * 450)]
+    rows += [(900 + i, "qqq rrr sss ttt", "aa") for i in range(300)]
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, landmarks=40)
+    order = {r["doc_id"]: r["o"] for r in df.select("doc_id", F.xxhash64("doc_id").alias("o")).collect()}
+    learned.sort(key=lambda r: order[r[0]])
+    whole = langid.KernelClassifier.fit([t for _, t, _ in learned], [x for *_, x in learned], 40, 1e-3)
+    assert (model.codes == whole.codes).all() and np.abs(model.weights - whole.weights).max() < 1e-3 * np.abs(whole.weights).max()
+    again = langid.fit(df.repartition(7), landmarks=40)
+    assert (again.weights == model.weights).all() and again.least == model.least > 0
+    assert langid.fit(df, landmarks=40, share=None).least == 0
+
+
 def test_kernel_is_the_formula():
     """Scores by the folded matrix equal kernel rows times weights of landmarks."""
     texts = ["the cat sat on the mat", "le chat est sur le tapis", "the dog and the cat", "un chien et le chat"] * 3
