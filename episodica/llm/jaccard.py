@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -38,6 +38,9 @@ MEETINGS = 4
 #: Sets that meet one probe in a task; a probe that meets more is sent to several.
 SPLIT = 512
 
+#: Shingles before one that a set brings to where all meet: two sets that share one of them met there, so that a pair seldom comes twice.
+BEFORE = 8
+
 Order = tuple[np.ndarray, np.ndarray]  # frequent shingles, sorted, and their places
 NODE = ("hi", "lo")
 BITS = [f"b{i}" for i in range(SKETCH // 64)]
@@ -272,18 +275,27 @@ def _meetings(placed: DataFrame, tried: DataFrame | None, turn: int, similarity:
     return written(best.select("best.a", "b"), "jaccard-meetings")
 
 
-def _across(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs of sets that share a shingle in their prefixes and are not under one root yet.
+def _faced(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of sets that share a shingle in their prefixes and are not under one root yet, few of them twice.
 
     Of two such sets one at least is not under the root of the shingle's least set, so those
-    alone meet all sets of a shingle: a group under one root makes no pairs.
+    alone meet all sets of a shingle: a group under one root makes no pairs. At the first
+    shingle that two sets share they have none of those before in common; where they have, they
+    meet at that one, with more of both sets to come.
     """
+    ahead = Window.partitionBy(*NODE).orderBy("at").rowsBetween(-BEFORE, -1)  # over one set's prefix
+    placed = written(placed.withColumn("ahead", F.collect_list("token").over(ahead)), "jaccard-ahead")
     hubs = placed.groupBy("token").agg(F.min(F.struct(*NODE, "root")).alias("hub"))
     strange = placed.join(hubs.select("token", F.col("hub.root").alias("hub_root")), "token").where("root <> hub_root")
-    strange = strange.select("token", *(F.col(c).alias(f"x_{c}") for c in (*NODE, "n", "at", "root", *BITS)))
-    both = strange.join(placed, "token").where((F.col("x_root") != F.col("root")) & _met(similarity))
+    strange = strange.select("token", *(F.col(c).alias(f"x_{c}") for c in (*NODE, "n", "at", "root", *BITS, "ahead")))
+    both = strange.join(placed, "token").where((F.col("x_root") != F.col("root")) & _met(similarity) & ~F.arrays_overlap("x_ahead", "ahead"))
     # the lesser set is the probe, whichever of the two is strange, so that a pair is looked at once
-    return written(both.select(F.least(_node("x_"), _node()).alias("a"), F.greatest(_node("x_"), _node()).alias("b")).distinct(), "jaccard-across")
+    return both.select(F.least(_node("x_"), _node()).alias("a"), F.greatest(_node("x_"), _node()).alias("b"))
+
+
+def _across(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs of ``_faced``, each once."""
+    return written(_faced(placed, similarity).distinct(), "jaccard-across")
 
 
 def _climb(similarity: tuple[int, int]):

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.llm.jaccard import jaccard_components
+from episodica.llm.jaccard import BITS, _faced, jaccard_components
 from episodica.llm.queries import OP12_SQL
 from episodica.llm.text import CHUNK_BYTES
 
@@ -73,6 +73,15 @@ def test_against_brute_force(spark, bounds):
     assert sorted((str(a), b, str(c)) for a, b, c in out.collect()) == brute(rows)
 
 
+def test_pairs_do_not_come_at_each_shared_shingle(spark):
+    """Sets that share a run of shingles face each other at its beginning alone, and again after a break."""
+    sets = {1: range(40), 2: range(40), 3: [*range(100, 110), *range(10, 40)]}
+    rows = [(token, lo, at) for lo, tokens in sets.items() for at, token in enumerate(tokens)]
+    placed = spark.createDataFrame(rows, "token long, lo long, at long").select("token", F.lit(0).cast("long").alias("hi"), "lo", F.lit(400).cast("long").alias("n"), "at", *(F.lit(0).cast("long").alias(b) for b in BITS), F.expr("struct(0L AS hi, lo) AS root"))
+    found = [(r["a"]["lo"], r["b"]["lo"]) for r in _faced(placed, (4, 5)).collect()]
+    assert set(found) == {(1, 2), (1, 3), (2, 3)} and len(found) <= 2 * 3
+
+
 def test_empty_table_and_null_texts(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(empty).collect() == []
