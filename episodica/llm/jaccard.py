@@ -29,6 +29,12 @@ PLACES = 500_000
 #: Bits of a set's parity sketch: two sets differ in as many shingles at least as their sketches do in bits.
 SKETCH = 512
 
+#: Bits of the sketch that pairs pass before their sets are brought together; folded it is the short one, which tells sets of up to 1,100 shingles apart.
+FINE = 2048
+
+#: Keys (ids, sets or shingles) by which rows are chosen, that are broadcast; beyond them, rows are shuffled to meet the keys.
+KEYS = 1_000_000
+
 #: Rounds in which frequent shingles are looked for: one that has left the prefixes makes room for others.
 ROUNDS = 2
 
@@ -73,16 +79,22 @@ def _digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
-def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-    """A long column for each 64 bits of the sets' sketches: bit j is the parity of the shingles that fall to j."""
-    out = np.zeros((len(bounds) - 1, SKETCH // 64), np.int64)
+def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of longs for each set, its fine sketch: bit j is the parity of the shingles that fall to j."""
+    out = np.zeros((len(bounds) - 1, FINE // 64), np.int64)
     for first in range(0, len(out), 1024):
         some = bounds[first : first + 1025]
         rows = np.repeat(np.arange(len(some) - 1), np.diff(some))
-        at = rows * SKETCH + (hashes[some[0] : some[-1]] >> np.uint64(20)).astype(np.int64) % SKETCH
-        odd = np.bincount(at, minlength=(len(some) - 1) * SKETCH).astype(np.uint8) & 1
-        out[first : first + 1024] = np.packbits(odd).view(np.int64).reshape(-1, SKETCH // 64)
-    return list(np.ascontiguousarray(out.T))
+        at = rows * FINE + (hashes[some[0] : some[-1]] >> np.uint64(20)).astype(np.int64) % FINE
+        odd = np.bincount(at, minlength=(len(some) - 1) * FINE).astype(np.uint8) & 1
+        out[first : first + 1024] = np.packbits(odd).view(np.int64).reshape(-1, FINE // 64)
+    return out
+
+
+def _folded(fine: np.ndarray) -> list[np.ndarray]:
+    """A long column for each 64 bits of the short sketches."""
+    short = np.bitwise_xor.reduce(fine.reshape(len(fine), -1, SKETCH // 64), axis=1)
+    return list(np.ascontiguousarray(short.T))
 
 
 def _heads(hashes: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,26 +105,33 @@ def _heads(hashes: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int])
     return spread(bounds[:-1], sizes), sizes
 
 
+def _chosen_by(keys: DataFrame, most: int) -> DataFrame:
+    """Keys for a left semi join: broadcast if they are few."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
 class _Texts:
     """The text column of a table, read anew for each pass, as sets are larger than texts."""
 
-    def __init__(self, df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: tuple[int, int]):
+    def __init__(self, df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: tuple[int, int], keys: int = KEYS):
         short_batches(df.sparkSession)
         self.source = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
         self.kind = dict(self.source.dtypes)["id"]
-        self.shingle, self.similarity = shingle, similarity
+        self.shingle, self.similarity, self.keys = shingle, similarity, keys
 
     def rows(self) -> DataFrame:
-        """id, the digest of the set, its size and its sketch, of every row."""
+        """id, the digest of the set, its size and its sketches, of every row."""
         shingle = self.shingle
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in worker("jaccard", batches):
                 for c in chunks(batch.column("text")):
                     hashes, bounds = _sets(c, shingle)
-                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(c.first, c.rows), *map(pa.array, (*_digests(hashes, bounds), np.diff(bounds), *_sketches(hashes, bounds)))], ["id", *NODE, "n", *BITS])
+                    fine = _sketches(hashes, bounds)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(fine) + 1, dtype=np.int32) * fine.shape[1]), pa.array(fine.ravel()))
+                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(c.first, c.rows), *map(pa.array, (*_digests(hashes, bounds), np.diff(bounds), *_folded(fine))), lists], ["id", *NODE, "n", *BITS, "fine"])
 
-        return self.source.mapInArrow(run, f"id {self.kind}, hi long, lo long, n long, " + ", ".join(f"{b} long" for b in BITS))
+        return self.source.mapInArrow(run, f"id {self.kind}, hi long, lo long, n long, " + ", ".join(f"{b} long" for b in BITS) + ", fine array<long>")
 
     def counted(self, now: Order, before: Order | None = None) -> DataFrame:
         """token and c, the rows with it in their prefix by the order ``now``, but not by ``before``."""
@@ -162,10 +181,12 @@ class _Texts:
         return self.source.mapInArrow(run, "token long, hi long, lo long, n long, at long")
 
     def sets(self, wanted: DataFrame, rows: DataFrame, order: Order) -> DataFrame:
-        """hi, lo, n and the ordered set of every wanted node; only rows that hold one are read on."""
+        """hi, lo, n and the ordered set of every wanted node, once, perhaps of others too; only rows whose id one of them has are read on."""
         shingle, sent = self.shingle, self._sent(order)
         one = written(rows.join(wanted, [*NODE], "left_semi").groupBy(*NODE).agg(F.min("id").alias("one")), "jaccard-one")
-        ids = one.select("one").distinct()  # null where all rows of a set have no id
+        ids = _chosen_by(one.select("one").distinct(), self.keys)  # null where all rows of a set have no id
+        nulls = not one.where("one IS NULL").isEmpty()
+        same = F.col("id").eqNullSafe(F.col("one")) if nulls else F.col("id") == F.col("one")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in worker("jaccard", batches):
@@ -176,9 +197,14 @@ class _Texts:
                     lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array(hi), pa.array(lo), pa.array(np.diff(bounds)), lists], [*NODE, "n", "grams"])
 
-        texts = self.source.join(ids, F.col("id").eqNullSafe(F.col("one")), "left_semi")
+        texts = self.source.join(ids, same, "left_semi")
         made = texts.mapInArrow(run, "hi long, lo long, n long, grams array<long>")
-        return written(made.join(wanted, [*NODE], "left_semi").dropDuplicates([*NODE]), "jaccard-sets")
+        if nulls:  # all rows without an id are read
+            made = made.join(wanted, [*NODE], "left_semi")
+        made = written(made, "jaccard-sets")
+        # rows come twice where an id does: sets are shuffled then alone
+        twice = made.groupBy(*NODE).count().where("count > 1")
+        return made if twice.isEmpty() else written(made.dropDuplicates([*NODE]), "jaccard-sets")
 
     def _sent(self, order: Order):
         return self.source.sparkSession.sparkContext.broadcast(order)
@@ -241,7 +267,7 @@ def _node(prefix: str = "") -> Column:
     return F.struct(*(F.col(f"{prefix}{c}").alias(c) for c in NODE))
 
 
-def _told_apart(shared: DataFrame) -> DataFrame:
+def _told_apart(shared: DataFrame, keys: int = KEYS) -> DataFrame:
     """Of shingles that are in the prefixes of the same sets the first in the order, for each of those sets.
 
     It is the first for all of them, so what two sets have from their first common shingle on is not changed.
@@ -250,22 +276,20 @@ def _told_apart(shared: DataFrame) -> DataFrame:
     lists = shared.groupBy("token").agg(F.min(F.struct(*NODE, "at")).alias("least"), F.max(F.struct(*NODE)).alias("last"), F.count("*").alias("c"), F.bit_xor(hash_).alias("x"), F.sum(F.shiftright(F.xxhash64(*NODE, F.lit(7)), 32)).alias("s"))
     lists = lists.where((F.col("least.hi") != F.col("last.hi")) | (F.col("least.lo") != F.col("last.lo")))
     kept = lists.groupBy("least.hi", "least.lo", "last", "c", "x", "s").agg(F.min_by("token", "least.at").alias("token")).select("token")
-    return written(shared.join(written(kept, "jaccard-kept"), "token", "left_semi"), "jaccard-shingles")
+    return written(shared.join(_chosen_by(written(kept, "jaccard-kept"), keys), "token", "left_semi"), "jaccard-shingles")
 
 
 def _placed(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """The sets of each shingle with their roots; of shingles alone whose sets are under several."""
+    """The sets of each shingle with their roots."""
     placed = shared.join(roots.select(F.col("node.hi").alias("hi"), F.col("node.lo").alias("lo"), "root"), [*NODE], "left")
-    placed = written(placed.withColumn("root", F.coalesce("root", _node())), "jaccard-placed")
-    mixed = placed.groupBy("token").agg(F.min("root").alias("less"), F.max("root").alias("more")).where("less <> more").select("token")
-    return written(placed.join(written(mixed, "jaccard-mixed"), "token", "left_semi"), "jaccard-open")
+    return written(placed.withColumn("root", F.coalesce("root", _node())), "jaccard-placed")
 
 
 def _meetings(placed: DataFrame, tried: DataFrame | None, turn: int, similarity: tuple[int, int]) -> DataFrame:
     """A pair of each set with one that is under another root: that which is most often the chosen set of a shingle that both have, and was not tried before; ``turn`` chooses."""
     own = [*NODE, "n", "at", *BITS, "root"]
-    hubs = placed.groupBy("token").agg(F.min(F.struct(F.xxhash64(*NODE, F.lit(turn)).alias("h"), *own)).alias("hub"))
-    hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"x_{c}") for c in own))
+    hubs = placed.groupBy("token").agg(F.min(F.struct(F.xxhash64(*NODE, F.lit(turn)).alias("h"), *own)).alias("hub"), F.min("root").alias("less"), F.max("root").alias("more"))
+    hubs = hubs.where("less <> more").select("token", *(F.col(f"hub.{c}").alias(f"x_{c}") for c in own))
     met = placed.join(hubs, "token").where((F.col("root") != F.col("x_root")) & _met(similarity))
     votes = met.groupBy(_node("x_").alias("a"), _node().alias("b")).count()
     if tried is not None:
@@ -339,8 +363,22 @@ def _climb(similarity: tuple[int, int]):
     return run
 
 
+def _near(pairs: DataFrame, rows: DataFrame, similarity: tuple[int, int], keys: int = KEYS) -> DataFrame:
+    """The pairs (a, b) whose fine sketches differ in no more bits than similar sets may in shingles."""
+    over, under = similarity
+    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("x")).select("x.hi", "x.lo").distinct(), "jaccard-ends")
+    sketches = rows.join(_chosen_by(ends, keys), [*NODE], "left_semi").select(*NODE, "n", "fine").dropDuplicates([*NODE])
+    sketches = written(sketches.select(_node().alias("node"), F.struct("n", "fine").alias("s")), "jaccard-fine")
+    both = pairs.join(sketches.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sketches.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
+    apart = F.aggregate(F.zip_with("x.fine", "y.fine", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, bits: s + bits)
+    return written(both.where(F.lit(over + under) * apart <= F.lit(under - over) * (F.col("x.n") + F.col("y.n"))).select("a", "b"), "jaccard-near")
+
+
 def _similar(pairs: DataFrame, texts: _Texts, rows: DataFrame, order: Order, split: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity: a is sent down the tree of the b's it meets."""
+    if pairs.isEmpty():
+        return pairs
+    pairs = _near(pairs, rows, texts.similarity, texts.keys)
     if pairs.isEmpty():
         return pairs
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("x")).select("x.hi", "x.lo").distinct(), "jaccard-wanted")
@@ -360,6 +398,7 @@ def _similar(pairs: DataFrame, texts: _Texts, rows: DataFrame, order: Order, spl
 def jaccard_components(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: tuple[int, int] = SIMILARITY,
     frequent: int = FREQUENT, places: int = PLACES, rounds: int = ROUNDS, meetings: int = MEETINGS, split: int = SPLIT,
+    keys: int = KEYS,
 ) -> DataFrame:
     """``id_col``, n_shingles and component_id, the least id of all rows linked to it, of every row.
 
@@ -377,16 +416,16 @@ def jaccard_components(
     comparison two sets.
     """
     over, under = similarity
-    texts = _Texts(df, id_col, text_col, shingle, similarity)
+    texts = _Texts(df, id_col, text_col, shingle, similarity, keys)
     rows = written(texts.rows(), "jaccard-rows")
     nodes = written(rows.where("n > 0").groupBy(*NODE).agg(F.min("id").alias("least")), "jaccard-nodes")
     order = _order(texts, frequent, places, rounds)
     postings = written(texts.postings(order), "jaccard-postings")
     many = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    shared = written(postings.join(written(many, "jaccard-tokens"), "token", "left_semi"), "jaccard-met")
+    # shingles are told apart before sketches, many times a posting's size, are put to them
+    shared = _told_apart(written(postings.join(written(many, "jaccard-tokens"), "token", "left_semi"), "jaccard-met"), keys)
     sketches = rows.select(*NODE, *BITS).join(written(shared.select(*NODE).distinct(), "jaccard-some"), [*NODE], "left_semi").dropDuplicates([*NODE])
-    shared = written(shared.join(sketches, [*NODE]), "jaccard-shared")
-    shared, tried = _told_apart(shared), None
+    shared, tried = written(shared.join(sketches, [*NODE]), "jaccard-shared"), None
     roots = shared.select(_node().alias("node"), _node().alias("root")).limit(0)
     edges = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     for turn in range(meetings):

@@ -3,10 +3,11 @@
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.llm.jaccard import BITS, _faced, jaccard_components
+from episodica.llm.jaccard import BITS, _faced, _met, _near, _Texts, jaccard_components
 from episodica.llm.queries import OP12_SQL
 from episodica.llm.text import CHUNK_BYTES
 
@@ -105,3 +106,36 @@ def test_sql(spark, sf_dir):
     con = duckdb.connect()
     con.register("documents", df.toPandas())
     assert sorted(con.sql(OP12_SQL).fetchall()) == sorted(map(tuple, jaccard_components(df).collect()))
+
+
+def test_pairs_pass_sketches_before_their_sets_meet(spark):
+    """Of long sets that share the shingles of their prefixes, but not the similarity, the short sketch tells too little."""
+    rng = random.Random(2)
+    words = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    base = words(1500)
+    texts = [base, base[:1400] + words(100), base[:800] + words(700)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = _Texts(df, "doc_id", "text", 5, (4, 5)).rows().localCheckpoint()
+    node = {r["id"]: F.struct(F.lit(r["hi"]).alias("hi"), F.lit(r["lo"]).alias("lo")) for r in rows.collect()}
+    pairs = spark.range(1).select(F.explode(F.array(*(F.struct(node[0].alias("a"), node[i].alias("b")) for i in (1, 2)))).alias("p")).select("p.*")
+    ids = {(r["hi"], r["lo"]): r["id"] for r in rows.collect()}
+    assert [ids[r["b"]["hi"], r["b"]["lo"]] for r in _near(pairs, rows, (4, 5)).collect()] == [1]
+    pair = rows.where("id = 0").crossJoin(rows.where("id = 2").select(*(F.col(c).alias(f"x_{c}") for c in ("n", *BITS)))).withColumns({"at": F.lit(0), "x_at": F.lit(0)})
+    assert pair.where(_met((4, 5))).count() == 1  # which is why the fine one is there
+
+
+@pytest.mark.parametrize("keys", [0, 10**6])
+def test_sets_are_read_once_by_either_way(spark, keys):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string").repartition(3)
+    for some in (df, df.where("doc_id is not null")):
+        texts = _Texts(some, "doc_id", "text", 5, (4, 5), keys)
+        rows = texts.rows().where("n > 0").localCheckpoint()
+        sets = texts.sets(rows.select("hi", "lo").distinct(), rows, (np.zeros(0, np.uint64), np.zeros(0, np.int32)))
+        got = [tuple(r) for r in sets.where("n > 0").select("hi", "lo", "n").collect()]
+        assert sorted(got) == sorted(tuple(r) for r in rows.select("hi", "lo", "n").distinct().collect())
+
+
+def test_shuffled_keys_against_brute_force(spark):
+    rows = corpus(9)
+    out = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), keys=0)
+    assert sorted((str(a), b, str(c)) for a, b, c in out.collect()) == brute(rows)
